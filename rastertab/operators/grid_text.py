@@ -1,0 +1,63 @@
+"""WKT text for pixels addressed by grid indices (reprojected rasters).
+
+A north-up grid has only ``xsize`` distinct column texts and ``ysize`` row
+texts.  They are produced once (tile-level UDF over 256-wide strips) and
+joined back on the integer index.  The lookups hold ``xsize`` / ``ysize``
+rows -- a bound known before the job runs -- so they are broadcast only when
+that bound is under the limit, and shuffle-joined otherwise.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from rastertab.functions.numtext import make_axis_text_udf
+from rastertab.functions.wkt import point_text, polygon_text
+
+STRIP = 256
+BROADCAST_ROWS_LIMIT = 2_000_000  # ~100 MB of short strings
+
+
+def _strips(spark: SparkSession, gt, size: int, axis: str) -> DataFrame:
+    n = (size + STRIP - 1) // STRIP
+    s = spark.range(0, n).select(F.col("id").cast("int").alias("i"))
+    g = F.array(*[F.lit(float(v)) for v in gt])
+    block = F.least(F.lit(size) - F.col("i") * STRIP, F.lit(STRIP)).cast("int")
+    if axis == "x":
+        return s.select(g.alias("gt"), F.col("i").alias("ix"), F.lit(0).alias("iy"), block.alias("xblock"),
+                        F.lit(1).alias("yblock"))
+    return s.select(g.alias("gt"), F.lit(0).alias("ix"), F.col("i").alias("iy"), F.lit(1).alias("xblock"),
+                    block.alias("yblock"))
+
+
+def axis_lookups(spark: SparkSession, gt, xsize: int, ysize: int, box_style: str = "g10"):
+    """(columns: ``tx, cx, lox, hix``; rows: ``ty, cy, loy, hiy``)."""
+    if gt[2] != 0 or gt[4] != 0:
+        raise ValueError("grid text lookups need a north-up grid (gt2 = gt4 = 0)")
+    udf = make_axis_text_udf(STRIP, box_style)
+    cols = _strips(spark, gt, xsize, "x").withColumn("_a", udf("gt", "ix", "iy", "xblock", "yblock"))
+    cols = cols.select((F.col("ix") * STRIP).alias("x0"),
+                       F.posexplode(F.arrays_zip(F.col("_a.cx").alias("cx"), F.col("_a.lox").alias("lox"),
+                                                 F.col("_a.hix").alias("hix"))).alias("p", "v"))
+    cols = cols.select((F.col("x0") + F.col("p")).cast("long").alias("tx"), "v.cx", "v.lox", "v.hix")
+    rows = _strips(spark, gt, ysize, "y").withColumn("_a", udf("gt", "ix", "iy", "xblock", "yblock"))
+    rows = rows.select((F.col("iy") * STRIP).alias("y0"),
+                       F.posexplode(F.arrays_zip(F.col("_a.cy").alias("cy"), F.col("_a.loy").alias("loy"),
+                                                 F.col("_a.hiy").alias("hiy"))).alias("p", "v"))
+    rows = rows.select((F.col("y0") + F.col("p")).cast("long").alias("ty"), "v.cy", "v.loy", "v.hiy")
+    return cols, rows
+
+
+def with_grid_text(pixels: DataFrame, gt, xsize: int, ysize: int, tx: str = "tx", ty: str = "ty") -> DataFrame:
+    """Adds ``geography`` and ``geography_polygon`` to pixels keyed by grid indices."""
+    cols, rows = axis_lookups(pixels.sparkSession, gt, xsize, ysize)
+    if xsize <= BROADCAST_ROWS_LIMIT:
+        cols = F.broadcast(cols)
+    if ysize <= BROADCAST_ROWS_LIMIT:
+        rows = F.broadcast(rows)
+    out = (pixels.join(cols, pixels[tx] == cols["tx"]).drop(cols["tx"])
+           .join(rows, pixels[ty] == rows["ty"]).drop(rows["ty"]))
+    return (out.withColumn("geography", point_text(F.col("cx"), F.col("cy")))
+            .withColumn("geography_polygon", polygon_text(F.col("lox"), F.col("hix"), F.col("loy"), F.col("hiy")))
+            .drop("cx", "lox", "hix", "cy", "loy", "hiy"))

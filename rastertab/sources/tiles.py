@@ -102,11 +102,11 @@ class NpyRasterDecoder:
 
     @staticmethod
     def _header(path: str) -> dict:
-        with open(path[:-4] + ".json") as fh:
+        with open(_strip_scheme(path)[:-4] + ".json") as fh:
             return json.load(fh)
 
     def describe(self, path: str) -> dict:
-        arr = np.load(path, mmap_mode="r")
+        arr = np.load(_strip_scheme(path), mmap_mode="r")
         nb, ysize, xsize = arr.shape if arr.ndim == 3 else (1, *arr.shape)
         head = self._header(path)
         return {"xsize": xsize, "ysize": ysize, "gt": head["gt"],
@@ -114,7 +114,7 @@ class NpyRasterDecoder:
                 "band_type": head.get("band_type", "Float64"), "meta": head.get("meta", {})}
 
     def read_block(self, path, x0, y0, w, h):
-        arr = np.load(path, mmap_mode="r")
+        arr = np.load(_strip_scheme(path), mmap_mode="r")
         if arr.ndim == 2:
             arr = arr[np.newaxis, ...]
         return np.asarray(arr[:, y0:y0 + h, x0:x0 + w], dtype=np.float64)
@@ -144,6 +144,8 @@ class GdalDecoder:
 
 
 def _strip_scheme(path: str) -> str:
+    if path.startswith("file://"):
+        return path[7:]
     return path[5:] if path.startswith("file:") else path
 
 

@@ -69,6 +69,8 @@ def incremental_slice_load(spark: SparkSession, source_dir: str, schema: T.Struc
     q = (stream.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
+    # the batches wrote from the stream's own session: drop this session's file listing
+    spark.catalog.refreshTable(table)
 
 
 def day_slice(col: str = "ts") -> Callable:
