@@ -126,3 +126,21 @@ def format_g10(values: pd.Series) -> pd.Series:
 def format_int(col: Column) -> Column:
     """``%d`` of an integral column: the JVM integer text is already exact."""
     return col.cast("bigint").cast("string")
+
+
+CELL_TEXT_SCHEMA = T.StructType([T.StructField("geography", T.StringType()),
+                                 T.StructField("geography_polygon", T.StringType())])
+
+
+@F.pandas_udf(CELL_TEXT_SCHEMA)
+def cell_text(gx: pd.Series, gy: pd.Series, min_x: pd.Series, max_x: pd.Series, min_y: pd.Series,
+              max_y: pd.Series) -> pd.DataFrame:
+    """WKT point and box of each cell from its numeric centre and (already
+    clipped and rounded) box edges -- the format-late path: one call per cell
+    after aggregation, instead of one per pixel and hour."""
+    cx, cy = c_format(gx.to_numpy()), c_format(gy.to_numpy())
+    lx, hx = c_format(min_x.to_numpy()), c_format(max_x.to_numpy())
+    ly, hy = c_format(min_y.to_numpy()), c_format(max_y.to_numpy())
+    point = [f"POINT({a} {b})" for a, b in zip(cx, cy)]
+    poly = [f"POLYGON (({b} {c}, {b} {d}, {a} {d}, {a} {c}, {b} {c}))" for a, b, c, d in zip(lx, hx, ly, hy)]
+    return pd.DataFrame({"geography": point, "geography_polygon": poly})

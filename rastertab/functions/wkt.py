@@ -35,6 +35,17 @@ def polygon_text(lox: Column, hix: Column, loy: Column, hiy: Column) -> Column:
     )
 
 
+def point_sql(cx: str, cy: str) -> str:
+    """SQL-text form of :func:`point_text`."""
+    return f"concat('POINT(', {cx}, ' ', {cy}, ')')"
+
+
+def polygon_sql(lox: str, hix: str, loy: str, hiy: str) -> str:
+    """SQL-text form of :func:`polygon_text`."""
+    return (f"concat('POLYGON ((', {hix}, ' ', {loy}, ', ', {hix}, ' ', {hiy}, ', ', {lox}, ' ', {hiy}, ', ', "
+            f"{lox}, ' ', {loy}, ', ', {hix}, ' ', {loy}, '))')")
+
+
 def st_astext(geog: Column) -> Column:
     """Geography to WKT: geographies already are WKT strings."""
     return geog

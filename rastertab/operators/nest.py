@@ -58,6 +58,42 @@ def ordered_nest(df: DataFrame, keys, order_fields, payload_fields, name: str,
     return df.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*fields))).alias(name))
 
 
+def check_group_bound(df: DataFrame, keys, max_group: int) -> None:
+    """Fail before nesting when some group is larger than ``max_group``.
+
+    Reads only the key columns and counts with map-side partial aggregation,
+    so the check shuffles one small row per key and task.  A forecast cell
+    has at most one element per forecast hour; more means duplicated input,
+    which must not be collected into a single array (or silently dropped).
+    """
+    big = df.groupBy(*keys).count().where(F.col("count") > max_group).limit(1).collect()
+    if big:
+        raise ValueError(f"group {big[0].asDict()} exceeds {max_group} elements; input holds duplicates")
+
+
+def ordered_nest_chunked(df: DataFrame, keys, order_fields, payload_fields, name: str,
+                         num_partitions: int | None = None, renames: dict[str, str] | None = None) -> DataFrame:
+    """AGG-1 for keys that may be hot (one key may hold a large share of rows).
+
+    Rows are range-partitioned on ``(keys, order fields)``: the sampled bounds
+    cut a hot key's rows into several partitions, in order.  Each partition
+    then nests its own run of every key into one *chunk* (bounded by the
+    partition size), so no task ever holds a whole hot group.  Output: one row
+    per (key, chunk); ``chunk`` (the range-partition index) increases along a
+    key, so concatenating a key's chunks in chunk order gives the complete
+    ordered array.  Exchanges: the range partitioning, then one hash exchange
+    of the per-partition partial lists (each list moves once).
+    """
+    renames = renames or {}
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = [*keys, *order_fields, *payload_fields]
+    fields = [F.col(c).alias(renames.get(c, c)) for c in (*order_fields, *payload_fields)]
+    parts = df.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in ordered]) \
+        .withColumn("_part", F.spark_partition_id())
+    chunks = parts.groupBy(*keys, "_part").agg(F.sort_array(F.collect_list(F.struct(*fields))).alias(name))
+    return chunks.withColumnRenamed("_part", "chunk")
+
+
 def nest_forecast(projected: DataFrame) -> DataFrame:
     """AGG-1 + PRJ-2/3: one row per (creation_time, cell) with the forecast
     array ordered by hours, in destination column order."""

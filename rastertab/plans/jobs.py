@@ -18,7 +18,7 @@ from rastertab.functions.timefns import cycle_suffix
 from rastertab.operators.attributes import PixelLayout, infer_layout
 from rastertab.operators.filters import include_exclude, pending, require
 from rastertab.operators.grid_text import with_grid_text
-from rastertab.operators.nest import nest_forecast, stage_projection
+from rastertab.operators.nest import CELL_KEY, check_group_bound, nest_forecast, stage_projection
 from rastertab.operators.pixels import expand_pixels
 from rastertab.operators.reproject import SPHERE_RADIUS, reproject_nearest
 from rastertab.sinks.csv_text import csv_lines, write_csv_lines
@@ -28,6 +28,7 @@ from rastertab.sources import catalog as cat
 from rastertab.sources.schemas import conform, declared, enforce_required, read_declared
 from rastertab.sources.tiles import image_name
 
+MAX_HOURS_PER_CELL = 1000  # bound on forecast elements per (cycle, cell); more = duplicated input
 YEAR_RANGE = (1900, 2100)  # fixed value: integer range partitioning bounds (inclusive start, exclusive end)
 
 
@@ -81,7 +82,9 @@ def load_forecast_cycle(spark: SparkSession, source: str | DataFrame, table: str
     truncate_load(enforce_required(raw, schema), stg_name, location=staging_location)
     create_table(spark, table, declared("gfs_group"), partition_by=("creation_time",), location=location,
                  comment="forecast: one row per cycle and cell")
-    nested = nest_forecast(stage_projection(spark.table(stg_name)))
+    staged = spark.table(stg_name)
+    check_group_bound(staged, CELL_KEY, MAX_HOURS_PER_CELL)
+    nested = nest_forecast(stage_projection(staged))
     lat = F.regexp_extract("geography", r"^POINT\(\S+ (\S+)\)$", 1).cast("double")
     lon = F.regexp_extract("geography", r"^POINT\((\S+) ", 1).cast("double")
     nested = nested.sortWithinPartitions(lat, lon)

@@ -8,7 +8,7 @@ from rastertab.operators.attributes import (PixelLayout, attribute_kind_col, ban
                                             band_schema_type_col, band_spark_type_col, schema_string_col)
 from rastertab.operators.nest import unnest
 from rastertab.operators.pixels import expand_pixels
-from rastertab.plans.forecast import forecast_nested, nested_summary
+from rastertab.plans.forecast import forecast_nested, forecast_nested_late, nested_summary
 from rastertab.plans.registry import register
 from rastertab.sinks.csv_text import csv_lines
 from rastertab.sources.driver_tables import (embedding_pair_tiles, embedding_tiles, forecast_tiles,
@@ -258,7 +258,7 @@ def csv_lines_query(spark, sf_dir):
           FROM ({_FC_PROJ}) GROUP BY creation_time, geography, geography_polygon)
 """)
 def nest_forecast_query(spark, sf_dir):
-    return nested_summary(forecast_nested(forecast_tiles(_emb(spark, sf_dir))))
+    return nested_summary(forecast_nested_late(forecast_tiles(_emb(spark, sf_dir))))
 
 
 @register("nest_forecast_positions", ["AGG-1", "DRV-1"], f"""

@@ -19,6 +19,7 @@ SESSION_DEFAULTS = {
     "spark.sql.caseSensitive": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 

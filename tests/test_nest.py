@@ -49,3 +49,19 @@ def test_deaccumulate_and_consistency(spark):
     ok = proj.where(forecast_time_consistent(F.col("creation_time"), F.col("forecast_hours"),
                                              F.col("forecast_time"))).count()
     assert ok == proj.count()
+
+
+def test_chunked_nest_splits_hot_key_in_order(spark):
+    from rastertab.operators.nest import check_group_bound, ordered_nest_chunked
+    import pytest
+    df = spark.range(30000).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"),
+                                   (F.col("id") * 7 % 1000).alias("h"), F.col("id").alias("v"))
+    c = ordered_nest_chunked(df, ["k"], ["h"], ["v"], "arr", num_partitions=6)
+    hot = c.where("k = 0").orderBy("chunk").collect()
+    assert len(hot) > 1
+    flat = [(e.h, e.v) for r in hot for e in r.arr]
+    assert len(flat) == 10000 and flat == sorted(flat)
+    assert c.where("k <> 0").count() == 20000
+    with pytest.raises(ValueError, match="exceeds"):
+        check_group_bound(df, ["k"], 1000)
+    check_group_bound(df.where("k <> 0"), ["k"], 1)
