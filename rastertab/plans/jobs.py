@@ -79,10 +79,12 @@ def load_forecast_cycle(spark: SparkSession, source: str | DataFrame, table: str
     stg_name = f"{staging_db}.{staging_name(table.split('.')[-1], cycle_suffix(cycle))}"
     schema = declared("gfs")
     raw = read_declared(spark, source, schema) if isinstance(source, str) else conform(source, schema)
-    truncate_load(enforce_required(raw, schema), stg_name, location=staging_location)
+    # staging is day-partitioned on creation_time like its warehouse counterpart
+    staging = enforce_required(raw, schema).withColumn("creation_date", F.to_date("creation_time"))
+    truncate_load(staging, stg_name, partition_by=("creation_date",), location=staging_location)
     create_table(spark, table, declared("gfs_group"), partition_by=("creation_time",), location=location,
                  comment="forecast: one row per cycle and cell")
-    staged = spark.table(stg_name)
+    staged = spark.table(stg_name).drop("creation_date")
     check_group_bound(staged, CELL_KEY, MAX_HOURS_PER_CELL)
     nested = nest_forecast(stage_projection(staged))
     lat = F.regexp_extract("geography", r"^POINT\(\S+ (\S+)\)$", 1).cast("double")
