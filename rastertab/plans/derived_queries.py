@@ -57,13 +57,16 @@ _D = repr(DEG)
       FROM (SELECT vec_id, embedding, unnest(generate_series(0, 63)) AS pos FROM embeddings)),
     cells AS (
       SELECT id % {TGT_COLS} AS tx, id // {TGT_COLS} AS ty,
-             {TGT_GT[0]!r} + (id % {TGT_COLS} + 0.5) * {TGT_GT[1]!r} + (id // {TGT_COLS} + 0.5) * {TGT_GT[2]!r} AS lon,
-             {TGT_GT[3]!r} + (id % {TGT_COLS} + 0.5) * {TGT_GT[4]!r} + (id // {TGT_COLS} + 0.5) * {TGT_GT[5]!r} AS lat
+             {TGT_GT[0]!r}::DOUBLE + (id % {TGT_COLS} + 0.5::DOUBLE) * {TGT_GT[1]!r}::DOUBLE
+                 + (id // {TGT_COLS} + 0.5::DOUBLE) * {TGT_GT[2]!r}::DOUBLE AS lon,
+             {TGT_GT[3]!r}::DOUBLE + (id % {TGT_COLS} + 0.5::DOUBLE) * {TGT_GT[4]!r}::DOUBLE
+                 + (id // {TGT_COLS} + 0.5::DOUBLE) * {TGT_GT[5]!r}::DOUBLE AS lat
       FROM range(0, {TGT_COLS * TGT_ROWS}) t(id)),
     idx AS (
       SELECT tx, ty, lon, lat,
-             CAST(floor(({_R} * (lon * {_D}) * cos(lat * {_D}) - {SRC_GT[0]!r}) / {SRC_GT[1]!r}) AS BIGINT) AS sx,
-             CAST(floor(({_R} * (lat * {_D}) - {SRC_GT[3]!r}) / {SRC_GT[5]!r}) AS BIGINT) AS sy
+             CAST(floor(({_R}::DOUBLE * (lon * {_D}::DOUBLE) * cos(lat * {_D}::DOUBLE) - {SRC_GT[0]!r}::DOUBLE)
+                        / {SRC_GT[1]!r}::DOUBLE) AS BIGINT) AS sx,
+             CAST(floor(({_R}::DOUBLE * (lat * {_D}::DOUBLE) - {SRC_GT[3]!r}::DOUBLE) / {SRC_GT[5]!r}::DOUBLE) AS BIGINT) AS sy
       FROM cells)
     SELECT CAST(tx AS BIGINT) AS tx, CAST(ty AS BIGINT) AS ty, lon, lat, layer, value
     FROM idx JOIN src ON idx.sx = src.sx AND idx.sy = src.sy

@@ -27,8 +27,8 @@ _EMB_PX = """
     FROM (SELECT vec_id, label, embedding, unnest(generate_series(0, len(embedding) - 1)) AS pos FROM embeddings)
 """
 _EMB_GEO = f"""
-    SELECT *, g0 + (x + 0.5) * 0.25 + (y + 0.5) * 0.0 AS gx,
-              90.0 + (x + 0.5) * 0.0 + (y + 0.5) * -0.25 AS gy
+    SELECT *, g0 + (x + 0.5::DOUBLE) * 0.25::DOUBLE + (y + 0.5::DOUBLE) * 0.0::DOUBLE AS gx,
+              90.0::DOUBLE + (x + 0.5::DOUBLE) * 0.0::DOUBLE + (y + 0.5::DOUBLE) * -0.25::DOUBLE AS gy
     FROM ({_EMB_PX})
 """
 _EMB_BOX = f"""
@@ -189,9 +189,10 @@ _META_SQL = """
 
 @register("meta_typing", ["SCH-4", "SCL-10", "SCL-11"], f"""
     SELECT p_partkey, attr_key, CAST(attr_pos AS INTEGER) AS attr_pos, attr_kind,
-           CASE WHEN attr_kind = 'string' THEN attr_text END AS string_value,
-           CASE WHEN attr_kind = 'datetime' THEN make_timestamp(CAST(attr_text AS BIGINT) * 1000) END AS datetime_value,
-           CASE WHEN attr_kind = 'integer' THEN CAST(attr_text AS INTEGER) END AS integer_value
+           CASE WHEN attr_kind = 'string' THEN attr_text
+                WHEN attr_kind = 'datetime'
+                    THEN strftime(make_timestamp(CAST(attr_text AS BIGINT) * 1000), '%Y-%m-%d %H:%M:%S.%g')
+                ELSE CAST(CAST(attr_text AS INTEGER) AS VARCHAR) END AS typed_value
     FROM (SELECT *, CASE WHEN attr_key = 'AREA_OR_POINT' THEN NULL
                          WHEN attr_key = 'country' THEN 'string'
                          WHEN contains(attr_key, '_time') THEN 'datetime'
@@ -200,6 +201,8 @@ _META_SQL = """
     WHERE attr_kind IS NOT NULL
 """)
 def meta_typing(spark, sf_dir):
+    """Metadata entries typed by key; the typed value is shown as canonical
+    text (string as is, datetime from epoch milliseconds, integer parsed)."""
     img = part_images(read_table(spark, sf_dir, "part"))
     entries = img.select("p_partkey", F.posexplode(F.map_entries("meta")).alias("attr_pos", "e"))
     k, v = F.col("e.key"), F.col("e.value")
@@ -207,10 +210,10 @@ def meta_typing(spark, sf_dir):
     return (entries.select("p_partkey", k.alias("attr_key"), "attr_pos", kind.alias("attr_kind"), v.alias("v"))
             .where(F.col("attr_kind").isNotNull())
             .select("p_partkey", "attr_key", "attr_pos", "attr_kind",
-                    F.when(F.col("attr_kind") == "string", F.col("v")).alias("string_value"),
-                    F.when(F.col("attr_kind") == "datetime",
-                           F.timestamp_millis(F.col("v").cast("bigint"))).alias("datetime_value"),
-                    F.when(F.col("attr_kind") == "integer", F.col("v").cast("int")).alias("integer_value")))
+                    F.when(F.col("attr_kind") == "string", F.col("v"))
+                    .when(F.col("attr_kind") == "datetime",
+                          F.date_format(F.timestamp_millis(F.col("v").cast("bigint")), "yyyy-MM-dd HH:mm:ss.SSS"))
+                    .otherwise(F.col("v").cast("int").cast("string")).alias("typed_value")))
 
 
 @register("schema_strings", ["SCH-2"], f"""

@@ -4,6 +4,7 @@ the same tables (the correctness oracle)."""
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 from typing import Callable
 
@@ -21,8 +22,19 @@ class RegisteredQuery:
 REGISTRY: dict[str, RegisteredQuery] = {}
 
 
+def prepare_session(spark: SparkSession) -> None:
+    """Civil times are UTC in this engine (DATETIME = UTC TIMESTAMP)."""
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def register(name: str, operators: tuple[str, ...] | list[str], oracle: str | None = None):
     def wrap(fn):
-        REGISTRY[name] = RegisteredQuery(name, fn, oracle, tuple(operators))
+        @functools.wraps(fn)
+        def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+            prepare_session(spark)
+            return fn(spark, sf_dir)
+
+        REGISTRY[name] = RegisteredQuery(name, build, oracle, tuple(operators))
         return fn
     return wrap
