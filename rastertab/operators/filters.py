@@ -34,7 +34,8 @@ def pending(selection: DataFrame, outputs: DataFrame, key: str | list[str], over
     """
     if overwrite:
         return selection
-    ready = outputs.where(F.col("length") > 0).select(*([key] if isinstance(key, str) else key)).distinct()
+    # no distinct: duplicates on the listing side do not change an anti join
+    ready = outputs.where(F.col("length") > 0).select(*([key] if isinstance(key, str) else key))
     return selection.join(ready, on=key, how="left_anti")
 
 

@@ -49,10 +49,12 @@ def spread_small_input(df: DataFrame, min_partitions: int | None = None) -> Data
     left alone: their file splits already give enough tasks and re-shuffling
     raw raster bytes would cost more than it saves.
     """
-    if estimated_bytes(df) > SMALL_INPUT_BYTES:
+    size = estimated_bytes(df)
+    if size > SMALL_INPUT_BYTES:
         return df
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism * 2
-    return df.repartition(n)
+    # at least ~64 KB of tile data (~8k pixel rows) per task, at most 2 per core
+    n = min_partitions or max(1, min(df.sparkSession.sparkContext.defaultParallelism * 2, size // (64 * 1024)))
+    return df.repartition(int(n))
 
 
 def _clip_sql(v: str, limit: float) -> str:

@@ -16,9 +16,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _with_slice(df: DataFrame, slice_cols: dict[str, Callable]) -> DataFrame:
+def _with_slice(df: DataFrame, slice_cols: dict[str, Callable | None]) -> DataFrame:
+    """Adds derived slice columns; ``None`` keeps an existing column (e.g. the
+    source's partition column, which lets the semi-join prune source files)."""
     for name, fn in slice_cols.items():
-        df = df.withColumn(name, fn(df))
+        if fn is not None:
+            df = df.withColumn(name, fn(df))
     return df
 
 
@@ -27,9 +30,13 @@ def replace_touched_slices(spark: SparkSession, batch: DataFrame, source: DataFr
     """One micro-batch: overwrite every slice present in ``batch`` with the
     whole slice from ``source``.
 
-    The touched keys stay distributed (semi-join, no collect).  Touched slices
-    are non-empty by construction, so a dynamic partition overwrite replaces
-    exactly them in one job and leaves all others untouched.
+    The touched keys stay distributed (semi-join, no collect).  When the
+    source folder is partitioned by the slice column (``slice_cols`` value
+    ``None``), dynamic partition pruning turns the semi-join into a scan of the
+    touched slices' files only; a derived slice key reads the whole source.
+    Touched slices are non-empty by construction, so a dynamic partition
+    overwrite replaces exactly them in one job and leaves all others untouched.
+    Replaying a batch after a failure rewrites the same slices (idempotent).
     """
     keys = list(slice_cols)
     touched = _with_slice(batch, slice_cols).select(*keys).distinct()

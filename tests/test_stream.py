@@ -25,3 +25,15 @@ def test_slice_split_over_two_batches_is_kept_whole(spark, tmp_dir):
     incremental_slice_load(spark, src, schema, "t_stream", {"day": day_slice("ts")}, ck)
     got = sorted((r.id, r.day) for r in spark.table("t_stream").collect())
     assert got == [(1, "2024-01-01"), (2, "2024-01-02"), (3, "2024-01-01")]
+
+
+def test_partitioned_source_slices_prune(spark, tmp_dir):
+    from pyspark.sql import functions as F
+    src = f"{tmp_dir}/src"
+    df = spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-02"), (3, "2024-01-01")], "id long, day string")
+    df.write.partitionBy("day").parquet(src)
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("day", T.StringType())])
+    create_table(spark, "t_stream_p", schema, partition_by=("day",), location=f"{tmp_dir}/tp")
+    incremental_slice_load(spark, src, schema, "t_stream_p", {"day": None}, f"{tmp_dir}/ckp")
+    got = sorted((r.id, r.day) for r in spark.table("t_stream_p").collect())
+    assert got == [(1, "2024-01-01"), (2, "2024-01-02"), (3, "2024-01-01")]
