@@ -126,38 +126,62 @@ def _check_slice(src: DataFrame, pred: Column, what: str) -> None:
         raise ValueError(f"source holds rows outside the slice being replaced ({what})")
 
 
+def table_storage(spark: SparkSession, table: str) -> tuple[str, bool]:
+    """(location, partitions tracked in the catalog) from ``DESCRIBE TABLE EXTENDED``."""
+    info = {row[0]: row[1] for row in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    if "Location" not in info:
+        raise ValueError(f"{table} has no location")
+    return info["Location"], info.get("Partition Provider") == "Catalog"
+
+
 def replace_partition(spark: SparkSession, src: DataFrame, table: str, slice_values: Mapping[str, object],
                       *, on_foreign_rows: str = "raise") -> None:
-    """Replace exactly one partition with ``src`` (static INSERT OVERWRITE).
+    """Replace exactly one partition (slice) of ``table`` with ``src``.
 
     ``on_foreign_rows``: what to do with source rows of another slice --
     ``"raise"`` (SNK-4/SNK-5: a cycle or year load must hold only its slice;
-    checked on the key columns only, before anything is deleted) or
+    checked on the key columns only, before anything is written) or
     ``"ignore"`` (SNK-6 MERGE semantics: they are filtered out).
-    An empty source clears the partition.
+
+    A non-empty slice is written with a *dynamic* partition overwrite into the
+    job's own staging folder; the old slice is swapped out only when the job
+    commits.  So a failed or killed load leaves the previous slice intact, and
+    loads of different slices of one table can run at the same time (they do
+    not share the table root's ``_temporary`` folder).  An empty source clears
+    the slice (static overwrite of that one partition, writing nothing).
     """
     schema = spark.table(table).schema
-    pred = slice_predicate(slice_values, schema)
     keys_in_src = [k for k in slice_values if k in src.columns]
     if keys_in_src:
-        sub = {k: slice_values[k] for k in keys_in_src}
-        sub_pred = slice_predicate(sub, schema)
+        sub_pred = slice_predicate({k: slice_values[k] for k in keys_in_src}, schema)
         if on_foreign_rows == "raise":
-            _check_slice(src.select(*keys_in_src), sub_pred, f"{table} {dict(sub)}")
+            _check_slice(src.select(*keys_in_src), sub_pred, f"{table} {dict(slice_values)}")
         else:
             src = src.where(sub_pred)
     cols = data_columns(spark, table)
     missing = [c for c in cols if c not in src.columns]
     if missing:
         raise ValueError(f"source lacks columns {missing} of {table}")
-    view = f"_rt_src_{uuid.uuid4().hex[:10]}"
-    src.select(*cols).createOrReplaceTempView(view)
+    part_cols = [c for c in schema.fieldNames() if c not in cols]
+    if sorted(part_cols) != sorted(slice_values):
+        raise ValueError(f"slice keys {sorted(slice_values)} differ from partition columns {part_cols}")
+    data = src.select(*cols, *[F.expr(sql_literal(slice_values[k], schema[k].dataType)).cast(schema[k].dataType)
+                               .alias(k) for k in part_cols])
     spec = ", ".join(f"`{k}` = {sql_literal(v, schema[k].dataType)}" for k, v in slice_values.items())
-    try:
-        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({spec}) SELECT * FROM {view}")
-    finally:
-        spark.catalog.dropTempView(view)
-    del pred
+    if data.isEmpty():
+        view = f"_rt_src_{uuid.uuid4().hex[:10]}"
+        data.select(*cols).createOrReplaceTempView(view)
+        try:
+            spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({spec}) SELECT * FROM {view}")
+        finally:
+            spark.catalog.dropTempView(view)
+        return
+    location, tracked = table_storage(spark, table)
+    (data.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*part_cols)
+     .format("parquet").save(location))
+    if tracked:  # register the (possibly new) slice; O(1), no directory scan
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({spec})")
+    spark.catalog.refreshTable(table)
 
 
 def replace_slice_logical(dest: DataFrame, src: DataFrame, pred: Column) -> DataFrame:

@@ -52,3 +52,28 @@ def test_timestamp_ntz_partition_replace(spark, tmp_dir):
 def test_staging_name():
     assert staging_name("gfs", "2024010106") == "gfs_2024010106"
     assert staging_name("pop", "NZL", 2020) == "pop_NZL_2020"
+
+
+def test_failed_load_keeps_previous_slice(spark, tmp_dir):
+    base = spark.createDataFrame([(1, 2019), (2, 2020)], "id int, year int")
+    truncate_load(base, "t_safe", partition_by=("year",), location=f"{tmp_dir}/safe")
+    bad = spark.createDataFrame([(5, 2020), (6, 2020)], "id int, year int").withColumn(
+        "id", F.when(F.col("id") == 6, F.raise_error(F.lit("boom"))).otherwise(F.col("id")).cast("int"))
+    with pytest.raises(Exception, match="boom"):
+        replace_partition(spark, bad, "t_safe", {"year": 2020})
+    assert _rows(spark.table("t_safe")) == [(1, 2019), (2, 2020)]
+
+
+def test_concurrent_slice_loads_into_one_table(spark, tmp_dir):
+    from concurrent.futures import ThreadPoolExecutor
+    base = spark.createDataFrame([(i, 2000 + i % 4) for i in range(40)], "id int, year int")
+    truncate_load(base, "t_conc", partition_by=("year",), location=f"{tmp_dir}/conc")
+
+    def load(y):
+        src = spark.range(100).selectExpr(f"CAST(id + {y * 1000} AS INT) AS id", f"{y} AS year")
+        replace_partition(spark, src, "t_conc", {"year": y})
+
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(load, [2000, 2001, 2002]))
+    counts = {r.year: r.n for r in spark.table("t_conc").groupBy("year").agg(F.count("*").alias("n")).collect()}
+    assert counts == {2000: 100, 2001: 100, 2002: 100, 2003: 10}
