@@ -22,8 +22,8 @@ from rastertab.operators.nest import CELL_KEY, check_group_bound, nest_forecast,
 from rastertab.operators.pixels import expand_pixels
 from rastertab.operators.reproject import SPHERE_RADIUS, reproject_nearest
 from rastertab.sinks.csv_text import csv_lines, write_csv_lines
-from rastertab.sinks.tables import (create_database, create_table, replace_partition, staging_name,
-                                    truncate_load, write_parquet)
+from rastertab.sinks.tables import (create_database, create_table, replace_partition, replace_partitions,
+                                    staging_name, truncate_load, write_parquet)
 from rastertab.sources import catalog as cat
 from rastertab.sources.schemas import conform, declared, enforce_required, read_declared
 from rastertab.sources.tiles import image_name
@@ -112,6 +112,37 @@ def load_population_slice(spark: SparkSession, source: str | DataFrame, table: s
                       on_foreign_rows="ignore")
 
 
+def load_population_countries(spark: SparkSession, source: str | DataFrame, table: str, year: int,
+                              countries, *, location: str | None = None) -> list[str]:
+    """Replace the (year, country) slice of every listed country in one job.
+
+    The files of all countries are read together (a big country is just more
+    file splits); rows of other years or unlisted countries are ignored; the
+    slices present are swapped in by one dynamic overwrite; listed countries
+    without any row get their slice cleared.  Returns the cleared countries.
+    """
+    require(table, "table")
+    wanted = [c.strip() for c in (countries.split(",") if isinstance(countries, str) else countries) if c.strip()]
+    require(wanted, "countries")
+    _check_year(year)
+    schema = declared("world_pop")
+    src = read_declared(spark, source, schema) if isinstance(source, str) else conform(source, schema)
+    src = enforce_required(src, schema).where((F.col("year") == F.lit(year)) & F.col("country").isin(wanted))
+    create_table(spark, table, _reorder(schema, ["year", "country"]), partition_by=("year", "country"),
+                 location=location)
+    replace_partitions(spark, src.sortWithinPartitions("country", "geography"), table)
+    # countries present: one row per country (bounded by the list), not the data
+    present = {r.country for r in spark.table(table).where(F.col("year") == F.lit(year))
+               .where(F.col("country").isin(wanted)).select("country").distinct().collect()}
+    written = {r.country for r in src.select("country").distinct().collect()}
+    cleared = []
+    for c in wanted:
+        if c not in written and c in present:
+            replace_partition(spark, src.limit(0), table, {"year": year, "country": c})
+            cleared.append(c)
+    return cleared
+
+
 # --------------------------------------------------------------------------- productivity year
 def reproject_to_wgs84(source_pixels: DataFrame, src_gt, src_xsize: int, src_ysize: int, target_gt,
                        target_xsize: int, target_ysize: int, value_cols, radius: float = SPHERE_RADIUS) -> DataFrame:

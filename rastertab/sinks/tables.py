@@ -184,6 +184,20 @@ def replace_partition(spark: SparkSession, src: DataFrame, table: str, slice_val
     spark.catalog.refreshTable(table)
 
 
+def replace_partitions(spark: SparkSession, src: DataFrame, table: str) -> None:
+    """Replace every partition present in ``src`` in one job (dynamic
+    overwrite through the job's staging folder); partitions absent from
+    ``src`` are untouched.  Uses the session setting for the duration of the
+    write, so run one such write per session at a time."""
+    cols = [f.name for f in spark.table(table).schema.fields]
+    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        src.select(*cols).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+
+
 def replace_slice_logical(dest: DataFrame, src: DataFrame, pred: Column) -> DataFrame:
     """JN-1 / FLT-4 / FLT-5 as a relation: ``MERGE ... ON FALSE`` with slice
     predicates = target rows outside the slice, plus source rows inside it."""

@@ -43,14 +43,8 @@ def replace_touched_slices(spark: SparkSession, batch: DataFrame, source: DataFr
     whole = _with_slice(source, slice_cols).join(touched, keys, "left_semi")
     if transform:
         whole = transform(whole)
-    from rastertab.sinks.tables import data_columns
-    cols = data_columns(spark, table) + keys
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        whole.select(*cols).write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    from rastertab.sinks.tables import replace_partitions
+    replace_partitions(spark, whole, table)
 
 
 def incremental_slice_load(spark: SparkSession, source_dir: str, schema: T.StructType, table: str,

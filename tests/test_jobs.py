@@ -84,3 +84,33 @@ def test_convert_and_select(spark, tmp_dir):
     assert [r.name for r in sel.collect()] == ["b_1"]
     with pytest.raises(ValueError):
         select_images(catalog, "gfs", date="2020-01-01 00:00:00", exclude="b_1", outputs=outputs)
+
+
+def test_end_to_end_through_parquet_files(spark, tmp_dir):
+    """Converter output files -> declared staging read -> cycle load."""
+    tiles = _forecast_tiles(spark, 1704067200000)
+    layout = forecast_layout()
+    out = f"{tmp_dir}/gfs/date=2024-01-01/00/parquet"
+    schema_text = convert_tiles(tiles, out, layout=layout)
+    assert "forecast_hours:INTEGER" in schema_text
+    assert dict(spark.read.parquet(out).dtypes)["forecast_hours"] == "int"
+    load_forecast_cycle(spark, f"{out}/*.parquet", "gfs_files", datetime(2024, 1, 1, 0), location=f"{tmp_dir}/t")
+    t = spark.table("gfs_files")
+    rows = t.select("geography", F.transform("forecast", lambda e: e["hours"]).alias("h"),
+                    F.col("forecast")[0]["downward_shortwave_radiation_flux"].alias("rad")).collect()
+    assert len(rows) == 12 and all(r.h == [0, 3, 6] and r.rad is None for r in rows)
+    assert dict(t.dtypes)["creation_time"] == "timestamp_ntz"
+
+
+def test_population_countries_in_one_job(spark, tmp_dir):
+    from rastertab.plans.jobs import load_population_countries
+    cols = "geography string, geography_polygon string, country string, year int, population double"
+    first = spark.createDataFrame([("P1", "Q1", "NZL", 2020, 1.0), ("P2", "Q2", "FRA", 2020, 2.0),
+                                   ("P3", "Q3", "USA", 2020, 3.0), ("P4", "Q4", "NZL", 2019, 4.0)], cols)
+    load_population_countries(spark, first, "pop_multi", 2020, "NZL,FRA,USA", location=f"{tmp_dir}/pm")
+    load_population_countries(spark, first, "pop_multi", 2019, ["NZL"], location=f"{tmp_dir}/pm")
+    second = spark.createDataFrame([("P5", "Q5", "NZL", 2020, 5.0), ("P6", "Q6", "DEU", 2020, 6.0)], cols)
+    cleared = load_population_countries(spark, second, "pop_multi", 2020, "NZL,FRA", location=f"{tmp_dir}/pm")
+    assert cleared == ["FRA"]
+    got = sorted((r.country, r.year, r.population) for r in spark.table("pop_multi").collect())
+    assert got == [("NZL", 2019, 4.0), ("NZL", 2020, 5.0), ("USA", 2020, 3.0)]
