@@ -50,12 +50,16 @@ def ordered_nest(df: DataFrame, keys, order_fields, payload_fields, name: str,
 
     ``sort_array`` orders structs field by field, so the order fields come first
     and the payload breaks ties deterministically; null order values sort first.
-    One hash aggregate + one exchange on ``keys``; a group holds one cell's
-    elements (bounded by the number of forecast hours, not by the data).
+    One exchange on ``keys``; a group holds one cell's elements (bounded by
+    the number of forecast hours, not by the data).  The rows are hash-
+    partitioned on the keys *before* aggregating: a map-side partial
+    ``collect_list`` shrinks nothing (it only re-encodes rows as lists), so the
+    list building runs once, after the exchange, in every reduce task (AQE
+    still coalesces small partitions).
     """
     renames = renames or {}
     fields = [F.col(c).alias(renames.get(c, c)) for c in (*order_fields, *payload_fields)]
-    return df.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*fields))).alias(name))
+    return df.repartition(*keys).groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*fields))).alias(name))
 
 
 def check_group_bound(df: DataFrame, keys, max_group: int) -> None:
