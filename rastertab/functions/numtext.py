@@ -132,15 +132,37 @@ CELL_TEXT_SCHEMA = T.StructType([T.StructField("geography", T.StringType()),
                                  T.StructField("geography_polygon", T.StringType())])
 
 
+def negative_zero_mask(cols) -> Column:
+    """Bit i set when value i is -0.0.  Grouping keys normalise -0.0 to 0.0,
+    but the text keeps the sign (``-0``), so the sign rides along as a key.
+    The sign of a zero is read from its text (Spark's math functions
+    normalise -0.0); the cast runs only for values equal to zero."""
+    mask = F.lit(0)
+    for i, c in enumerate(cols):
+        neg = F.when(c == 0.0, c.cast("string").startswith("-")).otherwise(F.lit(False))
+        mask = mask + F.when(neg, F.lit(1 << i)).otherwise(F.lit(0))
+    return mask.cast("int")
+
+
+def _restore_negative_zero(values: np.ndarray, mask: np.ndarray, bit: int) -> np.ndarray:
+    out = values.astype(np.float64, copy=True)
+    flagged = (mask & (1 << bit)) != 0
+    out[flagged] = -0.0
+    return out
+
+
 @F.pandas_udf(CELL_TEXT_SCHEMA)
 def cell_text(gx: pd.Series, gy: pd.Series, min_x: pd.Series, max_x: pd.Series, min_y: pd.Series,
-              max_y: pd.Series) -> pd.DataFrame:
+              max_y: pd.Series, negz: pd.Series) -> pd.DataFrame:
     """WKT point and box of each cell from its numeric centre and (already
     clipped and rounded) box edges -- the format-late path: one call per cell
-    after aggregation, instead of one per pixel and hour."""
-    cx, cy = c_format(gx.to_numpy()), c_format(gy.to_numpy())
-    lx, hx = c_format(min_x.to_numpy()), c_format(max_x.to_numpy())
-    ly, hy = c_format(min_y.to_numpy()), c_format(max_y.to_numpy())
+    after aggregation, instead of one per pixel and hour.  ``negz`` is the
+    :func:`negative_zero_mask` of the six values."""
+    m = negz.to_numpy().astype(np.int64)
+    vals = [_restore_negative_zero(v.to_numpy(), m, i) for i, v in enumerate((gx, gy, min_x, max_x, min_y, max_y))]
+    cx, cy = c_format(vals[0]), c_format(vals[1])
+    lx, hx = c_format(vals[2]), c_format(vals[3])
+    ly, hy = c_format(vals[4]), c_format(vals[5])
     point = [f"POINT({a} {b})" for a, b in zip(cx, cy)]
     poly = [f"POLYGON (({b} {c}, {b} {d}, {a} {d}, {a} {c}, {b} {c}))" for a, b, c, d in zip(lx, hx, ly, hy)]
     return pd.DataFrame({"geography": point, "geography_polygon": poly})

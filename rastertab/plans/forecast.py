@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rastertab.operators.attributes import PixelLayout
-from rastertab.functions.numtext import cell_text
+from rastertab.functions.numtext import cell_text, negative_zero_mask
 from rastertab.functions.timefns import hour_diff, to_datetime
 from rastertab.operators.nest import FORECAST_FIELDS, nest_forecast, ordered_nest, stage_projection
 from rastertab.operators.pixels import expand_pixels
@@ -30,13 +30,14 @@ def forecast_nested(tiles: DataFrame, layout: PixelLayout | None = None) -> Data
     return nest_forecast(stage_projection(forecast_staging(tiles, layout)))
 
 
-CELL_NUMERIC_KEY = ("gx", "gy", "min_x", "max_x", "min_y", "max_y")
+CELL_NUMERIC_KEY = ("gx", "gy", "min_x", "max_x", "min_y", "max_y", "negz")
 
 
 def forecast_nested_late(tiles: DataFrame, layout: PixelLayout | None = None) -> DataFrame:
     """Same table as :func:`forecast_nested`, formatted late.
 
-    The nest groups on the numeric cell key (centre + box edges, 48 bytes)
+    The nest groups on the numeric cell key (centre + box edges + a sign mask
+    for negative zeros, 52 bytes)
     instead of the two WKT strings, and the text is produced once per cell
     after the aggregation: the shuffle carries no text and the formatting
     work drops by the number of forecast hours per cell.  The WKT text is a
@@ -46,6 +47,7 @@ def forecast_nested_late(tiles: DataFrame, layout: PixelLayout | None = None) ->
     """
     layout = layout or forecast_layout()
     px = expand_pixels(tiles, layout, with_text=False, with_coords=True)
+    px = px.withColumn("negz", negative_zero_mask([F.col(c) for c in CELL_NUMERIC_KEY[:6]]))
     staged = px.select(
         *CELL_NUMERIC_KEY,
         to_datetime(F.col("creation_time")).alias("creation_time"),

@@ -65,3 +65,22 @@ def test_chunked_nest_splits_hot_key_in_order(spark):
     with pytest.raises(ValueError, match="exceeds"):
         check_group_bound(df, ["k"], 1000)
     check_group_bound(df.where("k <> 0"), ["k"], 1)
+
+
+def test_format_late_nest_keeps_negative_zero_and_equals_text_path(spark):
+    import numpy as np
+    from rastertab.plans.forecast import forecast_layout, forecast_nested, forecast_nested_late
+    from rastertab.sources.tiles import tiles_from_arrays
+    # origin 0 and an inexact pixel size: the west edge of column 0 rounds to -0
+    gt = (-1e-17, 0.000833333333, 0.0, 0.0004, 0.0, -0.000833333333)
+    images = []
+    for h in (0, 3):
+        meta = {"creation_time": "1704067200000", "forecast_hours": str(h),
+                "forecast_time": str(1704067200000 + h * 3600000)}
+        images.append({"image_id": f"h{h}", "data": np.ones((8, 2, 3)), "gt": gt,
+                       "band_names": list(forecast_layout().band_names), "band_type": "Float32", "meta": meta})
+    tiles = tiles_from_arrays(spark, images)
+    late = sorted((r.geography, r.geography_polygon, len(r.forecast)) for r in forecast_nested_late(tiles).collect())
+    text = sorted((r.geography, r.geography_polygon, len(r.forecast)) for r in forecast_nested(tiles).collect())
+    assert late == text and len(late) == 6
+    assert any(", -0 " in p for _, p, _ in late)
