@@ -120,12 +120,6 @@ def truncate_load(df: DataFrame, table: str, partition_by=(), cluster_by=(), loc
     w.saveAsTable(table)
 
 
-def _check_slice(src: DataFrame, pred: Column, what: str) -> None:
-    bad = src.where(~pred | pred.isNull()).limit(1).count()
-    if bad:
-        raise ValueError(f"source holds rows outside the slice being replaced ({what})")
-
-
 def table_storage(spark: SparkSession, table: str) -> tuple[str, bool]:
     """(location, partitions tracked in the catalog) from ``DESCRIBE TABLE EXTENDED``."""
     info = {row[0]: row[1] for row in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
@@ -152,10 +146,16 @@ def replace_partition(spark: SparkSession, src: DataFrame, table: str, slice_val
     """
     schema = spark.table(table).schema
     keys_in_src = [k for k in slice_values if k in src.columns]
+    empty = None
     if keys_in_src:
         sub_pred = slice_predicate({k: slice_values[k] for k in keys_in_src}, schema)
         if on_foreign_rows == "raise":
-            _check_slice(src.select(*keys_in_src), sub_pred, f"{table} {dict(slice_values)}")
+            # one pass over the key columns: foreign rows and emptiness together
+            stats = src.select(*keys_in_src).agg(
+                F.count(F.lit(1)).alias("n"), F.count(F.when(~sub_pred | sub_pred.isNull(), 1)).alias("bad")).first()
+            if stats["bad"]:
+                raise ValueError(f"source holds rows outside the slice being replaced ({table} {dict(slice_values)})")
+            empty = stats["n"] == 0
         else:
             src = src.where(sub_pred)
     cols = data_columns(spark, table)
@@ -168,7 +168,9 @@ def replace_partition(spark: SparkSession, src: DataFrame, table: str, slice_val
     data = src.select(*cols, *[F.expr(sql_literal(slice_values[k], schema[k].dataType)).cast(schema[k].dataType)
                                .alias(k) for k in part_cols])
     spec = ", ".join(f"`{k}` = {sql_literal(v, schema[k].dataType)}" for k, v in slice_values.items())
-    if data.isEmpty():
+    if empty is None:
+        empty = data.isEmpty()
+    if empty:
         view = f"_rt_src_{uuid.uuid4().hex[:10]}"
         data.select(*cols).createOrReplaceTempView(view)
         try:
