@@ -49,7 +49,13 @@ def spread_small_input(df: DataFrame, min_partitions: int | None = None) -> Data
     left alone: their file splits already give enough tasks and re-shuffling
     raw raster bytes would cost more than it saves.
     """
-    size = estimated_bytes(df)
+    plan = df._jdf.queryExecution().optimizedPlan()
+    text = plan.treeString()
+    # already redistributed, or produced by a Python map whose size the
+    # planner cannot see (e.g. decoded blocks): leave it as it is
+    if "Repartition" in text or "MapInArrow" in text or "MapInPandas" in text:
+        return df
+    size = int(str(plan.stats().sizeInBytes()))
     if size > SMALL_INPUT_BYTES:
         return df
     # at least ~64 KB of tile data (~8k pixel rows) per task, at most 2 per core
@@ -133,12 +139,17 @@ def expand_pixels(
         ]
     if with_text:
         # separable grid: column entry for x texts, row entry for y texts;
-        # otherwise one entry per pixel.  element_at is 1-based.
+        # otherwise one entry per pixel (element_at is 1-based).  Each string is
+        # looked up once into its own column, then the WKT is concatenated from
+        # column references (keeps the generated code small enough to JIT).
         xi = "CAST(CASE WHEN _ax.sep THEN _pos % xblock ELSE _pos END + 1 AS INT)"
         yi = "CAST(CASE WHEN _ax.sep THEN _pos div xblock ELSE _pos END + 1 AS INT)"
-        e = lambda n, i: f"element_at(_ax.{n}, {i})"
-        out += [F.expr(f"{point_sql(e('cx', xi), e('cy', yi))} AS geography"),
-                F.expr(f"{polygon_sql(e('lox', xi), e('hix', xi), e('loy', yi), e('hiy', yi))} AS geography_polygon")]
+        exploded = exploded.select("*", F.expr(f"{xi} AS _xi"), F.expr(f"{yi} AS _yi"))
+        exploded = exploded.select("*", *[F.expr(f"element_at(_ax.{n}, {i}) AS _t_{n}") for n, i in
+                                         (("cx", "_xi"), ("lox", "_xi"), ("hix", "_xi"),
+                                          ("cy", "_yi"), ("loy", "_yi"), ("hiy", "_yi"))])
+        out += [F.expr(f"{point_sql('_t_cx', '_t_cy')} AS geography"),
+                F.expr(f"{polygon_sql('_t_lox', '_t_hix', '_t_loy', '_t_hiy')} AS geography_polygon")]
     out += [F.col(k) for k, _ in layout.attributes]
     out += [F.expr(f"CAST(_p.b{i} AS {btype}) AS `{band_prefix}{name}`") for i, name in enumerate(layout.band_names)]
     return exploded.select(*out)

@@ -177,18 +177,51 @@ def read_raster_files(spark: SparkSession, path: str, decoder: RasterDecoder, gl
     n = max(spark.sparkContext.defaultParallelism, 1)
     blocks = blocks.repartition(n * 4, "image_id", "ix", "iy")
 
-    def read(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in it:
-            for start in range(0, len(pdf), blocks_per_partition):
-                part = pdf.iloc[start:start + blocks_per_partition]
-                bands = []
-                for r in part.itertuples():
-                    arr = decoder.read_block(r.path, int(r.ix) * block_size, int(r.iy) * block_size,
-                                             int(r.xblock), int(r.yblock))
-                    bands.append([b.ravel().tolist() for b in arr])
-                yield part.drop(columns=["path"]).assign(bands=bands)
-
-    return blocks.mapInPandas(read, TILE_SCHEMA)
+    def read(it):
+        import pyarrow as pa
+
+        for batch in it:
+            meta = batch.to_pandas()
+            for start in range(0, len(meta), blocks_per_partition):
+                part = meta.iloc[start:start + blocks_per_partition]
+                yield _blocks_to_arrow(pa, part, [
+                    decoder.read_block(r.path, int(r.ix) * block_size, int(r.iy) * block_size,
+                                       int(r.xblock), int(r.yblock))
+                    for r in part.itertuples()])
+
+    return blocks.mapInArrow(read, TILE_SCHEMA)
+
+
+def _blocks_to_arrow(pa, part: pd.DataFrame, arrays: list[np.ndarray]):
+    """Arrow batch of tile rows with ``bands`` built from the numpy buffers
+    (offsets + one flat values buffer): no Python object per pixel."""
+    flat, inner, outer = [], [0], [0]
+    for arr in arrays:
+        arr = np.asarray(arr, dtype=np.float64)
+        arr = arr.reshape(arr.shape[0] if arr.ndim == 3 else 1, -1)
+        for band in arr:
+            flat.append(band)
+            inner.append(inner[-1] + band.size)
+        outer.append(outer[-1] + arr.shape[0])
+    values = pa.array(np.concatenate(flat) if flat else np.zeros(0), type=pa.float64())
+    inner_arr = pa.ListArray.from_arrays(pa.array(inner, type=pa.int32()), values)
+    bands = pa.ListArray.from_arrays(pa.array(outer, type=pa.int32()), inner_arr)
+    cols = {
+        "image_id": pa.array(part["image_id"].tolist(), type=pa.string()),
+        "xsize": pa.array(part["xsize"].astype("int32").tolist(), type=pa.int32()),
+        "ysize": pa.array(part["ysize"].astype("int32").tolist(), type=pa.int32()),
+        "gt": pa.array([list(map(float, g)) for g in part["gt"]], type=pa.list_(pa.float64())),
+        "band_names": pa.array([list(b) for b in part["band_names"]], type=pa.list_(pa.string())),
+        "band_type": pa.array(part["band_type"].tolist(), type=pa.string()),
+        "meta": pa.array([list(m) if not isinstance(m, dict) else list(m.items()) for m in part["meta"]],
+                         type=pa.map_(pa.string(), pa.string())),
+        "ix": pa.array(part["ix"].astype("int32").tolist(), type=pa.int32()),
+        "iy": pa.array(part["iy"].astype("int32").tolist(), type=pa.int32()),
+        "xblock": pa.array(part["xblock"].astype("int32").tolist(), type=pa.int32()),
+        "yblock": pa.array(part["yblock"].astype("int32").tolist(), type=pa.int32()),
+        "bands": bands,
+    }
+    return pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
 
 
 # --------------------------------------------------------------------------- names
