@@ -1,10 +1,10 @@
 """Tile -> pixel rows (RAS-3 .. RAS-9), the core transform.
 
 Plan shape: tile scan -> (tile-level pandas UDF producing the text of each
-grid line) -> per-tile array assembly -> ``posexplode(arrays_zip(...))`` ->
-native arithmetic / ``concat``.  No shuffle; Python sees O(xblock + yblock)
-numbers per block instead of O(xblock * yblock); whole tile arrays are never
-carried into the exploded rows.
+grid line) -> ``posexplode(arrays_zip(bands))`` -> native arithmetic, text
+lookups by index and ``concat``, fused in one whole-stage-codegen stage.  No
+shuffle; Python sees O(xblock + yblock) numbers per block instead of
+O(xblock * yblock); no per-pixel arrays are built.
 """
 
 from __future__ import annotations
@@ -18,28 +18,9 @@ from rastertab.operators.attributes import PixelLayout, band_spark_type, infer_l
 from rastertab.sources.tiles import BLOCK_SIZE
 
 
-def clip_nan_aware(v: Column, limit: float) -> Column:
-    """numpy ``clip``: NaN stays NaN (Spark's least/greatest would pick a bound)."""
-    return F.when(F.isnan(v), v).otherwise(F.greatest(F.least(v, F.lit(limit)), F.lit(-limit)))
-
-
-def round_half_even(v: Column, decimals: int = BOX_DECIMALS) -> Column:
-    """numpy ``round``: ``rint(v * 10^d) / 10^d``."""
-    scale = float(10 ** decimals)
-    return F.rint(v * F.lit(scale)) / F.lit(scale)
-
-
 SMALL_INPUT_BYTES = 256 * 1024 * 1024
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Optimizer size estimate of a plan (file sizes for scans; no job runs)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # pragma: no cover - estimate unavailable
-        return SMALL_INPUT_BYTES + 1
-
-
 def spread_small_input(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Fan-out operators (one tile -> up to 65,536 rows) need tasks, not bytes.
 
@@ -64,10 +45,12 @@ def spread_small_input(df: DataFrame, min_partitions: int | None = None) -> Data
 
 
 def _clip_sql(v: str, limit: float) -> str:
+    """numpy ``clip``: NaN stays NaN (Spark's least/greatest would pick a bound)."""
     return f"(CASE WHEN isnan({v}) THEN {v} ELSE greatest(least({v}, {limit!r}D), {-limit!r}D) END)"
 
 
 def _round_sql(v: str, decimals: int = BOX_DECIMALS) -> str:
+    """numpy ``round``: ``rint(v * 10^d) / 10^d`` (half-even on the exact product)."""
     scale = float(10 ** decimals)
     return f"(rint({v} * {scale!r}D) / {scale!r}D)"
 

@@ -4,6 +4,8 @@
 * :func:`convert_tiles`        -- raster tiles -> pixel Parquet / CSV, or schema text only (SNK-1/2, SCH-2)
 * :func:`load_forecast_cycle`  -- staging load + ordered nest + cycle replace (3.1)
 * :func:`load_population_slice`-- (country, year) slice replace (3.2)
+* :func:`load_population_countries` -- every listed country of a year in one job
+* :func:`reproject_to_wgs84`   -- sinusoidal pixels -> WGS84 pixels with WKT (RAS-10)
 * :func:`load_productivity_year` -- reprojected year into its partition (3.3)
 """
 

@@ -1,11 +1,15 @@
 """Table writers (SNK-2 .. SNK-14, FLT-4, FLT-5, JN-1).
 
 Replace units are partitions: a forecast cycle, a (year, country) slice, a
-year.  Every replace is a *static* ``INSERT OVERWRITE ... PARTITION (k=v)``:
-it rewrites exactly that partition, clears it when the source is empty, and
-leaves every other partition untouched (dynamic overwrite would not clear an
-empty slice, and ``partitionOverwriteMode`` as a writer option is ignored by
-``insertInto`` / ``saveAsTable``).
+year.  A replace touches exactly one partition and leaves every other one
+untouched:
+
+* non-empty source: dynamic partition overwrite *by path* (the writer option
+  is honoured there; ``insertInto`` / ``saveAsTable`` ignore it), staged in
+  the job's own folder and swapped in at commit -- crash-safe and safe for
+  concurrent loads of different slices;
+* empty source: static ``INSERT OVERWRITE ... PARTITION (k=v)``, which clears
+  the slice (a dynamic overwrite would leave it).
 """
 
 from __future__ import annotations
