@@ -114,3 +114,18 @@ def test_population_countries_in_one_job(spark, tmp_dir):
     assert cleared == ["FRA"]
     got = sorted((r.country, r.year, r.population) for r in spark.table("pop_multi").collect())
     assert got == [("NZL", 2019, 4.0), ("NZL", 2020, 5.0), ("USA", 2020, 3.0)]
+
+
+def test_csv_line_with_string_datetime_and_float_bands(spark):
+    from rastertab.operators.attributes import PixelLayout
+    from rastertab.sinks.csv_text import csv_lines
+    tiles = tiles_from_arrays(spark, [{"image_id": "x", "data": np.array([[[0.1234567, -2.5]]]),
+                                       "gt": (10.0, 0.5, 0.0, 0.0, 0.0, -0.5), "band_names": ["t"],
+                                       "band_type": "Float32",
+                                       "meta": {"country": "NZL", "creation_time": "1600000000999"}}])
+    layout = PixelLayout(("t",), "Float32", (("country", "string"), ("creation_time", "datetime")))
+    lines = sorted(r.line for r in csv_lines(tiles, layout).collect())
+    assert lines == [
+        '"POINT(10.25 -0.25)","POLYGON ((10.5 -0.5, 10.5 0, 10 0, 10 -0.5, 10.5 -0.5))",NZL,2020-09-13T12:26:40,0.123457',
+        '"POINT(10.75 -0.25)","POLYGON ((11 -0.5, 11 0, 10.5 0, 10.5 -0.5, 11 -0.5))",NZL,2020-09-13T12:26:40,-2.5',
+    ]
