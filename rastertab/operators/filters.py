@@ -51,3 +51,23 @@ def require_input(spark, path: str) -> None:
     from rastertab.sources.catalog import object_ready
     if not object_ready(spark, path):
         raise FileNotFoundError(f"{path} does not exist or is empty")
+
+
+def plan_exports(selection: DataFrame, rasters: DataFrame, outputs: DataFrame, key: str = "name",
+                 overwrite: bool = False) -> DataFrame:
+    """FLT-3 with both checks: per selected image, ``needs_download`` (no
+    non-empty raster yet) and ``needs_convert`` (no non-empty output yet);
+    ``overwrite`` forces both.  Images needing neither are dropped.  The two
+    listings are joined on the image name (left outer; sides are listings, one
+    row per object, so the planner may broadcast them when small)."""
+    def present(listing: DataFrame, flag: str) -> DataFrame:
+        return (listing.where(F.col("length") > 0).select(key).dropDuplicates([key])
+                .withColumn(flag, F.lit(True)))
+
+    out = (selection.join(present(rasters, "_has_raster"), key, "left")
+           .join(present(outputs, "_has_output"), key, "left"))
+    force = F.lit(bool(overwrite))
+    out = (out.withColumn("needs_download", force | F.col("_has_raster").isNull())
+           .withColumn("needs_convert", force | F.col("_has_output").isNull())
+           .drop("_has_raster", "_has_output"))
+    return out.where(F.col("needs_download") | F.col("needs_convert"))

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from rastertab.functions.text import basename, extension, first_field, strip_extension
 from rastertab.functions.timefns import cycle_time_col, epoch_millis_to_text, hour_diff, to_datetime
-from rastertab.operators.filters import include_exclude, pending
+from rastertab.operators.filters import include_exclude, pending, plan_exports
 from rastertab.operators.nest import ordered_nest, scale_values, unnest
 from rastertab.plans.registry import register
 from rastertab.sources import catalog as cat
@@ -88,6 +88,25 @@ def pending_outputs(spark, sf_dir):
     return pending(docs, listing, "doc_id")
 
 
+@register("export_plan", ["FLT-3", "JN-2", "SRC-6"], """
+    SELECT 'doc_' || CAST(d.doc_id AS VARCHAR) AS name,
+           r.doc_id IS NULL AS needs_download, o.doc_id IS NULL AS needs_convert
+    FROM documents d
+    LEFT JOIN (SELECT DISTINCT doc_id FROM labels WHERE quality > 0) r ON r.doc_id = d.doc_id
+    LEFT JOIN (SELECT DISTINCT doc_id FROM labels WHERE toxic > 0) o ON o.doc_id = d.doc_id
+    WHERE r.doc_id IS NULL OR o.doc_id IS NULL
+""")
+def export_plan(spark, sf_dir):
+    """Two independent skip checks per document: a raster listing (size =
+    quality flag) and an output listing (size = toxic flag)."""
+    name = F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("name")
+    docs = read_table(spark, sf_dir, "documents").select(name)
+    labels = read_table(spark, sf_dir, "labels")
+    rasters = labels.select(name, F.col("quality").cast("long").alias("length"))
+    outputs = labels.select(name, F.col("toxic").cast("long").alias("length"))
+    return plan_exports(docs, rasters, outputs)
+
+
 @register("path_slices", ["SRC-9", "SCL-14", "SNK-10"], """
     SELECT event_id,
            'out/gfs/date=' || strftime(ts - INTERVAL 4 HOUR, '%Y-%m-%d') || '/' || strftime(ts - INTERVAL 4 HOUR, '%H')

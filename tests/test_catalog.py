@@ -67,3 +67,13 @@ def test_readiness_and_paths(spark, tmp_dir):
     c, y = cat.population_slice_from_path(F.col("q"))
     r = df.select(d.cast("string").alias("d"), h.alias("h"), c.alias("c"), y.alias("y")).first()
     assert (r.d, r.h, r.c, r.y) == ("2024-01-02", 18, "NZL", 2020)
+
+
+def test_plan_exports_two_independent_checks(spark):
+    from rastertab.operators.filters import plan_exports
+    sel = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "name string")
+    tifs = spark.createDataFrame([("a", 5), ("b", 5), ("c", 0)], "name string, length bigint")
+    pqs = spark.createDataFrame([("a", 7), ("c", 7)], "name string, length bigint")
+    got = sorted((r.name, r.needs_download, r.needs_convert) for r in plan_exports(sel, tifs, pqs).collect())
+    assert got == [("b", False, True), ("c", True, False), ("d", True, True)]
+    assert plan_exports(sel, tifs, pqs, overwrite=True).count() == 4
