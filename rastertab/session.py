@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -62,11 +61,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/rastertab/{name}-{uuid.uuid4().hex[:12]}"
 
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for python-side filesystem calls in tests."""
-    return path[5:] if path.startswith("file:") else path
-
-
-def is_local_fs(path: str) -> bool:
-    return path.startswith("file:") or path.startswith("/") or "://" not in path and os.path.isabs(path)

@@ -55,6 +55,21 @@ def image_blocks(images: DataFrame, block_size: int = BLOCK_SIZE) -> DataFrame:
     )
 
 
+# --------------------------------------------------------------------------- tile tables on storage
+def write_tiles(tiles: DataFrame, path: str, partition_by=("image_id",), mode: str = "overwrite") -> None:
+    """Persist a tile table as Parquet (one folder per image by default, so a
+    later read of some images prunes the rest)."""
+    w = tiles.select(*[f.split()[0] for f in TILE_SCHEMA.split(", ")]).write.mode(mode)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+
+
+def read_tiles(spark: SparkSession, path: str) -> DataFrame:
+    """Read a tile table with the declared tile schema (no inference)."""
+    return spark.read.schema(TILE_SCHEMA).parquet(path)
+
+
 # --------------------------------------------------------------------------- in-memory fixtures
 def split_image(image_id: str, data: np.ndarray, gt, band_names, band_type: str, meta: dict,
                 block_size: int = BLOCK_SIZE) -> list[dict]:

@@ -22,3 +22,15 @@ def test_file_decoder_equals_in_memory(spark, tmp_dir):
                                      "band_type": "Float32", "meta": {"year": "2001"}}])
     want = sorted(tuple(r) for r in expand_pixels(mem, layout).collect())
     assert len(got) == 300 * 270 and got == want
+
+
+def test_tile_table_round_trip(spark, tmp_dir):
+    from rastertab.sources.tiles import read_tiles, write_tiles
+    tiles = tiles_from_arrays(spark, [{"image_id": f"i{k}", "data": np.full((2, 3, 300), float(k)),
+                                       "gt": [0.0, 1.0, 0.0, 0.0, 0.0, -1.0], "band_names": ["a", "b"]}
+                                      for k in range(3)])
+    write_tiles(tiles, f"{tmp_dir}/tiles")
+    back = read_tiles(spark, f"{tmp_dir}/tiles")
+    assert sorted(map(str, back.collect())) == sorted(map(str, tiles.select(*back.columns).collect()))
+    assert "PartitionFilters: [isnotnull(image_id" in back.where("image_id = 'i1'")._jdf.queryExecution() \
+        .executedPlan().toString()
