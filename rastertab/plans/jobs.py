@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from rastertab.functions.timefns import cycle_suffix
 from rastertab.operators.attributes import PixelLayout, infer_layout
+from rastertab.functions.wkt import point_lat_lon
 from rastertab.operators.filters import include_exclude, pending, require
 from rastertab.operators.grid_text import with_grid_text
 from rastertab.operators.nest import CELL_KEY, check_group_bound, nest_forecast, stage_projection
@@ -89,9 +90,7 @@ def load_forecast_cycle(spark: SparkSession, source: str | DataFrame, table: str
     staged = spark.table(stg_name).drop("creation_date")
     check_group_bound(staged, CELL_KEY, MAX_HOURS_PER_CELL)
     nested = nest_forecast(stage_projection(staged))
-    lat = F.regexp_extract("geography", r"^POINT\(\S+ (\S+)\)$", 1).cast("double")
-    lon = F.regexp_extract("geography", r"^POINT\((\S+) ", 1).cast("double")
-    nested = nested.sortWithinPartitions(lat, lon)
+    nested = nested.sortWithinPartitions(*point_lat_lon(F.col("geography")))
     replace_partition(spark, nested, table, {"creation_time": cycle.strftime("%Y-%m-%d %H:%M:%S")})
 
 
@@ -110,8 +109,8 @@ def load_population_slice(spark: SparkSession, source: str | DataFrame, table: s
     data_schema = declared("world_pop")
     create_table(spark, table, _reorder(data_schema, ["year", "country"]), partition_by=("year", "country"),
                  location=location)
-    replace_partition(spark, src.sortWithinPartitions("geography"), table, {"year": year, "country": country},
-                      on_foreign_rows="ignore")
+    replace_partition(spark, src.sortWithinPartitions(*point_lat_lon(F.col("geography"))), table,
+                      {"year": year, "country": country}, on_foreign_rows="ignore")
 
 
 def load_population_countries(spark: SparkSession, source: str | DataFrame, table: str, year: int,
@@ -132,7 +131,7 @@ def load_population_countries(spark: SparkSession, source: str | DataFrame, tabl
     src = enforce_required(src, schema).where((F.col("year") == F.lit(year)) & F.col("country").isin(wanted))
     create_table(spark, table, _reorder(schema, ["year", "country"]), partition_by=("year", "country"),
                  location=location)
-    replace_partitions(spark, src.sortWithinPartitions("country", "geography"), table)
+    replace_partitions(spark, src.sortWithinPartitions("country", *point_lat_lon(F.col("geography"))), table)
     # countries present: one row per country (bounded by the list), not the data
     present = {r.country for r in spark.table(table).where(F.col("year") == F.lit(year))
                .where(F.col("country").isin(wanted)).select("country").distinct().collect()}
@@ -163,7 +162,7 @@ def load_productivity_year(spark: SparkSession, source: str | DataFrame, table:
     src = read_declared(spark, source, schema) if isinstance(source, str) else conform(source, schema)
     src = enforce_required(src, schema)
     create_table(spark, table, _reorder(schema, ["year"]), partition_by=("year",), location=location)
-    replace_partition(spark, src.sortWithinPartitions("geography"), table, {"year": year})
+    replace_partition(spark, src.sortWithinPartitions(*point_lat_lon(F.col("geography"))), table, {"year": year})
 
 
 def _check_year(year: int) -> None:

@@ -103,11 +103,18 @@ def data_columns(spark: SparkSession, table: str) -> list[str]:
 
 # --------------------------------------------------------------------------- layout
 def clustered(df: DataFrame, partition_by=(), cluster_by=(), num_partitions: int | None = None) -> DataFrame:
-    """SNK-9d: range-partition on (partition keys, cluster keys) and sort within
-    tasks, so each task writes few, min/max-tight files per partition."""
+    """SNK-9d: lay rows out for min/max data skipping.
+
+    With a cluster key: range-partition on (partition keys, cluster keys) and
+    sort within tasks -- the sampled bounds split a large partition value
+    (one cycle, one big country) over many tasks by the cluster key, and each
+    task writes few, tight files.  Without one, never range-partition on the
+    partition keys alone (a single cycle would land in one task): only sort
+    within the existing tasks, no shuffle.
+    """
+    if not cluster_by:
+        return df.sortWithinPartitions(*partition_by) if partition_by else df
     keys = [*partition_by, *cluster_by]
-    if not keys:
-        return df
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
 

@@ -44,3 +44,10 @@ def test_catalog_predicate_and_projection_reach_scan(spark, tmp_dir):
     plan = _plan(select_country_year(spark.read.parquet(f"{tmp_dir}/c"), "NZL", 2020).select("image_id"))
     assert "EqualTo(country,NZL)" in plan and "EqualTo(year,2020)" in plan
     assert "ReadSchema: struct<image_id:string,country:string,year:int>" in plan
+
+
+def test_clustering_never_range_partitions_on_partition_keys_alone(spark):
+    from rastertab.sinks.tables import clustered
+    df = spark.range(1000).selectExpr("id", "'2024-01-01' AS day")
+    assert "Exchange" not in _plan(clustered(df, ("day",)))
+    assert "rangepartitioning(day" in _plan(clustered(df, ("day",), ("id",), num_partitions=4))
