@@ -50,4 +50,4 @@ def test_clustering_never_range_partitions_on_partition_keys_alone(spark):
     from rastertab.sinks.tables import clustered
     df = spark.range(1000).selectExpr("id", "'2024-01-01' AS day")
     assert "Exchange" not in _plan(clustered(df, ("day",)))
-    assert "rangepartitioning(day" in _plan(clustered(df, ("day",), ("id",), num_partitions=4))
+    assert "Exchange rangepartitioning(" in _plan(clustered(df, ("day",), ("id",), num_partitions=4))
