@@ -165,12 +165,15 @@ def _strip_scheme(path: str) -> str:
 
 
 def read_raster_files(spark: SparkSession, path: str, decoder: RasterDecoder, glob: str | None = None,
-                      block_size: int = BLOCK_SIZE, blocks_per_partition: int = 64) -> DataFrame:
+                      block_size: int = BLOCK_SIZE, blocks_per_partition: int = 64,
+                      bytes_per_task: int = 64 * 1024 * 1024) -> DataFrame:
     """SRC-2: tile table from raster files.
 
     1. list files (``binaryFile`` without its content column: no bytes read);
     2. read only the headers, one task per file batch;
-    3. expand to blocks (RAS-1) and spread blocks over tasks;
+    3. expand to blocks (RAS-1) and spread blocks over tasks -- as many tasks
+       as the files' total size needs at ``bytes_per_task`` (one small
+       aggregate over the listing), at least two per core;
     4. each task reads only its blocks' windows.
     """
     reader = spark.read.format("binaryFile")
@@ -189,8 +192,9 @@ def read_raster_files(spark: SparkSession, path: str, decoder: RasterDecoder, gl
 
     images = files.mapInPandas(headers, IMAGE_SCHEMA)
     blocks = image_blocks(images, block_size)
-    n = max(spark.sparkContext.defaultParallelism, 1)
-    blocks = blocks.repartition(n * 4, "image_id", "ix", "iy")
+    total = files.agg(F.sum("length")).first()[0] or 0
+    n = max(spark.sparkContext.defaultParallelism * 2, -(-int(total) // bytes_per_task))
+    blocks = blocks.repartition(int(n), "image_id", "ix", "iy")
 
     def read(it):
         import pyarrow as pa
