@@ -171,9 +171,10 @@ def read_raster_files(spark: SparkSession, path: str, decoder: RasterDecoder, gl
 
     1. list files (``binaryFile`` without its content column: no bytes read);
     2. read only the headers, one task per file batch;
-    3. expand to blocks (RAS-1) and spread blocks over tasks -- as many tasks
-       as the files' total size needs at ``bytes_per_task`` (one small
-       aggregate over the listing), at least two per core;
+    3. expand to blocks (RAS-1) and range-partition them in image / row-major
+       order -- as many tasks as the files' total size needs at
+       ``bytes_per_task`` (one small aggregate over the listing), at least two
+       per core;
     4. each task reads only its blocks' windows.
     """
     reader = spark.read.format("binaryFile")
@@ -194,7 +195,9 @@ def read_raster_files(spark: SparkSession, path: str, decoder: RasterDecoder, gl
     blocks = image_blocks(images, block_size)
     total = files.agg(F.sum("length")).first()[0] or 0
     n = max(spark.sparkContext.defaultParallelism * 2, -(-int(total) // bytes_per_task))
-    blocks = blocks.repartition(int(n), "image_id", "ix", "iy")
+    # range, not hash: a task gets a contiguous run of one image's blocks in
+    # row-major order, so it opens few files and reads neighbouring windows
+    blocks = blocks.repartitionByRange(int(n), "image_id", "iy", "ix")
 
     def read(it):
         import pyarrow as pa
