@@ -7,6 +7,7 @@
 * :func:`load_population_countries` -- every listed country of a year in one job
 * :func:`reproject_to_wgs84`   -- sinusoidal pixels -> WGS84 pixels with WKT (RAS-10)
 * :func:`load_productivity_year` -- reprojected year into its partition (3.3)
+* :func:`load_productivity_from_tiles` -- the whole 3.3 flow from sinusoidal tiles
 """
 
 from __future__ import annotations
@@ -165,6 +166,25 @@ def load_productivity_year(spark: SparkSession, source: str | DataFrame, table:
     replace_partition(spark, src.sortWithinPartitions(*point_lat_lon(F.col("geography"))), table, {"year": year})
 
 
+def load_productivity_from_tiles(spark: SparkSession, tiles: DataFrame, table: str, year: int, src_gt,
+                                 src_xsize: int, src_ysize: int, target_gt, target_xsize: int, target_ysize: int,
+                                 *, band_names=("Npp", "Npp_QC"), band_type: str = "Int16",
+                                 location: str | None = None) -> None:
+    """Annual productivity, end to end (3.3): sinusoidal tiles of one year ->
+    year from the image name (RAS-11) -> nearest-pixel reprojection to the
+    WGS84 grid (RAS-10) -> WKT text -> replace partition ``year`` (SNK-4).
+
+    Band names are matched case-insensitively to the declared columns
+    (``Npp`` -> ``npp``).  Tiles of another year fail the load.
+    """
+    from rastertab.sources.tiles import with_year_from_name
+    layout = PixelLayout(tuple(band_names), band_type, (("year", "integer"),))
+    px = expand_pixels(with_year_from_name(tiles), layout, with_text=False, with_coords=True)
+    values = [b for b in band_names] + ["year"]
+    out = reproject_to_wgs84(px, src_gt, src_xsize, src_ysize, target_gt, target_xsize, target_ysize, values)
+    load_productivity_year(spark, out, table, year, location=location)
+
+
 def _check_year(year: int) -> None:
     if not (YEAR_RANGE[0] <= int(year) < YEAR_RANGE[1]):
         raise ValueError(f"year {year} outside the partition range {YEAR_RANGE}")

@@ -129,3 +129,20 @@ def test_csv_line_with_string_datetime_and_float_bands(spark):
         '"POINT(10.25 -0.25)","POLYGON ((10.5 -0.5, 10.5 0, 10 0, 10 -0.5, 10.5 -0.5))",NZL,2020-09-13T12:26:40,0.123457',
         '"POINT(10.75 -0.25)","POLYGON ((11 -0.5, 11 0, 10.5 0, 10.5 -0.5, 11 -0.5))",NZL,2020-09-13T12:26:40,-2.5',
     ]
+
+
+def test_productivity_from_sinusoidal_tiles(spark, tmp_dir):
+    from rastertab.plans.jobs import load_productivity_from_tiles
+    s = 50000.0
+    data = np.stack([np.arange(200.0).reshape(10, 20), np.full((10, 20), 7.0)])
+    tiles = tiles_from_arrays(spark, [{"image_id": "MOD/2003_01_01", "data": data, "gt": (0.0, s, 0.0, 0.0, 0.0, -s),
+                                       "band_names": ["Npp", "Npp_QC"], "band_type": "Int16", "meta": {}}])
+    load_productivity_from_tiles(spark, tiles, "npp_tiles", 2003, (0.0, s, 0.0, 0.0, 0.0, -s), 20, 10,
+                                 (0.0, 0.5, 0.0, 0.0, 0.0, -0.5), 18, 9, location=f"{tmp_dir}/npp")
+    t = spark.table("npp_tiles")
+    assert t.count() > 0 and {r.year for r in t.select("year").distinct().collect()} == {2003}
+    r = t.where("geography = 'POINT(0.25 -0.25)'").first()
+    assert r.npp == 0 and r.npp_qc == 7
+    with pytest.raises(ValueError):
+        load_productivity_from_tiles(spark, tiles, "npp_tiles", 2004, (0.0, s, 0.0, 0.0, 0.0, -s), 20, 10,
+                                     (0.0, 0.5, 0.0, 0.0, 0.0, -0.5), 18, 9, location=f"{tmp_dir}/npp")
