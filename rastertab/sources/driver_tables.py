@@ -21,8 +21,19 @@ CYCLE_ORIGIN = "2024-01-01 00:00:00"
 FORECAST_GT = (10.0, 0.25, 0.0, 50.0, 0.0, -0.25)
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Scan of one driver table.  The DataFrame (an immutable plan) is reused
+    within a session, so the footer-based schema inference runs once per
+    table instead of once per query; Spark re-lists the files at execution."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark._jsparkSession), path)
+    df = _TABLES.get(key)
+    if df is None:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
 
 
 def _checked_embedding(n: int = EMBEDDING_SIDE * EMBEDDING_SIDE):
