@@ -6,6 +6,7 @@ import math
 import uuid
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rastertab.operators.attributes import PixelLayout
 from rastertab.operators.nest import deaccumulate, forecast_time_consistent, unnest
@@ -131,7 +132,7 @@ def stream_slices(spark, sf_dir):
     events = read_table(spark, sf_dir, "events")
     name = f"rt_stream_{uuid.uuid4().hex[:10]}"
     schema = events.schema
-    table_schema = schema.add("day", "string")
+    table_schema = T.StructType([*schema.fields, T.StructField("day", T.StringType())])  # new object: no mutation
     create_table(spark, name, table_schema, partition_by=("day",), location=scratch_path(spark, "stream"))
     incremental_slice_load(spark, sf_dir, schema, name, {"day": day_slice("ts")},
                            checkpoint=scratch_path(spark, "stream-ckpt"), glob="events.parquet")

@@ -50,3 +50,11 @@ def test_query_matches_oracle(spark, duck, name):
 def test_entry_runs(spark):
     df = entry.entry(spark)
     assert df.count() > 0
+
+
+def test_queries_are_repeatable_in_one_session(spark):
+    """Building and running every query again in the same session gives the
+    same row count (no state leaks between calls: cached scans, tables, streams)."""
+    for name, fn in sorted(entry.queries().items()):
+        first = fn(spark, SF_SMALL).count()
+        assert fn(spark, SF_SMALL).count() == first, name
