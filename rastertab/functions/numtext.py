@@ -5,7 +5,8 @@ formatter rounds its shortest decimal text instead and differs on ties, and it
 keeps trailing zeros.  So the text is produced in Python -- but only for the
 distinct grid lines of a tile (``xblock + yblock`` values per axis quantity for
 a north-up grid), never once per pixel.  Pixel rows get their text by position
-on the JVM side (see ``operators.pixels``).
+on the JVM side (see ``operators.pixels``).  The format-late nest formats once
+per cell after its aggregation (:func:`cell_text`).
 """
 
 from __future__ import annotations
