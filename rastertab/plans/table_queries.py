@@ -108,3 +108,16 @@ def slice_replace_empty(spark, sf_dir):
                              & (F.col("c_acctbal") > F.lit(1e300)))
     replace_partition(spark, empty_slice, name, {"c_nationkey": SLICE_NATION, "c_mktsegment": SLICE_SEGMENT})
     return spark.table(name).select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+
+
+@register("slice_read", ["FLT-4", "FLT-5", "SNK-9c"], f"""
+    SELECT o_orderkey, o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders
+    WHERE year(o_orderdate) = {SLICE_YEAR}
+""")
+def slice_read(spark, sf_dir):
+    """Reading one slice of a year-partitioned table prunes to its folder
+    (``PartitionFilters``); only the selected columns are read."""
+    name, loc = _table(spark, "years")
+    yearly = read_table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
+    truncate_load(yearly, name, partition_by=("year",), location=loc)
+    return spark.table(name).where(F.col("year") == SLICE_YEAR).select("o_orderkey", "o_totalprice", "year")

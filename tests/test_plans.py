@@ -51,3 +51,12 @@ def test_clustering_never_range_partitions_on_partition_keys_alone(spark):
     df = spark.range(1000).selectExpr("id", "'2024-01-01' AS day")
     assert "Exchange" not in _plan(clustered(df, ("day",)))
     assert "Exchange rangepartitioning(" in _plan(clustered(df, ("day",), ("id",), num_partitions=4))
+
+
+def test_slice_read_prunes_partitions(spark):
+    import __spark_entry__ as entry
+    from conftest import SF_SMALL
+    df = entry.queries()["slice_read"](spark, SF_SMALL)
+    plan = _plan(df)
+    assert "PartitionFilters: [isnotnull(year" in plan and "(year#" in plan
+    assert "ReadSchema: struct<o_orderkey:bigint,o_totalprice:double>" in plan
