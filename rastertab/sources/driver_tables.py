@@ -21,7 +21,17 @@ CYCLE_ORIGIN = "2024-01-01 00:00:00"
 FORECAST_GT = (10.0, 0.25, 0.0, 50.0, 0.0, -0.25)
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
+_TABLES: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _session_key(spark: SparkSession) -> tuple[str, str]:
+    """Identity of a live session (application + JVM session UUID); unlike a
+    Python ``id``, never reused by a later session."""
+    try:
+        uid = str(spark._jsparkSession.sessionUUID())
+    except Exception:  # pragma: no cover - older JVM side
+        uid = str(spark._jsparkSession.hashCode())
+    return spark.sparkContext.applicationId, uid
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,7 +39,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     within a session, so the footer-based schema inference runs once per
     table instead of once per query; Spark re-lists the files at execution."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
+    key = (*_session_key(spark), path)
     df = _TABLES.get(key)
     if df is None:
         df = _TABLES[key] = spark.read.parquet(path)
