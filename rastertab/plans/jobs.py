@@ -85,7 +85,7 @@ def load_forecast_cycle(spark: SparkSession, source: str | DataFrame, table: str
     raw = read_declared(spark, source, schema) if isinstance(source, str) else conform(source, schema)
     # staging is day-partitioned on creation_time like its warehouse counterpart
     staging = enforce_required(raw, schema).withColumn("creation_date", F.to_date("creation_time"))
-    truncate_load(staging, stg_name, partition_by=("creation_date",), location=staging_location)
+    truncate_load(staging, stg_name, partition_by=("creation_date",), location=staging_location, layout=False)
     create_table(spark, table, declared("gfs_group"), partition_by=("creation_time",), location=location,
                  comment="forecast: one row per cycle and cell")
     staged = spark.table(stg_name).drop("creation_date")

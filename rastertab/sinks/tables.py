@@ -105,25 +105,31 @@ def data_columns(spark: SparkSession, table: str) -> list[str]:
 def clustered(df: DataFrame, partition_by=(), cluster_by=(), num_partitions: int | None = None) -> DataFrame:
     """SNK-9d: lay rows out for min/max data skipping.
 
-    With a cluster key: range-partition on (partition keys, cluster keys) and
-    sort within tasks -- the sampled bounds split a large partition value
-    (one cycle, one big country) over many tasks by the cluster key, and each
-    task writes few, tight files.  Without one, never range-partition on the
-    partition keys alone (a single cycle would land in one task): only sort
-    within the existing tasks, no shuffle.
+    Range-partition on (partition keys, cluster keys) and sort within tasks:
+    the sampled bounds split a large partition value (one cycle, one big
+    country) over many tasks by the cluster key, small partition values share
+    a task, and each task writes few, tight files.  Without a cluster key a
+    deterministic row hash takes its place -- never the partition keys alone,
+    which would put a whole cycle into one task.
     """
-    if not cluster_by:
-        return df.sortWithinPartitions(*partition_by) if partition_by else df
-    keys = [*partition_by, *cluster_by]
+    if not partition_by and not cluster_by:
+        return df
+    second = [F.col(c) for c in cluster_by] or [F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("_h")]
+    keys = [*[F.col(c) for c in partition_by], *second]
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    out = df.repartitionByRange(n, *keys)
+    return out.sortWithinPartitions(*partition_by, *cluster_by) if (partition_by or cluster_by) else out
 
 
 # --------------------------------------------------------------------------- writes
 def truncate_load(df: DataFrame, table: str, partition_by=(), cluster_by=(), location: str | None = None,
-                  num_partitions: int | None = None) -> None:
-    """SNK-3: replace the whole table (create if needed)."""
-    w = clustered(df, partition_by, cluster_by, num_partitions).write.mode("overwrite").format("parquet")
+                  num_partitions: int | None = None, layout: bool = True) -> None:
+    """SNK-3: replace the whole table (create if needed).
+
+    ``layout=False`` skips the clustering shuffle -- for staging tables that
+    are read once by a job that reshuffles anyway."""
+    laid = clustered(df, partition_by, cluster_by, num_partitions) if layout else df
+    w = laid.write.mode("overwrite").format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)
     if location:

@@ -47,9 +47,13 @@ def test_catalog_predicate_and_projection_reach_scan(spark, tmp_dir):
 
 
 def test_clustering_never_range_partitions_on_partition_keys_alone(spark):
+    from pyspark.sql import functions as F
     from rastertab.sinks.tables import clustered
-    df = spark.range(1000).selectExpr("id", "'2024-01-01' AS day")
-    assert "Exchange" not in _plan(clustered(df, ("day",)))
+    df = spark.range(4000).selectExpr("id", "'2024-01-01' AS day")
+    plan = _plan(clustered(df, ("day",), num_partitions=4))
+    assert "rangepartitioning(" in plan and "xxhash64" in plan
+    sizes = clustered(df, ("day",), num_partitions=4).groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == 4 and max(r["count"] for r in sizes) < 2000  # one day spread over tasks
     assert "Exchange rangepartitioning(" in _plan(clustered(df, ("day",), ("id",), num_partitions=4))
 
 
