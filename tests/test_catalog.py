@@ -77,3 +77,12 @@ def test_plan_exports_two_independent_checks(spark):
     got = sorted((r.name, r.needs_download, r.needs_convert) for r in plan_exports(sel, tifs, pqs).collect())
     assert got == [("b", False, True), ("c", True, False), ("d", True, True)]
     assert plan_exports(sel, tifs, pqs, overwrite=True).count() == 4
+
+
+def test_slice_attributes_from_file_paths(spark, tmp_dir):
+    for day, hour in (("2024-01-01", "06"), ("2024-01-02", "18")):
+        spark.range(3).write.parquet(f"{tmp_dir}/out/gfs/date={day}/{hour}/parquet")
+    df = cat.with_source_path(spark.read.parquet(f"{tmp_dir}/out/gfs/date=*/*/parquet"))
+    d, h = cat.forecast_slice_from_path(F.col("source_path"))
+    got = sorted({(r.d, r.h) for r in df.select(d.cast("string").alias("d"), h.alias("h")).collect()})
+    assert got == [("2024-01-01", 6), ("2024-01-02", 18)]

@@ -84,3 +84,16 @@ def test_format_late_nest_keeps_negative_zero_and_equals_text_path(spark):
     text = sorted((r.geography, r.geography_polygon, len(r.forecast)) for r in forecast_nested(tiles).collect())
     assert late == text and len(late) == 6
     assert any(", -0 " in p for _, p, _ in late)
+
+
+def test_deaccumulate_only_after_cutoff(spark):
+    from datetime import datetime as dt
+    rows = []
+    for year in (2019, 2020):
+        for h in (0, 3):
+            rows.append(("POINT(1 1)", "P", dt(year, 1, 1), h, dt(year, 1, 1, h), float(h * 10 + 5)))
+    df = spark.createDataFrame(rows, "geography string, geography_polygon string, creation_time timestamp, "
+                                     "forecast_hours bigint, forecast_time timestamp, total_precipitation_surface double")
+    nested = deaccumulate(nest_forecast(stage_projection(conform(df, declared("gfs")))))
+    steps = {r.creation_time.year: [e.total_precipitation_surface_step for e in r.forecast] for r in nested.collect()}
+    assert steps == {2019: [5.0, 35.0], 2020: [5.0, 30.0]}
