@@ -91,7 +91,8 @@ def test_deaccumulate_only_after_cutoff(spark):
     rows = []
     for year in (2019, 2020):
         for h in (0, 3):
-            rows.append(("POINT(1 1)", "P", dt(year, 1, 1), h, dt(year, 1, 1, h), float(h * 10 + 5)))
+            rows.append(("POINT(1 1)", "POLYGON ((1 1, 1 2, 0 2, 0 1, 1 1))", dt(year, 1, 1), h, dt(year, 1, 1, h),
+                         float(h * 10 + 5)))
     df = spark.createDataFrame(rows, "geography string, geography_polygon string, creation_time timestamp, "
                                      "forecast_hours bigint, forecast_time timestamp, total_precipitation_surface double")
     nested = deaccumulate(nest_forecast(stage_projection(conform(df, declared("gfs")))))
