@@ -26,7 +26,7 @@ from rastertab.operators.nest import CELL_KEY, check_group_bound, nest_forecast,
 from rastertab.operators.pixels import expand_pixels
 from rastertab.operators.reproject import SPHERE_RADIUS, reproject_nearest
 from rastertab.sinks.csv_text import csv_lines, write_csv_lines
-from rastertab.sinks.tables import (create_database, create_table, replace_partition, replace_partitions,
+from rastertab.sinks.tables import (create_database, create_table, replace_listed_slices, replace_partition,
                                     staging_name, truncate_load, write_parquet)
 from rastertab.sources import catalog as cat
 from rastertab.sources.schemas import conform, declared, enforce_required, read_declared
@@ -129,20 +129,10 @@ def load_population_countries(spark: SparkSession, source: str | DataFrame, tabl
     _check_year(year)
     schema = declared("world_pop")
     src = read_declared(spark, source, schema) if isinstance(source, str) else conform(source, schema)
-    src = enforce_required(src, schema).where((F.col("year") == F.lit(year)) & F.col("country").isin(wanted))
     create_table(spark, table, _reorder(schema, ["year", "country"]), partition_by=("year", "country"),
                  location=location)
-    replace_partitions(spark, src.sortWithinPartitions("country", *point_lat_lon(F.col("geography"))), table)
-    # countries present: one row per country (bounded by the list), not the data
-    present = {r.country for r in spark.table(table).where(F.col("year") == F.lit(year))
-               .where(F.col("country").isin(wanted)).select("country").distinct().collect()}
-    written = {r.country for r in src.select("country").distinct().collect()}
-    cleared = []
-    for c in wanted:
-        if c not in written and c in present:
-            replace_partition(spark, src.limit(0), table, {"year": year, "country": c})
-            cleared.append(c)
-    return cleared
+    src = enforce_required(src, schema).sortWithinPartitions("country", *point_lat_lon(F.col("geography")))
+    return replace_listed_slices(spark, src, table, "country", wanted, fixed={"year": year})
 
 
 # --------------------------------------------------------------------------- productivity year

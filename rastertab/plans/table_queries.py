@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rastertab.plans.registry import register
 from rastertab.session import scratch_path
-from rastertab.sinks.tables import replace_partition, truncate_load
+from rastertab.sinks.tables import replace_listed_slices, replace_partition, truncate_load
 from rastertab.sources.driver_tables import read_table
 
 
@@ -121,3 +121,25 @@ def slice_read(spark, sf_dir):
     yearly = read_table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
     truncate_load(yearly, name, partition_by=("year",), location=loc)
     return spark.table(name).where(F.col("year") == SLICE_YEAR).select("o_orderkey", "o_totalprice", "year")
+
+
+LISTED_NATIONS = (1, 2, 3)
+
+
+@register("slice_replace_listed", ["SNK-6", "FLT-5", "SNK-14", "UNI-1"], f"""
+    SELECT * FROM customer WHERE c_nationkey NOT IN {LISTED_NATIONS}
+    UNION ALL
+    SELECT c_custkey, upper(c_name) AS c_name, c_nationkey, c_acctbal + 100.0 AS c_acctbal, c_mktsegment
+    FROM customer WHERE c_nationkey IN (1, 2)
+""")
+def slice_replace_listed(spark, sf_dir):
+    """Several slices in one job: the revised source covers nations 1 and 2
+    (and others, ignored); nation 3 is listed but has no source rows, so its
+    slice is cleared."""
+    name, loc = _table(spark, "nations")
+    cust = read_table(spark, sf_dir, "customer")
+    truncate_load(cust, name, partition_by=("c_nationkey",), location=loc)
+    revised = (cust.where(F.col("c_nationkey") != 3).withColumn("c_name", F.upper("c_name"))
+               .withColumn("c_acctbal", F.col("c_acctbal") + 100.0))
+    replace_listed_slices(spark, revised, name, "c_nationkey", list(LISTED_NATIONS))
+    return spark.table(name).select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
