@@ -77,3 +77,13 @@ def test_concurrent_slice_loads_into_one_table(spark, tmp_dir):
         list(pool.map(load, [2000, 2001, 2002]))
     counts = {r.year: r.n for r in spark.table("t_conc").groupBy("year").agg(F.count("*").alias("n")).collect()}
     assert counts == {2000: 100, 2001: 100, 2002: 100, 2003: 10}
+
+
+def test_load_slice_from_staging(spark, tmp_dir):
+    from rastertab.sinks.tables import load_slice_from_staging
+    base = spark.createDataFrame([(1, 2019), (2, 2020)], "id int, year int")
+    truncate_load(base, "t_stg_dest", partition_by=("year",), location=f"{tmp_dir}/d")
+    new = spark.createDataFrame([(7, 2020), (8, 2020)], "id int, year int")
+    load_slice_from_staging(spark, new, "t_stg_2020", "t_stg_dest", {"year": 2020},
+                            transform=lambda df: df.withColumn("id", F.col("id") * 10))
+    assert _rows(spark.table("t_stg_dest")) == [(1, 2019), (70, 2020), (80, 2020)]
