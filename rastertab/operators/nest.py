@@ -65,14 +65,18 @@ def ordered_nest(df: DataFrame, keys, order_fields, payload_fields, name: str,
 def check_group_bound(df: DataFrame, keys, max_group: int) -> None:
     """Fail before nesting when some group is larger than ``max_group``.
 
-    Reads only the key columns and counts with map-side partial aggregation,
-    so the check shuffles one small row per key and task.  A forecast cell
-    has at most one element per forecast hour; more means duplicated input,
-    which must not be collected into a single array (or silently dropped).
+    Reads only the key columns and counts per 64-bit key hash with map-side
+    partial aggregation: the shuffle carries 16-byte rows instead of the
+    (long, textual) keys.  A hash collision can only add counts -- it may
+    raise, it never hides an oversized group.  A forecast cell has at most one
+    element per forecast hour; more means duplicated input, which must not be
+    collected into a single array (or silently dropped).
     """
-    big = df.groupBy(*keys).count().where(F.col("count") > max_group).limit(1).collect()
+    h = F.xxhash64(*[F.col(k) for k in keys]).alias("_key_hash")
+    big = df.groupBy(h).count().where(F.col("count") > max_group).limit(1).collect()
     if big:
-        raise ValueError(f"group {big[0].asDict()} exceeds {max_group} elements; input holds duplicates")
+        raise ValueError(f"a group of {list(keys)} holds {big[0]['count']} elements, over {max_group}; "
+                         "input holds duplicates")
 
 
 def ordered_nest_chunked(df: DataFrame, keys, order_fields, payload_fields, name: str,
