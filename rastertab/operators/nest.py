@@ -75,8 +75,8 @@ def check_group_bound(df: DataFrame, keys, max_group: int) -> None:
     h = F.xxhash64(*[F.col(k) for k in keys]).alias("_key_hash")
     big = df.groupBy(h).count().where(F.col("count") > max_group).limit(1).collect()
     if big:
-        raise ValueError(f"a group of {list(keys)} holds {big[0]['count']} elements, over {max_group}; "
-                         "input holds duplicates")
+        raise ValueError(f"a group of {list(keys)} holds {big[0]['count']} elements, which exceeds "
+                         f"{max_group}; input holds duplicates")
 
 
 def ordered_nest_chunked(df: DataFrame, keys, order_fields, payload_fields, name: str,
