@@ -34,3 +34,12 @@ def test_tile_table_round_trip(spark, tmp_dir):
     assert sorted(map(str, back.collect())) == sorted(map(str, tiles.select(*back.columns).collect()))
     assert "PartitionFilters: [isnotnull(image_id" in back.where("image_id = 'i1'")._jdf.queryExecution() \
         .executedPlan().toString()
+
+
+def test_gdal_decoder_is_optional():
+    import importlib.util
+    import pytest
+    from rastertab.sources.tiles import GdalDecoder
+    if importlib.util.find_spec("osgeo") is None:
+        with pytest.raises(ImportError, match="GDAL is not installed"):
+            GdalDecoder()

@@ -146,3 +146,18 @@ def test_productivity_from_sinusoidal_tiles(spark, tmp_dir):
     with pytest.raises(ValueError):
         load_productivity_from_tiles(spark, tiles, "npp_tiles", 2004, (0.0, s, 0.0, 0.0, 0.0, -s), 20, 10,
                                      (0.0, 0.5, 0.0, 0.0, 0.0, -0.5), 18, 9, location=f"{tmp_dir}/npp")
+
+
+def test_select_images_per_task(spark):
+    catalog = spark.createDataFrame(
+        [("WP/NZL_2020", "2020-01-01", "2021-01-01", "NZL", 2020), ("WP/FRA_2020", "2020-01-01", "2021-01-01", "FRA", 2020),
+         ("NPP/2001_01_01", "2001-01-01", "2001-01-01", None, 2001)],
+        "image_id string, s string, e string, country string, year int").select(
+        "image_id", F.col("s").cast("timestamp").alias("start_time"), F.col("e").cast("timestamp").alias("end_time"),
+        "country", "year")
+    assert [r.name for r in select_images(catalog, "world_pop", country="NZL", year=2020).collect()] == ["NZL_2020"]
+    assert [r.name for r in select_images(catalog, "annual_npp", date="2001-01-01 00:00:00").collect()] == ["2001_01_01"]
+    with pytest.raises(ValueError):
+        select_images(catalog, "world_pop", country="NZL")
+    with pytest.raises(ValueError):
+        select_images(catalog, "unknown", date="2001-01-01 00:00:00")

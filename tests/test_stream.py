@@ -37,3 +37,20 @@ def test_partitioned_source_slices_prune(spark, tmp_dir):
     incremental_slice_load(spark, src, schema, "t_stream_p", {"day": None}, f"{tmp_dir}/ckp")
     got = sorted((r.id, r.day) for r in spark.table("t_stream_p").collect())
     assert got == [(1, "2024-01-01"), (2, "2024-01-02"), (3, "2024-01-01")]
+
+
+def test_one_file_per_batch_keeps_slices_whole(spark, tmp_dir):
+    import os
+    src = f"{tmp_dir}/many"
+    os.makedirs(src)
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("ts", T.TimestampType())])
+    for i in range(4):  # four files, all on the same day, one file per micro-batch
+        spark.createDataFrame([(i, "2024-03-01 0%d:00:00" % i)], "id long, ts string") \
+            .selectExpr("id", "cast(ts as timestamp) ts").coalesce(1).write.mode("overwrite").parquet(f"{tmp_dir}/s{i}")
+        f = [p for p in os.listdir(f"{tmp_dir}/s{i}") if p.endswith(".parquet")][0]
+        shutil.copy(f"{tmp_dir}/s{i}/{f}", f"{src}/f{i}.parquet")
+    create_table(spark, "t_stream_many", T.StructType([*schema.fields, T.StructField("day", T.StringType())]),
+                 partition_by=("day",), location=f"{tmp_dir}/tm")
+    incremental_slice_load(spark, src, schema, "t_stream_many", {"day": day_slice("ts")}, f"{tmp_dir}/ckm",
+                           max_files_per_trigger=1)
+    assert sorted(r.id for r in spark.table("t_stream_many").collect()) == [0, 1, 2, 3]
