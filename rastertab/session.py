@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -34,30 +33,26 @@ def build_session(master: str | None = None, app: str = "rastertab", **conf: str
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by the cluster.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir`` as
+    the session names it, else the warehouse location.  Never a machine-local
+    temporary folder."""
+    for key in ("spark.checkpoint.dir", "spark.sql.warehouse.dir"):
+        configured = spark.conf.get(key, None) or spark.sparkContext.getConf().get(key, None)
+        if configured:
+            return configured.rstrip("/")
+    raise RuntimeError("name a folder all executors share in spark.checkpoint.dir")
+
 
-    Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir).  Only when
-    neither is set -- local runs and tests -- a private folder is created.
-    """
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Checkpoint folder of the context, set from the shared folder when unset."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="rastertab-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(shared_folder(spark))
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint location.
-
-    Used for materialised intermediate tables (lineage cuts) and for tables the
-    registered queries write.  Never a machine-local temp folder unless the
-    session has no checkpoint location at all.
-    """
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/rastertab/{name}-{uuid.uuid4().hex[:12]}"
-
+    """A fresh, unique folder under the shared folder, for written intermediate
+    tables (lineage cuts) and the tables that registered queries write."""
+    return f"{shared_folder(spark)}/rastertab/{name}-{uuid.uuid4().hex[:12]}"
