@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from rastertab.llm import mixing, top_k, url_filter
+from rastertab.llm import mixing, packing, quality_rules, token_files, top_k, url_filter
 
 QUERIES = {
     "op1_top_k": top_k.query,
+    "op2_token_files": token_files.query,
+    "op3_quality_rules": quality_rules.query,
     "op8_url_filter": url_filter.query,
+    "op9_packing": packing.query,
     "op10_mixing": mixing.query,
 }
 
 ORACLES = {
     "op1_top_k": top_k.ORACLE,
+    "op3_quality_rules": quality_rules.ORACLE,
     "op10_mixing": mixing.ORACLE,
 }
