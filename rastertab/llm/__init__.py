@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from rastertab.llm import mixing, packing, quality_rules, simhash, substring_dedup, token_files, top_k, toxicity, url_filter
+from rastertab.llm import mixing, packing, quality_rules, simhash, substring_dedup, suffix_dedup, token_files, top_k, toxicity, url_filter
 
 QUERIES = {
     "op1_top_k": top_k.query,
     "op2_token_files": token_files.query,
     "op3_quality_rules": quality_rules.query,
     "op4_substring_dedup": substring_dedup.query,
+    "op5_suffix_dedup": suffix_dedup.query,
     "op6_simhash": simhash.query,
     "op7_toxicity": toxicity.query,
     "op8_url_filter": url_filter.query,
