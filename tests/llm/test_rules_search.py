@@ -1,0 +1,277 @@
+import math
+import random
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from llm.cases import awkward_docs, frame, words
+from rastertab.llm import mixing, quality_rules, top_k, toxicity, url_filter
+from rastertab.llm.common import n_words
+
+# -- top-k --------------------------------------------------------------------
+
+VECTORS = "vec_id long, embedding array<float>, tile int"
+
+
+def brute_top(rows, k):
+    use = [(i, [math.floor(256 * x) for x in v]) for i, v, _ in rows
+           if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    out = []
+    for q, a in use:
+        if q % 50:
+            continue
+        best = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in use if i != q and len(a) == len(b))[:k]
+        out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(best)]
+    return sorted(out)
+
+
+def test_top_k_matches_brute_force(spark):
+    rng = random.Random(1)
+    rows = [(i, [rng.choice([-1.0, -.5, 0.0, .25, 1.0]) for _ in range(4)], 0) for i in range(150)]
+    rows += [(None, [1.0] * 4, 0), (400, None, 0), (401, [1.0, None, 1.0, 1.0], 0), (402, [1.0, float("nan"), 0.0, 1.0], 0),
+             (450, [1.0, float("inf"), 0.0, 1.0], 0), (500, [1.0, 2.0], 0), (501, [2.0, 2.0], 0), (550, [], 0), (551, [], 0),
+             (50, [1.0] * 4, 0), rows[3], (600, [9.0], 0)]
+    df = spark.createDataFrame(rows, VECTORS)
+    found = top_k.top_k(df, df.where("vec_id % 50 = 0"), k=5, tile_rows=16, fan_in=2).collect()
+    assert sorted(map(tuple, found)) == brute_top(rows, 5)
+    assert top_k.top_k(df.limit(0), df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("size", [1e3, 1e8, 1e14, 1e18])
+def test_top_k_scores_are_exact_at_any_size(spark, size):
+    rng = random.Random(2)
+    rows = [(i, [rng.uniform(-size, size) for _ in range(3)], 0) for i in range(60)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, tile int")
+    want = [(q, r, i, max(-2 ** 63 + 1, min(2 ** 63 - 1, s))) for q, r, i, s in brute_top(rows, 59)]
+    found = [tuple(r) for r in top_k.top_k(df, df.where("vec_id % 50 = 0"), k=59, tile_rows=7).collect()]
+    assert sorted((q, i, max(s, -2 ** 63 + 1)) for q, _, i, s in found) == sorted((q, i, s) for q, _, i, s in want)
+
+
+# -- quality ------------------------------------------------------------------
+
+def brute_features(text):
+    w = [x.decode() for x in words(text)]
+    body = text or ""
+    lines = [x for x in body.split("\n") if x.encode().split()]
+    seen, places = {}, set()
+    for i in range(len(w) - 2):
+        seen.setdefault(tuple(w[i:i + 3]), []).append(i)
+    for at in seen.values():
+        if len(at) > 1:
+            places |= {i + j for i in at for j in range(3)}
+    return (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in body), len(lines) - len(set(lines)), len(places))
+
+
+def test_quality_features_match_brute_force(spark):
+    rows = awkward_docs(9) + [(3000, "a b c a b c d", "", "s", 0), (3001, "l\nl\n\nl\r\n ## \n##", "", "s", 0), (3002, "a b", "", "s", 0)]
+    cols = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    found = quality_rules.judge(frame(spark, rows)).select("doc_id", *cols, "base_failed", "kept").collect()
+    want = [(r[0], *brute_features(r[1])) for r in rows]
+    assert sorted((tuple(r[:6]) for r in found), key=repr) == sorted(want, key=repr)
+    for r in found:
+        assert r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words)
+        assert not (r.base_failed and r.kept)
+    assert quality_rules.judge(frame(spark, [])).count() == 0
+
+
+def test_bad_hosts_lose_all_documents(spark):
+    rng = random.Random(3)
+
+    def text(good):
+        return " ".join("".join(rng.choice("abcdef") for _ in range(5)) for _ in range(80 if good else 10))
+
+    rows = [(i, text(True), "en", f"good{i % 5}", 0) for i in range(200)] + [(500 + i, text(i % 10 == 0), "en", "bad", 0) for i in range(100)]
+    rows.append((900, text(False), "en", "tiny", 0))
+    rows.append((901, text(True), "en", "tiny", 0))
+    found = {r.doc_id: r for r in quality_rules.judge(frame(spark, rows)).collect()}
+    assert all(found[i].kept for i in range(200)) and not any(found[500 + i].kept for i in range(100))
+    assert found[900].host_rate < 0.5 and found[901].kept  # one failure of two is shrunk towards all hosts' rate
+
+
+# -- mixing -------------------------------------------------------------------
+
+def test_targets_share_and_stop(spark):
+    sizes = {"a": 1000, "b": 10, "c": 500, "d": 0, None: 300}
+    df = spark.createDataFrame([(f"s{k}" if k else "n", k, v) for k, v in sizes.items()], "sk string, source string, source_size long")
+    found = {r.sk: r.target for r in mixing.targets(df, (1, 2, 3), 3).collect()}
+    limit, weight = {"sa": 3000, "sb": 30, "sc": 1500, "sd": 0, "n": 900}, {"sa": 1, "sb": 2, "sc": 3, "sd": 1, "n": 2}
+    held = {}
+    while True:  # share, stop those above, share the excess again
+        level = (1810 - sum(held.values())) / sum(w for k, w in weight.items() if k not in held)
+        over = {k: limit[k] for k in limit if k not in held and weight[k] * level > limit[k]}
+        if not over:
+            break
+        held.update(over)
+    assert found == pytest.approx({k: held.get(k, weight[k] * level) for k in limit})
+
+
+def brute_mix(rows):
+    import hashlib
+
+    size = {}
+    for r in rows:
+        size[r[3]] = size.get(r[3], 0) + len(words(r[1]))
+    order = sorted(size, key=lambda s: (s is None, s or ""))
+    weight = {s: i % 3 + 1 for i, s in enumerate(order)}
+    budget, held = sum(size.values()), {}
+    while True:
+        level = (budget - sum(held.values())) / sum(weight[s] for s in order if s not in held)
+        over = {s: 3 * size[s] for s in order if s not in held and weight[s] * level > 3 * size[s]}
+        if not over:
+            break
+        held.update(over)
+    target = {s: float(held.get(s, weight[s] * level)) for s in order}
+    line, upto = [], dict.fromkeys(order, 0)
+    key = lambda r: (hashlib.md5(f"mix:{'-' if r[0] is None else r[0]}".encode()).hexdigest(), r[0] or -1, len(words(r[1])))
+    for n, r in sorted(enumerate(rows), key=lambda x: key(x[1])):
+        upto[r[3]] += len(words(r[1]))
+        for e in range(3):
+            if words(r[1]):
+                line.append(((e * size[r[3]] + upto[r[3]]) / target[r[3]], "n" if r[3] is None else "s" + r[3], *key(r), e, n))
+    taken, total = [0] * len(rows), 0
+    for *_, s, _, n in sorted(line):
+        total += s
+        if total > budget:
+            break
+        taken[n] += s
+    return sorted([(r[0], len(words(r[1])), size[r[3]], round(target[r[3]], 6), t) for r, t in zip(rows, taken)], key=repr)
+
+
+def sized(df):
+    return df.select("doc_id", "source", n_words(F.col("text")).alias("size"))
+
+
+def test_mixing_matches_brute_force(spark):
+    rows = awkward_docs(10)
+    found = mixing.serve(sized(frame(spark, rows))).collect()
+    assert sorted([(r.doc_id, r.size, r.source_size, round(r.target, 6), r.taken) for r in found], key=repr) == brute_mix(rows)
+    assert all(0 <= r.taken <= 3 * r.size for r in found)
+    assert mixing.serve(sized(frame(spark, []))).count() == 0
+
+
+def test_mix_repeats_rows_as_taken(spark):
+    rows = awkward_docs(11)
+    taken = {}
+    for r in mixing.serve(sized(frame(spark, rows))).collect():
+        taken[r.doc_id] = taken.get(r.doc_id, 0) + r.taken
+    found = {}
+    for r in mixing.mix(frame(spark, rows)).collect():
+        found[r.doc_id] = found.get(r.doc_id, 0) + len(words(r.text))
+    assert found == {k: v for k, v in taken.items() if v}
+
+
+# -- urls ---------------------------------------------------------------------
+
+URLS = [None, "", "no scheme", "http://", "https://ORG/x", "http://a.org", "http://a.org/", "ftp://B.Example.ORG/es/1?x=/de/", "http://example.org/en/12",
+        "http://example.org/en/2", "http://notexample.org/es/", "http://x.com/fr/a#b", "http://com/de/", "http://a.com#/de/", "http://É.com/de/1",
+        "a://b://c/d", "http://casino-win.example.net/en/1", "http://garden.example.net/en/1", "http://a.com/de", "://x.com/fr/" + "y" * 5000]
+
+
+def brute_url(url):
+    rest = "" if url is None or "://" not in url else url.split("://", 1)[1]
+    cut = min([rest.index(c) for c in "/?#" if c in rest], default=len(rest))
+    host, path = rest[:cut], rest[cut:]
+    path = path[:min([path.index(c) for c in "?#" if c in path], default=len(path))]
+    host = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in host)
+    best = None
+    for rule, verdict in url_filter.RULES:
+        name, _, tail = rule.partition("/")
+        if (host == name or host.endswith("." + name)) and path.startswith("/" + tail) and (best is None or len(rule) > len(best[0])):
+            best = (rule, verdict)
+    return host, path, best[0] if best else None, best[1] if best else None
+
+
+def test_url_rules_match_brute_force(spark):
+    df = spark.createDataFrame(list(enumerate(URLS)) + [(3, URLS[3])], "page_id long, url string").withColumn("Host", F.lit("clash"))
+    found = url_filter.filter_urls(df).collect()
+    assert len(found) == len(URLS) + 1
+    for r in found:
+        host, path, rule, verdict = brute_url(URLS[r.page_id])
+        assert (r.host, r.path, r.rule) == (host, path, rule)
+        assert r.verdict == verdict if rule else r.verdict in ("allow", "block") and 0 <= r.url_score <= 1
+    verdicts = {URLS[r.page_id]: r.verdict for r in found}
+    assert verdicts["http://casino-win.example.net/en/1"] == "block" and verdicts["http://garden.example.net/en/1"] == "allow"
+    assert url_filter.filter_urls(df.limit(0)).count() == 0
+
+
+def test_url_model_left_out_accuracy():
+    rows = url_filter.LABELLED_URLS
+    hits = 0
+    for fold in range(5):
+        model = url_filter.UrlModel().fit([r for i, r in enumerate(rows) if i % 5 != fold], steps=150)
+        for u, y in rows[fold::5]:
+            host, _, path = u.partition("/")
+            hits += (model.score(host, "/" + path) >= 0.5) == bool(y)
+    assert hits >= 0.8 * len(rows)
+
+
+# -- toxicity -----------------------------------------------------------------
+
+def brute_cosines(vectors, query):
+    return sorted(((-round(sum(w * query.get(t, 0) for t, w in v.items()), 9), i) for i, v in enumerate(vectors)
+                   if sum(w * query.get(t, 0) for t, w in v.items()) > 0))
+
+
+def test_block_max_search_is_exact():
+    rng = random.Random(4)
+
+    def vector(n):
+        v = {t: rng.choice([1.0, 2.0, rng.random()]) for t in rng.sample(range(40), n)}
+        norm = math.sqrt(sum(x * x for x in v.values())) or 1
+        return {t: x / norm for t, x in v.items()}
+
+    vectors = [vector(rng.randrange(0, 6)) for _ in range(300)]
+    index = toxicity.BlockMaxIndex(vectors, 40, block=16)
+    for _ in range(100):
+        q = vector(rng.randrange(0, 8))
+        want = brute_cosines(vectors, q)[:7]
+        found = index.search(q, 7)
+        assert [round(s, 9) for s, _ in found] == [-s for s, _ in want]
+
+
+LABELS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("toxic", T.IntegerType())])
+
+
+def toxic_corpus(n=600):
+    rng = random.Random(5)
+    syllables = ["an", "the", "tion", "er", "in", "re", "ou", "st"]
+    rows, labels = [], []
+    for i in range(n):
+        w = ["".join(rng.choice(syllables) for _ in range(rng.randrange(1, 4))) for _ in range(rng.randrange(20, 200))]
+        bad = rng.random() < .2
+        for _ in range(3 if bad else 0):
+            w.insert(rng.randrange(len(w)), rng.choice(["grumfle", "blorky", "snazzick"]) + rng.choice(["", "s", "ed"]))
+        rows.append((i, " ".join(w), "en", "s1", 0))
+        labels.append((i, int(bad)))
+    return rows, labels
+
+
+def test_toxicity_learns_and_holds_out(spark):
+    rows, labels = toxic_corpus()
+    rows += [(5000, None, None, None, None), (5001, "", "en", "s", 0), (None, "so grumfled blorky blorkys", "en", "s", 0)]
+    docs = frame(spark, rows).withColumn("toxic_score", F.lit("clash"))
+    found = toxicity.score_toxicity(docs, spark.createDataFrame(labels + [(None, 1), (7, None)], LABELS)).collect()
+    truth = dict(labels)
+    unseen = [r for r in found if r.doc_id in truth and zlib.crc32(str(r.doc_id).encode()) % 3 == 1]
+    assert unseen and sum((r.toxic_predicted == truth[r.doc_id]) for r in unseen) >= 0.97 * len(unseen)
+    rest = {r.doc_id: r for r in found if r.doc_id not in truth}
+    assert rest[None].toxic_predicted == 1 and rest[None].toxic_evidence
+    assert rest[5000].toxic_predicted == rest[5001].toxic_predicted == 0 and rest[5000].toxic_score == rest[5001].toxic_score
+    wrong = [(i, 1 - y) if zlib.crc32(str(i).encode()) % 3 == 1 else (i, y) for i, y in labels]  # held-out labels are never used
+    again = toxicity.score_toxicity(docs, spark.createDataFrame(wrong, LABELS)).collect()
+    assert sorted((repr(r.doc_id), r.toxic_score) for r in again) == sorted((repr(r.doc_id), r.toxic_score) for r in found)
+
+
+def test_toxicity_without_labels(spark):
+    docs, none = frame(spark, awkward_docs(12)), spark.createDataFrame([], LABELS)
+    assert {(r.toxic_score, r.toxic_predicted) for r in toxicity.score_toxicity(docs, none).collect()} == {(0.0, 0)}
+    assert toxicity.score_toxicity(docs.limit(0), none).count() == 0
+
+
+def test_quality_and_tokens_use_no_python_in_native_plans(spark):
+    docs = frame(spark, awkward_docs(13))
+    for df in (quality_rules.features(docs), mixing.serve(sized(docs))):
+        plan = df._jdf.queryExecution().toString()
+        assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
