@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rastertab.llm.common import read, shuffle_width, written
-from rastertab.llm.tokens import Encoder, default_tokenizer
+from rastertab.llm.tokens import default_tokenizer, worker_encoder
 
 _PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -34,7 +34,7 @@ _PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 def pieces(docs: DataFrame, tokenizer: str, window: int, end_id: int) -> DataFrame:
     """One row per piece: full windows of each document, then its remaining ids."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = Encoder(tokenizer), np.array([end_id], dtype="<u4").tobytes()
+        encoder, end = worker_encoder(tokenizer), np.array([end_id], dtype="<u4").tobytes()
         for b in batches:
             rows: list[tuple] = []
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1)):

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rastertab.llm.common import read, shuffle_width, written
-from rastertab.llm.tokens import Encoder, default_tokenizer
+from rastertab.llm.tokens import default_tokenizer, worker_encoder
 from rastertab.session import scratch_path
 
 INDEX_MAGIC, TABLE_MAGIC, SEEKABLE_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1  # fixed values of the format
@@ -150,7 +150,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str | None = None
         from pyspark import TaskContext
 
         context = TaskContext.get()
-        part, encoder, end = context.partitionId(), Encoder(tokenizer), np.array([end_id], "<u4").tobytes()
+        part, encoder, end = context.partitionId(), worker_encoder(tokenizer), np.array([end_id], "<u4").tobytes()
         store, root = _store(folder)
         name, draft = f"part-{part:06d}.tokens", f"{root}/.draft-{part:06d}-{context.taskAttemptId()}"
         writer = out = None

@@ -1,11 +1,12 @@
 """Token ids of whole texts by the tokenizers library.
 
 A byte-level tokenizer's own splitting never joins what stands before a space
-with the space and the character after it, so a text's ids are those of its
-pieces cut before each single space.  Pieces repeat, and each is encoded once
-per task as long as the bounded memory of pieces holds it.  Texts where the cut
-could matter (a space before other white space or at the end, a special token)
-are encoded whole.
+or a newline with it and the character after it, so a text's ids are those of
+its pieces cut before each single space and newline.  Pieces repeat, and each
+is encoded once per worker process as long as its bounded memory of pieces
+holds it; the new pieces of a text are encoded in one call, a line each.  Texts
+where the cut could matter (a space or newline before other white space or at
+the end, a special token) are encoded whole.
 """
 
 from __future__ import annotations
@@ -13,43 +14,78 @@ from __future__ import annotations
 import os
 import re
 
-_DOUBTFUL = re.compile(r" (?=\s|$)")
+_DOUBTFUL = re.compile(r"[ \n](?=\s|\Z)")
 
 
 class Encoder:
-    def __init__(self, path: str, remembered: int = 300_000):
+    """``remembered`` pieces are held in each of two generations: when the
+    young one is full it becomes the old one, which is then forgotten."""
+
+    def __init__(self, path: str, remembered: int = 250_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
         self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
-        self._pieces: dict[str, bytes] = {}
+        self._young: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
         self._remembered = remembered
+        self._newline = self._whole(["\n"])[0]
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         import numpy as np
 
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _pieces(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of each word behind one space, or behind the newline it starts with."""
+        import numpy as np
+
+        plain, odd = words, []
+        if len(self._newline) != 4:
+            plain, odd = [], words
+        elif len("\n".join(words).split()) != len(words):  # white space inside some word
+            plain, odd = [w for w in words if len(w.split()) == 1], [w for w in words if len(w.split()) != 1]
+        out = dict(zip(odd, self._whole([w if w[0] == "\n" else " " + w for w in odd])))
+        if plain:
+            ids = self._whole(["".join([w if w[0] == "\n" else "\n " + w for w in plain])])[0]
+            ends = (np.flatnonzero(np.frombuffer(ids, "<u4") == int.from_bytes(self._newline, "little")) * 4).tolist()
+            for w, low, high in zip(plain, ends, [*ends[1:], len(ids)]):
+                out[w] = ids[low:high] if w[0] == "\n" else ids[low + 4:high]
+        return out
+
     def ids(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
         if _DOUBTFUL.search(text) or any(s in text for s in self._special):
             return self._whole([text])[0]
-        first, *rest = text.split(" ")
-        known = self._pieces
-        found = list(map(known.get, rest))
+        first, *rest = text.replace("\n", " \n").split(" ")
+        found = list(map(self._young.get, rest))
         if None in found:
-            new = list({w for w, f in zip(rest, found) if f is None})
-            fresh = dict(zip(new, self._whole([" " + w for w in new])))
+            missing = {w for w, f in zip(rest, found) if f is None}
+            fresh = {w: self._old[w] for w in missing if w in self._old}
+            new = [w for w in missing if w not in fresh]
+            if new:
+                fresh.update(self._pieces(new))
             found = [fresh[w] if f is None else f for w, f in zip(rest, found)]
-            if len(known) + len(fresh) > self._remembered:
-                known.clear()
-            known.update((w, b) for w, b in fresh.items() if len(w) < 64)
+            if len(self._young) + len(fresh) > self._remembered:
+                self._old, self._young = self._young, {}
+            self._young.update(fresh if max(map(len, fresh)) < 64 else {w: b for w, b in fresh.items() if len(w) < 64})
         return (self._whole([first])[0] if first else b"") + b"".join(found)
 
 
+def worker_encoder(path: str) -> Encoder:
+    """One encoder per worker process and file.  It is kept on the library's
+    module, because functions shipped by value have new globals in every task."""
+    import tokenizers
+
+    kept = tokenizers.__dict__.setdefault("_encoders_by_path", {})
+    if path not in kept:
+        kept[path] = Encoder(path)
+    return kept[path]
+
+
 def default_tokenizer() -> str:
     """The public vocabulary file of the queries, by path; never copied."""
     import public_tokenizers
