@@ -21,7 +21,7 @@ class Encoder:
     """``remembered`` pieces are held in each of two generations: when the
     young one is full it becomes the old one, which is then forgotten."""
 
-    def __init__(self, path: str, remembered: int = 250_000):
+    def __init__(self, path: str, remembered: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
         from tokenizers import Tokenizer
 
@@ -31,6 +31,7 @@ class Encoder:
         self._old: dict[str, bytes] = {}
         self._remembered = remembered
         self._newline = self._whole(["\n"])[0]
+        self._marks = dict(zip(".,;:!?", self._whole(list(".,;:!?"))))
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         import numpy as np
@@ -54,6 +55,31 @@ class Encoder:
                 out[w] = ids[low:high] if w[0] == "\n" else ids[low + 4:high]
         return out
 
+    def _fresh(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of words that the young generation does not hold.  A word of
+        letters and one closing mark is the word's ids, then the mark's."""
+        out, new, marked = {}, set(), []
+        young, old, marks = self._young, self._old, self._marks
+        for w in words:
+            ids = old.get(w)
+            if ids is None:
+                mark, stem = marks.get(w[-1]), w[:-1]
+                if mark is None or not stem.isalpha():
+                    new.add(w)
+                    continue
+                ids = young.get(stem) or old.get(stem)
+                if ids is None:
+                    new.add(stem)
+                    marked.append((w, stem, mark))
+                    continue
+                ids += mark
+            out[w] = ids
+        if new:
+            out.update(self._pieces(list(new)))
+        for w, stem, mark in marked:
+            out[w] = out[stem] + mark
+        return out
+
     def ids(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         if not text:
@@ -63,11 +89,7 @@ class Encoder:
         first, *rest = text.replace("\n", " \n").split(" ")
         found = list(map(self._young.get, rest))
         if None in found:
-            missing = {w for w, f in zip(rest, found) if f is None}
-            fresh = {w: self._old[w] for w in missing if w in self._old}
-            new = [w for w in missing if w not in fresh]
-            if new:
-                fresh.update(self._pieces(new))
+            fresh = self._fresh({w for w, f in zip(rest, found) if f is None})
             found = [fresh[w] if f is None else f for w, f in zip(rest, found)]
             if len(self._young) + len(fresh) > self._remembered:
                 self._old, self._young = self._young, {}
