@@ -113,15 +113,13 @@ def make_axis_text_udf(block_size: int, box_style: str = "g10"):
 
 
 @F.pandas_udf(T.StringType())
-def format_g(values: pd.Series) -> pd.Series:
-    """``%g`` of each double (CSV float bands; null stays null)."""
+def _format_g(values: pd.Series) -> pd.Series:
     return pd.Series([FLOAT_BAND_FORMAT % v for v in values.to_numpy(dtype=np.float64).tolist()], dtype="object")
 
 
-@F.pandas_udf(T.StringType())
-def format_g10(values: pd.Series) -> pd.Series:
-    """``%.10g`` of each double, for callers that need per-row text."""
-    return pd.Series([CENTRE_FORMAT % v for v in values.to_numpy(dtype=np.float64).tolist()], dtype="object")
+def format_g(col: Column) -> Column:
+    """``%g`` of each double (CSV float bands); null stays null, NaN is ``nan``."""
+    return F.when(col.isNotNull(), _format_g(col))
 
 
 def format_int(col: Column) -> Column:

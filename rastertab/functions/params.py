@@ -1,29 +1,34 @@
-"""Job parameter parsing (SCL-15).  Plain Python: parameters are driver-side."""
+"""Typed job parameters (SCL-15), read on the driver."""
 
 from __future__ import annotations
 
 from datetime import date, datetime
 
-TRUE_WORDS = ("true", "yes")  # fixed values
+# The accepted words of a switch.
+SWITCH_WORDS = {"true": True, "yes": True, "false": False, "no": False}
 
 
-def parse_bool(text, default: bool = False) -> bool:
-    """``true``/``yes`` (any case) -> True.  Unlike the scheduler variables,
-    a missing value falls back to ``default`` (False), so overwrite is opt-in."""
-    if isinstance(text, bool):
-        return text
-    if text is None or len(str(text)) == 0:
-        return default
-    return str(text).lower() in TRUE_WORDS
-
+def _switch(text: str) -> bool:
+    word = text.strip().lower()
+    if word not in SWITCH_WORDS:
+        raise ValueError(f"expected one of {sorted(SWITCH_WORDS)}, got {text!r}")
+    return SWITCH_WORDS[word]
 
-def parse_date(text, default: date | None = None):
-    return datetime.strptime(text, "%Y-%m-%d") if text is not None else default
 
+READERS = {bool: _switch, int: int, str: str, date: date.fromisoformat, datetime: datetime.fromisoformat}
 
-def parse_datetime(text, default: datetime | None = None):
-    return datetime.strptime(text, "%Y-%m-%dT%H:%M:%S") if text is not None else default
 
-
-def parse_int(text, default: int | None = None):
-    return int(text) if text is not None else default
+def parameter(values: dict, name: str, kind: type, default=None):
+    """``values[name]`` as ``kind`` (bool, int, str, date, datetime in ISO
+    form).  Absent, null and blank values give ``default``; a value that
+    already has the kind is returned as it is; anything else that cannot be
+    read raises and names the parameter."""
+    raw = values.get(name)
+    if raw is None or (isinstance(raw, str) and not raw.strip()):
+        return default
+    if type(raw) is kind:
+        return raw
+    try:
+        return READERS[kind](str(raw))
+    except ValueError as exc:
+        raise ValueError(f"parameter {name}: {exc}") from exc

@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 # Slice formats used in staging names and paths.
 CYCLE_SUFFIX_FORMAT = "%Y%m%d%H"
-DATE_DIR_FORMAT = "%Y-%m-%d"
-HOUR_DIR_FORMAT = "%H"
-NPP_FILE_FORMAT = "%Y_%m_%d"
 CYCLE_LAG_HOURS = 4  # a cycle is processed 4 hours after its nominal time
 
 
@@ -46,7 +43,3 @@ def cycle_time_col(ts: Column) -> Column:
 
 def cycle_suffix(t: datetime) -> str:
     return t.strftime(CYCLE_SUFFIX_FORMAT)
-
-
-def cycle_creation_text(t: datetime) -> str:
-    return t.strftime("%Y-%m-%dT%H:00:00")

@@ -7,7 +7,7 @@ stays inside whole-stage codegen.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _NUM = r"-?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][-+]?[0-9]+)?"
@@ -53,6 +53,32 @@ def point_lat_lon(geog: Column) -> tuple[Column, Column]:
             F.regexp_extract(geog, POINT_PATTERN, 1).cast("double"))
 
 
+# A cell box: lower right, upper right, upper left, lower left, lower right.
+BOX_PATTERN = (rf"^POLYGON\s*\(\(\s*({_NUM})\s+({_NUM})\s*,\s*\1\s+({_NUM})\s*,\s*({_NUM})\s+\3\s*,"
+               rf"\s*\4\s+\2\s*,\s*\1\s+\2\s*\)\)$")
+
+
+def with_cell_numbers(df: DataFrame, point: str = "geography", polygon: str = "geography_polygon") -> DataFrame:
+    """``gx, gy, min_x, max_x, min_y, max_y, negz`` in place of the two texts."""
+    texts = {"gx": (point, POINT_PATTERN, 1), "gy": (point, POINT_PATTERN, 2), "min_x": (polygon, BOX_PATTERN, 4),
+             "max_x": (polygon, BOX_PATTERN, 1), "min_y": (polygon, BOX_PATTERN, 2), "max_y": (polygon, BOX_PATTERN, 3)}
+    df = df.withColumns({f"_t_{n}": F.regexp_extract(F.col(c), pattern, group) for n, (c, pattern, group) in texts.items()})
+
+    def number(name: str) -> Column:
+        text = F.col(f"_t_{name}")
+        return F.when(text != "", text.cast("double")).otherwise(F.raise_error(F.concat(
+            F.lit("invalid WKT geography: "), F.substring(F.coalesce(F.col(texts[name][0]), F.lit("null")), 1, 80))))
+
+    # grouping keys lose the sign of a zero: it rides along as a mask
+    signs = [F.when(F.col(f"_t_{n}").startswith("-") & (F.col(f"_t_{n}").cast("double") == 0.0), 1 << i).otherwise(0)
+             for i, n in enumerate(texts)]
+    mask = signs[0]
+    for one in signs[1:]:
+        mask = mask + one
+    return (df.withColumns({**{n: number(n) for n in texts}, "negz": mask.cast("int")})
+            .drop(point, polygon, *[f"_t_{n}" for n in texts]))
+
+
 def st_astext(geog: Column) -> Column:
     """Geography to WKT: geographies already are WKT strings."""
     return geog

@@ -126,24 +126,30 @@ class PixelLayout:
         return ", ".join(cols)
 
 
-MAX_LAYOUTS = 1000
+def _layout_columns() -> list[Column]:
+    """What makes a layout: band names, band type, typed metadata keys in any order."""
+    keys = F.filter(F.map_keys("meta"), lambda k: attribute_kind_col(k).isNotNull())
+    return [F.col("band_names").alias("_names"), F.col("band_type").alias("_type"), F.array_sort(keys).alias("_keys")]
 
 
 def infer_layouts(tiles: DataFrame) -> list[PixelLayout]:
-    """Distinct layouts in a tile table.
+    """Distinct layouts of a tile table, in a stable order.  One row per layout
+    reaches the driver: as many as the input has schemas, whatever its size."""
+    rows = tiles.select(*_layout_columns()).distinct().collect()
+    return [PixelLayout.from_meta(r["_names"], r["_type"], r["_keys"])
+            for r in sorted(rows, key=lambda r: (r["_names"], r["_type"], r["_keys"]))]
 
-    Aggregates to one row per distinct (band names, band type, metadata keys):
-    the result is bounded by the number of *schemas*, not by the data, so
-    bringing it to the driver is safe.
-    """
-    rows = (tiles.select("band_names", "band_type", F.map_keys("meta").alias("keys"))
-            .distinct().limit(MAX_LAYOUTS + 1).collect())
-    if len(rows) > MAX_LAYOUTS:
-        raise ValueError(f"more than {MAX_LAYOUTS} distinct raster layouts; pass a layout explicitly")
-    return [PixelLayout.from_meta(r["band_names"], r["band_type"], r["keys"]) for r in rows]
+
+def of_layout(tiles: DataFrame, layout: PixelLayout) -> DataFrame:
+    """The tiles that have this layout."""
+    names, kind, keys = _layout_columns()
+    return tiles.where((names == F.array(*[F.lit(n) for n in layout.band_names])) & (kind == layout.band_type)
+                       & (keys == F.array(*[F.lit(k) for k, _ in layout.attributes]).cast("array<string>")))
 
 
 def infer_layout(tiles: DataFrame) -> PixelLayout:
+    """The one layout of ``tiles``; raises when there are several (see
+    ``plans.jobs.convert_tiles`` for folders with several)."""
     layouts = infer_layouts(tiles)
     if len(layouts) != 1:
         raise ValueError(f"expected one raster layout, found {len(layouts)}; pass a layout explicitly")

@@ -47,8 +47,9 @@ def require(value, name: str):
 
 
 def require_input(spark, path: str) -> None:
-    """FLT-6: a missing (or empty) input is an error."""
-    from rastertab.sources.catalog import object_ready
+    """FLT-6: a missing (or empty) input is an error; one wildcard is allowed."""
+    from rastertab.sources.catalog import object_ready, single_wildcard
+    single_wildcard(path)
     if not object_ready(spark, path):
         raise FileNotFoundError(f"{path} does not exist or is empty")
 

@@ -8,19 +8,8 @@ from pyspark.sql import functions as F
 
 from rastertab.functions.timefns import hour_diff, to_datetime
 from rastertab.functions.wkt import st_astext, st_geogfromtext
+from rastertab.sources.schemas import FORECAST_FIELDS
 
-# The nine forecast quantities, in table order.
-FORECAST_FIELDS = (
-    "temperature_2m_above_ground",
-    "specific_humidity_2m_above_ground",
-    "relative_humidity_2m_above_ground",
-    "u_component_of_wind_10m_above_ground",
-    "v_component_of_wind_10m_above_ground",
-    "total_precipitation_surface",
-    "precipitable_water_entire_atmosphere",
-    "total_cloud_cover_entire_atmosphere",
-    "downward_shortwave_radiation_flux",
-)
 CELL_KEY = ("creation_time", "geography", "geography_polygon")
 PRECIP_FIELD = "total_precipitation_surface"
 PRECIP_ACCUMULATED_FROM = "2019-11-07 06:00:00"  # fixed value: cycles from here accumulate from hour 0
@@ -62,21 +51,11 @@ def ordered_nest(df: DataFrame, keys, order_fields, payload_fields, name: str,
     return df.repartition(*keys).groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*fields))).alias(name))
 
 
-def check_group_bound(df: DataFrame, keys, max_group: int) -> None:
-    """Fail before nesting when some group is larger than ``max_group``.
-
-    Reads only the key columns and counts per 64-bit key hash with map-side
-    partial aggregation: the shuffle carries 16-byte rows instead of the
-    (long, textual) keys.  A hash collision can only add counts -- it may
-    raise, it never hides an oversized group.  A forecast cell has at most one
-    element per forecast hour; more means duplicated input, which must not be
-    collected into a single array (or silently dropped).
-    """
-    h = F.xxhash64(*[F.col(k) for k in keys]).alias("_key_hash")
-    big = df.groupBy(h).count().where(F.col("count") > max_group).limit(1).collect()
-    if big:
-        raise ValueError(f"a group of {list(keys)} holds {big[0]['count']} elements, which exceeds "
-                         f"{max_group}; input holds duplicates")
+def duplicate_elements(df: DataFrame, keys, order_fields) -> DataFrame:
+    """Report of repeated elements: ``keys, order fields, n`` for every element
+    that occurs more than once (duplicated input files).  Nothing is refused
+    or dropped: the nest holds every element."""
+    return df.groupBy(*keys, *order_fields).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
 def ordered_nest_chunked(df: DataFrame, keys, order_fields, payload_fields, name: str,
@@ -128,30 +107,19 @@ def deaccumulate(nested: DataFrame, array_col: str = "forecast", field: str = PR
                  since: str = PRECIP_ACCUMULATED_FROM, out_field: str | None = None) -> DataFrame:
     """DRV-2: per-step precipitation from a running total.
 
-    Works inside each nested array (``value[i] - value[i-1]``; the first element
-    keeps its value), so no window and no second shuffle.  Cycles before
+    Works inside each nested array (``value[i]`` less the total before it, which
+    is 0 when the step before has none, as hour 0), so no window and no second
+    shuffle; the first element keeps its value, null included.  Cycles before
     ``since`` are not accumulated and keep their values.
     """
     out_field = out_field or f"{field}_step"
     arr = F.col(array_col)
     accumulated = F.col("creation_time") >= F.lit(since).cast("timestamp_ntz")
     step = F.transform(arr, lambda e, i: e.withField(out_field, F.when(
-        accumulated & (i > 0), e[field] - arr[i - 1][field]).otherwise(e[field])))
+        accumulated & (i > 0), e[field] - F.coalesce(F.get(arr, i - 1)[field], F.lit(0.0))).otherwise(e[field])))
     return nested.withColumn(array_col, step)
 
 
-def deaccumulate_rows(rows: DataFrame, keys, order_col: str, field: str, out_col: str) -> DataFrame:
-    """DRV-2 on flat rows: ``value - lag(value)`` per key ordered by hour.
-
-    Partitioned by the cell key, so the window's shuffle is the same one a
-    nest would need.
-    """
-    from pyspark.sql import Window
-    w = Window.partitionBy(*keys).orderBy(F.col(order_col).asc_nulls_first())
-    prev = F.lag(field).over(w)
-    return rows.withColumn(out_col, F.when(prev.isNull(), F.col(field)).otherwise(F.col(field) - prev))
-
-
 def scale_values(df: DataFrame, col: str, factor: float = NPP_SCALE, out: str | None = None) -> DataFrame:
     """DRV-3: documented scale factor applied to an integer band."""
     return df.withColumn(out or f"{col}_scaled", F.col(col).cast("double") * F.lit(factor))

@@ -18,32 +18,6 @@ from rastertab.operators.attributes import PixelLayout, band_spark_type, infer_l
 from rastertab.sources.tiles import BLOCK_SIZE
 
 
-SMALL_INPUT_BYTES = 256 * 1024 * 1024
-
-
-def spread_small_input(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Fan-out operators (one tile -> up to 65,536 rows) need tasks, not bytes.
-
-    A tile input that is provably small (plan estimate under 256 MB) may sit
-    in one or two file splits; it is redistributed round-robin over the
-    cluster's cores first -- a shuffle of at most 256 MB.  Large inputs are
-    left alone: their file splits already give enough tasks and re-shuffling
-    raw raster bytes would cost more than it saves.
-    """
-    plan = df._jdf.queryExecution().optimizedPlan()
-    text = plan.treeString()
-    # already redistributed, or produced by a Python map whose size the
-    # planner cannot see (e.g. decoded blocks): leave it as it is
-    if "Repartition" in text or "MapInArrow" in text or "MapInPandas" in text:
-        return df
-    size = int(str(plan.stats().sizeInBytes()))
-    if size > SMALL_INPUT_BYTES:
-        return df
-    # at least ~64 KB of tile data (~8k pixel rows) per task, at most 2 per core
-    n = min_partitions or max(1, min(df.sparkSession.sparkContext.defaultParallelism * 2, size // (64 * 1024)))
-    return df.repartition(int(n))
-
-
 def _clip_sql(v: str, limit: float) -> str:
     """numpy ``clip``: NaN stays NaN (Spark's least/greatest would pick a bound)."""
     return f"(CASE WHEN isnan({v}) THEN {v} ELSE greatest(least({v}, {limit!r}D), {-limit!r}D) END)"
@@ -69,7 +43,8 @@ def expand_pixels(
     box_style: str = "g10",
     keep: tuple[str, ...] = (),
     band_prefix: str = "",
-    spread: bool = True,
+    num_partitions: int | None = None,
+    positions: str | None = None,
 ) -> DataFrame:
     """One row per pixel: ``keep..., [x, y, gx, gy, min_x, max_x, min_y, max_y],
     [geography, geography_polygon], attributes..., bands...``.
@@ -77,16 +52,22 @@ def expand_pixels(
     * every pixel is emitted, fill values and NaN included (RAS-9);
     * attributes are typed per tile, before the explode (RAS-8, SCH-4);
     * bands are cast to the layout's type (SCH-3).
+
+    No shuffle: the file splits of the tiles give the tasks.  A caller whose
+    tiles sit in too few splits asks for ``num_partitions``, which moves the
+    tiles once.  ``positions`` names an array column with the places of the
+    band values in their block, for blocks that hold only some cells.
     """
     layout = layout or infer_layout(tiles)
     nb = len(layout.band_names)
     btype = band_spark_type(layout.band_type)
 
-    if spread:
-        tiles = spread_small_input(tiles)
+    if num_partitions:
+        tiles = tiles.repartition(num_partitions)
     base = tiles.select(
         *[F.col(k) for k in keep],
         F.col("gt").alias("_g"), "ix", "iy", "xblock", "yblock", "bands",
+        *([F.col(positions).alias("_at")] if positions else []),
         *[typed_attribute(F.col("meta"), k, kind).alias(k) for k, kind in layout.attributes],
     )
     zipped = [F.col("bands")[i].alias(f"b{i}") for i in range(nb)]
@@ -102,7 +83,11 @@ def expand_pixels(
         # the per-tile text arrays ride along by reference; each pixel picks its
         # entries by index after the explode (no per-pixel arrays are built)
         geo_scalars.append(F.col("_ax"))
-    exploded = base.select(*scalars, *geo_scalars, F.posexplode(F.arrays_zip(*zipped)).alias("_pos", "_p"))
+    if positions:
+        exploded = base.select(*scalars, *geo_scalars, F.explode(F.arrays_zip(F.col("_at").alias("at"), *zipped)).alias("_p"))
+        exploded = exploded.select("*", F.col("_p.at").alias("_pos"))
+    else:
+        exploded = base.select(*scalars, *geo_scalars, F.posexplode(F.arrays_zip(*zipped)).alias("_pos", "_p"))
 
     # Per-pixel expressions as SQL text: one planner call per column instead of
     # one per operator (the plan is identical; building it is ~10x cheaper).

@@ -10,14 +10,13 @@ from pyspark.sql import types as T
 
 from rastertab.operators.attributes import PixelLayout
 from rastertab.operators.nest import deaccumulate, forecast_time_consistent, unnest
-from rastertab.operators.pixels import expand_pixels
-from rastertab.operators.reproject import DEG, SPHERE_RADIUS, reproject_nearest
+from rastertab.operators.reproject import DEG, SPHERE_RADIUS, reproject_tiles
 from rastertab.plans.forecast import forecast_nested, forecast_staging
 from rastertab.operators.nest import stage_projection
 from rastertab.plans.raster_queries import _FC_ORDER, _FC_PROJ
 from rastertab.plans.registry import register
 from rastertab.session import scratch_path
-from rastertab.sinks.tables import create_table
+from rastertab.sinks.tables import create_table, detached
 from rastertab.sources.driver_tables import _checked_embedding, forecast_tiles, read_table
 from rastertab.sources.tiles import with_year_from_name
 from rastertab.streaming.incremental import day_slice, incremental_slice_load
@@ -75,9 +74,8 @@ _D = repr(DEG)
 """)
 def reproject_query(spark, sf_dir):
     tiles = _sinusoidal_tiles(read_table(spark, sf_dir, "embeddings"))
-    px = expand_pixels(tiles, PixelLayout(("value",), "Float32"), block_size=8, with_text=False,
-                       with_coords=True, keep=("layer",))
-    return reproject_nearest(px, SRC_GT, SRC_COLS, SRC_ROWS, TGT_GT, TGT_COLS, TGT_ROWS, ["layer", "value"])
+    return reproject_tiles(tiles, PixelLayout(("value",), "Float32"), SRC_GT, SRC_COLS, SRC_ROWS, TGT_GT, TGT_COLS, TGT_ROWS,
+                           keep=("layer",), with_text=False, block_size=8)
 
 
 @register("year_from_name", ["RAS-11", "RAS-12", "SCL-13"], """
@@ -98,7 +96,7 @@ def year_from_name(spark, sf_dir):
     SELECT creation_time, geography, CAST(rn - 1 AS INTEGER) AS pos, forecast_hours AS hours,
            total_precipitation_surface,
            CASE WHEN creation_time >= TIMESTAMP '2019-11-07 06:00:00' AND rn > 1
-                THEN total_precipitation_surface - prev ELSE total_precipitation_surface END
+                THEN total_precipitation_surface - coalesce(prev, 0) ELSE total_precipitation_surface END
                AS total_precipitation_surface_step
     FROM (SELECT *, row_number() OVER w AS rn, lag(total_precipitation_surface) OVER w AS prev
           FROM ({_FC_PROJ})
@@ -135,5 +133,5 @@ def stream_slices(spark, sf_dir):
     table_schema = T.StructType([*schema.fields, T.StructField("day", T.StringType())])  # new object: no mutation
     create_table(spark, name, table_schema, partition_by=("day",), location=scratch_path(spark, "stream"))
     incremental_slice_load(spark, sf_dir, schema, name, {"day": day_slice("ts")},
-                           checkpoint=scratch_path(spark, "stream-ckpt"), glob="events.parquet")
-    return spark.table(name)
+                           checkpoint=scratch_path(spark, "stream-ckpt"), glob="events.parquet", cluster_by=("event_id",))
+    return detached(spark, name)

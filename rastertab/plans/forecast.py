@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rastertab.operators.attributes import PixelLayout
 from rastertab.functions.numtext import cell_text, negative_zero_mask
 from rastertab.functions.timefns import hour_diff, to_datetime
+from rastertab.functions.wkt import with_cell_numbers
 from rastertab.operators.nest import FORECAST_FIELDS, nest_forecast, ordered_nest, stage_projection
 from rastertab.operators.pixels import expand_pixels
 from rastertab.sources.schemas import conform, declared
@@ -34,27 +35,32 @@ CELL_NUMERIC_KEY = ("gx", "gy", "min_x", "max_x", "min_y", "max_y", "negz")
 
 
 def forecast_nested_late(tiles: DataFrame, layout: PixelLayout | None = None) -> DataFrame:
-    """Same table as :func:`forecast_nested`, formatted late.
-
-    The nest groups on the numeric cell key (centre + box edges + a sign mask
-    for negative zeros, 52 bytes)
-    instead of the two WKT strings, and the text is produced once per cell
-    after the aggregation: the shuffle carries no text and the formatting
-    work drops by the number of forecast hours per cell.  The WKT text is a
-    function of exactly these numbers, so the grouping is the same as long as
-    distinct cells are further apart than the text precision (true for every
-    real grid: ``%.10g`` keeps >= 7 decimals below 1000 degrees).
-    """
+    """Same table as :func:`forecast_nested`, formatted late, from tiles."""
     layout = layout or forecast_layout()
     px = expand_pixels(tiles, layout, with_text=False, with_coords=True)
     px = px.withColumn("negz", negative_zero_mask([F.col(c) for c in CELL_NUMERIC_KEY[:6]]))
-    staged = px.select(
+    return nest_cells(px)
+
+
+def nest_cells(rows: DataFrame) -> DataFrame:
+    """The grouped forecast table from rows with the numeric cell key.
+
+    The nest groups on the numeric cell key (centre, box edges and a sign mask
+    for negative zeros, 52 bytes) instead of the two WKT strings, and the text
+    is produced once per cell after the aggregation: the shuffle carries no
+    text and the formatting work drops by the number of forecast hours per
+    cell.  The WKT text is a function of exactly these numbers, so the grouping
+    is the same as long as distinct cells are further apart than the text
+    precision (true for every real grid: ``%.10g`` keeps >= 7 decimals below
+    1000 degrees).
+    """
+    staged = rows.select(
         *CELL_NUMERIC_KEY,
         to_datetime(F.col("creation_time")).alias("creation_time"),
         F.coalesce(F.col("forecast_hours").cast("bigint"),
                    hour_diff(F.col("creation_time"), F.col("forecast_time"))).alias("forecast_hours"),
         to_datetime(F.col("forecast_time")).alias("forecast_time"),
-        *[(F.col(c).cast("double") if c in px.columns else F.lit(None).cast("double")).alias(c)
+        *[(F.col(c).cast("double") if c in rows.columns else F.lit(None).cast("double")).alias(c)
           for c in FORECAST_FIELDS],
     )
     nested = ordered_nest(staged, ["creation_time", *CELL_NUMERIC_KEY], ["forecast_hours", "forecast_time"],
@@ -64,6 +70,14 @@ def forecast_nested_late(tiles: DataFrame, layout: PixelLayout | None = None) ->
                          text.geography_polygon.alias("geography_polygon"), "forecast")
 
 
+def nest_staged(staged: DataFrame) -> DataFrame:
+    """The grouped forecast table from staging rows with WKT text: the text is
+    read back into the numeric cell key where it is scanned, so that it is not
+    shuffled, and written again (in the one normal form, ``%.10g``) per cell.
+    A text that is no point or no five-corner cell box is an error."""
+    return nest_cells(with_cell_numbers(staged))
+
+
 def nested_summary(nested: DataFrame) -> DataFrame:
     """Flat companion of a nested forecast table: element count, ordered hour
     list and the first/last temperature (checks order without nested values)."""

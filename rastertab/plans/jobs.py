@@ -5,7 +5,6 @@
 * :func:`load_forecast_cycle`  -- staging load + ordered nest + cycle replace (3.1)
 * :func:`load_population_slice`-- (country, year) slice replace (3.2)
 * :func:`load_population_countries` -- every listed country of a year in one job
-* :func:`reproject_to_wgs84`   -- sinusoidal pixels -> WGS84 pixels with WKT (RAS-10)
 * :func:`load_productivity_year` -- reprojected year into its partition (3.3)
 * :func:`load_productivity_from_tiles` -- the whole 3.3 flow from sinusoidal tiles
 """
@@ -18,29 +17,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rastertab.functions.timefns import cycle_suffix
-from rastertab.operators.attributes import PixelLayout, infer_layout
-from rastertab.functions.wkt import point_lat_lon
-from rastertab.operators.filters import include_exclude, pending, require
-from rastertab.operators.grid_text import with_grid_text
-from rastertab.operators.nest import CELL_KEY, check_group_bound, nest_forecast, stage_projection
+from rastertab.operators.attributes import PixelLayout, infer_layouts, of_layout
+from rastertab.operators.filters import include_exclude, plan_exports, require, require_input
 from rastertab.operators.pixels import expand_pixels
-from rastertab.operators.reproject import SPHERE_RADIUS, reproject_nearest
+from rastertab.operators.reproject import SPHERE_RADIUS, reproject_tiles
+from rastertab.plans.forecast import nest_staged
 from rastertab.sinks.csv_text import csv_lines, write_csv_lines
-from rastertab.sinks.tables import (create_database, create_table, replace_listed_slices, replace_partition,
+from rastertab.sinks.tables import (OUTSIDE, create_database, create_table, replace_listed_slices, replace_partition,
                                     staging_name, truncate_load, write_parquet)
 from rastertab.sources import catalog as cat
 from rastertab.sources.schemas import conform, declared, enforce_required, read_declared
 from rastertab.sources.tiles import image_name
 
-MAX_HOURS_PER_CELL = 1000  # bound on forecast elements per (cycle, cell); more = duplicated input
 YEAR_RANGE = (1900, 2100)  # fixed value: integer range partitioning bounds (inclusive start, exclusive end)
 
 
 # --------------------------------------------------------------------------- export side
 def select_images(catalog: DataFrame, task: str, *, date=None, country: str | None = None, year: int | None = None,
-                  include: str | None = None, exclude: str | None = None, outputs: DataFrame | None = None,
-                  overwrite: bool = False) -> DataFrame:
-    """Images to export for one task, as ``image_id, name`` rows (distributed)."""
+                  include: str | None = None, exclude: str | None = None, rasters: DataFrame | None = None,
+                  outputs: DataFrame | None = None, overwrite: bool = False) -> DataFrame:
+    """Images to export for one task: ``image_id, name, needs_download,
+    needs_convert`` (distributed).
+
+    ``rasters`` and ``outputs`` are listings (``path, length``) of what exists;
+    a listing that is not given holds nothing.  Only an empty catalog selection
+    is an error; a selection whose work is all done gives no rows.
+    """
     require(task, "task")
     if task in ("gfs", "annual_npp"):
         sel = cat.select_cycle(catalog, require(date, "date"))
@@ -48,27 +50,39 @@ def select_images(catalog: DataFrame, task: str, *, date=None, country: str | No
         sel = cat.select_country_year(catalog, require(country, "country"), require(year, "year"))
     else:
         raise ValueError(f"unknown task {task!r}")
+    sel = cat.require_nonempty(sel, f"{task} selection")
     sel = sel.withColumn("name", image_name(F.col("image_id")))
     sel = include_exclude(sel, F.col("name"), include, exclude)
-    if outputs is not None:
-        sel = pending(sel, outputs, "name", overwrite=overwrite)
-    return cat.require_nonempty(sel, f"{task} selection")
+    nothing = catalog.sparkSession.createDataFrame([], "path string, length bigint")
+    rasters, outputs = (cat.listed_names(nothing if x is None else x) for x in (rasters, outputs))
+    return plan_exports(sel, rasters, outputs, overwrite=overwrite)
 
 
 def convert_tiles(tiles: DataFrame, out_path: str | None = None, fmt: str = "parquet",
-                  layout: PixelLayout | None = None, partition_by=()) -> str:
-    """Converter: print-schema mode when ``out_path`` is None (returns the schema
-    text), else writes one row/line per pixel."""
-    layout = layout or infer_layout(tiles)
-    schema_text = layout.schema_string()
-    if out_path is None:
-        return schema_text
-    if fmt == "csv":
-        write_csv_lines(csv_lines(tiles, layout), out_path)
-    else:
-        keep = tuple(c for c in partition_by if c in tiles.columns)
-        write_parquet(expand_pixels(tiles, layout, keep=keep), out_path, partition_by=partition_by)
-    return schema_text
+                  layout: PixelLayout | None = None, partition_by=()) -> list[str]:
+    """Converter: one row or line per pixel.  Every image is typed by its own
+    metadata and bands: each layout of the input is written into the same
+    folder with its own columns (read it with a declared schema, which fills
+    what a layout lacks with nulls).  Returns the schema text of each layout;
+    without ``out_path`` nothing is written."""
+    layouts = [layout] if layout else infer_layouts(tiles)
+    for i, one in enumerate(layouts if out_path else ()):
+        own, mode = tiles if layout or len(layouts) == 1 else of_layout(tiles, one), "append" if i else "overwrite"
+        if fmt == "csv":
+            write_csv_lines(csv_lines(own, one), out_path, mode)
+        else:
+            keep = tuple(c for c in partition_by if c in tiles.columns)
+            write_parquet(expand_pixels(own, one, keep=keep), out_path, partition_by=partition_by, mode=mode)
+    return [one.schema_string() for one in layouts]
+
+
+def _source(spark: SparkSession, source: str | DataFrame, schema) -> DataFrame:
+    """Files (a path or one-wildcard pattern, which must exist and not be
+    empty) or rows, projected onto the declared schema."""
+    if not isinstance(source, str):
+        return conform(source, schema)
+    require_input(spark, source)
+    return read_declared(spark, source, schema)
 
 
 # --------------------------------------------------------------------------- forecast cycle
@@ -76,102 +90,98 @@ def load_forecast_cycle(spark: SparkSession, source: str | DataFrame, table: str
                         staging_db: str = "staging", location: str | None = None,
                         staging_location: str | None = None) -> None:
     """Staging truncate-load of the cycle's files, then the cycle partition of
-    ``table`` is replaced by the ordered nest of the staging rows."""
+    ``table`` is replaced by the ordered nest of the staging rows (one scan of
+    the staging table, one exchange on the numeric cell key)."""
     require(table, "table")
     require(cycle, "cycle")
     create_database(spark, staging_db)
     stg_name = f"{staging_db}.{staging_name(table.split('.')[-1], cycle_suffix(cycle))}"
     schema = declared("gfs")
-    raw = read_declared(spark, source, schema) if isinstance(source, str) else conform(source, schema)
     # staging is day-partitioned on creation_time like its warehouse counterpart
-    staging = enforce_required(raw, schema).withColumn("creation_date", F.to_date("creation_time"))
+    staging = enforce_required(_source(spark, source, schema), schema).withColumn("creation_date", F.to_date("creation_time"))
     truncate_load(staging, stg_name, partition_by=("creation_date",), location=staging_location, layout=False)
     create_table(spark, table, declared("gfs_group"), partition_by=("creation_time",), location=location,
                  comment="forecast: one row per cycle and cell")
     staged = spark.table(stg_name).drop("creation_date")
-    check_group_bound(staged, CELL_KEY, MAX_HOURS_PER_CELL)
-    nested = nest_forecast(stage_projection(staged))
-    nested = nested.sortWithinPartitions(*point_lat_lon(F.col("geography")))
-    replace_partition(spark, nested, table, {"creation_time": cycle.strftime("%Y-%m-%d %H:%M:%S")})
+    text = cycle.strftime("%Y-%m-%d %H:%M:%S")
+    if not staged.where(F.col("creation_time") != F.lit(text).cast("timestamp")).isEmpty():  # one pushed column
+        raise ValueError(f"{OUTSIDE} ({table} {text})")
+    nested = nest_staged(staged).sortWithinPartitions("geography")
+    replace_partition(spark, nested, table, {"creation_time": text})
 
 
 # --------------------------------------------------------------------------- population slice
 def load_population_slice(spark: SparkSession, source: str | DataFrame, table: str, country: str, year: int, *,
                           location: str | None = None) -> None:
     """Replace the (year, country) slice; source rows of other slices are ignored
-    and an empty source removes the slice (MERGE ... ON FALSE semantics).
+    and an empty source slice removes the slice (MERGE ... ON FALSE semantics).
     One code path for every country: large slices are just more tasks."""
     require(table, "table")
     require(country, "country")
     _check_year(year)
     schema = declared("world_pop")
-    src = read_declared(spark, source, schema) if isinstance(source, str) else conform(source, schema)
-    src = enforce_required(src, schema)
-    data_schema = declared("world_pop")
-    create_table(spark, table, _reorder(data_schema, ["year", "country"]), partition_by=("year", "country"),
+    create_table(spark, table, _reorder(schema, ["year", "country"]), partition_by=("year", "country"),
                  location=location)
-    replace_partition(spark, src.sortWithinPartitions(*point_lat_lon(F.col("geography"))), table,
+    replace_partition(spark, population_rows(spark, source, [country], year), table,
                       {"year": year, "country": country}, on_foreign_rows="ignore")
 
 
+def population_rows(spark: SparkSession, source: str | DataFrame, countries, year: int) -> DataFrame:
+    """Source rows of the slices: the slice filter stands on the raw columns, so
+    it reaches the scan, and REQUIRED fields are checked on what it keeps.
+    Rows keep the converter's block order, sorted by cell within a file."""
+    schema = declared("world_pop")
+    raw = _source(spark, source, schema).where((F.col("year") == year) & F.col("country").isin(list(countries)))
+    return enforce_required(raw, schema).sortWithinPartitions("country", "geography")
+
+
 def load_population_countries(spark: SparkSession, source: str | DataFrame, table: str, year: int,
                               countries, *, location: str | None = None) -> list[str]:
     """Replace the (year, country) slice of every listed country in one job.
 
     The files of all countries are read together (a big country is just more
     file splits); rows of other years or unlisted countries are ignored; the
-    slices present are swapped in by one dynamic overwrite; listed countries
+    slices present are written by one dynamic overwrite; listed countries
     without any row get their slice cleared.  Returns the cleared countries.
     """
     require(table, "table")
     wanted = [c.strip() for c in (countries.split(",") if isinstance(countries, str) else countries) if c.strip()]
     require(wanted, "countries")
     _check_year(year)
-    schema = declared("world_pop")
-    src = read_declared(spark, source, schema) if isinstance(source, str) else conform(source, schema)
-    create_table(spark, table, _reorder(schema, ["year", "country"]), partition_by=("year", "country"),
+    create_table(spark, table, _reorder(declared("world_pop"), ["year", "country"]), partition_by=("year", "country"),
                  location=location)
-    src = enforce_required(src, schema).sortWithinPartitions("country", *point_lat_lon(F.col("geography")))
-    return replace_listed_slices(spark, src, table, "country", wanted, fixed={"year": year})
+    return replace_listed_slices(spark, population_rows(spark, source, wanted, year), table, "country", wanted,
+                                 fixed={"year": year}, cluster_by=("geography",))
 
 
 # --------------------------------------------------------------------------- productivity year
-def reproject_to_wgs84(source_pixels: DataFrame, src_gt, src_xsize: int, src_ysize: int, target_gt,
-                       target_xsize: int, target_ysize: int, value_cols, radius: float = SPHERE_RADIUS) -> DataFrame:
-    """Sinusoidal pixels -> WGS84 pixels with WKT text (RAS-10 + text lookups)."""
-    out = reproject_nearest(source_pixels, src_gt, src_xsize, src_ysize, target_gt, target_xsize, target_ysize,
-                            value_cols, radius)
-    return with_grid_text(out, target_gt, target_xsize, target_ysize)
-
-
 def load_productivity_year(spark: SparkSession, source: str | DataFrame, table: str, year: int, *,
                            location: str | None = None) -> None:
     """Replace partition ``year`` (``table$YYYY``); rows of another year fail the load."""
     require(table, "table")
     _check_year(year)
     schema = declared("annual_npp")
-    src = read_declared(spark, source, schema) if isinstance(source, str) else conform(source, schema)
-    src = enforce_required(src, schema)
+    src = enforce_required(_source(spark, source, schema), schema)
     create_table(spark, table, _reorder(schema, ["year"]), partition_by=("year",), location=location)
-    replace_partition(spark, src.sortWithinPartitions(*point_lat_lon(F.col("geography"))), table, {"year": year})
+    replace_partition(spark, src.sortWithinPartitions("geography"), table, {"year": year})
 
 
 def load_productivity_from_tiles(spark: SparkSession, tiles: DataFrame, table: str, year: int, src_gt,
                                  src_xsize: int, src_ysize: int, target_gt, target_xsize: int, target_ysize: int,
-                                 *, band_names=("Npp", "Npp_QC"), band_type: str = "Int16",
-                                 location: str | None = None) -> None:
-    """Annual productivity, end to end (3.3): sinusoidal tiles of one year ->
-    year from the image name (RAS-11) -> nearest-pixel reprojection to the
-    WGS84 grid (RAS-10) -> WKT text -> replace partition ``year`` (SNK-4).
+                                 *, band_names=("Npp", "Npp_QC"), band_type: str = "Int16", radius: float = SPHERE_RADIUS,
+                                 block_size: int | None = None, location: str | None = None) -> None:
+    """Annual productivity, end to end (3.3): sinusoidal tiles of one year, of
+    one or several adjacent images -> year from the image name (RAS-11) ->
+    block-wise nearest-pixel reprojection to the WGS84 grid with WKT text
+    (RAS-10) -> replace partition ``year`` (SNK-4).
 
     Band names are matched case-insensitively to the declared columns
     (``Npp`` -> ``npp``).  Tiles of another year fail the load.
     """
-    from rastertab.sources.tiles import with_year_from_name
+    from rastertab.sources.tiles import BLOCK_SIZE, with_year_from_name
     layout = PixelLayout(tuple(band_names), band_type, (("year", "integer"),))
-    px = expand_pixels(with_year_from_name(tiles), layout, with_text=False, with_coords=True)
-    values = [b for b in band_names] + ["year"]
-    out = reproject_to_wgs84(px, src_gt, src_xsize, src_ysize, target_gt, target_xsize, target_ysize, values)
+    out = reproject_tiles(with_year_from_name(tiles), layout, src_gt, src_xsize, src_ysize, target_gt, target_xsize,
+                          target_ysize, block_size=block_size or BLOCK_SIZE, radius=radius)
     load_productivity_year(spark, out, table, year, location=location)
 
 

@@ -54,7 +54,7 @@ _FC_STAGE = """
            CAST(embedding[pos + 17] AS DOUBLE) AS relative_humidity_2m_above_ground,
            CAST(embedding[pos + 25] AS DOUBLE) AS u_component_of_wind_10m_above_ground,
            CAST(embedding[pos + 33] AS DOUBLE) AS v_component_of_wind_10m_above_ground,
-           CAST(embedding[pos + 41] AS DOUBLE) AS total_precipitation_surface,
+           CASE WHEN hour > 0 THEN CAST(embedding[pos + 41] AS DOUBLE) END AS total_precipitation_surface,
            CAST(embedding[pos + 49] AS DOUBLE) AS precipitable_water_entire_atmosphere,
            CAST(embedding[pos + 57] AS DOUBLE) AS total_cloud_cover_entire_atmosphere,
            CAST(NULL AS DOUBLE) AS downward_shortwave_radiation_flux
@@ -128,12 +128,12 @@ def cell_wkt(spark, sf_dir):
     return px.select("vec_id", "x", "y", "geography", "geography_polygon", "year", "value")
 
 
-@register("multiband_pixels", ["RAS-3", "RAS-4", "RAS-8", "SRC-2"], f"""
+@register("multiband_pixels", ["RAS-3", "RAS-4", "RAS-8"], f"""
     SELECT a.vec_id, CAST(a.x AS BIGINT) AS x, CAST(a.y AS BIGINT) AS y,
            {_POINT_SQL.replace('gx', 'a.gx').replace('gy', 'a.gy')} AS geography,
            CAST(2000 + a.label AS INTEGER) AS year, a.value AS first,
            CAST(b.embedding[a.pos + 1] AS DOUBLE) AS second
-    FROM ({_EMB_GEO}) a JOIN embeddings b ON b.vec_id = a.vec_id + 1
+    FROM ({_EMB_GEO}) a LEFT JOIN embeddings b ON b.vec_id = a.vec_id + 1
 """)
 def multiband_pixels(spark, sf_dir):
     px = expand_pixels(embedding_pair_tiles(_emb(spark, sf_dir)), PAIR_LAYOUT, with_text=True, with_coords=True,
@@ -238,17 +238,18 @@ def schema_strings(spark, sf_dir):
              || regexp_replace(CAST(max_x AS VARCHAR), '\\.0$', '') || ' ' || regexp_replace(CAST(min_y AS VARCHAR), '\\.0$', '') || ', ' || regexp_replace(CAST(max_x AS VARCHAR), '\\.0$', '') || ' ' || regexp_replace(CAST(max_y AS VARCHAR), '\\.0$', '') || ', '
              || regexp_replace(CAST(min_x AS VARCHAR), '\\.0$', '') || ' ' || regexp_replace(CAST(max_y AS VARCHAR), '\\.0$', '') || ', ' || regexp_replace(CAST(min_x AS VARCHAR), '\\.0$', '') || ' ' || regexp_replace(CAST(min_y AS VARCHAR), '\\.0$', '') || ', '
              || regexp_replace(CAST(max_x AS VARCHAR), '\\.0$', '') || ' ' || regexp_replace(CAST(min_y AS VARCHAR), '\\.0$', '') || '))",' || CAST(2000 + label AS VARCHAR) || ','
-             || printf('%g', value) AS line
-    FROM ({_EMB_BOX})
+             || printf('%g', value) || ',' || coalesce(printf('%g', second), '') AS line
+    FROM (SELECT a.*, CAST(b.embedding[a.pos + 1] AS DOUBLE) AS second
+          FROM ({_EMB_BOX}) a LEFT JOIN embeddings b ON b.vec_id = a.vec_id + 1)
 """)
 def csv_lines_query(spark, sf_dir):
-    tiles = embedding_tiles(_emb(spark, sf_dir))
-    return csv_lines(tiles, EMB_LAYOUT, keep=("vec_id",), with_position=True)
+    """Two-band lines; the last image's second band is missing (empty field)."""
+    tiles = embedding_pair_tiles(_emb(spark, sf_dir))
+    return csv_lines(tiles, PAIR_LAYOUT, keep=("vec_id",), with_position=True)
 
 
 # --------------------------------------------------------------------------- AGG-1 flagship
-@register("nest_forecast", ["AGG-1", "SRT-1", "PRJ-1", "PRJ-2", "PRJ-3", "SCL-5", "SCL-6", "SCL-7", "SCL-8",
-                            "SCL-9", "SCH-5", "SRC-3"], f"""
+@register("nest_forecast", ["AGG-1", "SRT-1", "PRJ-2", "PRJ-3", "SCL-7", "SCL-8", "SCL-9"], f"""
     SELECT creation_time, geography, geography_polygon,
            CAST(len(forecast) AS BIGINT) AS n_hours,
            array_to_string(list_transform(forecast, lambda e: coalesce(CAST(e.hours AS VARCHAR), 'null')), ',') AS hours_list,
@@ -264,7 +265,7 @@ def nest_forecast_query(spark, sf_dir):
     return nested_summary(forecast_nested_late(forecast_tiles(_emb(spark, sf_dir))))
 
 
-@register("nest_forecast_positions", ["AGG-1", "DRV-1"], f"""
+@register("nest_forecast_positions", ["AGG-1", "DRV-1", "PRJ-1", "PRJ-2", "PRJ-3", "SCH-5", "SCL-5", "SCL-6"], f"""
     SELECT creation_time, geography,
            CAST(row_number() OVER (PARTITION BY creation_time, geography, geography_polygon ORDER BY {_FC_ORDER}) - 1
                 AS INTEGER) AS pos,

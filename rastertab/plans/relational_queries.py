@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rastertab.functions.text import basename, extension, first_field, strip_extension
-from rastertab.functions.timefns import cycle_time_col, epoch_millis_to_text, hour_diff, to_datetime
+from rastertab.functions.timefns import cycle_time_col, epoch_millis_to_text
 from rastertab.operators.filters import include_exclude, pending, plan_exports
-from rastertab.operators.nest import ordered_nest, scale_values, unnest
+from rastertab.operators.nest import duplicate_elements, ordered_nest, ordered_nest_chunked, scale_values, unnest
 from rastertab.plans.registry import register
 from rastertab.sources import catalog as cat
 from rastertab.sources.driver_catalog import orders_catalog
@@ -107,7 +107,7 @@ def export_plan(spark, sf_dir):
     return plan_exports(docs, rasters, outputs)
 
 
-@register("path_slices", ["SRC-9", "SCL-14", "SNK-10"], """
+@register("path_slices", ["SRC-9", "SCL-14"], """
     SELECT event_id,
            'out/gfs/date=' || strftime(ts - INTERVAL 4 HOUR, '%Y-%m-%d') || '/' || strftime(ts - INTERVAL 4 HOUR, '%H')
                || '/parquet/' AS forecast_prefix,
@@ -202,23 +202,7 @@ def required_enforced(spark, sf_dir):
     return enforce_required(conform(read_table(spark, sf_dir, "orders"), schema), schema)
 
 
-# --------------------------------------------------------------------------- projections / time
-@register("stage_projection", ["PRJ-1", "SCL-7", "SCL-8", "SCL-9"], """
-    SELECT event_id, creation_time,
-           coalesce(raw_hours, date_sub('hour', creation_time, ts)) AS forecast_hours,
-           ts AS forecast_time, value
-    FROM (SELECT event_id, ts, value, date_trunc('day', ts) + INTERVAL 12 HOUR AS creation_time,
-                 CASE WHEN event_id % 7 = 0 THEN NULL ELSE event_id % 10 END AS raw_hours FROM events)
-""")
-def stage_projection_query(spark, sf_dir):
-    ev = read_table(spark, sf_dir, "events")
-    ct = F.date_trunc("day", F.col("ts")) + F.expr("INTERVAL 12 HOURS")
-    raw = F.when(F.col("event_id") % 7 == 0, F.lit(None)).otherwise(F.col("event_id") % 10)
-    return ev.select("event_id", to_datetime(ct).alias("creation_time"),
-                     F.coalesce(raw.cast("bigint"), hour_diff(ct, F.col("ts"))).alias("forecast_hours"),
-                     to_datetime(F.col("ts")).alias("forecast_time"), "value")
-
-
+# --------------------------------------------------------------------------- time
 @register("epoch_ms", ["SCL-10"], """
     SELECT event_id, ms, make_timestamp(ms * 1000) AS from_ms,
            strftime(make_timestamp(CAST(floor(ms / 1000.0) AS BIGINT) * 1000000), '%Y-%m-%dT%H:%M:%S') AS ms_text
@@ -272,6 +256,26 @@ def unnest_roundtrip(spark, sf_dir):
     return unnest(_nested_lines(spark, sf_dir), "lines", keep=["l_orderkey"], position="pos")
 
 
+@register("nest_chunked", ["AGG-1", "SRT-1"], f"""
+    SELECT l_orderkey, {', '.join(_LINE_FIELDS)} FROM lineitem
+""")
+def nest_chunked(spark, sf_dir):
+    """The nest for keys that may be hot: chunks of each key's ordered array,
+    here taken apart again to show that they hold every element."""
+    li = read_table(spark, sf_dir, "lineitem")
+    chunks = ordered_nest_chunked(li, ["l_orderkey"], _LINE_FIELDS[:1], _LINE_FIELDS[1:], "lines")
+    return unnest(chunks, "lines", keep=["l_orderkey"])
+
+
+@register("nest_duplicates", ["AGG-1"], """
+    SELECT l_orderkey, l_linenumber, CAST(count(*) AS BIGINT) AS n FROM lineitem
+    GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
+""")
+def nest_duplicates(spark, sf_dir):
+    """Report of elements that occur more than once in a cell's array."""
+    return duplicate_elements(read_table(spark, sf_dir, "lineitem"), ["l_orderkey"], ["l_linenumber"])
+
+
 @register("scale_values", ["DRV-3"], """
     SELECT p_partkey, CAST(p_size AS BIGINT) AS npp, CAST(p_size AS DOUBLE) * 0.0001 AS npp_scaled FROM part
 """)

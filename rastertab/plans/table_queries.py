@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rastertab.plans.registry import register
 from rastertab.session import scratch_path
-from rastertab.sinks.tables import replace_listed_slices, replace_partition, truncate_load
+from rastertab.sinks.tables import detached, replace_listed_slices, replace_partition, truncate_load
 from rastertab.sources.driver_tables import read_table
 
 
@@ -38,7 +38,7 @@ def _revise_orders(df):
             .withColumn("o_orderstatus", F.lit("F")))
 
 
-@register("slice_replace_time", ["SNK-5", "FLT-4", "SNK-3", "SNK-8", "SNK-9a", "SNK-9b", "SNK-9d"], f"""
+@register("slice_replace_time", ["SNK-5", "FLT-4", "SNK-3", "SNK-9b", "SNK-9d"], f"""
     SELECT * FROM ({_ORDERS_MONTHLY}) WHERE creation_time <> TIMESTAMP '{SLICE_MONTH}'
     UNION ALL
     SELECT o_orderkey, o_custkey, 'F' AS o_orderstatus, round(o_totalprice * 1.1, 2) AS o_totalprice,
@@ -51,7 +51,7 @@ def slice_replace_time(spark, sf_dir):
     truncate_load(monthly, name, partition_by=("creation_time",), cluster_by=("o_orderkey",), location=loc)
     revised = _revise_orders(monthly.where(F.col("creation_time") == F.lit(SLICE_MONTH).cast("timestamp_ntz")))
     replace_partition(spark, revised, name, {"creation_time": SLICE_MONTH})
-    return spark.table(name)
+    return detached(spark, name)
 
 
 # --------------------------------------------------------------------------- SNK-4 (year partition)
@@ -72,7 +72,7 @@ def partition_truncate_load(spark, sf_dir):
     truncate_load(yearly, name, partition_by=("year",), location=loc)
     revised = _revise_orders(yearly.where(F.col("year") == SLICE_YEAR))
     replace_partition(spark, revised, name, {"year": SLICE_YEAR})
-    return spark.table(name)
+    return detached(spark, name)
 
 
 # --------------------------------------------------------------------------- SNK-6 (two-key slice, MERGE ON FALSE)
@@ -93,7 +93,7 @@ def slice_replace_two_key(spark, sf_dir):
     revised = cust.withColumn("c_name", F.upper("c_name")).withColumn("c_acctbal", F.col("c_acctbal") + 100.0)
     replace_partition(spark, revised, name, {"c_nationkey": SLICE_NATION, "c_mktsegment": SLICE_SEGMENT},
                       on_foreign_rows="ignore")
-    return spark.table(name).select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    return detached(spark, name).select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
 
 
 @register("slice_replace_empty", ["SNK-6"], f"""
@@ -107,7 +107,7 @@ def slice_replace_empty(spark, sf_dir):
     empty_slice = cust.where((F.col("c_nationkey") == SLICE_NATION) & (F.col("c_mktsegment") == SLICE_SEGMENT)
                              & (F.col("c_acctbal") > F.lit(1e300)))
     replace_partition(spark, empty_slice, name, {"c_nationkey": SLICE_NATION, "c_mktsegment": SLICE_SEGMENT})
-    return spark.table(name).select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    return detached(spark, name).select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
 
 
 @register("slice_read", ["FLT-4", "FLT-5", "SNK-9c"], f"""
@@ -120,7 +120,7 @@ def slice_read(spark, sf_dir):
     name, loc = _table(spark, "years")
     yearly = read_table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
     truncate_load(yearly, name, partition_by=("year",), location=loc)
-    return spark.table(name).where(F.col("year") == SLICE_YEAR).select("o_orderkey", "o_totalprice", "year")
+    return detached(spark, name).where(F.col("year") == SLICE_YEAR).select("o_orderkey", "o_totalprice", "year")
 
 
 LISTED_NATIONS = (1, 2, 3)
@@ -142,4 +142,4 @@ def slice_replace_listed(spark, sf_dir):
     revised = (cust.where(F.col("c_nationkey") != 3).withColumn("c_name", F.upper("c_name"))
                .withColumn("c_acctbal", F.col("c_acctbal") + 100.0))
     replace_listed_slices(spark, revised, name, "c_nationkey", list(LISTED_NATIONS))
-    return spark.table(name).select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    return detached(spark, name).select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")

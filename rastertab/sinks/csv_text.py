@@ -1,7 +1,8 @@
 """Headerless CSV pixel lines (SNK-1, SCL-4, SCL-10 text form).
 
 Line layout: ``"POINT(x y)","POLYGON ((...))",<attributes>,<bands>`` -- the
-two geographies quoted, attributes and band values bare.  Spark's CSV writer
+two geographies quoted, attributes and band values bare.  A missing value is an empty field, so every line has the same
+fields.  Spark's CSV writer
 would not quote ``POINT(x y)`` (no separator inside), so lines are built as
 text and written with the text sink.
 """
@@ -44,7 +45,7 @@ def csv_lines(tiles: DataFrame, layout: PixelLayout, *, keep: tuple[str, ...] =
                        F.concat(q, F.col("geography"), q),
                        F.concat(q, F.col("geography_polygon"), q),
                        *[F.coalesce(F.col(a), F.lit("")) for a in attr_cols],
-                       *bands)
+                       *[F.coalesce(b, F.lit("")) for b in bands])
     out = [F.col(k) for k in keep] + ([F.col("x"), F.col("y")] if with_position else []) + [line.alias("line")]
     return px.select(*out)
 

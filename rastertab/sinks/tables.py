@@ -6,10 +6,15 @@ untouched:
 
 * non-empty source: dynamic partition overwrite *by path* (the writer option
   is honoured there; ``insertInto`` / ``saveAsTable`` ignore it), staged in
-  the job's own folder and swapped in at commit -- crash-safe and safe for
-  concurrent loads of different slices;
+  the job's own folder, so loads of different slices can run at the same time
+  and a job that fails before its commit leaves the old slice.  The commit
+  itself is not atomic: Spark removes the old partition folder and renames the
+  new one into its place (on object stores the rename is a copy), so a driver
+  killed in between loses the slice until the load is repeated;
 * empty source: static ``INSERT OVERWRITE ... PARTITION (k=v)``, which clears
   the slice (a dynamic overwrite would leave it).
+
+The source is evaluated once: rows are checked and counted as they are written.
 """
 
 from __future__ import annotations
@@ -18,7 +23,7 @@ import datetime as _dt
 import uuid
 from typing import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -145,36 +150,19 @@ def table_storage(spark: SparkSession, table: str) -> tuple[str, bool]:
     return info["Location"], info.get("Partition Provider") == "Catalog"
 
 
+OUTSIDE = "source holds rows outside the slice being replaced"
+
+
 def replace_partition(spark: SparkSession, src: DataFrame, table: str, slice_values: Mapping[str, object],
                       *, on_foreign_rows: str = "raise") -> None:
     """Replace exactly one partition (slice) of ``table`` with ``src``.
 
     ``on_foreign_rows``: what to do with source rows of another slice --
     ``"raise"`` (SNK-4/SNK-5: a cycle or year load must hold only its slice;
-    checked on the key columns only, before anything is written) or
+    the writing job fails on the first such row, before its commit) or
     ``"ignore"`` (SNK-6 MERGE semantics: they are filtered out).
-
-    A non-empty slice is written with a *dynamic* partition overwrite into the
-    job's own staging folder; the old slice is swapped out only when the job
-    commits.  So a failed or killed load leaves the previous slice intact, and
-    loads of different slices of one table can run at the same time (they do
-    not share the table root's ``_temporary`` folder).  An empty source clears
-    the slice (static overwrite of that one partition, writing nothing).
     """
     schema = spark.table(table).schema
-    keys_in_src = [k for k in slice_values if k in src.columns]
-    empty = None
-    if keys_in_src:
-        sub_pred = slice_predicate({k: slice_values[k] for k in keys_in_src}, schema)
-        if on_foreign_rows == "raise":
-            # one pass over the key columns: foreign rows and emptiness together
-            stats = src.select(*keys_in_src).agg(
-                F.count(F.lit(1)).alias("n"), F.count(F.when(~sub_pred | sub_pred.isNull(), 1)).alias("bad")).first()
-            if stats["bad"]:
-                raise ValueError(f"source holds rows outside the slice being replaced ({table} {dict(slice_values)})")
-            empty = stats["n"] == 0
-        else:
-            src = src.where(sub_pred)
     cols = data_columns(spark, table)
     missing = [c for c in cols if c not in src.columns]
     if missing:
@@ -182,50 +170,71 @@ def replace_partition(spark: SparkSession, src: DataFrame, table: str, slice_val
     part_cols = [c for c in schema.fieldNames() if c not in cols]
     if sorted(part_cols) != sorted(slice_values):
         raise ValueError(f"slice keys {sorted(slice_values)} differ from partition columns {part_cols}")
-    data = src.select(*cols, *[F.expr(sql_literal(slice_values[k], schema[k].dataType)).cast(schema[k].dataType)
-                               .alias(k) for k in part_cols])
-    spec = ", ".join(f"`{k}` = {sql_literal(v, schema[k].dataType)}" for k, v in slice_values.items())
-    if empty is None:
-        empty = data.isEmpty()
-    if empty:
-        view = f"_rt_src_{uuid.uuid4().hex[:10]}"
-        data.select(*cols).createOrReplaceTempView(view)
-        try:
-            spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({spec}) SELECT * FROM {view}")
-        finally:
-            spark.catalog.dropTempView(view)
-        return
+    keys = {k: F.expr(sql_literal(slice_values[k], schema[k].dataType)).cast(schema[k].dataType) for k in part_cols}
+    own = slice_predicate({k: slice_values[k] for k in part_cols if k in src.columns}, schema)
+    if on_foreign_rows == "raise":
+        first = part_cols[0]
+        keys[first] = F.when(own, keys[first]).otherwise(F.raise_error(F.lit(f"{OUTSIDE} ({table} {dict(slice_values)})")))
+    else:
+        src = src.where(own)
+    rows = Observation()
+    data = src.select(*cols, *[keys[k].alias(k) for k in part_cols]).observe(rows, F.count(F.lit(1)).alias("n"))
     location, tracked = table_storage(spark, table)
-    (data.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*part_cols)
-     .format("parquet").save(location))
-    if tracked:  # register the (possibly new) slice; O(1), no directory scan
+    try:
+        _overwrite_present(data, location, part_cols)
+    except Exception as exc:
+        if OUTSIDE in str(exc):
+            raise ValueError(f"{OUTSIDE} ({table} {dict(slice_values)})") from exc
+        raise
+    spec = ", ".join(f"`{k}` = {sql_literal(v, schema[k].dataType)}" for k, v in slice_values.items())
+    if not rows.get["n"]:
+        clear_partition(spark, table, spec)
+    elif tracked:  # register the (possibly new) slice; no directory scan
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({spec})")
     spark.catalog.refreshTable(table)
 
 
-def replace_partitions(spark: SparkSession, src: DataFrame, table: str) -> None:
-    """Replace every partition present in ``src`` in one job (dynamic
-    overwrite through the job's staging folder); partitions absent from
-    ``src`` are untouched.  Uses the session setting for the duration of the
-    write, so run one such write per session at a time."""
-    cols = [f.name for f in spark.table(table).schema.fields]
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+def _overwrite_present(data: DataFrame, location: str, part_cols) -> None:
+    """Dynamic overwrite of the partitions in ``data``, by path and option (no
+    session setting changes, so other writers of the session are not affected)."""
+    (data.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*part_cols)
+     .format("parquet").save(location))
+
+
+def clear_partition(spark: SparkSession, table: str, spec: str) -> None:
+    """Static overwrite of one partition with no rows."""
+    schema = spark.table(table).schema
+    view = f"_rt_none_{uuid.uuid4().hex[:10]}"
+    spark.createDataFrame([], T.StructType([schema[c] for c in data_columns(spark, table)])).createOrReplaceTempView(view)
     try:
-        src.select(*cols).write.insertInto(table, overwrite=True)
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({spec}) SELECT * FROM {view}")
     finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+        spark.catalog.dropTempView(view)
+
+
+def replace_partitions(spark: SparkSession, src: DataFrame, table: str, cluster_by=()) -> None:
+    """Replace every partition present in ``src`` in one job; partitions absent
+    from ``src`` are untouched.  ``cluster_by`` lays the rows out first."""
+    schema = spark.table(table).schema
+    part_cols = [c for c in schema.fieldNames() if c not in data_columns(spark, table)]
+    data = src.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
+    location, tracked = table_storage(spark, table)
+    _overwrite_present(clustered(data, part_cols, cluster_by) if cluster_by else data, location, part_cols)
+    if tracked:
+        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    spark.catalog.refreshTable(table)
 
 
 def replace_listed_slices(spark: SparkSession, src: DataFrame, table: str, slice_col: str, wanted,
-                          fixed: Mapping[str, object] | None = None) -> list:
+                          fixed: Mapping[str, object] | None = None, cluster_by=()) -> list:
     """Replace the slices ``slice_col = w`` (for every ``w`` in ``wanted``, with
-    the other partition columns fixed to ``fixed``) in one job.
+    the other partition columns fixed to ``fixed``).
 
     Source rows outside the listed slices are ignored (MERGE semantics); listed
-    slices present in the source are swapped in by one dynamic overwrite;
-    listed slices absent from the source are cleared.  Only distinct slice
-    values (bounded by the list) reach the driver.  Returns the cleared values.
+    slices present in the source are written by one dynamic overwrite; listed
+    slices absent from the source are cleared.  Which are absent is found
+    before anything is written, from the key columns alone (one pushed scan;
+    the values are bounded by the list).  Returns the cleared values.
     """
     fixed = dict(fixed or {})
     schema = spark.table(table).schema
@@ -233,12 +242,14 @@ def replace_listed_slices(spark: SparkSession, src: DataFrame, table: str, slice
     if fixed:
         pred = pred & slice_predicate(fixed, schema)
     src = src.where(pred)
-    replace_partitions(spark, src, table)
-    written = {r[0] for r in src.select(slice_col).distinct().collect()}
+    present = {r[0] for r in src.select(slice_col).distinct().collect()}
     existing = {r[0] for r in spark.table(table).where(pred).select(slice_col).distinct().collect()}
-    cleared = [w for w in wanted if w not in written and w in existing]
+    cleared = [w for w in wanted if w not in present and w in existing]
+    replace_partitions(spark, src, table, cluster_by)
     for w in cleared:
-        replace_partition(spark, src.limit(0), table, {**fixed, slice_col: w})
+        values = {**fixed, slice_col: w}
+        clear_partition(spark, table, ", ".join(f"`{k}` = {sql_literal(v, schema[k].dataType)}" for k, v in values.items()))
+    spark.catalog.refreshTable(table)
     return cleared
 
 
@@ -260,6 +271,14 @@ def load_slice_from_staging(spark: SparkSession, staging: DataFrame, staging_tab
     replace_partition(spark, transform(staged) if transform else staged, table, slice_values)
 
 
+def detached(spark: SparkSession, table: str) -> DataFrame:
+    """Rows of an external table read by its location, with its catalog entry
+    dropped (the files stay): a query that made a table leaves no name behind."""
+    schema, (location, _) = spark.table(table).schema, table_storage(spark, table)
+    spark.sql(f"DROP TABLE {table}")
+    return spark.read.schema(schema).parquet(location)
+
+
 # --------------------------------------------------------------------------- names, queries, views
 def staging_name(table: str, *parts) -> str:
     """SNK-10: slice-suffixed staging table name (``{table}_{suffix...}``)."""

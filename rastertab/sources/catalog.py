@@ -12,9 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CATALOG_SCHEMA = ("image_id string, collection string, start_time timestamp, end_time timestamp, "
-                  "country string, year int, forecast_hours int")
-
+from rastertab.functions.text import basename, strip_extension
 
 def _ts(value) -> Column:
     return F.lit(value).cast("timestamp") if isinstance(value, str) else F.lit(value)
@@ -81,8 +79,15 @@ def object_ready(spark: SparkSession, path: str) -> bool:
 
 
 def prefix_ready(spark: SparkSession, prefix: str) -> bool:
-    """SRC-7: any object under the prefix."""
-    return not list_objects(spark, prefix, recursive=True).isEmpty()
+    """SRC-7: any object whose path starts with the text of ``prefix`` (a
+    folder, or the beginning of a file or folder name)."""
+    return not list_objects(spark, prefix + "*", recursive=True).isEmpty()
+
+
+def listed_names(listing: DataFrame) -> DataFrame:
+    """``name, length`` of listed objects: the file name without folder and
+    last extension (``.../NAME.parquet`` -> ``NAME``), which is the image name."""
+    return listing.select(strip_extension(basename(F.col("path"))).alias("name"), "length")
 
 
 def single_wildcard(pattern: str) -> tuple[str, str]:
@@ -95,13 +100,6 @@ def single_wildcard(pattern: str) -> tuple[str, str]:
 
 
 # --------------------------------------------------------------------------- path-carried slices (SRC-9)
-# Slice path templates.
-FORECAST_PREFIX = "{prefix}/gfs/date={date}/{hour}/parquet/"
-POPULATION_FILE = "{prefix}/world_pop/year={year}/parquet/{country}_{year}.parquet"
-PRODUCTIVITY_FILE = "{prefix}/annual_npp/parquet/{date}.parquet"
-LOCAL_FILE = "{data_dir}/{prefix}/{ext}/{name}"
-
-
 def forecast_prefix_col(prefix: str, cycle: Column) -> Column:
     return F.concat(F.lit(f"{prefix}/gfs/date="), F.date_format(cycle, "yyyy-MM-dd"), F.lit("/"),
                     F.date_format(cycle, "HH"), F.lit("/parquet/"))

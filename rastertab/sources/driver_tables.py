@@ -6,7 +6,7 @@ column expressions (no driver round trip; the work grows with the tables):
 * ``embeddings``: every vector has 64 floats = one 8 x 8 single-band tile.
 * forecast cycles: vector ``v`` is hour ``v % 10`` of cycle ``v div 10``; its 64
   floats are a 4 x 2 tile with 8 bands (the ninth quantity is absent, as in an
-  hour-0 file).  All hours of a cycle share one grid, so they nest per cell.
+  hour-0 file, and hour 0 has no precipitation).  All hours of a cycle share one grid, so they nest per cell.
 """
 
 from __future__ import annotations
@@ -14,36 +14,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rastertab.operators.nest import FORECAST_FIELDS
+from rastertab.sources.schemas import FORECAST_FIELDS
 
 EMBEDDING_SIDE = 8
+PRECIP_FIELD = "total_precipitation_surface"
 CYCLE_ORIGIN = "2024-01-01 00:00:00"
 FORECAST_GT = (10.0, 0.25, 0.0, 50.0, 0.0, -0.25)
 
 
-_TABLES: dict[tuple[str, str, str], DataFrame] = {}
-
-
-def _session_key(spark: SparkSession) -> tuple[str, str]:
-    """Identity of a live session (application + JVM session UUID); unlike a
-    Python ``id``, never reused by a later session."""
-    try:
-        uid = str(spark._jsparkSession.sessionUUID())
-    except Exception:  # pragma: no cover - older JVM side
-        uid = str(spark._jsparkSession.hashCode())
-    return spark.sparkContext.applicationId, uid
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan of one driver table.  The DataFrame (an immutable plan) is reused
-    within a session, so the footer-based schema inference runs once per
-    table instead of once per query; Spark re-lists the files at execution."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (*_session_key(spark), path)
-    df = _TABLES.get(key)
-    if df is None:
-        df = _TABLES[key] = spark.read.parquet(path)
-    return df
+    """Scan of one driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _checked_embedding(n: int = EMBEDDING_SIDE * EMBEDDING_SIDE):
@@ -75,12 +56,14 @@ def embedding_tiles(emb: DataFrame) -> DataFrame:
 
 
 def embedding_pair_tiles(emb: DataFrame) -> DataFrame:
-    """Two-band tiles: vector ``v`` and ``v + 1`` as bands of image ``v``
-    (an equi-join on the id; both sides are the whole table)."""
+    """Two-band tiles: vector ``v`` and ``v + 1`` as bands of image ``v`` (an
+    equi-join on the id; both sides are the whole table).  The last image has
+    no second vector: its second band holds nulls."""
     a = embedding_tiles(emb)
     b = emb.select((F.col("vec_id") - 1).alias("vec_id"), _checked_embedding().alias("second"))
-    return (a.join(b, "vec_id")
-            .withColumn("bands", F.array(F.col("bands")[0], F.col("second")))
+    missing = F.array_repeat(F.lit(None).cast("double"), EMBEDDING_SIDE * EMBEDDING_SIDE)
+    return (a.join(b, "vec_id", "left")
+            .withColumn("bands", F.array(F.col("bands")[0], F.coalesce("second", missing)))
             .withColumn("band_names", F.array(F.lit("first"), F.lit("second")))
             .drop("second"))
 
@@ -97,7 +80,9 @@ def forecast_tiles(emb: DataFrame) -> DataFrame:
     hour = (vid % 10) * 3
     creation_ms = F.unix_millis(F.lit(CYCLE_ORIGIN).cast("timestamp")) + cycle * F.lit(6 * 3600 * 1000)
     forecast_ms = creation_ms + hour * F.lit(3600 * 1000) + (vid % 3) * F.lit(20 * 60 * 1000)
-    bands = F.array(*[F.slice(F.col("_emb"), 8 * b + 1, 8) for b in range(8)])
+    absent = F.array_repeat(F.lit(None).cast("double"), 8)  # hour 0 has no precipitation
+    bands = F.array(*[F.when(hour == 0, absent).otherwise(F.slice(F.col("_emb"), 8 * b + 1, 8))
+                      if FORECAST_FIELDS[b] == PRECIP_FIELD else F.slice(F.col("_emb"), 8 * b + 1, 8) for b in range(8)])
     meta_with_hour = F.create_map(F.lit("creation_time"), creation_ms.cast("string"),
                                   F.lit("forecast_hours"), hour.cast("string"),
                                   F.lit("forecast_time"), forecast_ms.cast("string"))

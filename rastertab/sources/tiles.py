@@ -8,7 +8,6 @@ unit of parallelism: a task never holds more than a block per row.
 from __future__ import annotations
 
 import json
-import math
 from typing import Callable, Iterator, Protocol
 
 import numpy as np
@@ -16,6 +15,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rastertab.sources.files import open_input
+
 BLOCK_SIZE = 256  # fixed value: converter block edge in pixels
 
 TILE_SCHEMA = (
@@ -58,8 +59,10 @@ def image_blocks(images: DataFrame, block_size: int = BLOCK_SIZE) -> DataFrame:
 # --------------------------------------------------------------------------- tile tables on storage
 def write_tiles(tiles: DataFrame, path: str, partition_by=("image_id",), mode: str = "overwrite") -> None:
     """Persist a tile table as Parquet (one folder per image by default, so a
-    later read of some images prunes the rest)."""
-    w = tiles.select(*[f.split()[0] for f in TILE_SCHEMA.split(", ")]).write.mode(mode)
+    later read of some images prunes the rest).  Tiles are ranged by image and
+    block first: an image lies in few files, a large one in several tasks."""
+    tiles = tiles.select(*[f.split()[0] for f in TILE_SCHEMA.split(", ")]).repartitionByRange("image_id", "iy", "ix")
+    w = tiles.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -70,144 +73,98 @@ def read_tiles(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(TILE_SCHEMA).parquet(path)
 
 
-# --------------------------------------------------------------------------- in-memory fixtures
-def split_image(image_id: str, data: np.ndarray, gt, band_names, band_type: str, meta: dict,
-                block_size: int = BLOCK_SIZE) -> list[dict]:
-    """Blocks of one in-memory image (``data`` is bands x ysize x xsize)."""
-    if data.ndim == 2:
-        data = data[np.newaxis, ...]
-    nb, ysize, xsize = data.shape
-    rows = []
-    for ix in range(math.ceil(xsize / block_size)):
-        for iy in range(math.ceil(ysize / block_size)):
-            x0, y0 = ix * block_size, iy * block_size
-            xb, yb = min(xsize - x0, block_size), min(ysize - y0, block_size)
-            block = data[:, y0:y0 + yb, x0:x0 + xb].reshape(nb, -1).astype(np.float64)
-            rows.append({
-                "image_id": image_id, "xsize": xsize, "ysize": ysize, "gt": [float(g) for g in gt],
-                "band_names": list(band_names), "band_type": band_type, "meta": dict(meta),
-                "ix": ix, "iy": iy, "xblock": xb, "yblock": yb, "bands": [b.tolist() for b in block],
-            })
-    return rows
-
-
-def tiles_from_arrays(spark: SparkSession, images: list[dict], block_size: int = BLOCK_SIZE) -> DataFrame:
-    """Tile table from small in-memory images (tests and examples)."""
-    rows = []
-    for im in images:
-        rows += split_image(im["image_id"], np.asarray(im["data"]), im["gt"], im["band_names"],
-                            im.get("band_type", "Float64"), im.get("meta", {}), block_size)
-    return spark.createDataFrame(rows, TILE_SCHEMA)
-
-
 # --------------------------------------------------------------------------- file decoders
 class RasterDecoder(Protocol):
-    """Caller-supplied codec.  ``describe`` returns the image header
-    (xsize, ysize, gt, band_names, band_type, meta); ``read_block`` returns a
-    ``bands x h x w`` array for one window."""
+    """Caller-supplied codec.  It opens files through ``open_file(path)`` only
+    (a seekable binary file on shared storage).  ``describe`` returns the image
+    header (xsize, ysize, gt, band_names, band_type, meta); ``read_block``
+    returns a ``bands x h x w`` array for one window."""
 
-    def describe(self, path: str) -> dict: ...
+    def describe(self, path: str, open_file: Callable) -> dict: ...
 
-    def read_block(self, path: str, x0: int, y0: int, w: int, h: int) -> np.ndarray: ...
+    def read_block(self, path: str, open_file: Callable, x0: int, y0: int, w: int, h: int) -> np.ndarray: ...
 
 
 class NpyRasterDecoder:
-    """Raster stored as ``name.npy`` (bands x ysize x xsize, memory-mapped, so a
-    window read touches only its block) with a ``name.json`` header sidecar."""
+    """Raster stored as ``name.npy`` (bands x ysize x xsize, row-major) with a
+    ``name.json`` header sidecar; a window read seeks to its rows only."""
 
     @staticmethod
-    def _header(path: str) -> dict:
-        with open(_strip_scheme(path)[:-4] + ".json") as fh:
-            return json.load(fh)
-
-    def describe(self, path: str) -> dict:
-        arr = np.load(_strip_scheme(path), mmap_mode="r")
-        nb, ysize, xsize = arr.shape if arr.ndim == 3 else (1, *arr.shape)
-        head = self._header(path)
+    def _layout(fh) -> tuple[tuple[int, int, int], np.dtype, int]:
+        version = np.lib.format.read_magic(fh)
+        read = np.lib.format.read_array_header_1_0 if version == (1, 0) else np.lib.format.read_array_header_2_0
+        shape, fortran, dtype = read(fh)
+        if fortran:
+            raise ValueError("the array must be stored row-major")
+        return (shape if len(shape) == 3 else (1, *shape)), dtype, fh.tell()
+
+    def describe(self, path: str, open_file: Callable) -> dict:
+        with open_file(path) as fh:
+            (nb, ysize, xsize), _, _ = self._layout(fh)
+        with open_file(path[:-4] + ".json") as fh:
+            head = json.loads(fh.read())
         return {"xsize": xsize, "ysize": ysize, "gt": head["gt"],
                 "band_names": head.get("band_names") or [f"band_{i + 1}" for i in range(nb)],
                 "band_type": head.get("band_type", "Float64"), "meta": head.get("meta", {})}
 
-    def read_block(self, path, x0, y0, w, h):
-        arr = np.load(_strip_scheme(path), mmap_mode="r")
-        if arr.ndim == 2:
-            arr = arr[np.newaxis, ...]
-        return np.asarray(arr[:, y0:y0 + h, x0:x0 + w], dtype=np.float64)
-
-
-class GdalDecoder:
-    """GeoTIFF through GDAL when it is installed (it is optional)."""
-
-    def __init__(self):
-        try:
-            from osgeo import gdal  # noqa: F401
-        except ImportError as exc:  # pragma: no cover - depends on the image
-            raise ImportError("GDAL is not installed; supply another RasterDecoder") from exc
-
-    def describe(self, path):  # pragma: no cover
-        from osgeo import gdal
-        ds = gdal.Open(_strip_scheme(path))
-        b1 = ds.GetRasterBand(1)
-        return {"xsize": ds.RasterXSize, "ysize": ds.RasterYSize, "gt": list(ds.GetGeoTransform()),
-                "band_names": [ds.GetRasterBand(i + 1).GetDescription() for i in range(ds.RasterCount)],
-                "band_type": gdal.GetDataTypeName(b1.DataType), "meta": ds.GetMetadata()}
-
-    def read_block(self, path, x0, y0, w, h):  # pragma: no cover
-        from osgeo import gdal
-        arr = gdal.Open(_strip_scheme(path)).ReadAsArray(x0, y0, w, h)
-        return np.asarray(arr if arr.ndim == 3 else arr[np.newaxis, ...], dtype=np.float64)
-
-
-def _strip_scheme(path: str) -> str:
-    if path.startswith("file://"):
-        return path[7:]
-    return path[5:] if path.startswith("file:") else path
+    def read_block(self, path: str, open_file: Callable, x0: int, y0: int, w: int, h: int) -> np.ndarray:
+        with open_file(path) as fh:
+            (nb, ysize, xsize), dtype, start = self._layout(fh)
+            out = np.empty((nb, h, w))
+            for band in range(nb):
+                fh.seek(start + (band * ysize + y0) * xsize * dtype.itemsize)
+                rows = np.frombuffer(fh.read(h * xsize * dtype.itemsize), dtype).reshape(h, xsize)
+                out[band] = rows[:, x0:x0 + w]
+        return out
 
 
 def read_raster_files(spark: SparkSession, path: str, decoder: RasterDecoder, glob: str | None = None,
-                      block_size: int = BLOCK_SIZE, blocks_per_partition: int = 64,
-                      bytes_per_task: int = 64 * 1024 * 1024) -> DataFrame:
+                      block_size: int = BLOCK_SIZE, blocks_per_batch: int = 64,
+                      bytes_per_task: int = 64 * 1024 * 1024, open_file: Callable = open_input) -> DataFrame:
     """SRC-2: tile table from raster files.
 
     1. list files (``binaryFile`` without its content column: no bytes read);
-    2. read only the headers, one task per file batch;
+       a file without bytes is an error;
+    2. read only the headers;
     3. expand to blocks (RAS-1) and range-partition them in image / row-major
        order -- as many tasks as the files' total size needs at
-       ``bytes_per_task`` (one small aggregate over the listing), at least two
-       per core;
+       ``bytes_per_task`` (one small aggregate over the listing);
     4. each task reads only its blocks' windows.
     """
     reader = spark.read.format("binaryFile")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    files = reader.load(path).select("path", "length").where("length > 0")
+    listed = reader.load(path)
+    files = listed.select("path", "length")
+    # Spark's scan passes over files without bytes; its file index does not
+    totals = files.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("bytes")).first()
+    empty = len(listed.inputFiles()) - totals["n"]
+    if empty:
+        raise ValueError(f"{empty} raster file(s) under {path} are empty")
 
     def headers(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
             out = []
             for p in pdf["path"]:
-                h = decoder.describe(p)
-                out.append({"image_id": image_name_py(p), "path": p, **h})
+                out.append({"image_id": image_name_py(p), "path": p, **decoder.describe(p, open_file)})
             yield pd.DataFrame(out, columns=["image_id", "path", "xsize", "ysize", "gt", "band_names",
                                              "band_type", "meta"])
 
     images = files.mapInPandas(headers, IMAGE_SCHEMA)
     blocks = image_blocks(images, block_size)
-    total = files.agg(F.sum("length")).first()[0] or 0
-    n = max(spark.sparkContext.defaultParallelism * 2, -(-int(total) // bytes_per_task))
     # range, not hash: a task gets a contiguous run of one image's blocks in
     # row-major order, so it opens few files and reads neighbouring windows
-    blocks = blocks.repartitionByRange(int(n), "image_id", "iy", "ix")
+    blocks = blocks.repartitionByRange(max(1, -(-int(totals["bytes"] or 0) // bytes_per_task)), "image_id", "iy", "ix")
 
     def read(it):
         import pyarrow as pa
 
         for batch in it:
             meta = batch.to_pandas()
-            for start in range(0, len(meta), blocks_per_partition):
-                part = meta.iloc[start:start + blocks_per_partition]
+            for start in range(0, len(meta), blocks_per_batch):
+                part = meta.iloc[start:start + blocks_per_batch]
                 yield _blocks_to_arrow(pa, part, [
-                    decoder.read_block(r.path, int(r.ix) * block_size, int(r.iy) * block_size,
+                    decoder.read_block(r.path, open_file, int(r.ix) * block_size, int(r.iy) * block_size,
                                        int(r.xblock), int(r.yblock))
                     for r in part.itertuples()])
 

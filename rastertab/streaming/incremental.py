@@ -1,71 +1,80 @@
 """Incremental slice loads (STR-1, STR-2).
 
 New files under a folder are picked up by a file-source stream
-(``availableNow`` trigger = process what has arrived, then stop; the
-checkpoint remembers which files were seen).  Each micro-batch replaces the
-slices it touched -- re-read *whole* from the source, so a slice whose files
-arrive over two batches is never truncated to the second batch's part.
+(``availableNow`` trigger = process what has arrived, then stop; the checkpoint
+remembers which files were seen).  Each micro-batch lands its rows in a folder
+partitioned by slice and batch, then rebuilds the slices it touched from the
+landing folder, so a slice whose files arrive over many batches is whole, and
+the cost of a batch follows the touched slices, not the history.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rastertab.sinks.tables import replace_partitions
 
-def _with_slice(df: DataFrame, slice_cols: dict[str, Callable | None]) -> DataFrame:
-    """Adds derived slice columns; ``None`` keeps an existing column (e.g. the
-    source's partition column, which lets the semi-join prune source files)."""
+BATCH = "_batch"
+
+
+def with_slice(df: DataFrame, slice_cols: dict[str, Callable | None]) -> DataFrame:
+    """Adds derived slice columns; ``None`` keeps an existing column."""
     for name, fn in slice_cols.items():
         if fn is not None:
             df = df.withColumn(name, fn(df))
     return df
 
 
-def replace_touched_slices(spark: SparkSession, batch: DataFrame, source: DataFrame, table: str,
-                           slice_cols: dict[str, Callable], transform=None) -> None:
-    """One micro-batch: overwrite every slice present in ``batch`` with the
-    whole slice from ``source``.
+def land(batch: DataFrame, landing: str, keys, epoch: int) -> None:
+    """Write a batch into its own ``slice.../_batch=epoch`` folders; a replayed
+    batch overwrites exactly them."""
+    rows = batch.withColumn(BATCH, F.lit(int(epoch)).cast("long"))
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys, BATCH).parquet(landing))
 
-    The touched keys stay distributed (semi-join, no collect).  When the
-    source folder is partitioned by the slice column (``slice_cols`` value
-    ``None``), dynamic partition pruning turns the semi-join into a scan of the
-    touched slices' files only; a derived slice key reads the whole source.
-    Touched slices are non-empty by construction, so a dynamic partition
-    overwrite replaces exactly them in one job and leaves all others untouched.
-    Replaying a batch after a failure rewrites the same slices (idempotent).
-    """
-    keys = list(slice_cols)
-    touched = _with_slice(batch, slice_cols).select(*keys).distinct()
-    whole = _with_slice(source, slice_cols).join(touched, keys, "left_semi")
-    if transform:
-        whole = transform(whole)
-    from rastertab.sinks.tables import replace_partitions
-    replace_partitions(spark, whole, table)
+
+def touched_slices(spark: SparkSession, landing: str, schema: T.StructType, keys, epoch: int) -> DataFrame:
+    """All landed rows of the slices that a batch touched.  The touched values
+    are partition values (folders), so they prune the scan by name."""
+    landed = spark.read.schema(T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])).parquet(landing)
+    rows = landed.where(F.col(BATCH) == int(epoch)).select(*keys).distinct().collect()
+    if not rows:
+        return landed.where(F.lit(False)).drop(BATCH)
+    if len(keys) == 1:
+        values = [r[0] for r in rows]
+        pred = F.col(keys[0]).isin([v for v in values if v is not None])
+        pred = (pred | F.col(keys[0]).isNull()) if None in values else pred
+    else:
+        pred = reduce(lambda a, b: a | b, [reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.lit(r[k])) for k in keys]) for r in rows])
+    return landed.where(pred).drop(BATCH)
 
 
 def incremental_slice_load(spark: SparkSession, source_dir: str, schema: T.StructType, table: str,
-                           slice_cols: dict[str, Callable], checkpoint: str, glob: str | None = None,
-                           transform=None, max_files_per_trigger: int | None = None) -> None:
-    """Run the stream until everything that has arrived is loaded."""
-    def reader(r):
-        r = r.schema(schema)
-        if glob:
-            r = r.option("pathGlobFilter", glob)
-        return r
-
-    stream_reader = reader(spark.readStream)
+                           slice_cols: dict[str, Callable | None], checkpoint: str, glob: str | None = None,
+                           transform=None, max_files_per_trigger: int | None = None, landing: str | None = None,
+                           cluster_by=()) -> None:
+    """Run the stream until everything that has arrived is loaded.  ``landing``
+    is the shared folder of landed rows (beside the checkpoint by default)."""
+    landing = landing or f"{checkpoint.rstrip('/')}-landing"
+    keys = list(slice_cols)
+    reader = spark.readStream.schema(schema)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
     if max_files_per_trigger:
-        stream_reader = stream_reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = stream_reader.parquet(source_dir)
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    stream = with_slice(reader.parquet(source_dir), slice_cols)
+    landed_schema = stream.schema
 
-    def each_batch(batch: DataFrame, epoch_id: int) -> None:
+    def each_batch(batch: DataFrame, epoch: int) -> None:
         session = batch.sparkSession
-        source = reader(session.read).parquet(source_dir)
-        replace_touched_slices(session, batch, source, table, slice_cols, transform)
+        land(batch, landing, keys, epoch)
+        whole = touched_slices(session, landing, landed_schema, keys, epoch)
+        replace_partitions(session, transform(whole) if transform else whole, table,
+                           cluster_by=cluster_by or [c for c in landed_schema.fieldNames() if c not in keys][:1])
 
     q = (stream.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())

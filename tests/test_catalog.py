@@ -27,8 +27,7 @@ def test_catalog_selections(spark):
     assert cat.select_year(c, 2020).count() == 2
     with pytest.raises(ValueError):
         cat.require_nonempty(cat.select_year(c, 1999))
-    plan = cat.select_year(c, 2020)._jdf.queryExecution().optimizedPlan().toString()
-    assert "year" in plan
+    assert sorted(r.image_id for r in cat.select_year(c, 2020).collect()) == ["POP/FRA_2020", "POP/NZL_2020"]
 
 
 def test_pushdown_to_parquet_scan(spark, tmp_dir):
@@ -57,6 +56,7 @@ def test_readiness_and_paths(spark, tmp_dir):
     assert not cat.object_ready(spark, f"{tmp_dir}/empty.parquet")
     assert not cat.object_ready(spark, f"{tmp_dir}/missing.parquet")
     assert cat.prefix_ready(spark, f"{tmp_dir}/gfs")
+    assert cat.prefix_ready(spark, f"{tmp_dir}/gfs/date=2024-01-01/06/parq")  # the beginning of a name
     assert not cat.prefix_ready(spark, f"{tmp_dir}/nothing")
     assert cat.single_wildcard("b/dir/x_*.tif") == ("b/dir", "x_*.tif")
     with pytest.raises(ValueError):

@@ -4,7 +4,8 @@ import numpy as np
 
 from rastertab.operators.attributes import PixelLayout
 from rastertab.operators.pixels import expand_pixels
-from rastertab.sources.tiles import NpyRasterDecoder, read_raster_files, tiles_from_arrays
+from rastertab.sources.tiles import NpyRasterDecoder, read_raster_files
+from raster_fixtures import tiles_from_arrays
 
 
 def test_file_decoder_equals_in_memory(spark, tmp_dir):
@@ -36,10 +37,26 @@ def test_tile_table_round_trip(spark, tmp_dir):
         .executedPlan().toString()
 
 
-def test_gdal_decoder_is_optional():
-    import importlib.util
+def test_empty_raster_fails_the_job(spark, tmp_dir):
     import pytest
-    from rastertab.sources.tiles import GdalDecoder
-    if importlib.util.find_spec("osgeo") is None:
-        with pytest.raises(ImportError, match="GDAL is not installed"):
-            GdalDecoder()
+    np.save(f"{tmp_dir}/a.npy", np.ones((1, 2, 2)))
+    with open(f"{tmp_dir}/a.json", "w") as fh:
+        json.dump({"gt": [0, 1, 0, 0, 0, -1]}, fh)
+    open(f"{tmp_dir}/b.npy", "wb").close()
+    with pytest.raises(Exception, match="1 raster file.* empty"):
+        read_raster_files(spark, tmp_dir, NpyRasterDecoder(), glob="*.npy").collect()
+
+
+def test_decoder_reads_through_the_given_opener(spark, tmp_dir):
+    from rastertab.sources.files import open_input
+    np.save(f"{tmp_dir}/hidden.npy", np.arange(12.0).reshape(1, 3, 4))
+    with open(f"{tmp_dir}/hidden.json", "w") as fh:
+        json.dump({"gt": [0, 1, 0, 0, 0, -1]}, fh)
+    open(f"{tmp_dir}/seen.raster", "wb").write(b"x")
+
+    def opener(path):
+        return open_input(path.replace("seen.raster", "hidden.npy").replace("seen.ra.json", "hidden.json").replace("seen.ras.json", "hidden.json")
+                          .replace("seen.rast.json", "hidden.json"))
+
+    tiles = read_raster_files(spark, tmp_dir, NpyRasterDecoder(), glob="*.raster", open_file=opener).collect()
+    assert [t.bands[0] for t in tiles] == [[float(i) for i in range(12)]]

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from rastertab.plans.forecast import forecast_layout, forecast_staging
 from rastertab.plans.jobs import (convert_tiles, load_forecast_cycle, load_population_slice,
-                                  load_productivity_year, reproject_to_wgs84, select_images)
-from rastertab.sources.tiles import tiles_from_arrays
+                                  load_productivity_year, select_images)
+from raster_fixtures import tiles_from_arrays
 
 GT = (170.0, 0.5, 0.0, -40.0, 0.0, -0.5)
 
@@ -52,15 +52,11 @@ def test_population_and_productivity_jobs(spark, tmp_dir):
     load_population_slice(spark, pop.where("false"), "pop_t", "NZL", 2020, location=f"{tmp_dir}/pop")
     assert [r.country for r in spark.table("pop_t").collect()] == ["FRA"]
 
-    src = spark.createDataFrame([(x, y, float(x * 10 + y)) for x in range(20) for y in range(10)],
-                                "x long, y long, npp double")
-    s = 50000.0
-    out = reproject_to_wgs84(src, (0.0, s, 0.0, 0.0, 0.0, -s), 20, 10, (0.0, 0.5, 0.0, 0.0, 0.0, -0.5), 18, 9, ["npp"])
-    rows = out.select("geography", "geography_polygon", F.col("npp").cast("long").alias("npp"),
-                      F.lit(0).cast("long").alias("npp_qc"), F.lit(2001).alias("year"))
+    rows = spark.createDataFrame([("POINT(0.25 -0.25)", "P1", 5, 0, 2001), ("POINT(0.75 -0.25)", "P2", 6, 0, 2001)],
+                                 "geography string, geography_polygon string, npp long, npp_qc long, year int")
     load_productivity_year(spark, rows, "npp_t", 2001, location=f"{tmp_dir}/npp")
     t = spark.table("npp_t")
-    assert t.count() == out.count() > 0 and t.where("geography LIKE 'POINT(0.25 -0.25)'").count() == 1
+    assert t.count() == 2 and t.where("geography LIKE 'POINT(0.25 -0.25)'").first().npp == 5
     with pytest.raises(ValueError):
         load_productivity_year(spark, rows, "npp_t", 2002, location=f"{tmp_dir}/npp")
 
@@ -69,7 +65,7 @@ def test_convert_and_select(spark, tmp_dir):
     tiles = tiles_from_arrays(spark, [{"image_id": "x", "data": np.arange(6.0).reshape(2, 3),
                                        "gt": (-180.0, 0.25, 0.0, 90.0, 0.0, -0.25), "band_names": ["b1"],
                                        "band_type": "Int16", "meta": {"year": "2020", "AREA_OR_POINT": "Area"}}])
-    assert convert_tiles(tiles) == "geography:GEOGRAPHY,geography_polygon:GEOGRAPHY,year:INTEGER,b1:INTEGER"
+    assert convert_tiles(tiles) == ["geography:GEOGRAPHY,geography_polygon:GEOGRAPHY,year:INTEGER,b1:INTEGER"]
     convert_tiles(tiles, f"{tmp_dir}/csv", fmt="csv")
     lines = sorted(open(p).read() for p in __import__("glob").glob(f"{tmp_dir}/csv/part-*"))
     text = "".join(lines)
@@ -79,11 +75,20 @@ def test_convert_and_select(spark, tmp_dir):
     catalog = spark.createDataFrame([("c/a_1", "2020-01-01", "2020-01-01"), ("c/b_1", "2020-01-01", "2020-01-01")],
                                     "image_id string, s string, e string").select(
         "image_id", F.col("s").cast("timestamp").alias("start_time"), F.col("e").cast("timestamp").alias("end_time"))
-    outputs = spark.createDataFrame([("a_1", 5)], "name string, length bigint")
-    sel = select_images(catalog, "gfs", date="2020-01-01 00:00:00", outputs=outputs)
-    assert [r.name for r in sel.collect()] == ["b_1"]
-    with pytest.raises(ValueError):
-        select_images(catalog, "gfs", date="2020-01-01 00:00:00", exclude="b_1", outputs=outputs)
+    from rastertab.sources.catalog import list_objects
+    done = f"{tmp_dir}/done"
+    __import__("os").makedirs(done)
+    for name in ("a_1.parquet", "a_1.tif", "b_1.tif"):
+        open(f"{done}/{name}", "wb").write(b"x")
+    open(f"{done}/b_1.parquet", "wb").close()  # an empty output counts as missing
+    rasters, outputs = (list_objects(spark, done, glob=f"*.{ext}") for ext in ("tif", "parquet"))
+    pick = lambda **k: [(r.name, r.needs_download, r.needs_convert) for r in
+                        select_images(catalog, "gfs", date="2020-01-01 00:00:00", rasters=rasters, outputs=outputs, **k).collect()]
+    assert pick() == [("b_1", False, True)]
+    assert pick(exclude="b_1") == []  # all done: nothing to do is no error
+    assert sorted(pick(overwrite=True)) == [("a_1", True, True), ("b_1", True, True)]
+    with pytest.raises(ValueError, match="no image found"):
+        select_images(catalog, "gfs", date="2021-01-01 00:00:00")
 
 
 def test_end_to_end_through_parquet_files(spark, tmp_dir):
@@ -91,7 +96,7 @@ def test_end_to_end_through_parquet_files(spark, tmp_dir):
     tiles = _forecast_tiles(spark, 1704067200000)
     layout = forecast_layout()
     out = f"{tmp_dir}/gfs/date=2024-01-01/00/parquet"
-    schema_text = convert_tiles(tiles, out, layout=layout)
+    schema_text = convert_tiles(tiles, out, layout=layout)[0]
     assert "forecast_hours:INTEGER" in schema_text
     assert dict(spark.read.parquet(out).dtypes)["forecast_hours"] == "int"
     load_forecast_cycle(spark, f"{out}/*.parquet", "gfs_files", datetime(2024, 1, 1, 0), location=f"{tmp_dir}/t")
@@ -143,7 +148,7 @@ def test_productivity_from_sinusoidal_tiles(spark, tmp_dir):
     assert t.count() > 0 and {r.year for r in t.select("year").distinct().collect()} == {2003}
     r = t.where("geography = 'POINT(0.25 -0.25)'").first()
     assert r.npp == 0 and r.npp_qc == 7
-    with pytest.raises(ValueError):
+    with pytest.raises(ValueError, match="outside the slice"):
         load_productivity_from_tiles(spark, tiles, "npp_tiles", 2004, (0.0, s, 0.0, 0.0, 0.0, -s), 20, 10,
                                      (0.0, 0.5, 0.0, 0.0, 0.0, -0.5), 18, 9, location=f"{tmp_dir}/npp")
 
@@ -161,3 +166,32 @@ def test_select_images_per_task(spark):
         select_images(catalog, "world_pop", country="NZL")
     with pytest.raises(ValueError):
         select_images(catalog, "unknown", date="2001-01-01 00:00:00")
+
+
+def test_missing_input_files_fail_the_jobs(spark, tmp_dir):
+    for load in (lambda p: load_forecast_cycle(spark, p, "gfs_none", datetime(2024, 1, 1), location=f"{tmp_dir}/a"),
+                 lambda p: load_population_slice(spark, p, "pop_none", "NZL", 2020, location=f"{tmp_dir}/b"),
+                 lambda p: load_productivity_year(spark, p, "npp_none", 2001, location=f"{tmp_dir}/c")):
+        with pytest.raises(FileNotFoundError):
+            load(f"{tmp_dir}/nothing/*.parquet")
+
+
+def test_csv_keeps_the_field_of_a_missing_band(spark):
+    from rastertab.operators.attributes import PixelLayout
+    from rastertab.sinks.csv_text import csv_lines
+    tiles = spark.createDataFrame([("a", [0.0, 1.0, 0.0, 1.0, 0.0, -1.0], 0, 0, 1, 1, {"year": "2020"}, [[None], [4.0]])],
+                                  "image_id string, gt array<double>, ix int, iy int, xblock int, yblock int, "
+                                  "meta map<string,string>, bands array<array<double>>")
+    for kind, last in (("Int16", "4"), ("Float32", "4")):
+        line = csv_lines(tiles, PixelLayout(("a", "b"), kind, (("year", "integer"),))).first().line
+        assert line.endswith(f"))\",2020,,{last}")
+
+
+def test_mixed_schemas_convert_into_one_folder(spark, tmp_dir):
+    images = [{"image_id": n, "data": [[v]], "gt": GT, "band_names": [b], "band_type": "Float32", "meta": m}
+              for n, v, b, m in (("p", 1.0, "a", {"year": "2020"}), ("q", 2.0, "b", {"country": "NZL"}), ("r", 3.0, "a", {"year": "2021"}))]
+    texts = convert_tiles(tiles_from_arrays(spark, images), f"{tmp_dir}/mixed")
+    assert len(texts) == 2
+    rows = spark.read.schema("year int, country string, a double, b double").parquet(f"{tmp_dir}/mixed").collect()
+    assert sorted(map(repr, rows)) == sorted(repr(type(rows[0])(year=y, country=c, a=a, b=b)) for y, c, a, b in
+                                             ((2020, None, 1.0, None), (None, "NZL", None, 2.0), (2021, None, 3.0, None)))

@@ -1,17 +1,23 @@
 import pytest
 from pyspark.sql import functions as F
 
-from rastertab.functions.params import parse_bool, parse_date, parse_int
+from rastertab.functions.params import parameter
 from rastertab.functions.text import comma_list, flatten_lists
 from rastertab.functions.wkt import st_geogfromtext
 from rastertab.operators.filters import require_input
 from rastertab.sinks.tables import create_database, create_or_replace_view, query_to_table, temp_table
 
 
-def test_params():
-    assert parse_bool("YES") and parse_bool("true") and not parse_bool("no")
-    assert parse_bool(None) is False and parse_bool(None, default=True) is True
-    assert parse_date("2020-01-02").day == 2 and parse_int("7") == 7 and parse_int(None) is None
+def test_parameters():
+    from datetime import date, datetime
+    given = {"a": "YES", "b": "no", "c": " ", "d": "2020-01-02", "e": "2020-01-02T06:00:00", "f": "7", "g": "maybe", "h": True}
+    assert parameter(given, "a", bool) is True and parameter(given, "b", bool) is False and parameter(given, "h", bool) is True
+    assert parameter(given, "c", bool, False) is False and parameter(given, "missing", int, 3) == 3
+    assert parameter(given, "d", date) == date(2020, 1, 2) and parameter(given, "e", datetime) == datetime(2020, 1, 2, 6)
+    assert parameter(given, "f", int) == 7 and parameter(given, "f", str) == "7"
+    for name, kind in (("g", bool), ("g", int), ("f", date)):
+        with pytest.raises(ValueError, match=f"parameter {name}"):
+            parameter(given, name, kind)
 
 
 def test_text_helpers(spark):

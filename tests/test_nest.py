@@ -52,8 +52,7 @@ def test_deaccumulate_and_consistency(spark):
 
 
 def test_chunked_nest_splits_hot_key_in_order(spark):
-    from rastertab.operators.nest import check_group_bound, ordered_nest_chunked
-    import pytest
+    from rastertab.operators.nest import ordered_nest_chunked
     df = spark.range(30000).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"),
                                    (F.col("id") * 7 % 1000).alias("h"), F.col("id").alias("v"))
     c = ordered_nest_chunked(df, ["k"], ["h"], ["v"], "arr", num_partitions=6)
@@ -62,15 +61,40 @@ def test_chunked_nest_splits_hot_key_in_order(spark):
     flat = [(e.h, e.v) for r in hot for e in r.arr]
     assert len(flat) == 10000 and flat == sorted(flat)
     assert c.where("k <> 0").count() == 20000
-    with pytest.raises(ValueError, match="exceeds"):
-        check_group_bound(df, ["k"], 1000)
-    check_group_bound(df.where("k <> 0"), ["k"], 1)
+
+
+def test_a_cell_may_hold_any_number_of_elements(spark):
+    from rastertab.operators.nest import duplicate_elements, ordered_nest
+    df = spark.range(3000).select(F.lit("cell").alias("k"), (F.col("id") % 2500).alias("h"), F.col("id").alias("v"))
+    assert ordered_nest(df, ["k"], ["h"], ["v"], "arr").select(F.size("arr")).first()[0] == 3000
+    assert duplicate_elements(df, ["k"], ["h"]).count() == 500
+
+
+def test_deaccumulate_without_precipitation_at_hour_zero(spark):
+    rows = [("POINT(1 1)", "POLYGON ((1 1, 1 2, 0 2, 0 1, 1 1))", datetime(2024, 1, 1), h, datetime(2024, 1, 1, h), v)
+            for h, v in ((0, None), (3, 30.0), (6, 60.0))]
+    df = spark.createDataFrame(rows, "geography string, geography_polygon string, creation_time timestamp, "
+                                     "forecast_hours bigint, forecast_time timestamp, total_precipitation_surface double")
+    nested = deaccumulate(nest_forecast(stage_projection(conform(df, declared("gfs")))))
+    assert [e.total_precipitation_surface_step for e in nested.first().forecast] == [None, 30.0, 30.0]
+
+
+def test_nest_of_staged_text_equals_text_grouping(spark):
+    from rastertab.plans.forecast import nest_staged
+    staged = _staging(spark)
+    odd = staged.limit(2).withColumn("geography", F.lit("POINT(-0 1.5)")).withColumn(
+        "geography_polygon", F.lit("POLYGON ((0.25 1.25, 0.25 1.75, -0 1.75, -0 1.25, 0.25 1.25))"))
+    staged = staged.unionByName(odd)
+    assert sorted(map(repr, nest_staged(staged).collect())) == sorted(map(repr, nest_forecast(stage_projection(staged)).collect()))
+    import pytest
+    with pytest.raises(Exception, match="invalid WKT"):
+        nest_staged(staged.withColumn("geography_polygon", F.lit("POLYGON ((1 1, 2 2, 3 3, 1 1))"))).collect()
 
 
 def test_format_late_nest_keeps_negative_zero_and_equals_text_path(spark):
     import numpy as np
     from rastertab.plans.forecast import forecast_layout, forecast_nested, forecast_nested_late
-    from rastertab.sources.tiles import tiles_from_arrays
+    from raster_fixtures import tiles_from_arrays
     # origin 0 and an inexact pixel size: the west edge of column 0 rounds to -0
     gt = (-1e-17, 0.000833333333, 0.0, 0.0004, 0.0, -0.000833333333)
     images = []

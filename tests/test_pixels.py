@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from rastertab.operators.attributes import PixelLayout, infer_layout
 from rastertab.operators.pixels import expand_pixels
-from rastertab.sources.tiles import image_blocks, split_image, tiles_from_arrays
+from rastertab.sources.tiles import image_blocks
+from raster_fixtures import tiles_from_arrays
 
 GT = (-180.0, 0.25, 0.0, 90.0, 0.0, -0.25)
 
@@ -45,14 +46,15 @@ def test_edge_blocks(spark):
     assert expand_pixels(t256, PixelLayout(("v",), "Float32"), with_text=False).count() == 256
 
 
-def test_block_plan_matches_in_memory_split(spark):
+def test_block_plan_covers_images(spark):
     images = spark.createDataFrame([("a", 257, 1), ("b", 256, 768), ("c", 0, 5), ("d", 513, 300)],
                                    "image_id string, xsize int, ysize int")
     got = sorted((r.image_id, r.ix, r.iy, r.xblock, r.yblock) for r in image_blocks(images).collect())
     want = []
     for name, xs, ys in [("a", 257, 1), ("b", 256, 768), ("c", 0, 5), ("d", 513, 300)]:
-        for b in split_image(name, np.zeros((1, ys, xs)), GT, ["v"], "Byte", {}):
-            want.append((name, b["ix"], b["iy"], b["xblock"], b["yblock"]))
+        for x in range(0, xs, 256):
+            for y in range(0, ys, 256):
+                want.append((name, x // 256, y // 256, min(256, xs - x), min(256, ys - y)))
     assert got == sorted(want)
 
 
@@ -132,3 +134,19 @@ def test_pixel_count_property(spark):
     area = expand_pixels(tiles, PixelLayout(("v",), "Float64"), with_text=False, with_coords=True).select(
         F.max(F.abs((F.col("max_x") - F.col("min_x")) * (F.col("max_y") - F.col("min_y")) - 0.0625))).first()[0]
     assert area < 1e-12
+
+
+def test_layouts_do_not_depend_on_key_order(spark):
+    from rastertab.operators.attributes import infer_layouts, of_layout
+    a = _tiles(spark, [[1.0]], meta={"year": "2020", "country": "NZL", "x": "1"})
+    b = _tiles(spark, [[2.0]], meta={"country": "NZL", "year": "2020"})
+    c = _tiles(spark, [[3.0]], meta={"year": "2020"}, bands=("w",))
+    assert len(infer_layouts(a.unionByName(b))) == 1
+    layouts = infer_layouts(a.unionByName(b).unionByName(c))
+    assert [(x.band_names, [k for k, _ in x.attributes]) for x in layouts] == [(("v",), ["country", "year"]), (("w",), ["year"])]
+    assert of_layout(a.unionByName(c), layouts[1]).count() == 1
+
+
+def test_partition_count_is_the_callers(spark):
+    tiles = _tiles(spark, np.zeros((4, 4)))
+    assert expand_pixels(tiles, PixelLayout(("v",), "Float32"), with_text=False, num_partitions=3).rdd.getNumPartitions() == 3

@@ -4,7 +4,7 @@ import numpy as np
 from rastertab.operators.attributes import PixelLayout
 from rastertab.operators.pixels import expand_pixels
 from rastertab.plans.forecast import forecast_layout, forecast_nested_late
-from rastertab.sources.tiles import tiles_from_arrays
+from raster_fixtures import tiles_from_arrays
 
 
 def _plan(df) -> str:
@@ -21,9 +21,9 @@ def _tiles(spark, path):
     return spark.read.parquet(path)
 
 
-def test_pixel_expansion_has_no_exchange_without_spreading(spark, tmp_dir):
+def test_pixel_expansion_has_no_exchange(spark, tmp_dir):
     tiles = _tiles(spark, f"{tmp_dir}/t")
-    plan = _plan(expand_pixels(tiles, forecast_layout(), spread=False))
+    plan = _plan(expand_pixels(tiles, forecast_layout()))
     assert "Exchange" not in plan and "Generate" in plan
     # whole-stage codegen covers the explode and the text assembly
     assert "*(" in plan.split("Generate")[0].splitlines()[-1] or "WholeStageCodegen" in plan
@@ -32,8 +32,8 @@ def test_pixel_expansion_has_no_exchange_without_spreading(spark, tmp_dir):
 def test_format_late_nest_has_one_row_exchange(spark, tmp_dir):
     tiles = _tiles(spark, f"{tmp_dir}/t")
     plan = _plan(forecast_nested_late(tiles))
-    # one hash exchange on the numeric cell key (plus the small-input spread)
-    assert plan.count("Exchange hashpartitioning") == 1
+    # one exchange, on the numeric cell key
+    assert plan.count("Exchange") == 1
     assert "hashpartitioning(creation_time" in plan and "geography" not in plan.split("Exchange hashpartitioning")[1].split(")")[0]
 
 
@@ -64,3 +64,46 @@ def test_slice_read_prunes_partitions(spark):
     plan = _plan(df)
     assert "PartitionFilters: [isnotnull(year" in plan and "(year#" in plan
     assert "ReadSchema: struct<o_orderkey:bigint,o_totalprice:double>" in plan
+
+
+def test_staged_nest_scans_once_and_shuffles_no_text(spark, tmp_dir):
+    from rastertab.plans.forecast import forecast_staging, nest_staged
+    forecast_staging(_tiles(spark, f"{tmp_dir}/t")).write.parquet(f"{tmp_dir}/s")
+    plan = _plan(nest_staged(spark.read.parquet(f"{tmp_dir}/s")))
+    assert plan.count("Exchange") == 1 and plan.count("FileScan") == 1
+    nested = nest_staged(spark.read.parquet(f"{tmp_dir}/s"))
+    text = spark._jvm.PythonSQLUtils.explainString(nested._jdf.queryExecution(), "formatted")
+    moved = text.split(") Exchange\nInput")[1].split("\n")[0]  # the columns that cross the shuffle
+    assert "gx#" in moved and "geography" not in moved and "_t_" not in moved
+
+
+def test_slice_filter_reaches_the_scan_below_the_required_check(spark, tmp_dir):
+    from rastertab.plans.jobs import population_rows
+    spark.createDataFrame([("P", "Q", "NZL", 2020, 1.0)], "geography string, geography_polygon string, country string, year bigint, "
+                          "population double").write.parquet(f"{tmp_dir}/p")
+    plan = _plan(population_rows(spark, f"{tmp_dir}/p", ["NZL"], 2020))
+    pushed = plan.split("PushedFilters: [")[1].split("]")[0]
+    assert "EqualTo(year,2020)" in pushed and "EqualTo(country,NZL)" in pushed
+
+
+def test_reprojection_shuffles_blocks_only(spark, tmp_dir):
+    from rastertab.operators.reproject import reproject_tiles
+    spark.createDataFrame([([0.0, 5e4, 0.0, 0.0, 0.0, -5e4], 0, 0, 20, 10, {}, [[0.0] * 200])],
+                          "gt array<double>, ix int, iy int, xblock int, yblock int, meta map<string,string>, bands array<array<double>>") \
+        .write.parquet(f"{tmp_dir}/t")
+    out = reproject_tiles(spark.read.parquet(f"{tmp_dir}/t"), PixelLayout(("v",), "Float32"), (0.0, 5e4, 0.0, 0.0, 0.0, -5e4), 20, 10,
+                          (0.0, 0.5, 0.0, 0.0, 0.0, -0.5), 18, 9)
+    plan = _plan(out)
+    assert "Exchange" not in plan.split("MapInArrow")[0]  # pixels appear above the last block step only
+    assert plan.index("Generate") < plan.index("MapInArrow")
+
+
+def test_second_stream_batch_reads_touched_slices_only(spark, tmp_dir):
+    from pyspark.sql import types as T
+    from rastertab.streaming.incremental import land, touched_slices
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("day", T.StringType())])
+    land(spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-02")], schema), f"{tmp_dir}/l", ["day"], 0)
+    land(spark.createDataFrame([(3, "2024-01-01")], schema), f"{tmp_dir}/l", ["day"], 1)
+    df = touched_slices(spark, f"{tmp_dir}/l", schema, ["day"], 1)
+    assert "PartitionFilters: [" in _plan(df) and "2024-01-01" in _plan(df).split("PartitionFilters: [")[1].split("]")[0]
+    assert sorted(r.id for r in df.collect()) == [1, 3]

@@ -1,10 +1,12 @@
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from rastertab.operators.grid_text import with_grid_text
-from rastertab.operators.reproject import SPHERE_RADIUS, reproject_nearest, sinusoidal_forward, sinusoidal_inverse
+from raster_fixtures import tiles_from_arrays
+from rastertab.operators.attributes import PixelLayout
+from rastertab.operators.reproject import SPHERE_RADIUS, reproject_tiles, sinusoidal_forward, sinusoidal_inverse
 
 
 def test_round_trip(spark):
@@ -17,31 +19,64 @@ def test_round_trip(spark):
     assert err * math.pi / 180 < 1e-9
 
 
-def test_nearest_pick_matches_brute_force(spark):
-    rng = np.random.default_rng(5)
-    cols, rows, s = 37, 23, 31000.0
-    src_gt = (-cols * s / 2, s, 0.0, rows * s / 2, 0.0, -s)
-    vals = rng.normal(size=(rows, cols))
-    pix = spark.createDataFrame([(x, y, float(vals[y, x])) for y in range(rows) for x in range(cols)],
-                                "x long, y long, v double")
-    tgt_gt, tx, ty = (-6.0, 0.173, 0.0, 3.5, 0.0, -0.131), 71, 53
-    out = {(r.tx, r.ty): r.v for r in reproject_nearest(pix, src_gt, cols, rows, tgt_gt, tx, ty, ["v"]).collect()}
+COLS, ROWS, SIZE = 37, 23, 31000.0
+SRC = (-COLS * SIZE / 2, SIZE, 0.0, ROWS * SIZE / 2, 0.0, -SIZE)
+TARGET, TX, TY = (-6.0, 0.173, 0.0, 3.5, 0.0, -0.131), 71, 53
+
+
+def brute_force(values):
     want = {}
-    for j in range(ty):
-        for i in range(tx):
-            lon, lat = tgt_gt[0] + (i + 0.5) * tgt_gt[1], tgt_gt[3] + (j + 0.5) * tgt_gt[5]
+    for j in range(TY):
+        for i in range(TX):
+            lon, lat = TARGET[0] + (i + 0.5) * TARGET[1], TARGET[3] + (j + 0.5) * TARGET[5]
             x = SPHERE_RADIUS * (lon * (math.pi / 180)) * math.cos(lat * (math.pi / 180))
             y = SPHERE_RADIUS * (lat * (math.pi / 180))
-            c, r = math.floor((x - src_gt[0]) / src_gt[1]), math.floor((y - src_gt[3]) / src_gt[5])
-            if 0 <= c < cols and 0 <= r < rows:
-                want[(i, j)] = float(vals[r, c])
-    assert out == want and len(want) > 100
-
-
-def test_grid_text_lookup_equals_direct_format(spark):
-    gt = (-180.0, 0.25, 0.0, 90.0, 0.0, -0.25)
-    px = spark.createDataFrame([(0, 0), (300, 2), (1439, 719)], "tx long, ty long")
-    rows = {(r.tx, r.ty): r for r in with_grid_text(px, gt, 1440, 720).collect()}
-    assert rows[(0, 0)].geography == "POINT(-179.875 89.875)"
-    assert rows[(1439, 719)].geography == "POINT(179.875 -89.875)"
-    assert rows[(300, 2)].geography_polygon == "POLYGON ((-104.75 89.25, -104.75 89.5, -105 89.5, -105 89.25, -104.75 89.25))"
+            c, r = math.floor((x - SRC[0]) / SRC[1]), math.floor((y - SRC[3]) / SRC[5])
+            if 0 <= c < COLS and 0 <= r < ROWS:
+                want[(i, j)] = float(values[r, c])
+    return want
+
+
+def image(name, values, x0=0, y0=0):
+    return {"image_id": name, "data": values, "gt": (SRC[0] + x0 * SIZE, SIZE, 0.0, SRC[3] - y0 * SIZE, 0.0, -SIZE),
+            "band_names": ["v"], "band_type": "Float64"}
+
+
+def reprojected(spark, images, block, **options):
+    tiles = tiles_from_arrays(spark, images, block)
+    return reproject_tiles(tiles, PixelLayout(("v",), "Float64"), SRC, COLS, ROWS, TARGET, TX, TY, block_size=block, **options)
+
+
+@pytest.mark.parametrize("block", [256, 8, 5])
+def test_nearest_pick_matches_brute_force(spark, block):
+    values = np.random.default_rng(5).normal(size=(ROWS, COLS))
+    rows = reprojected(spark, [image("one", values)], block).collect()
+    want = brute_force(values)
+    assert {(r.tx, r.ty): r.v for r in rows} == want and len(rows) == len(want) > 100
+    for r in rows:
+        assert r.lon == TARGET[0] + (r.tx + 0.5) * TARGET[1] and r.lat == TARGET[3] + (r.ty + 0.5) * TARGET[5]
+        assert r.geography == "POINT(%.10g %.10g)" % (r.lon, r.lat)
+
+
+def test_adjacent_images_make_one_mosaic(spark):
+    values = np.random.default_rng(6).normal(size=(ROWS, COLS))
+    parts = [image("a", values[:, :13]), image("b", values[:10, 13:], 13), image("c", values[10:, 13:], 13, 10)]
+    rows = reprojected(spark, parts, 8, with_text=False).collect()
+    want = brute_force(values)
+    assert {(r.tx, r.ty): r.v for r in rows} == want and len(rows) == len(want)
+
+
+def test_overlapping_and_foreign_images_are_refused(spark):
+    values = np.zeros((ROWS, COLS))
+    with pytest.raises(Exception, match="overlap"):
+        reprojected(spark, [image("a", values[:, :20]), image("b", values[:, 19:], 19)], 8).collect()
+    with pytest.raises(Exception, match="does not lie on the source grid"):
+        reprojected(spark, [image("a", values[:, :20], 0.4)], 8).collect()
+
+
+def test_part_of_the_source_gives_its_cells_only(spark):
+    values = np.random.default_rng(7).normal(size=(ROWS, COLS))
+    rows = reprojected(spark, [image("b", values[:, 20:], 20)], 8, with_text=False).collect()
+    holes = values.copy()
+    holes[:, :20] = np.nan
+    assert {(r.tx, r.ty): r.v for r in rows} == {k: v for k, v in brute_force(holes).items() if not math.isnan(v)}

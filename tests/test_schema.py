@@ -54,3 +54,31 @@ def test_declared_read_widens_and_reports_required(spark, tmp_dir):
     assert (rep.rows, rep.null_a, rep.null_b, rep.null_c) == (2, 0, 1, 2)
     with pytest.raises(Exception, match="REQUIRED column b is null"):
         enforce_required(df.select("a", "b"), s).collect()
+
+
+def test_unknown_type_raises():
+    with pytest.raises(ValueError, match="unknown type INTERVAL"):
+        to_struct([{"name": "x", "type": "INTERVAL"}])
+
+
+def test_nested_required_fields_are_reported_and_enforced(spark):
+    schema = to_struct([{"name": "k", "type": "INTEGER", "mode": "REQUIRED"},
+                        {"name": "f", "type": "RECORD", "mode": "REPEATED", "fields": [
+                            {"name": "h", "type": "INTEGER", "mode": "REQUIRED"}, {"name": "v", "type": "FLOAT"}]}])
+    df = spark.createDataFrame([(1, [(1, None), (None, 2.0)]), (2, None), (None, [(None, None)])],
+                               "k long, f array<struct<h:long,v:double>>")
+    r = required_violations(df, schema).first()
+    assert (r.rows, r.null_k, r.null_f_h) == (3, 1, 2)
+    assert enforce_required(df.where("k = 2"), schema).count() == 1
+    with pytest.raises(Exception, match="REQUIRED column f_h is null"):
+        enforce_required(df.where("k = 1"), schema).collect()
+
+
+def test_declared_descriptions_become_comments(spark):
+    from rastertab.sinks.tables import create_table
+    import uuid
+    name = f"t_{uuid.uuid4().hex[:8]}"
+    create_table(spark, name, declared("world_pop"))
+    comments = {c.name: c.description for c in spark.catalog.listColumns(name)}
+    spark.sql(f"DROP TABLE {name}")
+    assert comments["population"] == "people in the cell"
