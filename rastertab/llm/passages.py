@@ -22,8 +22,9 @@ Hashes only decide which passages meet; equal windows always meet.  The chunks
 are one shuffle that all three passes over them read.  A chunk sends equal
 anchors and equal passages once, whatever the size of a group of copies.
 
-Rows are compared by (doc_id, start); rows with the same id are one document;
-rows without id come last.
+Rows are compared by (doc_id, hash of the text, start): rows that share an id
+stand in the order of that hash, identical rows never come before each other.
+Rows without id come last.
 """
 
 from __future__ import annotations
@@ -144,7 +145,7 @@ class Words:
             word = (word ^ (word >> _U(31))) * _U(0xBF58476D1CE4E5B9) + (eight & keep)
         whole = data.tobytes()
         for i in np.flatnonzero(sizes > 16).tolist():
-            word[i] = _long_word(whole[places[i]:ends[i]])
+            word[i] = _hash(whole[places[i]:ends[i]])
         word = _mix(word)
         n = len(word) - size + 1
         h = word[:n].copy()
@@ -153,10 +154,10 @@ class Words:
         return _mix(h)
 
 
-def _long_word(word: bytes) -> int:
+def _hash(data: bytes) -> int:
     import xxhash
 
-    return xxhash.xxh64_intdigest(word)
+    return xxhash.xxh64_intdigest(data)
 
 
 # -- chunks -------------------------------------------------------------------
@@ -178,16 +179,18 @@ class Chunk:
         self.scheme = scheme
         ids = table.column("doc_id").cast(pa.int64())
         texts = [(t or b"") for t in table.column("text").cast(pa.binary()).to_pylist()]
-        keys = [NO_ID if i is None else i for i in ids.to_pylist()]
+        keys = [(NO_ID if i is None else i, _hash(t) >> 1) for i, t in zip(ids.to_pylist(), texts)]
         self.rows = sorted(range(len(keys)), key=lambda r: (keys[r], texts[r]))
-        self.ids = np.array([keys[r] for r in self.rows], dtype=np.int64)
+        self.ids, self.ties = (np.array([keys[r][k] for r in self.rows], dtype=np.int64) for k in (0, 1))
         self.texts = [scheme.symbols.normal(texts[r]) for r in self.rows]
         self.data, self.begin, self.places, self.ends = scheme.symbols.join(self.texts)
         self._anchors()
 
+    def place(self, doc: int, start: int) -> tuple[int, int, int]:
+        return int(self.ids[doc]), int(self.ties[doc]), start
+
     def _anchors(self) -> None:
         s, total = self.scheme, int(self.begin[-1])
-        self.places_of = self.hashes = None
         width = s.window - s.gram + 1
         if total < s.window:
             self.at, self.low, self.high, hashes = (np.empty(0, np.int64),) * 3 + (np.empty(0, _U),)
@@ -281,18 +284,19 @@ class Passages:
         self.of, self.where = np.empty(len(starts), np.int64), []
         self.contents: list[bytes] = []
         self.keys: list[int] = []
-        order = np.lexsort((starts, doc))
+        within = starts - chunk.begin[doc] if len(starts) else starts
+        order = np.lexsort((within, chunk.ties[doc], chunk.ids[doc])) if len(starts) else np.empty(0, np.int64)
         for i in order.tolist():
             a, n = int(starts[i]), int(self.length[i])
             content = whole[chunk.places[a]:chunk.ends[a + n - 1]]
-            k = int(keys[i]) if keys[i] != 1 else _long_word(content) | 2
+            k = int(keys[i]) if keys[i] != 1 else _hash(content) | 2
             j = found.setdefault((k, content), len(self.contents))
             if j == len(self.contents):
                 self.contents.append(content)
                 self.keys.append(k)
-                self.where.append((int(doc[i]), a - int(chunk.begin[doc[i]])))
+                self.where.append((int(doc[i]), int(within[i])))
             self.of[i] = j
-        self.doc, self.start = doc, starts - chunk.begin[doc] if len(starts) else starts
+        self.doc, self.start = doc, within
 
     def shards(self, n: int) -> Iterator[tuple[int, np.ndarray]]:
         shard = np.array([(k >> 17) % n for k in self.keys], dtype=np.int64)
@@ -302,7 +306,7 @@ class Passages:
     def blob(self, own: np.ndarray) -> bytes:
         docs = np.array([self.where[j][0] for j in own], dtype=np.int64)
         contents = [self.contents[j] for j in own]
-        return pack(self.chunk.ids[docs], np.array([self.where[j][1] for j in own], np.int64),
+        return pack(self.chunk.ids[docs], self.chunk.ties[docs], np.array([self.where[j][1] for j in own], np.int64),
                     np.array([len(c) for c in contents], np.int64), np.frombuffer(b"".join(contents), np.uint8))
 
     def removed(self, answers: list[tuple[int, bytes]], n_shards: int) -> list[list[tuple[int, int]]]:
@@ -313,19 +317,21 @@ class Passages:
             number, low, high = unpack(blob)
             for j, a, b in zip(own[shard][number.astype(np.int64)].tolist(), low.tolist(), high.tolist()):
                 spans[j].append((a, b))
-        ids, out = self.chunk.ids, [[] for _ in self.chunk.ids]
+        chunk, out = self.chunk, [[] for _ in self.chunk.ids]
         for i, j in enumerate(self.of.tolist()):
             doc, start = int(self.doc[i]), int(self.start[i])
-            first_doc, first_start = self.where[j]
-            later = ids[doc] > ids[first_doc] or (not self.chunk.scheme.by_document and ids[doc] == ids[first_doc]
-                                                  and start > first_start)
-            if later:
+            if later(chunk.scheme, chunk.place(doc, start), chunk.place(*self.where[j])):
                 out[doc].append((start, start + int(self.length[i])))
             else:
                 out[doc] += [(start + a, start + b) for a, b in spans[j]]
         return [merged(x) for x in out]
 
 
+def later(scheme: Scheme, place: tuple, first: tuple) -> bool:
+    """Whether all windows of a passage here also stand earlier, there."""
+    return place[0] > first[0] if scheme.by_document else place > first
+
+
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for a, b in sorted(spans):
@@ -338,9 +344,9 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 # -- the exchange -------------------------------------------------------------
 
-#: (passage contents, owners' ids, starts), all distinct and in (id, start)
-#: order -> spans of each that also stand earlier
-Decide = Callable[[list[bytes], np.ndarray, np.ndarray], list[list[tuple[int, int]]]]
+#: (distinct passage contents in the order of their first places, owners' ids)
+#: -> spans of each that also stand earlier
+Decide = Callable[[list[bytes], np.ndarray], list[list[tuple[int, int]]]]
 _ANSWER = "chunk long, step int, part int, blob binary"
 
 
@@ -384,28 +390,25 @@ def _repeated(scheme: Scheme, table: pa.Table) -> pa.Table:
 def _decided(scheme: Scheme, decide: Decide, table: pa.Table) -> pa.Table:
     """Step 4: one shard's passages; equal ones are decided once, by their first place."""
     chunks, shard = table.column("chunk").to_pylist(), table.column("part")[0].as_py()
-    first: dict[bytes, tuple[int, int]] = {}
-    held = []
+    first: dict[bytes, tuple] = {}  # content -> its first place
+    held: list[tuple[int, int, tuple, bytes]] = []  # row, number in the row, place, content
+    own: dict[bytes, bytes] = {}  # one copy of each content in memory
     for row, blob in enumerate(table.column("blob").to_pylist()):
-        ids, starts, sizes, data = unpack(blob)
+        ids, ties, starts, sizes, data = unpack(blob)
         ends, whole = np.cumsum(sizes), data.tobytes()
-        for i, (doc, start) in enumerate(zip(ids.tolist(), starts.tolist())):
+        for i, place in enumerate(zip(ids.tolist(), ties.tolist(), starts.tolist())):
             content = whole[ends[i] - sizes[i]:ends[i]]
-            content = held[place[0]][3] if (place := first.get(content)) else content  # one copy in memory
-            held.append((row, i, (doc, start), content))
-            if place is None or (doc, start) < held[place[0]][2]:
-                first[content] = (len(held) - 1, 0)
-    order = sorted((held[at][2], at) for at, _ in first.values())
-    found = decide([held[at][3] for _, at in order], np.array([p[0] for p, _ in order], np.int64),
-                   np.array([p[1] for p, _ in order], np.int64))
-    spans = {held[at][3]: (held[at][2], s) for (_, at), s in zip(order, found)}
+            content = own.setdefault(content, content)
+            first[content] = min(first.get(content, place), place)
+            held.append((row, i, place, content))
+    order = sorted((place, content) for content, place in first.items())
+    found = decide([c for _, c in order], np.array([p[0] for p, _ in order], np.int64))
+    spans = {content: s for (_, content), s in zip(order, found)}
     out: dict[int, list[tuple[int, int, int]]] = {}
     for row, i, place, content in held:
-        (doc, start), some = spans[content]
-        later = place[0] > doc or (not scheme.by_document and place > (doc, start))
-        own = [(0, _symbols(scheme, content))] if later else some
-        out.setdefault(row, []).extend((i, a, b) for a, b in own)
-    return _answers([(chunks[row], 4, shard, pack(*(np.array(x, np.uint32) for x in zip(*own)))) for row, own in out.items() if own])
+        gone = [(0, _symbols(scheme, content))] if later(scheme, place, first[content]) else spans[content]
+        out.setdefault(row, []).extend((i, a, b) for a, b in gone)
+    return _answers([(chunks[row], 4, shard, pack(*(np.array(x, np.uint32) for x in zip(*some)))) for row, some in out.items() if some])
 
 
 def _symbols(scheme: Scheme, content: bytes) -> int:

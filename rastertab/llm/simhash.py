@@ -92,8 +92,7 @@ def _forest(group: np.ndarray, fps: np.ndarray, distance: int) -> list[tuple[np.
                 near = np.bitwise_count(left ^ one) <= distance
                 if near.any():
                     out.append((np.repeat(one, near.sum()), left[near]))
-                    reached += left[near].tolist()
-                    reached = [np.uint64(x) for x in reached]
+                    reached += list(left[near])
                     left = left[~near]
     return out
 
@@ -101,14 +100,13 @@ def _forest(group: np.ndarray, fps: np.ndarray, distance: int) -> list[tuple[np.
 def links(fps: DataFrame, distance: int, blocks: int, largest: int = 4096) -> DataFrame:
     """``a, b``: links between distinct fingerprints that connect all that are
     within ``distance`` bits through others."""
-    spark = fps.sparkSession
     choices = _masks(list(range(64)), blocks, distance)
 
-    def dealt(rows: DataFrame, masks: list[int], old_key: list) -> DataFrame:
+    def dealt(rows: DataFrame, masks: list[int]) -> DataFrame:
         keys = F.array(*[F.struct(F.lit(_signed(m)).alias("mask"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("bits")) for m in masks])
         return rows.select("fp", F.explode(keys).alias("k")).select("fp", F.col("k.mask").alias("mask"), F.col("k.bits").alias("bits"))
 
-    met = dealt(fps, choices, [])
+    met = dealt(fps, choices)
     sizes = met.groupBy("mask", "bits").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     # meetings beyond `largest` members are dealt again over the bits their mask leaves out, with as many blocks
     large = written(sizes.where(F.col("n") > largest).select("mask", "bits"), "simhash-large")
@@ -117,10 +115,8 @@ def links(fps: DataFrame, distance: int, blocks: int, largest: int = 4096) -> Da
         hot = met.join(large, ["mask", "bits"])
         for m in choices:
             rest = [b for b in range(64) if not m >> b & 1]
-            keys = F.array(*[F.struct(F.lit(_signed(x | m)).alias("mask"), F.col("fp").bitwiseAND(F.lit(_signed(x | m))).alias("bits"))
-                             for x in _masks(rest, blocks, distance)])
-            finer.append(hot.where(F.col("mask") == F.lit(_signed(m))).select("fp", F.explode(keys).alias("k"))
-                         .select("fp", F.col("k.mask").alias("mask"), F.col("k.bits").alias("bits")))
+            own = hot.where(F.col("mask") == F.lit(_signed(m)))
+            finer.append(dealt(own, [x | m for x in _masks(rest, blocks, distance)]))
         met = met.join(large, ["mask", "bits"], "left_anti")
     for f in finer:
         met = met.unionByName(f)
@@ -185,7 +181,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", shingle: int = 3, dista
              .join(nodes.withColumnsRenamed({"fp": "b", "node": "nb"}), "b")
              .select(F.col("na").alias("a"), F.col("nb").alias("b")))
     roots = components(edges, "simhash-components")
-    classes = nodes.join(roots, "node", "left").select("fp", F.coalesce("root", "node").alias("component_id"))
+    # written, so that the last join sees two plain sides and can split a fingerprint with very many rows
+    classes = written(nodes.join(roots, "node", "left").select("fp", F.coalesce("root", "node").alias("component_id")), "simhash-classes")
     return marked.join(classes, "fp", "left").select("doc_id", "fp", "component_id")
 
 

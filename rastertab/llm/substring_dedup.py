@@ -13,9 +13,9 @@ shards would each have to meet all documents.  Instead each document's
 candidate passages are sent to the one automaton that can hold their match.
 
 Defined results: null, empty and word-less texts have no words and lose none;
-rows with the same id count as one document, in which the earlier start wins
-and equal starts both stay; rows without id come after all others; an empty
-table gives an empty result.
+rows that share an id stand in the order of a hash of their texts, identical
+rows remove nothing from each other; rows without id come after all others; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -79,7 +79,7 @@ class Decide:
     def __init__(self, window: int):
         self.window = window
 
-    def __call__(self, contents: list[bytes], ids: np.ndarray, starts: np.ndarray) -> list[list[tuple[int, int]]]:
+    def __call__(self, contents: list[bytes], ids: np.ndarray) -> list[list[tuple[int, int]]]:
         automaton, numbers, out = Automaton(), {}, []
         for content in contents:
             words = [numbers.setdefault(w, len(numbers)) for w in content.split(b" ")]

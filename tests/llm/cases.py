@@ -28,6 +28,8 @@ def awkward_docs(seed=0, n=60):
         rows.append((i, text, rng.choice(["en", "de", None]), rng.choice(["s1", "s1", "s1", "s2", "s5", None]), len(text)))
     rows += [(1000 + i, rows[10 + 3 * i][1], "en", "s2", 1) for i in range(8)]
     rows += [rows[12], rows[12], rows[15]]
+    own = next(r for r in rows if r[0] == 7)  # rows with one id and different texts
+    rows += [(7, "front words " + (own[1] or ""), "en", "s1", 1), (7, passage, "en", "s1", 1)]
     rng.shuffle(rows)
     return rows
 

@@ -17,17 +17,23 @@ def cover(n, starts, width):
     return gone
 
 
+def tie(text):
+    import xxhash
+
+    return xxhash.xxh64_intdigest((text or "").encode()) >> 1
+
+
 def brute_words(rows, width):
     first = {}
     for doc, text, *_ in rows:
         w = words(text)
         for i in range(len(w) - width + 1):
-            key, place = tuple(w[i:i + width]), (LAST if doc is None else doc, i)
+            key, place = tuple(w[i:i + width]), (LAST if doc is None else doc, tie(text), i)
             first[key] = min(first.get(key, place), place)
     out = []
     for doc, text, *_ in rows:
         w = words(text)
-        own = [i for i in range(len(w) - width + 1) if first[tuple(w[i:i + width])] < (LAST if doc is None else doc, i)]
+        own = [i for i in range(len(w) - width + 1) if first[tuple(w[i:i + width])] < (LAST if doc is None else doc, tie(text), i)]
         gone = cover(len(w), own, width)
         out.append((doc, len(w), int(gone.sum()), b" ".join(x for x, g in zip(w, gone) if not g)))
     return sorted(out, key=repr)
