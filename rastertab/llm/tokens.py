@@ -21,7 +21,7 @@ class Encoder:
     """``remembered`` pieces are held in each of two generations: when the
     young one is full it becomes the old one, which is then forgotten."""
 
-    def __init__(self, path: str, remembered: int = 300_000):
+    def __init__(self, path: str, remembered: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
         from tokenizers import Tokenizer
 
@@ -55,25 +55,22 @@ class Encoder:
                 out[w] = ids[low:high] if w[0] == "\n" else ids[low + 4:high]
         return out
 
-    def _fresh(self, words: set[str]) -> dict[str, bytes]:
-        """Ids of words that the young generation does not hold.  A word of
-        letters and one closing mark is the word's ids, then the mark's."""
+    def _learn(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of words that neither generation holds.  A word of letters and
+        one closing mark is the word's ids, then the mark's."""
         out, new, marked = {}, set(), []
         young, old, marks = self._young, self._old, self._marks
         for w in words:
-            ids = old.get(w)
+            mark, stem = marks.get(w[-1]), w[:-1]
+            if mark is None or not stem.isalpha():
+                new.add(w)
+                continue
+            ids = young.get(stem) or old.get(stem)
             if ids is None:
-                mark, stem = marks.get(w[-1]), w[:-1]
-                if mark is None or not stem.isalpha():
-                    new.add(w)
-                    continue
-                ids = young.get(stem) or old.get(stem)
-                if ids is None:
-                    new.add(stem)
-                    marked.append((w, stem, mark))
-                    continue
-                ids += mark
-            out[w] = ids
+                new.add(stem)
+                marked.append((w, stem, mark))
+            else:
+                out[w] = ids + mark
         if new:
             out.update(self._pieces(list(new)))
         for w, stem, mark in marked:
@@ -87,13 +84,22 @@ class Encoder:
         if _DOUBTFUL.search(text) or any(s in text for s in self._special):
             return self._whole([text])[0]
         first, *rest = text.replace("\n", " \n").split(" ")
-        found = list(map(self._young.get, rest))
+        young = self._young
+        found = list(map(young.get, rest))
         if None in found:
-            fresh = self._fresh({w for w, f in zip(rest, found) if f is None})
-            found = [fresh[w] if f is None else f for w, f in zip(rest, found)]
-            if len(self._young) + len(fresh) > self._remembered:
-                self._old, self._young = self._young, {}
-            self._young.update(fresh if max(map(len, fresh)) < 64 else {w: b for w, b in fresh.items() if len(w) < 64})
+            at = [i for i, ids in enumerate(found) if ids is None]
+            words = [rest[i] for i in at]
+            again = list(map(self._old.get, words))
+            if None in again:
+                fresh = self._learn({w for w, ids in zip(words, again) if ids is None})
+                again = [fresh[w] if ids is None else ids for w, ids in zip(words, again)]
+                young.update(fresh if max(map(len, fresh)) < 64 else {w: b for w, b in fresh.items() if len(w) < 64})
+            for i, ids in zip(at, again):
+                found[i] = ids
+            if max(map(len, words)) < 64:  # memory is bounded by the number of pieces
+                young.update(zip(words, again))
+            if len(young) > self._remembered:
+                self._old, self._young = young, {}
         return (self._whole([first])[0] if first else b"") + b"".join(found)
 
 
