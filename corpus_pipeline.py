@@ -20,11 +20,17 @@ from rastertab.llm.toxicity import score_toxicity
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _with_row(docs: DataFrame) -> DataFrame:
+    """What operators read, and the whole row beside it, so that no column of
+    the documents can clash with one that an operator adds."""
+    return docs.select("doc_id", "text", "source", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score reaches 0.7 go.  Texts of the labelled
     examples come from the same documents."""
-    scored = score_toxicity(docs, read(spark, sf_dir, "labels"))
-    return scored.where("toxic_predicted = 0").select(*docs.columns)
+    scored = score_toxicity(_with_row(docs), read(spark, sf_dir, "labels"))
+    return scored.where("toxic_predicted = 0").select("__row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,12 +47,11 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """Words of 20-word windows that start earlier elsewhere go.  A document
     that loses nothing keeps its text as it was; one that loses all its words
     goes; the others keep the remaining words joined by one space."""
-    found = dedup_substrings(docs)
-    text = F.when(F.size("removed") == 0, F.col("text")).otherwise(F.col("kept").cast("string"))
-    out = found.where((F.size("removed") == 0) | (F.octet_length("kept") > 0)).withColumn("text", text)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.size("removed") == 0, F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    found = dedup_substrings(_with_row(docs)).where((F.size("removed") == 0) | (F.octet_length("kept") > 0))
+    whole, row, left = F.size("removed") == 0, F.col("__row"), F.col("kept").cast("string")
+    new = {"text": left, "n_chars": F.length(left)}
+    return found.select(*[F.when(whole, row[f.name]).otherwise(new[f.name]).cast(f.dataType).alias(f.name) if f.name in new
+                          else row[f.name].alias(f.name) for f in docs.schema.fields])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -121,22 +121,19 @@ def serve(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS, seed: str = "mix") -> DataFrame:
     """The mix itself: rows of ``docs`` as often as they are taken, ranged by
     virtual finish time."""
-    cols = docs.columns
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     same = F.xxhash64(F.col("doc_id"), F.col("source"), F.col("text"))
-    nth = Window.partitionBy("doc_id", "__same").orderBy("source")
-    keyed = docs.withColumn("__same", same)
-    sized = written(keyed.select("doc_id", "source", "__same", n_words(F.col("text")).alias("size")), "mix-sizes")
-    chosen = (serve(sized, weights, max_repeats, seed).where("copies > 0")
-              .withColumn("__nth", F.row_number().over(nth)).select("doc_id", "__same", "__nth", "copies", "virtual_time",
-                                                                    "source_size", "target"))
-    rows = keyed.withColumn("__nth", F.row_number().over(nth))
-    return (rows.join(chosen.withColumnRenamed("doc_id", "__id"),
-                      rows["doc_id"].eqNullSafe(F.col("__id")) & (rows["__same"] == chosen["__same"])
-                      & (rows["__nth"] == chosen["__nth"]))
-            .withColumn("__round", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
-            .withColumn("__time", F.col("virtual_time") + F.col("__round") * F.col("source_size") / F.col("target"))
-            .repartitionByRange("__time").sortWithinPartitions("__time")
-            .select(*[rows[c] for c in cols]))
+    nth = Window.partitionBy("doc_id", "same").orderBy("source")  # identical rows are told apart by number
+    keyed = docs.select("doc_id", "source", same.alias("same"), n_words(F.col("text")).alias("size"), row.alias("row"))
+    sized = written(keyed.drop("row"), "mix-sizes")
+    chosen = (serve(sized, weights, max_repeats, seed).where("copies > 0").withColumn("nth", F.row_number().over(nth))
+              .select(F.col("doc_id").alias("id"), F.col("same").alias("as"), "nth", "copies", "virtual_time",
+                      (F.col("source_size") / F.col("target")).alias("lap")))
+    rows = keyed.withColumn("nth", F.row_number().over(nth)).select("doc_id", "same", F.col("nth").alias("number"), "row")
+    met = rows.join(chosen, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("same") == F.col("as")) & (F.col("number") == F.col("nth")))
+    return (met.withColumn("lap_no", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
+            .select("row", (F.col("virtual_time") + F.col("lap_no") * F.col("lap")).alias("time"))
+            .repartitionByRange("time").sortWithinPartitions("time").select("row.*"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -70,6 +70,11 @@ def test_stages_stand_awkward_and_empty_input(spark):
 
 
 def test_extra_columns_pass_through(spark):
-    docs = frame(spark, awkward_docs(15)).withColumns({"removed": F.lit("r"), "size": F.lit(1), "fp": F.lit(2), "time": F.lit(3)})
-    for _, stage in corpus_pipeline.STAGES[:2]:
-        assert stage(spark, docs, SF_SMALL).columns == docs.columns
+    names = ("removed", "kept", "n_symbols", "chunk", "size", "fp", "time", "copies", "target", "row", "same", "nth", "slice",
+             "toxic_score", "toxic_predicted", "component_id", "length", "number", "blob", "part")
+    docs = frame(spark, awkward_docs(15)).withColumns({n: F.lit(f"own {n}") for n in names})
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, docs, SF_SMALL)
+        assert out.columns == docs.columns and out.schema["n_chars"].dataType == docs.schema["n_chars"].dataType
+        assert [tuple(r) for r in out.select(*names).distinct().collect()] == [tuple(f"own {n}" for n in names)]
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF_SMALL).count() > 0
