@@ -96,13 +96,15 @@ class UrlModel:
         split = [(u.partition("/")[0], u[len(u.partition("/")[0]):], y) for u, y in rows]
         ids = [ngram_ids(h, p, self.dims, self.sizes) for h, p, _ in split]
         y = np.array([v for _, _, v in split], dtype=float)
-        x = np.zeros((len(ids), self.dims), dtype=np.float32)
+        seen = np.unique(np.concatenate([np.empty(0, np.int64), *ids]))  # other weights stay 0
+        x, weights = np.zeros((len(ids), len(seen))), np.zeros(len(seen))
         for i, r in enumerate(ids):
-            x[i, r] = 1 / np.sqrt(max(len(r), 1))
-        for _ in range(steps):
-            gap = 1 / (1 + np.exp(-(x @ self.weights + self.bias))) - y
-            self.weights -= rate * (x.T @ gap / len(y) + self.penalty * self.weights)
+            x[i, np.searchsorted(seen, r)] = 1 / np.sqrt(max(len(r), 1))
+        for _ in range(steps if len(y) else 0):
+            gap = 1 / (1 + np.exp(-(x @ weights + self.bias))) - y
+            weights -= rate * (x.T @ gap / len(y) + self.penalty * weights)
             self.bias -= rate * gap.mean()
+        self.weights[seen] = weights
         return self
 
     def score(self, host: str, path: str) -> float:
