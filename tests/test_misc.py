@@ -53,3 +53,14 @@ def test_require_input(spark, tmp_dir):
         require_input(spark, f"{tmp_dir}/missing.tif")
     open(f"{tmp_dir}/x.tif", "wb").write(b"1")
     require_input(spark, f"{tmp_dir}/x.tif")
+
+
+def test_scratch_lies_in_the_folder_the_session_names(spark):
+    import pathlib
+
+    import rastertab
+    from rastertab.session import scratch_path, shared_folder
+    assert scratch_path(spark, "x").startswith(f"{shared_folder(spark)}/rastertab/x-")
+    assert scratch_path(spark, "x") != scratch_path(spark, "x")
+    for path in pathlib.Path(rastertab.__file__).parent.rglob("*.py"):  # the library itself keeps nothing in a local temp folder
+        assert "llm" in path.parts or "tempfile" not in path.read_text(), path
