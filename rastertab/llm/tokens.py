@@ -67,13 +67,14 @@ class Encoder:
         return out
 
     def _learn(self, words: set[str]) -> dict[str, bytes]:
-        """Ids of words that neither generation holds.  A word of letters and
-        one closing mark is the word's ids, then the mark's."""
+        """Ids of words that neither generation holds.  A word of Latin letters
+        and one closing mark is the word's ids, then the mark's (what counts as
+        a letter elsewhere depends on the Unicode version)."""
         out, new, marked = {}, set(), []
         young, old, marks = self._young, self._old, self._marks
         for w in words:
             mark, stem = marks.get(w[-1]), w[:-1]
-            if mark is None or not stem.isalpha():
+            if mark is None or not stem.isalpha() or not (stem.isascii() or max(stem) < "\u0250"):
                 new.add(w)
                 continue
             ids = young.get(stem) or old.get(stem)
