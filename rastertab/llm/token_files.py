@@ -141,7 +141,7 @@ class TokenFileReader:
 
 
 def write_token_files(docs: DataFrame, folder: str, tokenizer: str | None = None, end_id: int = 2,
-                      frame_bytes: int = 1 << 20, level: int = 3) -> DataFrame:
+                      frame_bytes: int = 1 << 20, level: int = 1) -> DataFrame:
     """Write ``doc_id, text`` as token files under ``folder``; returns the list
     of files: ``part, file, n_docs, n_tokens``, written beside them."""
     tokenizer = tokenizer or default_tokenizer()

@@ -11,8 +11,10 @@ the end, a special token) are encoded whole.
 
 from __future__ import annotations
 
+import json
 import os
 import re
+import struct
 from collections import Counter
 
 _DOUBTFUL = re.compile(r"[ \n](?=\s|\Z)")
@@ -26,6 +28,14 @@ def _doubtful(text: str) -> bool:
     return any(c in text for c in _OTHER_SPACES) and _DOUBTFUL.search(text) is not None
 
 
+def _byte_letters() -> dict[int, str]:
+    """Byte-level vocabularies write a byte as one letter: printable Latin-1
+    bytes as themselves, the others from code point 256 on."""
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    rest = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 class Encoder:
     """``remembered`` pieces are held in each of two generations: when the
     young one is full it becomes the old one, which is then forgotten."""
@@ -41,6 +51,9 @@ class Encoder:
         self._remembered = remembered
         self._hot: dict[str, bytes] = {}
         self._seen, self._texts = Counter(), 0
+        form = json.loads(self._tokenizer.to_str())
+        plain = form["normalizer"] is None and (form["pre_tokenizer"] or {}).get("type") == "ByteLevel" and form["model"]["type"] == "BPE"
+        self._model, self._letters = self._tokenizer.model if plain else None, _byte_letters()
         self._newline = self._whole(["\n"])[0]
         self._marks = dict(zip(".,;:!?", self._whole(list(".,;:!?"))))
 
@@ -70,25 +83,30 @@ class Encoder:
         """Ids of words that neither generation holds.  A word of Latin letters
         and one closing mark is the word's ids, then the mark's (what counts as
         a letter elsewhere depends on the Unicode version)."""
-        out, new, marked = {}, set(), []
+        out, new = {}, []
         young, old, marks = self._young, self._old, self._marks
         for w in words:
-            mark, stem = marks.get(w[-1]), w[:-1]
-            if mark is None or not stem.isalpha() or not (stem.isascii() or max(stem) < "\u0250"):
-                new.add(w)
-                continue
-            ids = young.get(stem) or old.get(stem)
-            if ids is None:
-                new.add(stem)
-                marked.append((w, stem, mark))
-            else:
+            mark = marks.get(w[-1], b"")
+            stem = w[:-1] if mark else w
+            if stem.isalpha() and (stem.isascii() or max(stem) < "\u0250"):
+                ids = out.get(stem) or young.get(stem) or old.get(stem)
+                if ids is None:
+                    ids = out[stem] = self._word(stem)
                 out[w] = ids + mark
+            else:
+                new.append(w)
         if new:
-            out.update(self._pieces(list(new)))
-        for w, stem, mark in marked:
-            out[w] = out[stem] + mark
+            out.update(self._pieces(new))
         return out
 
+    def _word(self, word: str) -> bytes:
+        """Ids of a word of letters behind one space: a single piece to a
+        byte-level tokenizer, so its model can be asked directly."""
+        if self._model is None:
+            return self._whole([" " + word])[0]
+        found = self._model.tokenize((" " + word).encode().decode("latin-1").translate(self._letters))
+        return struct.pack(f"<{len(found)}I", *[t.id for t in found])
+
     def ids(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         if not text:
