@@ -97,16 +97,22 @@ def make_axis_text_udf(block_size: int, box_style: str = "g10"):
     @F.pandas_udf(AXIS_TEXT_SCHEMA)
     def axis_text(gt: pd.Series, ix: pd.Series, iy: pd.Series, xb: pd.Series, yb: pd.Series) -> pd.DataFrame:
         out = {k: [] for k in ("sep", "cx", "lox", "hix", "cy", "loy", "hiy")}
-        for g, i, j, w, h in zip(gt, ix, iy, xb, yb):
+        made: dict = {}  # blocks of a column or row of blocks share their grid lines: formatted once, held once
+
+        def lines(key, centre, low, high):
+            if key not in made:
+                made[key] = (c_format(centre), box_text(low), box_text(high))
+            return made[key]
+
+        for n, (g, i, j, w, h) in enumerate(zip(gt, ix, iy, xb, yb)):
             sep, gx, gy = _axis_values(g, int(i), int(j), int(w), int(h), block_size)
             lo_x, hi_x, lo_y, hi_y = box_edges(gx, gy, float(g[1]), float(g[5]))
             out["sep"].append(sep)
-            out["cx"].append(c_format(gx))
-            out["cy"].append(c_format(gy))
-            out["lox"].append(box_text(lo_x))
-            out["hix"].append(box_text(hi_x))
-            out["loy"].append(box_text(lo_y))
-            out["hiy"].append(box_text(hi_y))
+            x_key, y_key = (("x", *g, i, w), ("y", *g, j, h)) if sep else (("x", n), ("y", n))
+            for names, texts in ((("cx", "lox", "hix"), lines(x_key, gx, lo_x, hi_x)),
+                                 (("cy", "loy", "hiy"), lines(y_key, gy, lo_y, hi_y))):
+                for name, text in zip(names, texts):
+                    out[name].append(text)
         return pd.DataFrame(out)
 
     return axis_text
