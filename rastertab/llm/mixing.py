@@ -16,7 +16,7 @@ third of all rows spreads over all tasks.  Only sums per source and slice pass
 through small ordered windows.
 
 Defined results: null texts have size 0; documents of size 0 are not taken (0);
-rows without id are shuffled as one id; repeated rows are served one after the
+rows without id are shuffled by their size; repeated rows are served one after the
 other; an empty table gives an empty result.
 """
 
@@ -78,7 +78,8 @@ def serve(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int
     """Add ``source_size, target, copies, taken, virtual_time`` to rows with
     ``doc_id, source, size``.  Reads ``sized`` three times: give it a written
     table."""
-    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))))
+    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"),
+                                                                     F.concat(F.lit("-"), F.col("size").cast("string")))))
     rows = (sized.withColumns({"sk": _source_key(F.col("source")), "key": key})
             .withColumn("slice", F.substring("key", 1, 3)))
     sums = rows.groupBy("sk", "slice").agg(F.sum("size").alias("words"), F.min("source").alias("source"))
@@ -144,7 +145,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE = """
 WITH d AS (
-  SELECT doc_id, source, size, md5('mix:' || coalesce(doc_id::VARCHAR, '-')) AS key FROM (
+  SELECT doc_id, source, size, md5('mix:' || coalesce(doc_id::VARCHAR, '-' || size)) AS key FROM (
     SELECT doc_id, source,
            len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> ''))::BIGINT AS size
     FROM documents)

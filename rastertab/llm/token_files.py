@@ -17,7 +17,7 @@ each task streams its range into one file under a name of its own attempt and
 then moves it to its place, so a task that runs again leaves the same file.
 
 Defined results: null and empty texts hold the end id alone; rows without id
-come first; rows with equal ids are ordered by text, nulls first; an empty
+come first; rows with equal ids are ordered by a hash of the text; an empty
 table gives no documents.
 """
 
@@ -172,9 +172,9 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str | None = None
                 [pa.array([part], pa.int32()), pa.array([f"{folder}/{name}"]), pa.array([n_docs], pa.int64()),
                  pa.array([n_tokens], pa.int64())], names=["part", "file", "n_docs", "n_tokens"])
 
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text").asc()]  # the hash splits an id with very many rows
     ordered = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-               .repartitionByRange(shuffle_width(docs.sparkSession), F.col("doc_id").asc_nulls_first())
-               .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first()))
+               .repartitionByRange(shuffle_width(docs.sparkSession), *order).sortWithinPartitions(*order))
     return written(ordered.mapInArrow(write, "part int, file string, n_docs long, n_tokens long"), "token-files-list")
 
 

@@ -124,7 +124,7 @@ def brute_mix(rows):
         held.update(over)
     target = {s: float(held.get(s, weight[s] * level)) for s in order}
     line, upto = [], dict.fromkeys(order, 0)
-    key = lambda r: (hashlib.md5(f"mix:{'-' if r[0] is None else r[0]}".encode()).hexdigest(), r[0] or -1, len(words(r[1])))
+    key = lambda r: (hashlib.md5(f"mix:{f'-{len(words(r[1]))}' if r[0] is None else r[0]}".encode()).hexdigest(), r[0] or -1, len(words(r[1])))
     for n, r in sorted(enumerate(rows), key=lambda x: key(x[1])):
         upto[r[3]] += len(words(r[1]))
         for e in range(3):
