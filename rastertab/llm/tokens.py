@@ -28,6 +28,11 @@ def _doubtful(text: str) -> bool:
     return any(c in text for c in _OTHER_SPACES) and _DOUBTFUL.search(text) is not None
 
 
+def _latin(word: str) -> bool:
+    """Letters only, and only such as are letters in every Unicode version."""
+    return word.isalpha() and (word.isascii() or max(word) < "\u0250")
+
+
 def _byte_letters() -> dict[int, str]:
     """Byte-level vocabularies write a byte as one letter: printable Latin-1
     bytes as themselves, the others from code point 256 on."""
@@ -50,6 +55,7 @@ class Encoder:
         self._old: dict[str, bytes] = {}
         self._remembered = remembered
         self._hot: dict[str, bytes] = {}
+        self._firsts = {"": b""}
         self._seen, self._texts = Counter(), 0
         form = json.loads(self._tokenizer.to_str())
         plain = form["normalizer"] is None and (form["pre_tokenizer"] or {}).get("type") == "ByteLevel" and form["model"]["type"] == "BPE"
@@ -88,7 +94,7 @@ class Encoder:
         for w in words:
             mark = marks.get(w[-1], b"")
             stem = w[:-1] if mark else w
-            if stem.isalpha() and (stem.isascii() or max(stem) < "\u0250"):
+            if _latin(stem):
                 ids = out.get(stem) or young.get(stem) or old.get(stem)
                 if ids is None:
                     ids = out[stem] = self._word(stem)
@@ -99,12 +105,12 @@ class Encoder:
             out.update(self._pieces(new))
         return out
 
-    def _word(self, word: str) -> bytes:
-        """Ids of a word of letters behind one space: a single piece to a
-        byte-level tokenizer, so its model can be asked directly."""
+    def _word(self, word: str, space: str = " ") -> bytes:
+        """Ids of a word of letters, by default behind one space: a single piece
+        to a byte-level tokenizer, so its model can be asked directly."""
         if self._model is None:
-            return self._whole([" " + word])[0]
-        found = self._model.tokenize((" " + word).encode().decode("latin-1").translate(self._letters))
+            return self._whole([space + word])[0]
+        found = self._model.tokenize((space + word).encode().decode("latin-1").translate(self._letters))
         return struct.pack(f"<{len(found)}I", *[t.id for t in found])
 
     def ids(self, text: str | None) -> bytes:
@@ -121,7 +127,14 @@ class Encoder:
                 found[i] = ids
         if self._seen is not None:
             self._count(rest)
-        return (self._whole([first])[0] if first else b"") + b"".join(found)
+        begin = self._firsts.get(first)
+        if begin is None:  # the first word has no space before it
+            begin = self._word(first, "") if _latin(first) else self._whole([first])[0]
+            if len(self._firsts) > 50_000:
+                self._firsts = {"": b""}
+            if len(first) < 64:
+                self._firsts[first] = begin
+        return begin + b"".join(found)
 
     def _look_up(self, words: list[str]) -> list[bytes]:
         """Ids of words by the two generations, learning those in neither."""
