@@ -214,19 +214,20 @@ def tile_table_roundtrip(spark, sf_dir):
 
 # --------------------------------------------------------------------------- export planning
 @register("select_images", ["SRC-1b", "SRC-1g", "SRC-6", "FLT-1", "FLT-2", "FLT-3", "JN-2", "RAS-12"], f"""
-    SELECT image_id, collection, start_time, end_time, country, year, forecast_hours, name, needs_download, needs_convert FROM (
-      SELECT *, NOT (o_orderkey % 2 = 0) AS needs_download, NOT (o_orderkey % 3 = 0 AND o_orderkey % 5 > 0) AS needs_convert
-      FROM (SELECT *, CAST(split_part(image_id, '/', 2) AS BIGINT) AS o_orderkey, split_part(image_id, '/', 2) AS name FROM ({_CATALOG_SQL}))
-      WHERE country = 'NATION_7' AND year = 1997)
-    WHERE needs_download OR needs_convert
+    SELECT image_id, collection, start_time, end_time, country, year, forecast_hours, name,
+           o_orderstatus = 'P' AS needs_download, o_orderstatus <> 'F' AS needs_convert
+    FROM (SELECT *, split_part(image_id, '/', 2) AS name FROM ({_CATALOG_SQL}) WHERE country = 'NATION_7' AND year = 1997)
+    JOIN orders ON name = CAST(o_orderkey AS VARCHAR) WHERE o_orderstatus <> 'F'
 """)
 def select_images_query(spark, sf_dir):
     """Work planning from listings of what exists: rasters ``NAME.tif`` and
-    outputs ``NAME.parquet`` (an empty output counts as missing)."""
-    key = F.col("o_orderkey")
-    orders = read_table(spark, sf_dir, "orders").select("o_orderkey")
-    rasters = orders.where(key % 2 == 0).select(F.concat(F.lit("store/tif/"), key.cast("string"), F.lit(".tif")).alias("path"),
-                                                F.lit(10).cast("long").alias("length"))
-    outputs = orders.where(key % 3 == 0).select(F.concat(F.lit("store/parquet/"), key.cast("string"), F.lit(".parquet")).alias("path"),
-                                                (key % 5).alias("length"))
-    return select_images(_catalog(spark, sf_dir), "world_pop", country="NATION_7", year=1997, rasters=rasters, outputs=outputs)
+    outputs ``NAME.parquet``; an object without bytes counts as missing."""
+    orders = read_table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("name"), "o_orderstatus")
+
+    def listing(folder: str, ext: str, present):
+        return orders.select(F.concat(F.lit(f"store/{folder}/"), "name", F.lit(ext)).alias("path"),
+                             F.when(present, 10).otherwise(0).cast("long").alias("length"))
+
+    return select_images(_catalog(spark, sf_dir), "world_pop", country="NATION_7", year=1997,
+                         rasters=listing("tif", ".tif", F.col("o_orderstatus") != "P"),
+                         outputs=listing("parquet", ".parquet", F.col("o_orderstatus") == "F"))
