@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rastertab.llm.common import shuffle_width
+from rastertab.llm.tokens import forget_encoders
 
 NO_ID = np.iinfo(np.int64).max
 _U = np.uint64
@@ -344,6 +345,27 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 # -- the exchange -------------------------------------------------------------
 
+def _give_back(run: Callable) -> Callable:
+    """Worker processes live on between groups and jobs: let go of what earlier
+    jobs keep in them, and hand the memory that a group freed back to the system."""
+    def wrapped(*tables: pa.Table) -> pa.Table:
+        import ctypes
+        import gc
+
+        forget_encoders()
+        out = run(*tables)
+        gc.collect(0)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):  # not every C library has it
+            pass
+        return out
+
+    # Spark counts the function's parameters
+    return (lambda table: wrapped(table)) if run.__code__.co_argcount == 1 else (lambda table, answers: wrapped(table, answers))
+
+
 #: (distinct passage contents in the order of their first places, owners' ids)
 #: -> spans of each that also stand earlier
 Decide = Callable[[list[bytes], np.ndarray], list[list[tuple[int, int]]]]
@@ -390,25 +412,33 @@ def _repeated(scheme: Scheme, table: pa.Table) -> pa.Table:
 def _decided(scheme: Scheme, decide: Decide, table: pa.Table) -> pa.Table:
     """Step 4: one shard's passages; equal ones are decided once, by their first place."""
     chunks, shard = table.column("chunk").to_pylist(), table.column("part")[0].as_py()
-    first: dict[bytes, tuple] = {}  # content -> its first place
-    held: list[tuple[int, int, tuple, bytes]] = []  # row, number in the row, place, content
-    own: dict[bytes, bytes] = {}  # one copy of each content in memory
+    contents: dict[bytes, int] = {}
+    parts = []
     for row, blob in enumerate(table.column("blob").to_pylist()):
         ids, ties, starts, sizes, data = unpack(blob)
         ends, whole = np.cumsum(sizes), data.tobytes()
-        for i, place in enumerate(zip(ids.tolist(), ties.tolist(), starts.tolist())):
-            content = whole[ends[i] - sizes[i]:ends[i]]
-            content = own.setdefault(content, content)
-            first[content] = min(first.get(content, place), place)
-            held.append((row, i, place, content))
-    order = sorted((place, content) for content, place in first.items())
-    found = decide([c for _, c in order], np.array([p[0] for p, _ in order], np.int64))
-    spans = {content: s for (_, content), s in zip(order, found)}
+        own = [contents.setdefault(whole[a:b], len(contents)) for a, b in zip((ends - sizes).tolist(), ends.tolist())]
+        parts.append((np.array(own, np.int64), ids, ties, starts, np.full(len(own), row, np.int32), np.arange(len(own))))
+    del table
+    kind, *place, row, number = (np.concatenate(x) for x in zip(*parts))
+    del parts
+    texts = list(contents)
+    order = np.lexsort((*place[::-1], kind))
+    head = order[np.searchsorted(kind[order], np.arange(len(texts)))]
+    first = [x[head] for x in place]  # of each content: id, tie and start of its first place
+    order = np.lexsort(first[::-1])
+    found = decide([texts[k] for k in order.tolist()], first[0][order])
+    spans: list = [None] * len(texts)
+    for k, some in zip(order.tolist(), found):
+        spans[k] = some
+    beyond = np.zeros(len(kind), bool)
+    for x, f in list(zip(place, first))[:1 if scheme.by_document else 3][::-1]:
+        beyond = (x > f[kind]) | (x == f[kind]) & beyond
     out: dict[int, list[tuple[int, int, int]]] = {}
-    for row, i, place, content in held:
-        gone = [(0, _symbols(scheme, content))] if later(scheme, place, first[content]) else spans[content]
-        out.setdefault(row, []).extend((i, a, b) for a, b in gone)
-    return _answers([(chunks[row], 4, shard, pack(*(np.array(x, np.uint32) for x in zip(*some)))) for row, some in out.items() if some])
+    for k, r, i, gone in zip(kind.tolist(), row.tolist(), number.tolist(), beyond.tolist()):
+        if gone or spans[k]:
+            out.setdefault(r, []).extend((i, a, b) for a, b in ([(0, _symbols(scheme, texts[k]))] if gone else spans[k]))
+    return _answers([(chunks[r], 4, shard, pack(*(np.array(x, np.uint32) for x in zip(*some)))) for r, some in out.items()])
 
 
 def _symbols(scheme: Scheme, content: bytes) -> int:
@@ -468,12 +498,12 @@ def remove_repeats(docs: DataFrame, scheme: Scheme, decide: Decide, chunk_bytes:
             table = table.append_column(name, col)
         return table
 
-    sent = chunks.groupBy("chunk").applyInArrow(send_anchors, _ANSWER)
-    repeated = sent.groupBy("part").applyInArrow(lambda t: _repeated(scheme, t), _ANSWER).repartition(tasks, "chunk")
-    moved = chunks.groupBy("chunk").cogroup(repeated.groupBy("chunk")).applyInArrow(send_passages, _ANSWER)
-    decided = moved.groupBy("part").applyInArrow(lambda t: _decided(scheme, decide, t), _ANSWER)
+    sent = chunks.groupBy("chunk").applyInArrow(_give_back(send_anchors), _ANSWER)
+    repeated = sent.groupBy("part").applyInArrow(_give_back(lambda t: _repeated(scheme, t)), _ANSWER).repartition(tasks, "chunk")
+    moved = chunks.groupBy("chunk").cogroup(repeated.groupBy("chunk")).applyInArrow(_give_back(send_passages), _ANSWER)
+    decided = moved.groupBy("part").applyInArrow(_give_back(lambda t: _decided(scheme, decide, t)), _ANSWER)
     return (chunks.groupBy("chunk").cogroup(repeated.unionByName(decided).groupBy("chunk"))
-            .applyInArrow(lambda t, a: apply(t, a) if t.num_rows else schema_table(schema), schema))
+            .applyInArrow(_give_back(lambda t, a: apply(t, a) if t.num_rows else schema_table(schema)), schema))
 
 
 def schema_table(schema: T.StructType) -> pa.Table:

@@ -178,6 +178,13 @@ def worker_encoder(path: str) -> Encoder:
     return kept[path]
 
 
+def forget_encoders() -> None:
+    """Drop the encoders (and their pieces) that this worker process keeps."""
+    import sys
+
+    getattr(sys.modules.get("tokenizers"), "__dict__", {}).pop("_encoders_by_path", None)
+
+
 def default_tokenizer() -> str:
     """The public vocabulary file of the queries, by path; never copied."""
     import public_tokenizers
