@@ -3,7 +3,9 @@
 Documents of a source are shuffled (by a digest of seed and id) and served in
 that order, up to ``max_repeats`` rounds.  A copy's virtual finish time is the
 source's words up to and with it, divided by the source's target.  All copies
-are ranged by that time and the line is cut at the total budget.
+are ranged by that time and the line is cut at the total budget; of the copy
+that the cut falls into, ``taken`` counts the words before the cut, ``copies``
+counts whole copies.
 
 Targets: sources in code point order (null last) weigh ``weights`` in turn and
 share the budget, which is the words of all documents; a target stops at
@@ -107,14 +109,21 @@ def serve(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int
     inside = Window.partitionBy("part").orderBy(*_place_order(), "round")
     cut = (copies.join(F.broadcast(crossing), "part")  # one row
            .withColumn("line", F.col("before_part") + F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
-           .where("line > budget").select(*_PLACE, "round").orderBy(*_place_order(), "round").first())
+           .where("line > budget").select(*_PLACE, "round", (F.col("budget") - F.col("line") + F.col("size")).alias("part"))
+           .orderBy(*_place_order(), "round").first())
     taken_rounds = F.lit(0)
     for i in range(max_repeats):
         served_before = F.lit(True) if cut is None else _before(finish(F.lit(i)), i, cut)
         taken_rounds = taken_rounds + F.when((F.col("size") > 0) & served_before, 1).otherwise(0)
+    part = F.lit(0)
+    if cut is not None:  # the copy at the cut gives the words that are left of the budget
+        here = finish(F.lit(cut["round"])).eqNullSafe(F.lit(cut["time"]))
+        for name in _PLACE[1:]:
+            here = here & F.col(name).eqNullSafe(F.lit(cut[name]))
+        part = F.when(here, F.lit(cut["part"])).otherwise(0)
     return (rows
             .withColumn("copies", taken_rounds)
-            .withColumn("taken", (F.col("copies") * F.col("size")).cast("long"))
+            .withColumn("taken", (F.col("copies") * F.col("size") + part).cast("long"))
             .withColumn("virtual_time", finish(F.lit(0)))
             .drop("sk", "key", "slice", "offset", "weight", "budget", "upto"))
 
@@ -176,7 +185,7 @@ WITH d AS (
            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS line
   FROM u, range(3) r(e) WHERE size > 0
 ), k AS (
-  SELECT row_no, sum(size) AS taken FROM c WHERE line <= budget GROUP BY row_no
+  SELECT row_no, sum(least(size, budget - (line - size))) AS taken FROM c WHERE line - size < budget GROUP BY row_no
 )
 SELECT doc_id, size, s AS source_size, target, coalesce(taken, 0)::BIGINT AS taken
 FROM u LEFT JOIN k USING (row_no)

@@ -132,10 +132,10 @@ def brute_mix(rows):
                 line.append(((e * size[r[3]] + upto[r[3]]) / target[r[3]], "n" if r[3] is None else "s" + r[3], *key(r), e, n))
     taken, total = [0] * len(rows), 0
     for *_, s, _, n in sorted(line):
+        taken[n] += min(s, budget - total)
         total += s
-        if total > budget:
+        if total >= budget:
             break
-        taken[n] += s
     return sorted([(r[0], len(words(r[1])), size[r[3]], round(target[r[3]], 6), t) for r, t in zip(rows, taken)], key=repr)
 
 
@@ -147,7 +147,7 @@ def test_mixing_matches_brute_force(spark):
     rows = awkward_docs(10)
     found = mixing.serve(sized(frame(spark, rows))).collect()
     assert sorted([(r.doc_id, r.size, r.source_size, round(r.target, 6), r.taken) for r in found], key=repr) == brute_mix(rows)
-    assert all(0 <= r.taken <= 3 * r.size for r in found)
+    assert all(0 <= r.taken <= 3 * r.size for r in found) and sum(r.taken for r in found) == sum(r.size for r in found)
     assert mixing.serve(sized(frame(spark, []))).count() == 0
 
 
@@ -155,7 +155,7 @@ def test_mix_repeats_rows_as_taken(spark):
     rows = awkward_docs(11)
     taken = {}
     for r in mixing.serve(sized(frame(spark, rows))).collect():
-        taken[r.doc_id] = taken.get(r.doc_id, 0) + r.taken
+        taken[r.doc_id] = taken.get(r.doc_id, 0) + r.copies * r.size
     found = {}
     for r in mixing.mix(frame(spark, rows)).collect():
         found[r.doc_id] = found.get(r.doc_id, 0) + len(words(r.text))
