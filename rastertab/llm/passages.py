@@ -450,15 +450,18 @@ def _split(answers: pa.Table, step: int) -> list[tuple[int, bytes]]:
     return [(part, blob) for s, part, blob in rows if s == step]
 
 
-def remove_repeats(docs: DataFrame, scheme: Scheme, decide: Decide, chunk_bytes: int = 2 << 20, part_bytes: int = 16 << 20) -> DataFrame:
+def remove_repeats(docs: DataFrame, scheme: Scheme, decide: Decide, chunk_bytes: int = 2 << 20, part_bytes: int = 16 << 20,
+                   shard_bytes: int = 8 << 20) -> DataFrame:
     """All columns of ``docs``, then ``n_symbols`` (of the text), ``removed``
     (spans of symbols) and ``kept`` (bytes of the kept symbols, words joined by
-    one space)."""
+    one space).  Text per chunk, per bucket of anchors and per shard of passages
+    bounds what a task holds at once."""
     made = ("n_symbols", "removed", "kept")
     docs = docs.drop(*made, "chunk")
     width = shuffle_width(docs.sparkSession)
     total = docs.agg(F.sum(F.octet_length("text").cast("long")).alias("n")).first()["n"] or 0
-    n_chunks, n_parts = max(2 * width, -(-total // chunk_bytes)), max(width, -(-total // part_bytes))
+    n_chunks, n_parts, n_shards = (max(least, -(-total // size)) for least, size in (
+        (2 * width, chunk_bytes), (width, part_bytes), (width, shard_bytes)))
     spread = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id"))
     chunks = docs.withColumn("chunk", F.pmod(spread, F.lit(n_chunks)).cast("long"))
     tasks = max(width, -(-n_chunks // 4))
@@ -472,7 +475,7 @@ def remove_repeats(docs: DataFrame, scheme: Scheme, decide: Decide, chunk_bytes:
         if not table.num_rows or not answers.num_rows:
             return _answers([])
         found, no = Chunk(scheme, table).passages(_split(answers, 2), n_parts), table.column("chunk")[0].as_py()
-        return _answers([(no, 3, shard, found.blob(own)) for shard, own in found.shards(n_parts)])
+        return _answers([(no, 3, shard, found.blob(own)) for shard, own in found.shards(n_shards)])
 
     fields = [f for f in chunks.schema.fields if f.name != "chunk"]
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
@@ -482,7 +485,7 @@ def remove_repeats(docs: DataFrame, scheme: Scheme, decide: Decide, chunk_bytes:
 
     def apply(table: pa.Table, answers: pa.Table) -> pa.Table:
         chunk = Chunk(scheme, table)
-        spans = chunk.passages(_split(answers, 2), n_parts).removed(_split(answers, 4), n_parts) if answers.num_rows else [[]] * len(chunk.ids)
+        spans = chunk.passages(_split(answers, 2), n_parts).removed(_split(answers, 4), n_shards) if answers.num_rows else [[]] * len(chunk.ids)
         table = table.take(pa.array(chunk.rows, pa.int64())).drop_columns(["chunk"])
         kept, counts, whole = [], np.diff(chunk.begin), chunk.data.tobytes()
         for doc, (own, text) in enumerate(zip(spans, chunk.texts)):

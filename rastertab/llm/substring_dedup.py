@@ -92,7 +92,7 @@ def dedup_substrings(docs: DataFrame, window: int = 20, gram: int = 8) -> DataFr
     """All columns of ``docs``, then ``n_symbols`` (words), ``removed`` (spans
     of words), ``kept`` (kept words joined by one space, as bytes)."""
     scheme = Scheme(symbols=Words(), window=window, gram=min(gram, window), by_document=False, stretch=256)
-    return remove_repeats(docs, scheme, Decide(window))
+    return remove_repeats(docs, scheme, Decide(window), shard_bytes=4 << 20)  # an automaton needs much memory per word
 
 
 def removed_symbols() -> Column:

@@ -62,7 +62,7 @@ def got(df):
 def test_substring_dedup_matches_brute_force(spark, hot):
     rows = awkward_docs(1)
     scheme = passages.Scheme(passages.Words(), 20, 8, False, 256, hot=hot)
-    found = passages.remove_repeats(frame(spark, rows), scheme, substring_dedup.Decide(20), chunk_bytes=4000, part_bytes=9000)
+    found = passages.remove_repeats(frame(spark, rows), scheme, substring_dedup.Decide(20), chunk_bytes=4000, part_bytes=9000, shard_bytes=5000)
     assert got(found) == brute_words(rows, 20)
 
 
@@ -70,7 +70,7 @@ def test_substring_dedup_matches_brute_force(spark, hot):
 def test_suffix_dedup_matches_brute_force(spark, hot):
     rows = awkward_docs(2)
     scheme = passages.Scheme(passages.Bytes(), 50, 24, True, 2048, hot=hot)
-    found = passages.remove_repeats(frame(spark, rows), scheme, suffix_dedup.Decide(50), chunk_bytes=4000, part_bytes=9000)
+    found = passages.remove_repeats(frame(spark, rows), scheme, suffix_dedup.Decide(50), chunk_bytes=4000, part_bytes=9000, shard_bytes=5000)
     assert got(found) == brute_bytes(rows, 50)
 
 
