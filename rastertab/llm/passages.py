@@ -6,14 +6,18 @@ Every window has an anchor, the ``gram``-symbol string in it with the smallest
 hash, so equal windows have equal anchors, and neighbouring windows mostly
 share theirs.  Documents are dealt into chunks of a few MB, then
 
-1. each chunk sends its distinct anchors (hash, first place) to buckets by hash;
+1. each chunk sends its distinct anchors (hash, first place, bytes of the
+   distinct contexts it has there) to buckets by hash;
 2. each bucket finds anchors that occur more than once and answers each chunk
    with a passage key: the stretch of the document where the anchor stands
-   first, or, where very many chunks hold the anchor, the mark "by window";
+   first; where the contexts of a stretch's anchors may exceed a shard, a key of
+   the anchor's own; and where the anchor's contexts alone are a large part of a
+   shard, or very many chunks hold it, the mark "by window";
 3. each chunk cuts out the passages whose windows have such anchors, joins
    neighbours with one key, and sends each distinct passage once to a shard by
    key (windows marked "by window" each go by their own hash, so that a passage
-   which a third of all documents share is spread over shards);
+   which a third of all documents share, or the different contexts of a line
+   that they share, are spread over shards);
 4. each shard decides exactly, on the symbols themselves, which windows stand
    earlier elsewhere (a suffix automaton or a suffix array) and answers;
 5. each chunk applies the answers to its documents.
@@ -208,7 +212,7 @@ class Chunk:
             padded = np.concatenate([edge, least, edge])
             self.at = np.flatnonzero(_slide(padded, width, np.maximum) == grams)
             hashes = grams[self.at]
-            self._least, self._width = least, width
+            self._least, self._width, self._grams = least, width, grams
         _, first, inverse, counts = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
         order = np.argsort(first, kind="stable")
         rank = np.empty(len(order), np.int64)
@@ -230,9 +234,35 @@ class Chunk:
         at = self.at[self.first[own]]
         doc = np.searchsorted(self.begin, at, side="right") - 1
         docs, local = np.unique(doc, return_inverse=True)
-        return pack(self.hash[own], (self.counts[own] > 1).astype(np.uint8), np.diff(local.reshape(-1), prepend=0).astype(np.uint32),
+        return pack(self.hash[own], 2 * self.load[own] + (self.counts[own] > 1), np.diff(local.reshape(-1), prepend=0).astype(np.uint32),
                     (at - self.begin[doc]).astype(np.uint32), self.ids[docs])
 
+    def measure(self) -> None:
+        """``load``: of each distinct anchor, the bytes of its distinct contexts
+        (all symbols that share a window with it); contexts are told apart by
+        the hashes of grams that cover them, as only sizes depend on it."""
+        self.load = np.zeros(len(self.first), np.uint32)
+        if not len(self.at):
+            return
+        doc = np.searchsorted(self.begin, self.at, side="right") - 1
+        begin, end, reach = self.begin[doc], self.begin[doc + 1], self._width - 1
+        low, high = np.maximum(self.at - reach, begin), np.minimum(self.at + reach + self.scheme.gram, end)
+        size = self.ends[high - 1] - self.places[low]
+        twice = np.flatnonzero(self.counts[self.entry] > 1)  # all others have one context
+        mark = np.zeros(len(twice), _U)
+        steps = -(-reach // self.scheme.gram)
+        for step in range(-steps, steps + 1):
+            at = np.clip(self.at[twice] + step * reach // max(1, steps), begin[twice], end[twice] - self.scheme.gram)
+            mark = (mark ^ (mark >> _U(31))) * _U(0xBF58476D1CE4E5B9) + self._grams[at]
+        order = np.lexsort((mark, self.entry[twice]))
+        entry, mark = self.entry[twice][order], mark[order]
+        new = np.ones(len(order), bool)
+        new[1:] = (entry[1:] != entry[:-1]) | (mark[1:] != mark[:-1])
+        once = np.ones(len(self.at), bool)
+        once[twice[order[~new]]] = False
+        load = np.bincount(self.entry[once], weights=size[once], minlength=len(self.first))
+        self.load = np.minimum(load, 2 ** 31 - 1).astype(np.uint32)
+
     def passages(self, answers: list[tuple[int, bytes]], n_buckets: int) -> "Passages":
         """Passages from the buckets' answers (bucket, blob)."""
         key = np.zeros(len(self.first), _U)
@@ -285,6 +315,7 @@ class Passages:
         self.of, self.where = np.empty(len(starts), np.int64), []
         self.contents: list[bytes] = []
         self.keys: list[int] = []
+        self.lone: list[bool] = []  # a window sent by its own hash
         within = starts - chunk.begin[doc] if len(starts) else starts
         order = np.lexsort((within, chunk.ties[doc], chunk.ids[doc])) if len(starts) else np.empty(0, np.int64)
         for i in order.tolist():
@@ -295,6 +326,7 @@ class Passages:
             if j == len(self.contents):
                 self.contents.append(content)
                 self.keys.append(k)
+                self.lone.append(bool(keys[i] == 1))
                 self.where.append((int(doc[i]), int(within[i])))
             self.of[i] = j
         self.doc, self.start = doc, within
@@ -308,7 +340,7 @@ class Passages:
         docs = np.array([self.where[j][0] for j in own], dtype=np.int64)
         contents = [self.contents[j] for j in own]
         return pack(self.chunk.ids[docs], self.chunk.ties[docs], np.array([self.where[j][1] for j in own], np.int64),
-                    np.array([len(c) for c in contents], np.int64), np.frombuffer(b"".join(contents), np.uint8))
+                    np.array([len(c) for c in contents], np.int64), np.array([self.lone[j] for j in own], np.uint8), np.frombuffer(b"".join(contents), np.uint8))
 
     def removed(self, answers: list[tuple[int, bytes]], n_shards: int) -> list[list[tuple[int, int]]]:
         """Spans (symbols from, to) to remove from each document of the chunk."""
@@ -378,22 +410,22 @@ def _answers(rows: list[tuple[int, int, int, bytes]]) -> pa.Table:
                      pa.array(cols[3], pa.binary())], names=["chunk", "step", "part", "blob"])
 
 
-def _repeated(scheme: Scheme, table: pa.Table) -> pa.Table:
+def _repeated(scheme: Scheme, table: pa.Table, shard_bytes: int) -> pa.Table:
     """Step 2: one bucket's anchors that occur more than once."""
     chunks, bucket = table.column("chunk").to_pylist(), table.column("part")[0].as_py()
     parts = []
     for row, blob in enumerate(table.column("blob").to_pylist()):
-        h, many, doc, at, ids = unpack(blob)
-        parts.append((h, many, ids[np.cumsum(doc)], at, np.arange(len(h), dtype=np.uint32), np.full(len(h), row, np.int32)))
-    h, many, doc, at, number, row = (np.concatenate(x) for x in zip(*parts))
+        h, load, doc, at, ids = unpack(blob)
+        parts.append((h, load, ids[np.cumsum(doc)], at, np.arange(len(h), dtype=np.uint32), np.full(len(h), row, np.int32)))
+    h, load, doc, at, number, row = (np.concatenate(x) for x in zip(*parts))
     del parts
     order = np.argsort(h, kind="stable")
     same = h[order][1:] == h[order][:-1]
     keep = np.zeros(len(h), bool)
     keep[1:] |= same
     keep[:-1] |= same
-    order = order[keep | (many[order] > 0)]
-    h, doc, at, number, row = (x[order] for x in (h, doc, at, number, row))
+    order = order[keep | (load[order] & 1 > 0)]
+    h, load, doc, at, number, row = (x[order] for x in (h, load, doc, at, number, row))
     if not len(h):
         return _answers([])
     group = np.cumsum(np.concatenate([[False], h[1:] != h[:-1]]))
@@ -401,7 +433,10 @@ def _repeated(scheme: Scheme, table: pa.Table) -> pa.Table:
     head = first[np.searchsorted(group[first], np.arange(group[-1] + 1))]
     stretch = at[head].astype(_U) // _U(scheme.stretch)
     key = _mix(doc[head].view(_U) * _U(0x9E3779B97F4A7C15) + stretch) | _U(2)  # never 0 or 1
-    key = np.where(np.bincount(group) > scheme.hot, _U(0), key)[group]
+    # an anchor's bytes, and about as many anchors as a stretch has, in other buckets too
+    load, around = np.bincount(group, weights=load >> np.uint32(1)), -(-2 * scheme.stretch // (scheme.window - scheme.gram + 2))
+    key = np.where(load * around > shard_bytes, _mix(h[head] * _U(0xBF58476D1CE4E5B9)) | _U(2), key)
+    key = np.where((np.bincount(group) > scheme.hot) | (4 * load > shard_bytes), _U(0), key)[group]
     order = np.lexsort((number, row))
     number, key, row = number[order], key[order], row[order]
     cuts = np.flatnonzero(np.diff(row)) + 1
@@ -410,12 +445,16 @@ def _repeated(scheme: Scheme, table: pa.Table) -> pa.Table:
 
 
 def _decided(scheme: Scheme, decide: Decide, table: pa.Table) -> pa.Table:
-    """Step 4: one shard's passages; equal ones are decided once, by their first place."""
+    """Step 4: one shard's passages; equal ones are decided once, by their first
+    place.  A window sent by its own hash equals no other passage's windows (they
+    would have its anchor), so its first place decides it."""
     chunks, shard = table.column("chunk").to_pylist(), table.column("part")[0].as_py()
     contents: dict[bytes, int] = {}
+    by_window: list[np.ndarray] = []
     parts = []
     for row, blob in enumerate(table.column("blob").to_pylist()):
-        ids, ties, starts, sizes, data = unpack(blob)
+        ids, ties, starts, sizes, lone, data = unpack(blob)
+        by_window.append(lone)
         ends, whole = np.cumsum(sizes), data.tobytes()
         own = [contents.setdefault(whole[a:b], len(contents)) for a, b in zip((ends - sizes).tolist(), ends.tolist())]
         parts.append((np.array(own, np.int64), ids, ties, starts, np.full(len(own), row, np.int32), np.arange(len(own))))
@@ -427,6 +466,7 @@ def _decided(scheme: Scheme, decide: Decide, table: pa.Table) -> pa.Table:
     head = order[np.searchsorted(kind[order], np.arange(len(texts)))]
     first = [x[head] for x in place]  # of each content: id, tie and start of its first place
     order = np.lexsort(first[::-1])
+    order = order[np.concatenate(by_window)[head][order] == 0]
     found = decide([texts[k] for k in order.tolist()], first[0][order])
     spans: list = [None] * len(texts)
     for k, some in zip(order.tolist(), found):
@@ -469,6 +509,7 @@ def remove_repeats(docs: DataFrame, scheme: Scheme, decide: Decide, chunk_bytes:
 
     def send_anchors(table: pa.Table) -> pa.Table:
         chunk, no = Chunk(scheme, table), table.column("chunk")[0].as_py()
+        chunk.measure()
         return _answers([(no, 1, b, chunk.anchor_blob(own)) for b, own in chunk.buckets(n_parts)])
 
     def send_passages(table: pa.Table, answers: pa.Table) -> pa.Table:
@@ -502,7 +543,7 @@ def remove_repeats(docs: DataFrame, scheme: Scheme, decide: Decide, chunk_bytes:
         return table
 
     sent = chunks.groupBy("chunk").applyInArrow(_give_back(send_anchors), _ANSWER)
-    repeated = sent.groupBy("part").applyInArrow(_give_back(lambda t: _repeated(scheme, t)), _ANSWER).repartition(tasks, "chunk")
+    repeated = sent.groupBy("part").applyInArrow(_give_back(lambda t: _repeated(scheme, t, shard_bytes)), _ANSWER).repartition(tasks, "chunk")
     moved = chunks.groupBy("chunk").cogroup(repeated.groupBy("chunk")).applyInArrow(_give_back(send_passages), _ANSWER)
     decided = moved.groupBy("part").applyInArrow(_give_back(lambda t: _decided(scheme, decide, t)), _ANSWER)
     return (chunks.groupBy("chunk").cogroup(repeated.unionByName(decided).groupBy("chunk"))

@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -74,6 +75,48 @@ def test_suffix_dedup_matches_brute_force(spark, hot):
     assert got(found) == brute_bytes(rows, 50)
 
 
+def common_line(n=600):
+    """A line of sixteen words in every document, each time in another context."""
+    line = " ".join(f"line{i:x}" for i in range(16))
+    return [(d, " ".join([f"a{d}w{i}" for i in range(22)] + [line] + [f"b{d}w{i}" for i in range(22)]), "en", "s1", 1) for d in range(n)]
+
+
+def shard_sizes(rows, scheme, n_chunks, n_parts, n_shards, shard_bytes):
+    """Passage bytes that each shard gets, by the steps of the exchange."""
+    tables = [pa.table({"doc_id": pa.array([r[0] for r in rows[c::n_chunks]], pa.int64()),
+                        "text": pa.array([r[1] for r in rows[c::n_chunks]], pa.string())}) for c in range(n_chunks)]
+    chunks, sent, answers = [passages.Chunk(scheme, t) for t in tables], {}, {}
+    for no, chunk in enumerate(chunks):
+        chunk.measure()
+        for b, own in chunk.buckets(n_parts):
+            sent.setdefault(b, []).append((no, 1, b, chunk.anchor_blob(own)))
+    for found in sent.values():
+        for r in passages._repeated(scheme, passages._answers(found), shard_bytes).to_pylist():
+            answers.setdefault(r["chunk"], []).append((r["part"], r["blob"]))
+    sizes = [0] * n_shards
+    for no, chunk in enumerate(chunks):
+        found = chunk.passages(answers.get(no, []), n_parts)
+        for shard, own in found.shards(n_shards):
+            sizes[shard] += sum(len(found.contents[j]) for j in own)
+    return sizes
+
+
+@pytest.mark.parametrize("scheme", [passages.Scheme(passages.Words(), 20, 8, False, 256), passages.Scheme(passages.Bytes(), 50, 24, True, 2048)])
+def test_contexts_of_a_common_line_are_spread_over_shards(scheme):
+    sizes = shard_sizes(common_line(), scheme, 4, 4, 12, 16_000)
+    assert sum(sizes) > 12 * 4000 and max(sizes) < 2 * sum(sizes) / 12
+
+
+@pytest.mark.parametrize("shard_bytes", [16_000, 200_000, 8 << 20])  # by window, by anchor, by stretch
+def test_common_line_matches_brute_force(spark, shard_bytes):
+    rows = common_line(300) + common_line(310)[290:] + awkward_docs(6)
+    for symbols, decide, brute in ((passages.Words(), substring_dedup.Decide(20), brute_words), (passages.Bytes(), suffix_dedup.Decide(50), brute_bytes)):
+        words_ = isinstance(symbols, passages.Words)
+        scheme = passages.Scheme(symbols, *((20, 8, False, 256) if words_ else (50, 24, True, 2048)))
+        found = passages.remove_repeats(frame(spark, rows), scheme, decide, chunk_bytes=40_000, part_bytes=90_000, shard_bytes=shard_bytes)
+        assert got(found) == brute(rows, scheme.window)
+
+
 def test_dedup_general_interface_and_extra_columns(spark):
     rows = awkward_docs(3)
     docs = frame(spark, rows).withColumns({"chunk": F.lit("own"), "removed": F.lit(1), "part": F.lit(2), "blob": F.lit(None).cast("binary")})
