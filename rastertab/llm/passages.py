@@ -39,7 +39,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -490,6 +490,13 @@ def _split(answers: pa.Table, step: int) -> list[tuple[int, bytes]]:
     return [(part, blob) for s, part, blob in rows if s == step]
 
 
+def chunk_of(n_chunks: int) -> Column:
+    """Chunk of a row.  Rows that share an id are spread by their texts, identical
+    rows by the input partition, which, unlike a row's place in it, stays the same
+    when a task is repeated."""
+    return F.pmod(F.xxhash64("doc_id", "text", F.spark_partition_id()), F.lit(n_chunks)).cast("long")
+
+
 def remove_repeats(docs: DataFrame, scheme: Scheme, decide: Decide, chunk_bytes: int = 2 << 20, part_bytes: int = 16 << 20,
                    shard_bytes: int = 8 << 20) -> DataFrame:
     """All columns of ``docs``, then ``n_symbols`` (of the text), ``removed``
@@ -502,8 +509,7 @@ def remove_repeats(docs: DataFrame, scheme: Scheme, decide: Decide, chunk_bytes:
     total = docs.agg(F.sum(F.octet_length("text").cast("long")).alias("n")).first()["n"] or 0
     n_chunks, n_parts, n_shards = (max(least, -(-total // size)) for least, size in (
         (2 * width, chunk_bytes), (width, part_bytes), (width, shard_bytes)))
-    spread = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id"))
-    chunks = docs.withColumn("chunk", F.pmod(spread, F.lit(n_chunks)).cast("long"))
+    chunks = docs.withColumn("chunk", chunk_of(n_chunks))
     tasks = max(width, -(-n_chunks // 4))
     chunks = chunks.repartition(tasks, "chunk")  # one exchange, read by steps 1, 3 and 5
 

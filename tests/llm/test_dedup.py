@@ -117,6 +117,14 @@ def test_common_line_matches_brute_force(spark, shard_bytes):
         assert got(found) == brute(rows, scheme.window)
 
 
+def test_rows_of_one_id_and_copies_without_id_are_spread_over_chunks(spark):
+    rows = [(7, f"text {i}", "en", "s", 1) for i in range(400)] + [(None, "one text", "en", "s", 1)] * 400
+    chunks = frame(spark, rows).repartition(16).withColumn("chunk", passages.chunk_of(16))
+    for some in ("doc_id = 7", "doc_id IS NULL"):
+        assert max(r["count"] for r in chunks.where(some).groupBy("chunk").count().collect()) < 200
+    assert got(substring_dedup.dedup_substrings(frame(spark, awkward_docs(8)).repartition(5), window=12, gram=5)) == brute_words(awkward_docs(8), 12)
+
+
 def test_dedup_general_interface_and_extra_columns(spark):
     rows = awkward_docs(3)
     docs = frame(spark, rows).withColumns({"chunk": F.lit("own"), "removed": F.lit(1), "part": F.lit(2), "blob": F.lit(None).cast("binary")})
