@@ -1,12 +1,16 @@
 """Toxicity by the nearest labelled examples.
 
 Examples are a bounded sample of the labelled documents (``per_class`` of each
-label, by a hash of the id, texts up to ``example_chars``).  Terms are the
-character 4- and 5-grams of words (with marks at both ends) whose presence
-tells the labels apart beyond chance.  Each document is compared with the
-examples by exact TF-IDF cosine over these terms, through an inverted index cut
-into blocks of examples: the largest weight of each term in each block bounds
-what the block can hold, blocks are opened from the highest bound down, and
+label, by a hash of the id, texts up to ``example_chars``).  Terms are all
+character 4- and 5-grams of the examples' words (with marks at both ends),
+weighted by idf and by how far their presence tells the labels apart; a term
+that tells nothing keeps a small weight (``LEAST``), none is dropped.  Of near
+copies among the examples one is compared; idf counts all of them.  Each
+document is compared with the examples by exact TF-IDF cosine, through an
+inverted index cut into blocks of examples: lists of the rarer terms are added
+up, frequent terms stand in blocks of a dense array; the largest weight of each
+frequent term in each block bounds what the block can hold, blocks are opened
+from the highest bound down for the documents that need them, and
 the search ends when the next bound is below the k-th best.  The neighbours
 vote by their closeness; votes become chances by a logistic curve fitted on
 the examples' own left-out votes, weighted to the labels' shares of all labelled rows.
@@ -35,6 +39,7 @@ from rastertab.llm.common import read
 
 _WORD = re.compile(r"[^\W\d_]+")
 SIZES = (4, 5)
+LEAST = 0.05  # weight of a term that tells nothing
 
 
 def held_out(doc_id: Column) -> Column:
@@ -63,106 +68,169 @@ def first_of_copies(examples: list[tuple[int, str, int]], tries: int = 4) -> lis
     return out
 
 
+Vector = tuple[np.ndarray, np.ndarray]  # terms, weights
+
+
 class Terms:
-    """Counts of the chosen terms in a text; remembers words up to a bound."""
+    """Counts of the terms in a text; remembers words up to a bound."""
 
-    def __init__(self, terms: dict[str, int], remembered: int = 300_000):
+    def __init__(self, terms: dict[str, int], remembered: int = 200_000):
         self._terms, self._remembered, self._words = terms, remembered, {}
 
-    def counts(self, text: str | None) -> dict[int, int]:
-        out: dict[int, int] = {}
+    def counts(self, text: str | None) -> Vector:
+        parts, times = [], []
         for word, n in Counter(_WORD.findall((text or "").lower())).items():
             own = self._words.get(word)
             if own is None:
-                own = tuple(self._terms[g] for g in _grams(word) if g in self._terms)
+                own = np.array([self._terms[g] for g in _grams(word) if g in self._terms], np.int32)
                 if len(self._words) >= self._remembered:
                     self._words.clear()
                 if len(word) < 64:
                     self._words[word] = own
-            for t in own:
-                out[t] = out.get(t, 0) + n
-        return out
+            parts.append(own)
+            times.append(n)
+        if not parts:
+            return np.empty(0, np.int32), np.empty(0)
+        every = np.concatenate(parts)
+        order = np.argsort(every, kind="stable")
+        every, n = every[order], np.repeat(times, [len(x) for x in parts])[order]
+        heads = np.flatnonzero(np.diff(every, prepend=-1))
+        return every[heads], np.add.reduceat(n, heads).astype(float) if len(heads) else np.empty(0)
 
 
 class BlockMaxIndex:
-    """Exact top-k cosine over postings cut into blocks of examples."""
-
-    def __init__(self, vectors: list[dict[int, float]], n_terms: int, block: int = 64):
-        self.block, self.n_blocks = block, max(1, -(-len(vectors) // block))
-        self.maxima = np.zeros((n_terms, self.n_blocks))
-        lists: dict[int, list[tuple[int, float]]] = {}
-        for i, v in enumerate(vectors):
-            for t, w in v.items():
-                lists.setdefault(t, []).append((i, w))
-                self.maxima[t, i // block] = max(self.maxima[t, i // block], w)
-        self.postings = {t: (np.array([i for i, _ in p]), np.array([w for _, w in p])) for t, p in lists.items()}
-        self.cuts = {t: np.searchsorted(p[0], np.arange(self.n_blocks + 1) * block) for t, p in self.postings.items()}
-
-    def search(self, query: dict[int, float], k: int, without: int = -1) -> list[tuple[float, int]]:
+    """Exact top-k cosine over postings cut into blocks of examples.  Terms in
+    more than ``frequent`` of the examples (``most`` at most) stand in a dense
+    array of single precision, which is not sent but made where it is used; the
+    examples it leaves in question are compared again in double precision."""
+
+    def __init__(self, vectors: list[dict[int, float] | Vector], n_terms: int, block: int = 64, frequent: float = 0.05, most: int = 8192):
+        pairs = [(np.array(list(v), np.int32), np.array(list(v.values()), float)) if isinstance(v, dict) else v for v in vectors]
+        self.block, self.n, self.n_terms = block, len(pairs), n_terms
+        self.n_blocks = max(1, -(-self.n // block))
+        sizes = [len(t) for t, _ in pairs]
+        self.begin = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]).astype(np.int64)
+        self.terms = np.concatenate([np.empty(0, np.int32), *(t for t, _ in pairs)]).astype(np.int32)
+        self.weights = np.concatenate([np.empty(0), *(w for _, w in pairs)])
+        df = np.bincount(self.terms, minlength=n_terms)
+        often = np.argsort(-df, kind="stable")[:most]
+        often = often[df[often] > frequent * self.n]
+        self.column = np.full(n_terms, -1, np.int32)  # of each frequent term
+        self.column[often] = np.arange(len(often))
+        example = np.repeat(np.arange(self.n, dtype=np.int32), sizes)
+        rare = np.flatnonzero(self.column[self.terms] < 0)
+        rare = rare[np.argsort(self.terms[rare], kind="stable")]
+        self.post_example, self.post_weight = example[rare], self.weights[rare]
+        self.post_begin = np.searchsorted(self.terms[rare], np.arange(n_terms + 1))
+        self._dense = self._maxima = None
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "_dense": None, "_maxima": None}
+
+    def _make(self) -> None:
+        width = int(self.column.max(initial=-1)) + 1
+        self._dense = np.zeros((self.n_blocks * self.block, width), np.float32)
+        for i in range(self.n):
+            lo, hi = self.begin[i], self.begin[i + 1]
+            at = self.column[self.terms[lo:hi]]
+            self._dense[i, at[at >= 0]] = self.weights[lo:hi][at >= 0]
+        self._maxima = self._dense.reshape(self.n_blocks, self.block, width).max(axis=1)
+
+    def _rare(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        low, n = self.post_begin[terms], self.post_begin[terms + 1] - self.post_begin[terms]
+        at = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
+        return np.bincount(self.post_example[at], np.repeat(weights, n) * self.post_weight[at], self.n_blocks * self.block)
+
+    def search(self, query: dict[int, float] | Vector, k: int, without: int = -1) -> list[tuple[float, int]]:
         """(cosine, example) of the k nearest with a positive cosine, ties to the smaller example."""
-        terms = [t for t in query if t in self.postings]
-        if not terms:
-            return []
-        weights = np.array([query[t] for t in terms])
-        bounds = weights @ self.maxima[terms]
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[b] <= 0 or len(best) == k and bounds[b] < -best[-1][0] - 1e-9:
-                break
-            scores = np.zeros(self.block)
-            for t, w in zip(terms, weights):
-                lo, hi = self.cuts[t][b], self.cuts[t][b + 1]
-                if lo < hi:
-                    ids, values = self.postings[t]
-                    scores[ids[lo:hi] - b * self.block] += w * values[lo:hi]
-            if 0 <= without - b * self.block < self.block:
-                scores[without - b * self.block] = 0
-            hits = np.flatnonzero(scores > 0)
-            best = sorted(best + [(-float(scores[i]), b * self.block + int(i)) for i in hits])[:k]
-        return [(-s, i) for s, i in best]
+        return self.search_many([query], k, [without])[0]
+
+    def search_many(self, queries: list, k: int, without: list[int] | None = None) -> list[list[tuple[float, int]]]:
+        if self._dense is None:
+            self._make()
+        queries = [(np.array(list(q), np.int32), np.array(list(q.values()), float)) if isinstance(q, dict) else q for q in queries]
+        width, block = self._dense.shape[1], self.block
+        doubt = (width + 8) * 2.0 ** -23  # of sums in single precision
+        heavy, scores = np.zeros((len(queries), width), np.float32), np.empty((len(queries), self.n_blocks * block))
+        for r, (terms, weights) in enumerate(queries):
+            at = self.column[terms]
+            heavy[r, at[at >= 0]] = weights[at >= 0]
+            scores[r] = self._rare(terms[at < 0], weights[at < 0])
+        bounds = heavy @ self._maxima.T + scores.reshape(len(queries), self.n_blocks, block).max(axis=2)
+        best = np.zeros((len(queries), k))
+        for b in np.argsort(-bounds.sum(axis=0), kind="stable").tolist():
+            opened, own = bounds[:, b] >= best[:, 0] - 2 * doubt, slice(b * block, (b + 1) * block)
+            scores[~opened, own] = 0
+            if opened.any():
+                rows = slice(None) if opened.all() else np.flatnonzero(opened)
+                scores[rows, own] += heavy[rows] @ self._dense[own].T
+                for r in np.flatnonzero(opened).tolist() if without is not None else ():
+                    if 0 <= without[r] - b * block < block:
+                        scores[r, without[r]] = 0
+                best[rows] = np.partition(np.concatenate([best[rows], scores[rows, own]], axis=1), block, axis=1)[:, block:]
+                best[rows] = np.sort(best[rows], axis=1)
+        out, whole = [], np.zeros(self.n_terms)
+        for r, (terms, weights) in enumerate(queries):
+            whole[terms] = weights
+            near = []
+            for i in np.flatnonzero((scores[r] > 0) & (scores[r] >= best[r, 0] - 2 * doubt)).tolist():
+                lo, hi = self.begin[i], self.begin[i + 1]
+                near.append((-float(whole[self.terms[lo:hi]] @ self.weights[lo:hi]), i))
+            whole[terms] = 0
+            out.append([(-s, i) for s, i in sorted(near)[:k]])
+        return out
 
 
 class ToxicityModel:
-    def __init__(self, examples: list[tuple[int, str, int]], labelled: dict[int, int], k: int = 16, max_terms: int = 4096):
-        examples = first_of_copies(examples)
+    def __init__(self, examples: list[tuple[int, str, int]], labelled: dict[int, int], k: int = 16):
         self.k, self.base = k, labelled.get(1, 0) / max(1, sum(labelled.values()))
+        every, examples = examples, first_of_copies(examples)
         n = Counter(y for _, _, y in examples)
         self.ready = bool(n[0] and n[1])
         if not self.ready:
             return
         self.share = {y: labelled[y] / n[y] for y in (0, 1)}  # labelled rows that an example stands for
-        self.terms = self._choose(examples, n, max_terms)
-        counter = Terms(self.terms)
-        counts = [counter.counts(text) for _, text, _ in examples]
-        df = Counter(t for c in counts for t in c)
-        self.idf = {t: math.log(1 + len(examples) / d) for t, d in df.items()}
+        self.terms: dict[str, int] = {}
+        for _, text, _ in every:
+            for word in sorted(set(_WORD.findall(text.lower()))):
+                for g in sorted(_grams(word)):
+                    self.terms.setdefault(g, len(self.terms))
+        counter, first = Terms(self.terms), {i for i, _, _ in examples}
+        df, seen, counts = np.zeros(len(self.terms)), np.zeros((2, len(self.terms))), []
+        for i, text, y in every:
+            own = counter.counts(text)
+            df[own[0]] += 1
+            if i in first:
+                seen[y, own[0]] += 1
+                counts.append(own)
+        self.weight = np.log(1 + len(every) / np.maximum(df, 1)) * self._telling(seen, n)
         vectors = [self._vector(c) for c in counts]
         # examples with the same strongest term stand together, so that blocks differ in what they can hold
-        order = sorted(range(len(examples)), key=lambda i: (-max(vectors[i], key=vectors[i].get, default=-1), examples[i][0]))
+        order = sorted(range(len(examples)), key=lambda i: (-int(vectors[i][0][vectors[i][1].argmax()]) if len(vectors[i][0]) else 1, examples[i][0]))
         self.ids, self.labels = [examples[i][0] for i in order], [examples[i][2] for i in order]
         vectors = [vectors[i] for i in order]
         self.index = BlockMaxIndex(vectors, len(self.terms) or 1)
-        left_out = [self._vote(self.index.search(v, k, without=i)) for i, v in enumerate(vectors)]
+        left_out = []
+        for at in range(0, len(vectors), 256):
+            some = range(at, min(at + 256, len(vectors)))
+            left_out += [self._vote(near) for near in self.index.search_many([vectors[i] for i in some], k, list(some))]
         self._fit_curve(np.array(left_out), np.array(self.labels))
+        self.index = BlockMaxIndex(vectors, len(self.terms) or 1)  # without what the search made
 
     @staticmethod
-    def _choose(examples, n, max_terms: int) -> dict[str, int]:
-        seen = {0: Counter(), 1: Counter()}
-        for _, text, y in examples:
-            seen[y].update({g for w in set(_WORD.findall(text.lower())) for g in _grams(w)})
-        total, found = n[0] + n[1], []
-        for g in seen[0].keys() | seen[1].keys():
-            a, b = seen[1][g], seen[0][g]
-            if a + b >= 4 and max((a + .5) / n[1], (b + .5) / n[0]) >= 4 * min((a + .5) / n[1], (b + .5) / n[0]):
-                chi = total * (a * n[0] - b * n[1]) ** 2 / (n[1] * n[0] * (a + b) * (total - a - b)) if a + b < total else 0
-                found.append((-chi, g))
-        least = 2 * math.log(2 + len(seen[0].keys() | seen[1].keys()))
-        return {g: i for i, (chi, g) in enumerate(sorted(found)[:max_terms]) if -chi >= least}
-
-    def _vector(self, counts: dict[int, int]) -> dict[int, float]:
-        v = {t: (1 + math.log(c)) * self.idf[t] for t, c in sorted(counts.items()) if t in self.idf}
-        norm = math.sqrt(sum(w * w for w in v.values()))
-        return {t: w / norm for t, w in v.items()} if norm else {}
+    def _telling(seen: np.ndarray, n) -> np.ndarray:
+        """How far a term's presence tells the labels apart, from ``LEAST`` to 1:
+        chi-square over what the most telling of as many terms reaches by chance."""
+        (b, a), total = seen, n[0] + n[1]
+        rest = (a + b) * (total - a - b)
+        chi = np.divide(total * (a * n[0] - b * n[1]) ** 2, n[1] * n[0] * rest, out=np.zeros(len(a)), where=rest > 0)
+        return np.clip(chi / (2 * math.log(2 + len(a))), LEAST, 1)
+
+    def _vector(self, counts: Vector) -> Vector:
+        terms, n = counts
+        w = (1 + np.log(n)) * self.weight[terms]
+        norm = math.sqrt(float(w @ w))
+        return (terms, w / norm) if norm else (terms[:0], w[:0])
 
     def _vote(self, near: list[tuple[float, int]]) -> float:
         """Log odds of the votes; each neighbour counts for the labelled rows
@@ -182,9 +250,9 @@ class ToxicityModel:
             bend = (design * (weight * p * (1 - p))[:, None]).T @ design + 1e-4 * np.eye(2)
             self.curve -= np.linalg.solve(bend, slope)
 
-    def score(self, counter: Terms, text: str | None) -> tuple[float, list[tuple[float, int]]]:
-        near = self.index.search(self._vector(counter.counts(text)), self.k)
-        return float(1 / (1 + math.exp(-max(-30.0, min(30.0, self.curve[0] * self._vote(near) + self.curve[1]))))), near
+    def score(self, counter: Terms, texts: list[str | None]) -> list[tuple[float, list[tuple[float, int]]]]:
+        near = self.index.search_many([self._vector(counter.counts(t)) for t in texts], self.k)
+        return [(float(1 / (1 + math.exp(-max(-30.0, min(30.0, self.curve[0] * self._vote(x) + self.curve[1]))))), x) for x in near]
 
 
 def learn(docs: DataFrame, labels: DataFrame, per_class: int = 2048, example_chars: int = 20_000) -> ToxicityModel:
@@ -216,10 +284,12 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, examples_from: DataFrame
         counter = Terms(model.terms) if model.ready else None
         for b in batches:
             scores, why = [], []
-            for text in b.column(at):
-                s, near = model.score(counter, text.as_py()) if model.ready else (model.base, [])
-                scores.append(s)
-                why.append([{"doc_id": model.ids[i], "cosine": c, "toxic": model.labels[i]} for c, i in near[:3]])
+            texts = b.column(at).to_pylist()
+            for low in range(0, len(texts), 256):
+                some = texts[low:low + 256]
+                for s, near in model.score(counter, some) if model.ready else [(model.base, [])] * len(some):
+                    scores.append(s)
+                    why.append([{"doc_id": model.ids[i], "cosine": c, "toxic": model.labels[i]} for c, i in near[:3]])
             predicted = pa.array([int(s >= threshold) for s in scores], pa.int32())
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores, pa.float64()), predicted, pa.array(why, evidence)],
                                              names=[*b.schema.names, *made])

@@ -264,6 +264,30 @@ def test_toxicity_learns_and_holds_out(spark):
     assert sorted((repr(r.doc_id), r.toxic_score) for r in again) == sorted((repr(r.doc_id), r.toxic_score) for r in found)
 
 
+@pytest.mark.parametrize("examples", [1, 2, 3])
+def test_a_toxic_kind_with_few_examples_is_found(examples):
+    rows, labels = toxic_corpus()
+    kind = "the qwyxish vokkuld jimwazz zugbuff"
+    rng = random.Random(6)
+    few = [(9000 + i, kind + " " + " ".join(rng.choice(rows)[1].split()[:15]), 1) for i in range(examples)]
+    known = [(i, r[1], y) for r, (i, y) in zip(rows, labels)] + few
+    model = toxicity.ToxicityModel(sorted(known), {0: sum(y == 0 for *_, y in known), 1: sum(y for *_, y in known)})
+    counter = toxicity.Terms(model.terms)
+    scored = model.score(counter, [few[0][1], kind + " " + " ".join(rows[0][1].split()[:10])])
+    assert all(s >= 0.7 and model.ids[near[0][1]] >= 9000 for s, near in scored)
+    clean = [s for s, _ in model.score(counter, [r[1] for r, (_, y) in zip(rows, labels) if not y])]
+    assert sum(s >= 0.7 for s in clean) <= 0.02 * len(clean)
+
+
+def test_an_exact_copy_of_a_copied_toxic_example_is_found():
+    rows, labels = toxic_corpus()
+    text = "qwyxish vokkuld jimwazz zugbuff " + rows[0][1]
+    known = [(i, r[1], y) for r, (i, y) in zip(rows, labels)] + [(9000 + i, text, 1) for i in range(50)]
+    model = toxicity.ToxicityModel(known, {0: sum(y == 0 for *_, y in known), 1: sum(y for *_, y in known)})
+    [(score, near)] = model.score(toxicity.Terms(model.terms), [text])
+    assert score >= 0.7 and near[0][0] == pytest.approx(1) and model.ids[near[0][1]] == 9000
+
+
 def test_toxicity_without_labels(spark):
     docs, none = frame(spark, awkward_docs(12)), spark.createDataFrame([], LABELS)
     assert {(r.toxic_score, r.toxic_predicted) for r in toxicity.score_toxicity(docs, none).collect()} == {(0.0, 0)}
