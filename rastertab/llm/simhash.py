@@ -10,8 +10,8 @@ that are too large for one task are first cut into parts by the same
 pigeonhole argument over the bits not yet used.  Components are then labelled by alternating star
 contraction over written tables.
 
-Only distinct fingerprints take part, each under the smallest id that has it,
-so exact copies, however many, are one row.
+Only distinct fingerprints take part, with or without an id, so exact copies,
+however many, are one row.  A component is named by the smallest id in it.
 
 Defined results: null, empty and word-less texts have fingerprint zero, linked
 like any other; a row without id gets the component of its fingerprint, null
@@ -175,14 +175,13 @@ def near_duplicates(docs: DataFrame, text: str = "text", shingle: int = 3, dista
     if not 0 <= distance < blocks <= 64:
         raise ValueError("distance must be below blocks")
     marked = written(with_fingerprints(docs, text, shingle), "simhash-fingerprints")
-    nodes = marked.where("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("node"))
-    near = written(links(nodes.select("fp"), distance, blocks), "simhash-links")
-    edges = (near.join(nodes.withColumnsRenamed({"fp": "a", "node": "na"}), "a")
-             .join(nodes.withColumnsRenamed({"fp": "b", "node": "nb"}), "b")
-             .select(F.col("na").alias("a"), F.col("nb").alias("b")))
-    roots = components(edges, "simhash-components")
+    nodes = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))  # null when no row with the fingerprint has an id
+    edges = written(links(nodes.select("fp"), distance, blocks), "simhash-links")
+    roots = components(edges, "simhash-components").withColumnRenamed("node", "fp")
+    nodes = written(nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "simhash-nodes")
+    names = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
     # written, so that the last join sees two plain sides and can split a fingerprint with very many rows
-    classes = written(nodes.join(roots, "node", "left").select("fp", F.coalesce("root", "node").alias("component_id")), "simhash-classes")
+    classes = written(nodes.join(names, "root").select("fp", "component_id"), "simhash-classes")
     return marked.join(classes, "fp", "left").select("doc_id", "fp", "component_id")
 
 

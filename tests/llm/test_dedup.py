@@ -253,5 +253,14 @@ def test_components_of_a_long_path(spark):
     assert simhash.components(path.limit(0)).count() == 0
 
 
+def test_rows_without_id_link_fingerprints(spark, monkeypatch):
+    rows = [(5, "0"), (None, "3"), (9, "f"), (None, "f0"), (None, "f000000"), (4, "f000001"), (None, "ffffffff")]
+    marked = spark.createDataFrame([(d, int(f, 16)) for d, f in rows], "doc_id long, fp long")
+    monkeypatch.setattr(simhash, "with_fingerprints", lambda docs, *_: docs)
+    want = zip([d for d, _ in rows], [int(f, 16) for _, f in rows], brute_components([d for d, _ in rows], [int(f, 16) for _, f in rows], 3))
+    found = sorted([(r.doc_id, r.fp, r.component_id) for r in simhash.near_duplicates(marked).collect()], key=repr)
+    assert found == sorted(want, key=repr) and (9, 15, 5) in found and (None, 3, 5) in found
+
+
 def test_simhash_empty(spark):
     assert simhash.near_duplicates(frame(spark, [])).count() == 0
