@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from rastertab.llm import mixing, packing, quality_rules, simhash, substring_dedup, suffix_dedup, token_files, top_k, toxicity, url_filter
+from rastertab.llm import (decontamination, fill_middle, mixing, packing, quality_rules, simhash, substring_dedup, suffix_dedup,
+                           token_files, top_k, toxicity, url_filter, whitening)
 
 QUERIES = {
     "op1_top_k": top_k.query,
@@ -15,6 +16,9 @@ QUERIES = {
     "op8_url_filter": url_filter.query,
     "op9_packing": packing.query,
     "op10_mixing": mixing.query,
+    "op11_fill_middle": fill_middle.query,
+    "op12_whitening": whitening.query,
+    "op13_decontamination": decontamination.query,
 }
 
 ORACLES = {
@@ -22,4 +26,6 @@ ORACLES = {
     "op3_quality_rules": quality_rules.ORACLE,
     "op4_substring_dedup": substring_dedup.ORACLE,
     "op10_mixing": mixing.ORACLE,
+    "op11_fill_middle": fill_middle.ORACLE,
+    "op13_decontamination": decontamination.ORACLE,
 }
