@@ -9,7 +9,7 @@ from rastertab import llm
 @pytest.mark.parametrize("name", sorted(llm.ORACLES))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages", "labels"):
+    for t in ("documents", "embeddings", "pages", "labels", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     df = llm.QUERIES[name](spark, SF_SMALL)
     cols = sorted(df.columns)
