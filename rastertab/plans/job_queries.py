@@ -9,6 +9,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from rastertab.operators.attributes import PixelLayout
 from rastertab.operators.nest import stage_projection
 from rastertab.operators.pixels import expand_pixels
 from rastertab.operators.reproject import DEG, SPHERE_RADIUS
@@ -20,9 +21,10 @@ from rastertab.plans.registry import register
 from rastertab.plans.relational_queries import _CATALOG_SQL, _catalog
 from rastertab.session import scratch_path
 from rastertab.sinks.tables import detached
-from rastertab.sources.driver_tables import _checked_embedding, embedding_tiles, forecast_tiles, read_table
+from rastertab.sources.driver_tables import (VECTORS_PER_IMAGE, _checked_embedding, embedding_tiles, forecast_tiles, read_table,
+                                             write_embedding_rasters)
 from rastertab.sources.schemas import read_declared, to_struct
-from rastertab.sources.tiles import read_tiles, write_tiles
+from rastertab.sources.tiles import NpyRasterDecoder, read_raster_files, read_tiles, write_tiles
 
 
 def _name(kind: str) -> str:
@@ -212,6 +214,23 @@ def tile_table_roundtrip(spark, sf_dir):
     return px.select("image_id", "x", "y", "value")
 
 
+@register("decode_files", ["SRC-2", "RAS-1", "RAS-2", "RAS-3", "RAS-4", "RAS-12"], f"""
+    SELECT CAST(vec_id // {VECTORS_PER_IMAGE} AS VARCHAR) || '_vectors' AS image_id,
+           CAST((vec_id % {VECTORS_PER_IMAGE}) * 8 + x AS BIGINT) AS x, CAST(y AS BIGINT) AS y, value, -value AS negative,
+           CAST(2000 + vec_id // {VECTORS_PER_IMAGE} % 20 AS INTEGER) AS year
+    FROM ({_EMB_PX})
+""")
+def decode_files(spark, sf_dir):
+    """Raster files written from all vectors, then listed, decoded by strips
+    into blocks of 64 pixels and expanded."""
+    path = scratch_path(spark, "rasters")
+    write_embedding_rasters(read_table(spark, sf_dir, "embeddings"), path)
+    tiles = read_raster_files(spark, path, NpyRasterDecoder(), glob="*.npy", block_size=64)
+    layout = PixelLayout(("value", "negative"), "Float32", (("year", "integer"),))
+    px = expand_pixels(tiles, layout, block_size=64, with_text=False, with_coords=True, keep=("image_id",))
+    return px.select("image_id", "x", "y", "value", "negative", "year")
+
+
 # --------------------------------------------------------------------------- export planning
 @register("select_images", ["SRC-1b", "SRC-1g", "SRC-6", "FLT-1", "FLT-2", "FLT-3", "JN-2", "RAS-12"], f"""
     SELECT image_id, collection, start_time, end_time, country, year, forecast_hours, name,

@@ -11,9 +11,12 @@ column expressions (no driver round trip; the work grows with the tables):
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rastertab.sources.files import open_output
 from rastertab.sources.schemas import FORECAST_FIELDS
 
 EMBEDDING_SIDE = 8
@@ -55,6 +58,39 @@ def embedding_tiles(emb: DataFrame) -> DataFrame:
     )
 
 
+VECTORS_PER_IMAGE = 40
+
+
+def write_embedding_rasters(emb: DataFrame, path: str) -> None:
+    """Raster files on shared storage: 40 vectors side by side make one image
+    of 320 x 8 pixels and two bands (the values, and their negatives), stored
+    row-major with a header file; a task writes the images it holds."""
+    def write(it):
+        import io
+
+        import numpy as np
+
+        for pdf in it:
+            for row in pdf.itertuples():
+                side = EMBEDDING_SIDE
+                values = np.full((side, (max(v["place"] for v in row.vectors) + 1) * side), np.nan, np.float32)
+                for v in row.vectors:
+                    values[:, v["place"] * side:(v["place"] + 1) * side] = np.reshape(v["embedding"], (side, side))
+                body = io.BytesIO()
+                np.save(body, np.stack([values, -values]))
+                head = {"gt": [-180.0 + row.image % 100, 0.01, 0.0, 50.0, 0.0, -0.01], "band_names": ["value", "negative"],
+                        "band_type": "Float32", "meta": {"year": str(2000 + row.image % 20)}}
+                for ext, content in (("npy", body.getvalue()), ("json", json.dumps(head).encode())):
+                    with open_output(f"{path}/{row.image}_vectors.{ext}") as out:
+                        out.write(content)
+            yield pdf[["image"]]
+
+    groups = emb.select((F.col("vec_id") / VECTORS_PER_IMAGE).cast("long").alias("image"), F.struct(
+        (F.col("vec_id") % VECTORS_PER_IMAGE).cast("int").alias("place"), "embedding").alias("v"))
+    images = groups.groupBy("image").agg(F.collect_list("v").alias("vectors"))  # 40 vectors at most
+    images.mapInPandas(write, "image long").write.format("noop").mode("overwrite").save()
+
+
 def embedding_pair_tiles(emb: DataFrame) -> DataFrame:
     """Two-band tiles: vector ``v`` and ``v + 1`` as bands of image ``v`` (an
     equi-join on the id; both sides are the whole table).  The last image has

@@ -78,7 +78,9 @@ class RasterDecoder(Protocol):
     """Caller-supplied codec.  It opens files through ``open_file(path)`` only
     (a seekable binary file on shared storage).  ``describe`` returns the image
     header (xsize, ysize, gt, band_names, band_type, meta); ``read_block``
-    returns a ``bands x h x w`` array for one window."""
+    returns a ``bands x h x w`` array for one window, in the file's own type if
+    it likes, and reads no more than the window's bytes where the format allows.
+    A window may be a strip: several neighbouring blocks of one row of blocks."""
 
     def describe(self, path: str, open_file: Callable) -> dict: ...
 
@@ -87,7 +89,8 @@ class RasterDecoder(Protocol):
 
 class NpyRasterDecoder:
     """Raster stored as ``name.npy`` (bands x ysize x xsize, row-major) with a
-    ``name.json`` header sidecar; a window read seeks to its rows only."""
+    ``name.json`` header sidecar.  A window of whole rows is one read per band;
+    a narrower one reads its part of each row."""
 
     @staticmethod
     def _layout(fh) -> tuple[tuple[int, int, int], np.dtype, int]:
@@ -110,63 +113,96 @@ class NpyRasterDecoder:
     def read_block(self, path: str, open_file: Callable, x0: int, y0: int, w: int, h: int) -> np.ndarray:
         with open_file(path) as fh:
             (nb, ysize, xsize), dtype, start = self._layout(fh)
-            out = np.empty((nb, h, w))
+            out, item = np.empty((nb, h, w), dtype), dtype.itemsize
             for band in range(nb):
-                fh.seek(start + (band * ysize + y0) * xsize * dtype.itemsize)
-                rows = np.frombuffer(fh.read(h * xsize * dtype.itemsize), dtype).reshape(h, xsize)
-                out[band] = rows[:, x0:x0 + w]
+                begin = start + ((band * ysize + y0) * xsize + x0) * item
+                if w == xsize:
+                    fh.seek(begin)
+                    out[band] = np.frombuffer(fh.read(h * w * item), dtype).reshape(h, w)
+                    continue
+                for row in range(h):
+                    fh.seek(begin + row * xsize * item)
+                    out[band, row] = np.frombuffer(fh.read(w * item), dtype)
         return out
 
 
-def read_raster_files(spark: SparkSession, path: str, decoder: RasterDecoder, glob: str | None = None,
-                      block_size: int = BLOCK_SIZE, blocks_per_batch: int = 64,
-                      bytes_per_task: int = 64 * 1024 * 1024, open_file: Callable = open_input) -> DataFrame:
-    """SRC-2: tile table from raster files.
-
-    1. list files (``binaryFile`` without its content column: no bytes read);
-       a file without bytes is an error;
-    2. read only the headers;
-    3. expand to blocks (RAS-1) and range-partition them in image / row-major
-       order -- as many tasks as the files' total size needs at
-       ``bytes_per_task`` (one small aggregate over the listing);
-    4. each task reads only its blocks' windows.
-    """
+# --------------------------------------------------------------------------- files -> tiles
+def list_rasters(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """``path, length`` of raster files (``binaryFile`` without its content
+    column: no bytes read); a file without bytes is an error."""
     reader = spark.read.format("binaryFile")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     listed = reader.load(path)
-    files = listed.select("path", "length")
-    # Spark's scan passes over files without bytes; its file index does not
-    totals = files.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("bytes")).first()
-    empty = len(listed.inputFiles()) - totals["n"]
+    # Spark's scan passes over files without bytes, its file index does not; the
+    # index's names stay in the JVM, only their number is asked for
+    empty = len(listed._jdf.inputFiles()) - listed.count()
     if empty:
         raise ValueError(f"{empty} raster file(s) under {path} are empty")
+    return listed.select("path", "length")
+
 
+def raster_headers(files: DataFrame, decoder: RasterDecoder, open_file: Callable = open_input) -> DataFrame:
+    """One row per raster file: its header (``IMAGE_SCHEMA``), no pixels read."""
     def headers(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
-            out = []
-            for p in pdf["path"]:
-                out.append({"image_id": image_name_py(p), "path": p, **decoder.describe(p, open_file)})
-            yield pd.DataFrame(out, columns=["image_id", "path", "xsize", "ysize", "gt", "band_names",
-                                             "band_type", "meta"])
+            yield pd.DataFrame([{"image_id": image_name_py(p), "path": p, **decoder.describe(p, open_file)} for p in pdf["path"]],
+                               columns=[f.split()[0] for f in IMAGE_SCHEMA.split(", ")])
+
+    return files.select("path").mapInPandas(headers, IMAGE_SCHEMA)
+
 
-    images = files.mapInPandas(headers, IMAGE_SCHEMA)
+def _strips(blocks: pd.DataFrame, block_size: int, strip_bytes: int) -> Iterator[pd.DataFrame]:
+    """Runs of neighbouring blocks of one row of blocks of one file, as long as
+    their values (eight bytes each) stay below ``strip_bytes``; one block at least."""
+    run, size = [], 0
+    last = None
+    for r in blocks.itertuples():
+        own = 8 * int(r.xblock) * int(r.yblock) * len(r.band_names)
+        if run and ((r.path, r.iy, r.ix) != (last.path, last.iy, last.ix + 1) or size + own > strip_bytes):
+            yield blocks.loc[run]
+            run, size = [], 0
+        run.append(r.Index)
+        size, last = size + own, r
+    if run:
+        yield blocks.loc[run]
+
+
+def read_raster_files(spark: SparkSession, path: str, decoder: RasterDecoder, glob: str | None = None,
+                      block_size: int = BLOCK_SIZE, strip_bytes: int = 128 * 1024 * 1024,
+                      bytes_per_task: int = 64 * 1024 * 1024, open_file: Callable = open_input) -> DataFrame:
+    """SRC-2: tile table from raster files.
+
+    1. list files, without reading them;
+    2. read only the headers;
+    3. expand to blocks (RAS-1) and range-partition them in file / row-major
+       order -- as many tasks as the files' total size needs at
+       ``bytes_per_task`` (one small aggregate over the listing);
+    4. each task reads the neighbouring blocks of a row of blocks as one strip
+       (``strip_bytes`` of values at most) and cuts them out of it, so a file's
+       bytes are read once, in few reads, whatever its width.
+    """
+    files = list_rasters(spark, path, glob)
+    total = files.agg(F.sum("length")).first()[0] or 0
+    images = raster_headers(files, decoder, open_file)
     blocks = image_blocks(images, block_size)
-    # range, not hash: a task gets a contiguous run of one image's blocks in
-    # row-major order, so it opens few files and reads neighbouring windows
-    blocks = blocks.repartitionByRange(max(1, -(-int(totals["bytes"] or 0) // bytes_per_task)), "image_id", "iy", "ix")
+    # range, not hash: a task gets a contiguous run of one file's blocks
+    blocks = (blocks.repartitionByRange(max(1, -(-int(total) // bytes_per_task)), "path", "iy", "ix")
+              .sortWithinPartitions("path", "iy", "ix"))
 
     def read(it):
         import pyarrow as pa
 
         for batch in it:
-            meta = batch.to_pandas()
-            for start in range(0, len(meta), blocks_per_batch):
-                part = meta.iloc[start:start + blocks_per_batch]
-                yield _blocks_to_arrow(pa, part, [
-                    decoder.read_block(r.path, open_file, int(r.ix) * block_size, int(r.iy) * block_size,
-                                       int(r.xblock), int(r.yblock))
-                    for r in part.itertuples()])
+            for run in _strips(batch.to_pandas(), block_size, strip_bytes):
+                head = run.iloc[0]
+                left = int(head.ix) * block_size
+                strip = decoder.read_block(head.path, open_file, left, int(head.iy) * block_size, int(run["xblock"].sum()), int(head.yblock))
+                # a window of blocks at a time: what is sent on is a part of the strip in double precision
+                for at in range(0, len(run), 16):
+                    part = run.iloc[at:at + 16]
+                    yield _blocks_to_arrow(pa, part, [
+                        strip[:, :, int(r.ix) * block_size - left:int(r.ix) * block_size - left + int(r.xblock)] for r in part.itertuples()])
 
     return blocks.mapInArrow(read, TILE_SCHEMA)
 

@@ -60,3 +60,67 @@ def test_decoder_reads_through_the_given_opener(spark, tmp_dir):
 
     tiles = read_raster_files(spark, tmp_dir, NpyRasterDecoder(), glob="*.raster", open_file=opener).collect()
     assert [t.bands[0] for t in tiles] == [[float(i) for i in range(12)]]
+
+
+def counted_reads(spark, tmp_dir, shape, **options):
+    from rastertab.sources.files import open_input
+
+    class CountedFile:
+        """A file that writes down how many bytes of values were read from it."""
+
+        def __init__(self, fh, log):
+            self.fh, self.log = fh, log
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *exc):
+            self.fh.close()
+
+        def read(self, n=-1):
+            out = self.fh.read(n)
+            with open(self.log, "a") as log:
+                log.write(f"{len(out)}\n")
+            return out
+
+        def seek(self, at):
+            return self.fh.seek(at)
+
+        def tell(self):
+            return self.fh.tell()
+
+    data = np.arange(np.prod(shape), dtype=np.int32).reshape(shape)
+    np.save(f"{tmp_dir}/wide.npy", data)
+    with open(f"{tmp_dir}/wide.json", "w") as fh:
+        json.dump({"gt": [0, 1, 0, 0, 0, -1], "band_type": "Int32"}, fh)
+    log = f"{tmp_dir}/reads.txt"
+
+    def opener(path):
+        return CountedFile(open_input(path), log) if path.endswith(".npy") else open_input(path)
+
+    tiles = read_raster_files(spark, tmp_dir, NpyRasterDecoder(), glob="*.npy", open_file=opener, **options)
+    rows = tiles.select("ix", "iy", "xblock", "yblock", "bands").collect()
+    for r in rows:
+        want = data[:, r.iy * 256:r.iy * 256 + r.yblock, r.ix * 256:r.ix * 256 + r.xblock]
+        assert [list(b) for b in r.bands] == want.reshape(len(want), -1).tolist()
+    with open(log) as fh:
+        reads = [int(n) for n in fh]
+    return sum(reads), len(reads), data.nbytes, len(rows)
+
+
+def test_a_wide_file_is_read_once(spark, tmp_dir):
+    """2048 columns are eight blocks: a strip of them is one read per band."""
+    read, calls, size, blocks = counted_reads(spark, tmp_dir, (2, 600, 2048))
+    assert blocks == 24 and read <= 1.1 * size
+    assert calls < 3 * (2 + 10) + 20  # three strips of two bands, and headers
+
+
+def test_strips_are_bounded_and_read_no_more(spark, tmp_dir):
+    """Strips of two blocks: each row's part is read on its own, nothing twice."""
+    read, calls, size, _ = counted_reads(spark, tmp_dir, (1, 300, 1000), strip_bytes=2 * 256 * 256 * 8)
+    assert read <= 1.1 * size and calls > 500
+
+
+def test_tasks_cut_a_file_between_blocks(spark, tmp_dir):
+    read, _, size, blocks = counted_reads(spark, tmp_dir, (1, 700, 1500), bytes_per_task=300_000)
+    assert blocks == 18 and read <= 1.1 * size
