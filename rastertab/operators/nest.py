@@ -34,7 +34,7 @@ def stage_projection(staging: DataFrame) -> DataFrame:
 
 
 def ordered_nest(df: DataFrame, keys, order_fields, payload_fields, name: str,
-                 renames: dict[str, str] | None = None) -> DataFrame:
+                 renames: dict[str, str] | None = None, range_by: str | None = None) -> DataFrame:
     """AGG-1 generic form: ``ARRAY_AGG(STRUCT(...) ORDER BY order_fields)``.
 
     ``sort_array`` orders structs field by field, so the order fields come first
@@ -44,11 +44,14 @@ def ordered_nest(df: DataFrame, keys, order_fields, payload_fields, name: str,
     partitioned on the keys *before* aggregating: a map-side partial
     ``collect_list`` shrinks nothing (it only re-encodes rows as lists), so the
     list building runs once, after the exchange, in every reduce task (AQE
-    still coalesces small partitions).
+    still coalesces small partitions).  ``range_by`` names one of the keys by
+    whose ranges the rows are dealt instead, so that the one exchange also lays
+    the result out (the bounds are sampled: the input is scanned twice).
     """
     renames = renames or {}
     fields = [F.col(c).alias(renames.get(c, c)) for c in (*order_fields, *payload_fields)]
-    return df.repartition(*keys).groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*fields))).alias(name))
+    dealt = df.repartitionByRange(range_by) if range_by else df.repartition(*keys)
+    return dealt.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*fields))).alias(name))
 
 
 def duplicate_elements(df: DataFrame, keys, order_fields) -> DataFrame:

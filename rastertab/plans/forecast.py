@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rastertab.operators.attributes import PixelLayout
+from rastertab.operators.cells import CELL_KEY_COLUMN, cell_key
 from rastertab.functions.numtext import cell_text, negative_zero_mask
 from rastertab.functions.timefns import hour_diff, to_datetime
 from rastertab.functions.wkt import with_cell_numbers
@@ -42,8 +43,10 @@ def forecast_nested_late(tiles: DataFrame, layout: PixelLayout | None = None) ->
     return nest_cells(px)
 
 
-def nest_cells(rows: DataFrame) -> DataFrame:
+def nest_cells(rows: DataFrame, laid_out: bool = False) -> DataFrame:
     """The grouped forecast table from rows with the numeric cell key.
+    ``laid_out``: in ranges of the Morton key of the cell, which is kept as
+    ``cell_key`` (SNK-9d).
 
     The nest groups on the numeric cell key (centre, box edges and a sign mask
     for negative zeros, 52 bytes) instead of the two WKT strings, and the text
@@ -63,19 +66,23 @@ def nest_cells(rows: DataFrame) -> DataFrame:
         *[(F.col(c).cast("double") if c in rows.columns else F.lit(None).cast("double")).alias(c)
           for c in FORECAST_FIELDS],
     )
-    nested = ordered_nest(staged, ["creation_time", *CELL_NUMERIC_KEY], ["forecast_hours", "forecast_time"],
-                          FORECAST_FIELDS, "forecast", renames={"forecast_hours": "hours", "forecast_time": "time"})
+    own = [CELL_KEY_COLUMN] if laid_out else []
+    if laid_out:
+        staged = staged.withColumn(CELL_KEY_COLUMN, cell_key(F.col("gx"), F.col("gy")))
+    nested = ordered_nest(staged, ["creation_time", *own, *CELL_NUMERIC_KEY], ["forecast_hours", "forecast_time"],
+                          FORECAST_FIELDS, "forecast", renames={"forecast_hours": "hours", "forecast_time": "time"},
+                          range_by=CELL_KEY_COLUMN if laid_out else None)
     text = cell_text(*[F.col(c) for c in CELL_NUMERIC_KEY])
     return nested.select("creation_time", text.geography.alias("geography"),
-                         text.geography_polygon.alias("geography_polygon"), "forecast")
+                         text.geography_polygon.alias("geography_polygon"), "forecast", *own)
 
 
-def nest_staged(staged: DataFrame) -> DataFrame:
+def nest_staged(staged: DataFrame, laid_out: bool = False) -> DataFrame:
     """The grouped forecast table from staging rows with WKT text: the text is
     read back into the numeric cell key where it is scanned, so that it is not
     shuffled, and written again (in the one normal form, ``%.10g``) per cell.
     A text that is no point or no five-corner cell box is an error."""
-    return nest_cells(with_cell_numbers(staged))
+    return nest_cells(with_cell_numbers(staged), laid_out)
 
 
 def nested_summary(nested: DataFrame) -> DataFrame:

@@ -15,9 +15,11 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rastertab.functions.timefns import cycle_suffix
 from rastertab.operators.attributes import PixelLayout, infer_layouts, of_layout
+from rastertab.operators.cells import CELL_KEY_COLUMN, with_cell_key
 from rastertab.operators.filters import include_exclude, plan_exports, require, require_input
 from rastertab.operators.pixels import expand_pixels
 from rastertab.operators.reproject import SPHERE_RADIUS, reproject_tiles
@@ -91,7 +93,8 @@ def load_forecast_cycle(spark: SparkSession, source: str | DataFrame, table: str
                         staging_location: str | None = None) -> None:
     """Staging truncate-load of the cycle's files, then the cycle partition of
     ``table`` is replaced by the ordered nest of the staging rows (one scan of
-    the staging table, one exchange on the numeric cell key)."""
+    the staging table and one of its sample, one exchange by ranges of the cell
+    key, which lays the cycle out on both axes)."""
     require(table, "table")
     require(cycle, "cycle")
     create_database(spark, staging_db)
@@ -100,14 +103,13 @@ def load_forecast_cycle(spark: SparkSession, source: str | DataFrame, table: str
     # staging is day-partitioned on creation_time like its warehouse counterpart
     staging = enforce_required(_source(spark, source, schema), schema).withColumn("creation_date", F.to_date("creation_time"))
     truncate_load(staging, stg_name, partition_by=("creation_date",), location=staging_location, layout=False)
-    create_table(spark, table, declared("gfs_group"), partition_by=("creation_time",), location=location,
+    create_table(spark, table, _keyed(declared("gfs_group")), partition_by=("creation_time",), location=location,
                  comment="forecast: one row per cycle and cell")
     staged = spark.table(stg_name).drop("creation_date")
     text = cycle.strftime("%Y-%m-%d %H:%M:%S")
     if not staged.where(F.col("creation_time") != F.lit(text).cast("timestamp")).isEmpty():  # one pushed column
         raise ValueError(f"{OUTSIDE} ({table} {text})")
-    nested = nest_staged(staged).sortWithinPartitions("geography")
-    replace_partition(spark, nested, table, {"creation_time": text})
+    replace_partition(spark, nest_staged(staged, laid_out=True), table, {"creation_time": text}, sorted_by=(CELL_KEY_COLUMN,))
 
 
 # --------------------------------------------------------------------------- population slice
@@ -120,19 +122,18 @@ def load_population_slice(spark: SparkSession, source: str | DataFrame, table: s
     require(country, "country")
     _check_year(year)
     schema = declared("world_pop")
-    create_table(spark, table, _reorder(schema, ["year", "country"]), partition_by=("year", "country"),
+    create_table(spark, table, _keyed(_reorder(schema, ["year", "country"])), partition_by=("year", "country"),
                  location=location)
-    replace_partition(spark, population_rows(spark, source, [country], year), table,
-                      {"year": year, "country": country}, on_foreign_rows="ignore")
+    replace_partition(spark, with_cell_key(population_rows(spark, source, [country], year)), table,
+                      {"year": year, "country": country}, on_foreign_rows="ignore", cluster_by=(CELL_KEY_COLUMN,))
 
 
 def population_rows(spark: SparkSession, source: str | DataFrame, countries, year: int) -> DataFrame:
     """Source rows of the slices: the slice filter stands on the raw columns, so
-    it reaches the scan, and REQUIRED fields are checked on what it keeps.
-    Rows keep the converter's block order, sorted by cell within a file."""
+    it reaches the scan, and REQUIRED fields are checked on what it keeps."""
     schema = declared("world_pop")
     raw = _source(spark, source, schema).where((F.col("year") == year) & F.col("country").isin(list(countries)))
-    return enforce_required(raw, schema).sortWithinPartitions("country", "geography")
+    return enforce_required(raw, schema)
 
 
 def load_population_countries(spark: SparkSession, source: str | DataFrame, table: str, year: int,
@@ -141,17 +142,17 @@ def load_population_countries(spark: SparkSession, source: str | DataFrame, tabl
 
     The files of all countries are read together (a big country is just more
     file splits); rows of other years or unlisted countries are ignored; the
-    slices present are written by one dynamic overwrite; listed countries
-    without any row get their slice cleared.  Returns the cleared countries.
+    slices present are written by one job; listed countries without any row
+    get their slice cleared.  Returns the cleared countries.
     """
     require(table, "table")
     wanted = [c.strip() for c in (countries.split(",") if isinstance(countries, str) else countries) if c.strip()]
     require(wanted, "countries")
     _check_year(year)
-    create_table(spark, table, _reorder(declared("world_pop"), ["year", "country"]), partition_by=("year", "country"),
+    create_table(spark, table, _keyed(_reorder(declared("world_pop"), ["year", "country"])), partition_by=("year", "country"),
                  location=location)
-    return replace_listed_slices(spark, population_rows(spark, source, wanted, year), table, "country", wanted,
-                                 fixed={"year": year}, cluster_by=("geography",))
+    return replace_listed_slices(spark, with_cell_key(population_rows(spark, source, wanted, year)), table, "country", wanted,
+                                 fixed={"year": year}, cluster_by=(CELL_KEY_COLUMN,))
 
 
 # --------------------------------------------------------------------------- productivity year
@@ -162,8 +163,8 @@ def load_productivity_year(spark: SparkSession, source: str | DataFrame, table:
     _check_year(year)
     schema = declared("annual_npp")
     src = enforce_required(_source(spark, source, schema), schema)
-    create_table(spark, table, _reorder(schema, ["year"]), partition_by=("year",), location=location)
-    replace_partition(spark, src.sortWithinPartitions("geography"), table, {"year": year})
+    create_table(spark, table, _keyed(_reorder(schema, ["year"])), partition_by=("year",), location=location)
+    replace_partition(spark, with_cell_key(src), table, {"year": year}, cluster_by=(CELL_KEY_COLUMN,))
 
 
 def load_productivity_from_tiles(spark: SparkSession, tiles: DataFrame, table: str, year: int, src_gt,
@@ -190,7 +191,13 @@ def _check_year(year: int) -> None:
         raise ValueError(f"year {year} outside the partition range {YEAR_RANGE}")
 
 
+def _keyed(schema: T.StructType) -> T.StructType:
+    """A table's schema with the cell key that its files are laid out by, before
+    the partition columns."""
+    key = T.StructField(CELL_KEY_COLUMN, T.LongType(), True, {"comment": "Morton number of the cell centre, for box queries"})
+    return T.StructType([key, *schema.fields])
+
+
 def _reorder(schema, last):
-    from pyspark.sql import types as T
     fields = [f for f in schema.fields if f.name not in last] + [schema[n] for n in last]
     return T.StructType(fields)

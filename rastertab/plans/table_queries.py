@@ -8,10 +8,13 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from rastertab.operators.cells import CELL_KEY_COLUMN, with_cell_key, within_box
+from rastertab.operators.pixels import expand_pixels
+from rastertab.plans.raster_queries import _EMB_BOX, _POINT_SQL, EMB_LAYOUT
 from rastertab.plans.registry import register
 from rastertab.session import scratch_path
 from rastertab.sinks.tables import detached, replace_listed_slices, replace_partition, truncate_load
-from rastertab.sources.driver_tables import read_table
+from rastertab.sources.driver_tables import embedding_tiles, read_table
 
 
 def _table(spark, kind: str) -> tuple[str, str]:
@@ -123,6 +126,23 @@ def slice_read(spark, sf_dir):
     return detached(spark, name).where(F.col("year") == SLICE_YEAR).select("o_orderkey", "o_totalprice", "year")
 
 
+BOX = (-100.0, 88.5, 20.0, 89.5)
+
+
+@register("box_read", ["SNK-9d", "SRT-2", "SNK-3"], f"""
+    SELECT {_POINT_SQL} AS geography, vec_id, value, gx, gy FROM ({_EMB_BOX})
+    WHERE gx BETWEEN {BOX[0]} AND {BOX[2]} AND gy BETWEEN {BOX[1]} AND {BOX[3]}
+""")
+def box_read(spark, sf_dir):
+    """All pixels in a table laid out by cell key, and a box of them: the key
+    ranges skip files and row groups, the exact comparison follows."""
+    name, loc = _table(spark, "cells")
+    tiles = embedding_tiles(read_table(spark, sf_dir, "embeddings"))
+    px = expand_pixels(tiles, EMB_LAYOUT, with_coords=True, keep=("vec_id",)).select("geography", "vec_id", "value", "gx", "gy")
+    truncate_load(with_cell_key(px), name, cluster_by=(CELL_KEY_COLUMN,), location=loc)
+    return within_box(detached(spark, name), *BOX).drop(CELL_KEY_COLUMN)
+
+
 LISTED_NATIONS = (1, 2, 3)
 
 

@@ -2,17 +2,17 @@
 
 Replace units are partitions: a forecast cycle, a (year, country) slice, a
 year.  A replace touches exactly one partition and leaves every other one
-untouched:
-
-* non-empty source: dynamic partition overwrite *by path* (the writer option
-  is honoured there; ``insertInto`` / ``saveAsTable`` ignore it), staged in
-  the job's own folder, so loads of different slices can run at the same time
-  and a job that fails before its commit leaves the old slice.  The commit
-  itself is not atomic: Spark removes the old partition folder and renames the
-  new one into its place (on object stores the rename is a copy), so a driver
-  killed in between loses the slice until the load is repeated;
-* empty source: static ``INSERT OVERWRITE ... PARTITION (k=v)``, which clears
-  the slice (a dynamic overwrite would leave it).
+untouched, and it commits by pointer: the rows are written to a fresh folder
+under the table's ``_slices``, then one catalog call makes the partition stand
+there (or drops the partition when there are no rows), then the old folder is
+removed.  A job that fails or is killed before that call leaves the old slice
+as it was; after it, at worst a folder that nothing points to.  Loads of
+different slices can run at the same time; of two loads of one slice the last
+wins whole.  Replaced slices are found through the catalog only: read such a
+table by its name, not by its path.
+
+Tables whose partitions the catalog does not track have no pointers; they get a
+dynamic partition overwrite by path, whose commit is not atomic.
 
 The source is evaluated once: rows are checked and counted as they are written.
 """
@@ -22,11 +22,15 @@ from __future__ import annotations
 import datetime as _dt
 import uuid
 from typing import Mapping
+from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rastertab.session import scratch_path
+
 
 # --------------------------------------------------------------------------- literals / predicates
 def sql_literal(value, dtype: T.DataType | None = None) -> str:
@@ -115,15 +119,16 @@ def clustered(df: DataFrame, partition_by=(), cluster_by=(), num_partitions: int
     country) over many tasks by the cluster key, small partition values share
     a task, and each task writes few, tight files.  Without a cluster key a
     deterministic row hash takes its place -- never the partition keys alone,
-    which would put a whole cycle into one task.
+    which would put a whole cycle into one task.  The number of ranges is the
+    shuffle width, which adaptive execution lowers for small slices, unless
+    ``num_partitions`` fixes it.
     """
     if not partition_by and not cluster_by:
         return df
     second = [F.col(c) for c in cluster_by] or [F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("_h")]
     keys = [*[F.col(c) for c in partition_by], *second]
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    out = df.repartitionByRange(n, *keys)
-    return out.sortWithinPartitions(*partition_by, *cluster_by) if (partition_by or cluster_by) else out
+    out = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
+    return out.sortWithinPartitions(*partition_by, *cluster_by)
 
 
 # --------------------------------------------------------------------------- writes
@@ -150,17 +155,70 @@ def table_storage(spark: SparkSession, table: str) -> tuple[str, bool]:
     return info["Location"], info.get("Partition Provider") == "Catalog"
 
 
+# --------------------------------------------------------------------------- slices by pointer
+VERSIONS = "_slices"
+
+
+def _fresh_folder(location: str) -> str:
+    return f"{location.rstrip('/')}/{VERSIONS}/{uuid.uuid4().hex}"
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def slice_location(spark: SparkSession, table: str, spec: str) -> str | None:
+    """The folder a partition stands in; None when there is no such partition."""
+    try:
+        info = spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION ({spec})").collect()
+    except AnalysisException as exc:
+        if "PARTITION" in (exc.getCondition() or "") and "NOT_FOUND" in exc.getCondition():
+            return None
+        raise
+    return next(r[1] for r in info if r[0] == "Location")  # the partition's stands before the table's
+
+
+def _partition_spec(values: Mapping[str, object], schema: T.StructType) -> str:
+    return ", ".join(f"`{k}` = {sql_literal(v, schema[k].dataType)}" for k, v in values.items())
+
+
+def point_slice(spark: SparkSession, table: str, spec: str, folder: str) -> None:
+    """Make a partition stand in ``folder`` (one catalog call), then remove
+    the folder it stood in."""
+    old = slice_location(spark, table, spec)
+    if old is None:
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION '{_quoted(folder)}'")
+    else:
+        spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{_quoted(folder)}'")
+        _remove(spark, old)
+
+
+def drop_slice(spark: SparkSession, table: str, spec: str) -> None:
+    """Clear a slice: one catalog call, then its folder is removed."""
+    old = slice_location(spark, table, spec)
+    if old is not None:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+        _remove(spark, old)
+
+
+def _quoted(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
 OUTSIDE = "source holds rows outside the slice being replaced"
 
 
 def replace_partition(spark: SparkSession, src: DataFrame, table: str, slice_values: Mapping[str, object],
-                      *, on_foreign_rows: str = "raise") -> None:
+                      *, on_foreign_rows: str = "raise", cluster_by=(), sorted_by=()) -> None:
     """Replace exactly one partition (slice) of ``table`` with ``src``.
 
     ``on_foreign_rows``: what to do with source rows of another slice --
     ``"raise"`` (SNK-4/SNK-5: a cycle or year load must hold only its slice;
     the writing job fails on the first such row, before its commit) or
     ``"ignore"`` (SNK-6 MERGE semantics: they are filtered out).
+    ``cluster_by`` lays the rows out by ranges of these columns (SNK-9d);
+    ``sorted_by`` sorts within files only, for rows that already are.
     """
     schema = spark.table(table).schema
     cols = data_columns(spark, table)
@@ -170,27 +228,39 @@ def replace_partition(spark: SparkSession, src: DataFrame, table: str, slice_val
     part_cols = [c for c in schema.fieldNames() if c not in cols]
     if sorted(part_cols) != sorted(slice_values):
         raise ValueError(f"slice keys {sorted(slice_values)} differ from partition columns {part_cols}")
-    keys = {k: F.expr(sql_literal(slice_values[k], schema[k].dataType)).cast(schema[k].dataType) for k in part_cols}
     own = slice_predicate({k: slice_values[k] for k in part_cols if k in src.columns}, schema)
     if on_foreign_rows == "raise":
-        first = part_cols[0]
-        keys[first] = F.when(own, keys[first]).otherwise(F.raise_error(F.lit(f"{OUTSIDE} ({table} {dict(slice_values)})")))
-    else:
-        src = src.where(own)
+        own = F.when(own, True).otherwise(F.raise_error(F.lit(f"{OUTSIDE} ({table} {dict(slice_values)})")).cast("boolean"))
     rows = Observation()
-    data = src.select(*cols, *[keys[k].alias(k) for k in part_cols]).observe(rows, F.count(F.lit(1)).alias("n"))
+    data = src.where(own).select(*[F.col(f"`{c}`").cast(schema[c].dataType).alias(c) for c in cols])
+    if cluster_by:
+        data = clustered(data, cluster_by=cluster_by)
+    elif sorted_by:
+        data = data.sortWithinPartitions(*sorted_by)
+    data = data.observe(rows, F.count(F.lit(1)).alias("n"))
     location, tracked = table_storage(spark, table)
+    spec = _partition_spec({k: slice_values[k] for k in part_cols}, schema)
+    folder = _fresh_folder(location)
     try:
-        _overwrite_present(data, location, part_cols)
+        if tracked:
+            data.write.parquet(folder)
+        else:
+            keys = [F.expr(sql_literal(slice_values[k], schema[k].dataType)).cast(schema[k].dataType).alias(k) for k in part_cols]
+            _overwrite_present(data.select("*", *keys), location, part_cols)
     except Exception as exc:
+        if tracked:
+            _remove(spark, folder)
         if OUTSIDE in str(exc):
             raise ValueError(f"{OUTSIDE} ({table} {dict(slice_values)})") from exc
         raise
-    spec = ", ".join(f"`{k}` = {sql_literal(v, schema[k].dataType)}" for k, v in slice_values.items())
-    if not rows.get["n"]:
-        clear_partition(spark, table, spec)
-    elif tracked:  # register the (possibly new) slice; no directory scan
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({spec})")
+    if not tracked:
+        if not rows.get["n"]:
+            clear_partition(spark, table, spec)
+    elif rows.get["n"]:
+        point_slice(spark, table, spec, folder)
+    else:
+        drop_slice(spark, table, spec)
+        _remove(spark, folder)
     spark.catalog.refreshTable(table)
 
 
@@ -202,7 +272,7 @@ def _overwrite_present(data: DataFrame, location: str, part_cols) -> None:
 
 
 def clear_partition(spark: SparkSession, table: str, spec: str) -> None:
-    """Static overwrite of one partition with no rows."""
+    """Static overwrite of one partition of an untracked table with no rows."""
     schema = spark.table(table).schema
     view = f"_rt_none_{uuid.uuid4().hex[:10]}"
     spark.createDataFrame([], T.StructType([schema[c] for c in data_columns(spark, table)])).createOrReplaceTempView(view)
@@ -212,17 +282,34 @@ def clear_partition(spark: SparkSession, table: str, spec: str) -> None:
         spark.catalog.dropTempView(view)
 
 
-def replace_partitions(spark: SparkSession, src: DataFrame, table: str, cluster_by=()) -> None:
-    """Replace every partition present in ``src`` in one job; partitions absent
-    from ``src`` are untouched.  ``cluster_by`` lays the rows out first."""
+def replace_partitions(spark: SparkSession, src: DataFrame, table: str, cluster_by=()) -> list[dict]:
+    """Replace every partition present in ``src`` by one write job; partitions
+    absent from ``src`` are untouched and not listed.  The slices are switched
+    one after the other, each whole.  Returns the keys of the replaced slices
+    (bounded by the slices touched).  ``cluster_by`` lays the rows out first."""
     schema = spark.table(table).schema
     part_cols = [c for c in schema.fieldNames() if c not in data_columns(spark, table)]
     data = src.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
+    data = clustered(data, part_cols, cluster_by) if cluster_by else data
     location, tracked = table_storage(spark, table)
-    _overwrite_present(clustered(data, part_cols, cluster_by) if cluster_by else data, location, part_cols)
-    if tracked:
-        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    if not tracked:
+        _overwrite_present(data, location, part_cols)
+        spark.catalog.refreshTable(table)
+        return []
+    folder = _fresh_folder(location)
+    try:
+        data.write.partitionBy(*part_cols).parquet(folder)
+    except Exception:
+        _remove(spark, folder)
+        raise
+    written = spark.read.schema(schema).option("recursiveFileLookup", "false").parquet(folder)
+    made = written.groupBy(*part_cols).agg(F.min("_metadata.file_path").alias("_path")).collect()
+    keys = []
+    for row in made:
+        keys.append({k: row[k] for k in part_cols})
+        point_slice(spark, table, _partition_spec(keys[-1], schema), unquote(row["_path"].rpartition("/")[0]))
     spark.catalog.refreshTable(table)
+    return keys
 
 
 def replace_listed_slices(spark: SparkSession, src: DataFrame, table: str, slice_col: str, wanted,
@@ -231,24 +318,26 @@ def replace_listed_slices(spark: SparkSession, src: DataFrame, table: str, slice
     the other partition columns fixed to ``fixed``).
 
     Source rows outside the listed slices are ignored (MERGE semantics); listed
-    slices present in the source are written by one dynamic overwrite; listed
-    slices absent from the source are cleared.  Which are absent is found
-    before anything is written, from the key columns alone (one pushed scan;
-    the values are bounded by the list).  Returns the cleared values.
+    slices present in the source are written by one job; listed slices absent
+    from the source are cleared.  The source is read once: which slices it
+    holds is known from what was written.  Returns the cleared values.
     """
     fixed = dict(fixed or {})
     schema = spark.table(table).schema
     pred = F.col(slice_col).isin(list(wanted))
     if fixed:
         pred = pred & slice_predicate(fixed, schema)
-    src = src.where(pred)
-    present = {r[0] for r in src.select(slice_col).distinct().collect()}
-    existing = {r[0] for r in spark.table(table).where(pred).select(slice_col).distinct().collect()}
-    cleared = [w for w in wanted if w not in present and w in existing]
-    replace_partitions(spark, src, table, cluster_by)
+    tracked = table_storage(spark, table)[1]
+    existing = [r[0] for r in spark.table(table).where(pred).select(slice_col).distinct().collect()]
+    if not tracked:
+        present = {r[0] for r in src.where(pred).select(slice_col).distinct().collect()}
+        replace_partitions(spark, src.where(pred), table, cluster_by)
+    else:
+        present = {keys[slice_col] for keys in replace_partitions(spark, src.where(pred), table, cluster_by)}
+    cleared = [w for w in wanted if w in existing and w not in present]
     for w in cleared:
-        values = {**fixed, slice_col: w}
-        clear_partition(spark, table, ", ".join(f"`{k}` = {sql_literal(v, schema[k].dataType)}" for k, v in values.items()))
+        spec = _partition_spec({**fixed, slice_col: w}, schema)
+        drop_slice(spark, table, spec) if tracked else clear_partition(spark, table, spec)
     spark.catalog.refreshTable(table)
     return cleared
 
@@ -272,11 +361,15 @@ def load_slice_from_staging(spark: SparkSession, staging: DataFrame, staging_tab
 
 
 def detached(spark: SparkSession, table: str) -> DataFrame:
-    """Rows of an external table read by its location, with its catalog entry
-    dropped (the files stay): a query that made a table leaves no name behind."""
-    schema, (location, _) = spark.table(table).schema, table_storage(spark, table)
+    """A copy of a table's rows under the scratch folder, with the table's
+    catalog entry dropped: a query that made a table leaves no name behind."""
+    rows, parts = spark.table(table), [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    path, writer = scratch_path(spark, "detached"), rows.write
+    (writer.partitionBy(*parts) if parts else writer).parquet(path)
+    location = table_storage(spark, table)[0]
     spark.sql(f"DROP TABLE {table}")
-    return spark.read.schema(schema).parquet(location)
+    _remove(spark, location)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 # --------------------------------------------------------------------------- names, queries, views

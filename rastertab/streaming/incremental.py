@@ -2,24 +2,24 @@
 
 New files under a folder are picked up by a file-source stream
 (``availableNow`` trigger = process what has arrived, then stop; the checkpoint
-remembers which files were seen).  Each micro-batch lands its rows in a folder
-partitioned by slice and batch, then rebuilds the slices it touched from the
-landing folder, so a slice whose files arrive over many batches is whole, and
-the cost of a batch follows the touched slices, not the history.
+remembers which files were seen).  Each micro-batch lands its rows in folders by
+slice and batch, then rebuilds the slices it touched from their folders, so a
+slice whose files arrive over many batches is whole.  A batch reads, lists and
+registers the folders of the slices it touched and no others: the folder of a
+slice is named by a hash of its keys, and the writing job reports which it wrote.
 """
 
 from __future__ import annotations
 
-from functools import reduce
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rastertab.sinks.tables import replace_partitions
 
-BATCH = "_batch"
+BATCH, SLICE = "_batch", "_slice"  # folder levels of the landing place
 
 
 def with_slice(df: DataFrame, slice_cols: dict[str, Callable | None]) -> DataFrame:
@@ -30,27 +30,28 @@ def with_slice(df: DataFrame, slice_cols: dict[str, Callable | None]) -> DataFra
     return df
 
 
-def land(batch: DataFrame, landing: str, keys, epoch: int) -> None:
-    """Write a batch into its own ``slice.../_batch=epoch`` folders; a replayed
-    batch overwrites exactly them."""
-    rows = batch.withColumn(BATCH, F.lit(int(epoch)).cast("long"))
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys, BATCH).parquet(landing))
+def slice_folder(keys) -> Column:
+    """Name of a slice's folder: a hash of its keys (types and nulls tell apart)."""
+    return F.md5(F.to_json(F.struct(*[F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(keys)]), {"ignoreNullFields": "false"}))
 
 
-def touched_slices(spark: SparkSession, landing: str, schema: T.StructType, keys, epoch: int) -> DataFrame:
-    """All landed rows of the slices that a batch touched.  The touched values
-    are partition values (folders), so they prune the scan by name."""
-    landed = spark.read.schema(T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])).parquet(landing)
-    rows = landed.where(F.col(BATCH) == int(epoch)).select(*keys).distinct().collect()
-    if not rows:
-        return landed.where(F.lit(False)).drop(BATCH)
-    if len(keys) == 1:
-        values = [r[0] for r in rows]
-        pred = F.col(keys[0]).isin([v for v in values if v is not None])
-        pred = (pred | F.col(keys[0]).isNull()) if None in values else pred
-    else:
-        pred = reduce(lambda a, b: a | b, [reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.lit(r[k])) for k in keys]) for r in rows])
-    return landed.where(pred).drop(BATCH)
+def land(batch: DataFrame, landing: str, keys, epoch: int) -> list[str]:
+    """Write a batch into its own ``_slice=.../_batch=epoch`` folders; a
+    replayed batch overwrites exactly them.  Returns the slices' folder names
+    (one per slice touched)."""
+    touched = Observation()
+    rows = batch.withColumns({SLICE: slice_folder(keys), BATCH: F.lit(int(epoch)).cast("long")})
+    rows = rows.observe(touched, F.collect_set(SLICE).alias("slices"))
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(SLICE, BATCH).parquet(landing))
+    return sorted(touched.get["slices"])
+
+
+def touched_slices(spark: SparkSession, landing: str, schema: T.StructType, touched: list[str]) -> DataFrame:
+    """All landed rows of the named slices, from their folders alone."""
+    if not touched:
+        return spark.createDataFrame([], schema)
+    paths = [f"{landing}/{SLICE}={name}" for name in touched]
+    return spark.read.schema(schema).option("basePath", landing).parquet(*paths).select(*schema.fieldNames())
 
 
 def incremental_slice_load(spark: SparkSession, source_dir: str, schema: T.StructType, table: str,
@@ -71,8 +72,7 @@ def incremental_slice_load(spark: SparkSession, source_dir: str, schema: T.Struc
 
     def each_batch(batch: DataFrame, epoch: int) -> None:
         session = batch.sparkSession
-        land(batch, landing, keys, epoch)
-        whole = touched_slices(session, landing, landed_schema, keys, epoch)
+        whole = touched_slices(session, landing, landed_schema, land(batch, landing, keys, epoch))
         replace_partitions(session, transform(whole) if transform else whole, table,
                            cluster_by=cluster_by or [c for c in landed_schema.fieldNames() if c not in keys][:1])
 

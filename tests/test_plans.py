@@ -98,12 +98,22 @@ def test_reprojection_shuffles_blocks_only(spark, tmp_dir):
     assert plan.index("Generate") < plan.index("MapInArrow")
 
 
-def test_second_stream_batch_reads_touched_slices_only(spark, tmp_dir):
+def test_stream_batch_lists_touched_slices_only(spark, tmp_dir):
+    """The files that the second batch lists and reads do not depend on how
+    many other slices were landed before."""
     from pyspark.sql import types as T
     from rastertab.streaming.incremental import land, touched_slices
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("day", T.StringType())])
-    land(spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-02")], schema), f"{tmp_dir}/l", ["day"], 0)
-    land(spark.createDataFrame([(3, "2024-01-01")], schema), f"{tmp_dir}/l", ["day"], 1)
-    df = touched_slices(spark, f"{tmp_dir}/l", schema, ["day"], 1)
-    assert "PartitionFilters: [" in _plan(df) and "2024-01-01" in _plan(df).split("PartitionFilters: [")[1].split("]")[0]
-    assert sorted(r.id for r in df.collect()) == [1, 3]
+    listed = {}
+    for older in (1, 30):
+        landing = f"{tmp_dir}/l{older}"
+        days = [(i, f"2024-02-{i + 1:02d}") for i in range(older)] + [(100, "2024-01-01"), (101, None)]
+        assert len(land(spark.createDataFrame(days, schema), landing, ["day"], 0)) == older + 2
+        touched = land(spark.createDataFrame([(3, "2024-01-01"), (4, None)], schema), landing, ["day"], 1)
+        df = touched_slices(spark, landing, schema, touched)
+        listed[older] = len(df.inputFiles())
+        assert sorted((r.id, r.day) for r in df.collect()) == [(3, "2024-01-01"), (4, None), (100, "2024-01-01"), (101, None)]
+        # a replayed batch takes its own folders' place
+        assert land(spark.createDataFrame([(3, "2024-01-01"), (4, None)], schema), landing, ["day"], 1) == touched
+        assert touched_slices(spark, landing, schema, touched).count() == 4
+    assert listed[1] == listed[30] == 4

@@ -54,3 +54,31 @@ def test_one_file_per_batch_keeps_slices_whole(spark, tmp_dir):
     incremental_slice_load(spark, src, schema, "t_stream_many", {"day": day_slice("ts")}, f"{tmp_dir}/ckm",
                            max_files_per_trigger=1)
     assert sorted(r.id for r in spark.table("t_stream_many").collect()) == [0, 1, 2, 3]
+
+
+def test_a_batch_registers_touched_slices_only(spark, tmp_dir, monkeypatch):
+    """No statement of a batch names the whole table or an untouched slice."""
+    import os
+    from pyspark.sql import SparkSession
+    src = f"{tmp_dir}/reg"
+    os.makedirs(src)
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("ts", T.TimestampType())])
+
+    def arrive(name, rows):
+        spark.createDataFrame(rows, "id long, ts string").selectExpr("id", "cast(ts as timestamp) ts").coalesce(1) \
+            .write.parquet(f"{tmp_dir}/{name}")
+        f = [p for p in os.listdir(f"{tmp_dir}/{name}") if p.endswith(".parquet")][0]
+        shutil.copy(f"{tmp_dir}/{name}/{f}", f"{src}/{name}.parquet")
+
+    create_table(spark, "t_stream_reg", T.StructType([*schema.fields, T.StructField("day", T.StringType())]),
+                 partition_by=("day",), location=f"{tmp_dir}/treg")
+    arrive("a", [(i, f"2024-05-{i + 1:02d} 00:00:00") for i in range(9)])
+    incremental_slice_load(spark, src, schema, "t_stream_reg", {"day": day_slice("ts")}, f"{tmp_dir}/ckreg")
+    said, real = [], SparkSession.sql
+    monkeypatch.setattr(SparkSession, "sql", lambda self, text, *a, **b: (said.append(text), real(self, text, *a, **b))[1])
+    arrive("b", [(20, "2024-05-03 10:00:00"), (21, "2024-06-01 10:00:00")])
+    incremental_slice_load(spark, src, schema, "t_stream_reg", {"day": day_slice("ts")}, f"{tmp_dir}/ckreg")
+    named = [t for t in said if "PARTITION" in t]
+    assert named and not any("RECOVER" in t or "REPAIR" in t for t in said)
+    assert all("2024-05-03" in t or "2024-06-01" in t for t in named)
+    assert sorted(r.id for r in spark.table("t_stream_reg").collect()) == [*range(9), 20, 21]

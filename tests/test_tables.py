@@ -87,3 +87,53 @@ def test_load_slice_from_staging(spark, tmp_dir):
     load_slice_from_staging(spark, new, "t_stg_2020", "t_stg_dest", {"year": 2020},
                             transform=lambda df: df.withColumn("id", F.col("id") * 10))
     assert _rows(spark.table("t_stg_dest")) == [(1, 2019), (70, 2020), (80, 2020)]
+
+
+def test_a_job_that_dies_before_the_switch_leaves_the_old_slice(spark, tmp_dir, monkeypatch):
+    from rastertab.sinks import tables
+    base = spark.createDataFrame([(1, 2019), (2, 2020)], "id int, year int")
+    truncate_load(base, "t_switch", partition_by=("year",), location=f"{tmp_dir}/switch")
+    new = spark.createDataFrame([(7, 2020), (8, 2020)], "id int, year int")
+
+    def killed(*args):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:
+        m.setattr(tables, "point_slice", killed)
+        for load in (lambda: replace_partition(spark, new, "t_switch", {"year": 2020}),
+                     lambda: tables.replace_partitions(spark, new, "t_switch")):
+            with pytest.raises(KeyboardInterrupt):
+                load()
+            assert _rows(spark.table("t_switch")) == [(1, 2019), (2, 2020)]  # the rows are written, nothing points to them
+    with monkeypatch.context() as m:
+        m.setattr(tables, "_remove", killed)  # dies after the switch
+        with pytest.raises(KeyboardInterrupt):
+            replace_partition(spark, new, "t_switch", {"year": 2020})
+    assert _rows(spark.table("t_switch")) == [(1, 2019), (7, 2020), (8, 2020)]
+    replace_partition(spark, new.where("id = 8"), "t_switch", {"year": 2020})
+    assert _rows(spark.table("t_switch")) == [(1, 2019), (8, 2020)]
+
+
+def test_a_switch_removes_the_old_folder(spark, tmp_dir):
+    import glob
+    base = spark.createDataFrame([(1, 2019), (2, 2020)], "id int, year int")
+    truncate_load(base, "t_clean", partition_by=("year",), location=f"{tmp_dir}/clean")
+    for i in range(3):
+        replace_partition(spark, spark.createDataFrame([(i, 2020)], "id int, year int").coalesce(1), "t_clean", {"year": 2020})
+        assert len(glob.glob(f"{tmp_dir}/clean/**/*.parquet", recursive=True)) == 2
+        assert len(spark.table("t_clean").inputFiles()) == 2
+    replace_partition(spark, base.where("id < 0"), "t_clean", {"year": 2020})
+    assert len(glob.glob(f"{tmp_dir}/clean/**/*.parquet", recursive=True)) == 1
+    assert _rows(spark.table("t_clean")) == [(1, 2019)]
+
+
+def test_many_slices_in_one_job_with_odd_keys(spark, tmp_dir):
+    from rastertab.sinks.tables import replace_listed_slices, replace_partitions
+    base = spark.createDataFrame([(i, k) for i, k in enumerate(["a b", "it's", "x=y/z", "100%", None, "ü", "old"])], "id int, k string")
+    truncate_load(base, "t_odd", partition_by=("k",), location=f"{tmp_dir}/odd")
+    new = base.where("k <> 'old' OR k IS NULL").selectExpr("id + 10 AS id", "k")
+    assert len(replace_partitions(spark, new, "t_odd")) == 6
+    want = sorted([(i + 10, k) for i, k in enumerate(["a b", "it's", "x=y/z", "100%", None, "ü"])] + [(6, "old")], key=str)
+    assert sorted(((r.id, r.k) for r in spark.table("t_odd").collect()), key=str) == want
+    assert replace_listed_slices(spark, new.where("k = 'ü'"), "t_odd", "k", ["ü", "old", "never"]) == ["old"]
+    assert spark.table("t_odd").where("k = 'old'").count() == 0 and spark.table("t_odd").count() == 6
