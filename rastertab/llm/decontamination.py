@@ -13,8 +13,10 @@ other terms of the window must stand, in any order, within a stretch of ``width`
 words; the narrowest stretch is returned.
 
 Joins are on (row, place, term), so a frequent word is spread like any other
-posting; only the first join is on the term alone, against windows (sent to all
-tasks where Spark measures them small, else split where a term is frequent).
+posting; only the first join is on the term alone, of the rarest terms' lists
+with their windows (sent to all tasks where Spark measures them small, else
+split where a term is frequent).  Postings are dealt to the last lists once, at
+every size of the input.
 Nothing holds a whole document or a whole list.
 
 Defined results: null and word-less texts have no words and no hits; a null or
@@ -79,11 +81,12 @@ def ranked_lists(windows: DataFrame, vocab: DataFrame, index: DataFrame) -> Data
 # --------------------------------------------------------------------------- training side
 def build_index(docs: DataFrame, vocab: DataFrame) -> DataFrame:
     """``row, doc_id, place, term``: postings of the test words, and of the end
-    of every row."""
+    of every row, which alone has the id."""
     ended = F.concat(F.coalesce(words(F.col("text")), F.array().cast("array<string>")), F.array(F.lit("")))
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", ended.alias("w"))
     postings = rows.select("row", "doc_id", F.posexplode("w").alias("place", "word"))
-    return written(postings.join(vocab, "word").select("row", "doc_id", "place", "term"), "leak-index")
+    named = F.when(F.col("term") == END, F.col("doc_id")).alias("doc_id")
+    return written(postings.join(vocab, "word").select("row", named, "place", "term"), "leak-index")
 
 
 def _of_terms(index: DataFrame, lists: DataFrame, rank: int) -> DataFrame:
@@ -96,7 +99,7 @@ def phrase_matches(index: DataFrame, lists: DataFrame) -> DataFrame:
     """``row, window, start, size``: every place where a window's words stand."""
     first = lists.select("window", "size", F.col("lists")[0]["term"].alias("term"), F.col("lists")[0]["offset"].alias("offset"),
                          F.get("lists", F.lit(1)).alias("second"))
-    found = (index.where(F.col("term") != END).select("row", "place", "term").join(first, "term")
+    found = (_of_terms(index, lists, 0).join(first, "term")
              .withColumn("start", F.col("place") - F.col("offset")).where("start >= 0"))
     singles = found.where("size = 1").select("row", "window", "start", "size")
     wanted = found.where("size > 1").select("row", "window", "start", "size", F.col("second.term").alias("term"),
@@ -109,9 +112,10 @@ def phrase_matches(index: DataFrame, lists: DataFrame) -> DataFrame:
                   .select("row", "window", "start", "size", further)
                   .select("row", "window", "start", "size", F.col("one.term").alias("term"),
                           (F.col("start") + F.col("one.offset")).alias("place")))
-    near = index.select("row", "place", "term").join(both.select("row").distinct(), "row", "left_semi")
-    whole = (open_lists.join(near, ["row", "place", "term"], "left_semi").groupBy("row", "window", "start", "size")
-             .agg(F.count(F.lit(1)).alias("n")).where("n = size - 2").drop("n"))
+    # every posting is dealt once, the few open lists are what a task holds
+    whole = (index.where(F.col("term") != END).select("row", "place", "term")
+             .join(open_lists.hint("shuffle_hash"), ["row", "place", "term"])
+             .groupBy("row", "window", "start", "size").agg(F.count(F.lit(1)).alias("n")).where("n = size - 2").drop("n"))
     return written(singles.unionByName(pairs).unionByName(whole), "leak-matches")
 
 
