@@ -46,8 +46,8 @@ def clip_keep_nan(values: np.ndarray, limit: float) -> np.ndarray:
     return np.clip(values, -limit, limit)
 
 
-def _axis_values(gt, ix, iy, xblock, yblock, block_size):
-    """Centres and box edges of one block.
+def _axis_values(gt, ix, iy, xblock, yblock, block_size, row=-1):
+    """Centres of one block, or of its pixel row ``row`` (-1: the whole block).
 
     Returns ``(separable, gx, gy)``: for a north-up grid (gt2 == gt4 == 0) the
     centre x depends only on the column and the centre y only on the row, so
@@ -58,7 +58,7 @@ def _axis_values(gt, ix, iy, xblock, yblock, block_size):
     """
     g0, g1, g2, g3, g4, g5 = (float(v) for v in gt)
     xs = ix * block_size + np.arange(xblock, dtype=np.int64)
-    ys = iy * block_size + np.arange(yblock, dtype=np.int64)
+    ys = iy * block_size + (np.arange(yblock, dtype=np.int64) if row < 0 else np.array([row], dtype=np.int64))
     if g2 == 0.0 and g4 == 0.0:
         gx = (g0 + (xs + 0.5) * g1) + 0.5 * g2
         gy = (g3 + 0.5 * g4) + (ys + 0.5) * g5
@@ -90,12 +90,13 @@ def make_axis_text_udf(block_size: int, box_style: str = "g10"):
     """Tile-level pandas UDF: text of centres and box edges per grid line.
 
     ``box_style`` is ``"g10"`` (Parquet converter, ``%.10g``) or ``"trim"``
-    (CSV converter, shortest trimmed text).
+    (CSV converter, shortest trimmed text).  The last argument picks one pixel
+    row of the block (-1: all), as the text of rotated grids is made by rows.
     """
     box_text = c_format if box_style == "g10" else trimmed_text
 
     @F.pandas_udf(AXIS_TEXT_SCHEMA)
-    def axis_text(gt: pd.Series, ix: pd.Series, iy: pd.Series, xb: pd.Series, yb: pd.Series) -> pd.DataFrame:
+    def axis_text(gt: pd.Series, ix: pd.Series, iy: pd.Series, xb: pd.Series, yb: pd.Series, row: pd.Series) -> pd.DataFrame:
         out = {k: [] for k in ("sep", "cx", "lox", "hix", "cy", "loy", "hiy")}
         made: dict = {}  # blocks of a column or row of blocks share their grid lines: formatted once, held once
 
@@ -104,8 +105,8 @@ def make_axis_text_udf(block_size: int, box_style: str = "g10"):
                 made[key] = (c_format(centre), box_text(low), box_text(high))
             return made[key]
 
-        for n, (g, i, j, w, h) in enumerate(zip(gt, ix, iy, xb, yb)):
-            sep, gx, gy = _axis_values(g, int(i), int(j), int(w), int(h), block_size)
+        for n, (g, i, j, w, h, r) in enumerate(zip(gt, ix, iy, xb, yb, row)):
+            sep, gx, gy = _axis_values(g, int(i), int(j), int(w), int(h), block_size, int(r))
             lo_x, hi_x, lo_y, hi_y = box_edges(gx, gy, float(g[1]), float(g[5]))
             out["sep"].append(sep)
             x_key, y_key = (("x", *g, i, w), ("y", *g, j, h)) if sep else (("x", n), ("y", n))

@@ -101,11 +101,17 @@ def schema_string_col(band_names: Column, band_type: Column, meta: Column) -> Co
 
 @dataclass(frozen=True)
 class PixelLayout:
-    """Columns of a pixel table: typed attributes then one column per band."""
+    """Columns of a pixel table: typed attributes then one column per band.
+    ``column_types`` are the bands' Spark types where they are not all that of
+    ``band_type`` (layouts put together)."""
 
     band_names: tuple[str, ...]
     band_type: str
     attributes: tuple[tuple[str, str], ...] = field(default_factory=tuple)
+    column_types: tuple[str, ...] = ()
+
+    def band_columns(self) -> tuple[str, ...]:
+        return self.column_types or (band_spark_type(self.band_type),) * len(self.band_names)
 
     @staticmethod
     def from_meta(band_names, band_type: str, meta_keys) -> "PixelLayout":
@@ -122,29 +128,60 @@ class PixelLayout:
     def ddl(self) -> str:
         cols = [f"`{g}` string" for g in GEOGRAPHY_FIELDS]
         cols += [f"`{k}` {ATTRIBUTE_TYPES[kind][1]}" for k, kind in self.attributes]
-        cols += [f"`{b}` {band_spark_type(self.band_type)}" for b in self.band_names]
+        cols += [f"`{b}` {t}" for b, t in zip(self.band_names, self.band_columns())]
         return ", ".join(cols)
 
 
 def _layout_columns() -> list[Column]:
-    """What makes a layout: band names, band type, typed metadata keys in any order."""
-    keys = F.filter(F.map_keys("meta"), lambda k: attribute_kind_col(k).isNotNull())
-    return [F.col("band_names").alias("_names"), F.col("band_type").alias("_type"), F.array_sort(keys).alias("_keys")]
-
-
-def infer_layouts(tiles: DataFrame) -> list[PixelLayout]:
-    """Distinct layouts of a tile table, in a stable order.  One row per layout
-    reaches the driver: as many as the input has schemas, whatever its size."""
-    rows = tiles.select(*_layout_columns()).distinct().collect()
+    """What makes a layout: band names, band type, typed metadata keys in any
+    order.  An image without metadata has no keys."""
+    none = F.create_map().cast("map<string,string>")
+    keys = F.filter(F.map_keys(F.coalesce("meta", none)), lambda k: attribute_kind_col(k).isNotNull())
+    return [F.coalesce("band_names", F.array().cast("array<string>")).alias("_names"), F.col("band_type").alias("_type"),
+            F.array_sort(keys).alias("_keys")]
+
+
+def infer_layouts(images: DataFrame) -> list[PixelLayout]:
+    """Distinct layouts of a tile table (or of image headers, where pixels cost
+    a decode), in a stable order.  One row per layout reaches the driver: as
+    many as the input has schemas, whatever its size."""
+    rows = images.select(*_layout_columns()).distinct().collect()
     return [PixelLayout.from_meta(r["_names"], r["_type"], r["_keys"])
-            for r in sorted(rows, key=lambda r: (r["_names"], r["_type"], r["_keys"]))]
+            for r in sorted(rows, key=lambda r: (list(r["_names"]), str(r["_type"]), list(r["_keys"])))]
 
 
 def of_layout(tiles: DataFrame, layout: PixelLayout) -> DataFrame:
     """The tiles that have this layout."""
-    names, kind, keys = _layout_columns()
-    return tiles.where((names == F.array(*[F.lit(n) for n in layout.band_names])) & (kind == layout.band_type)
-                       & (keys == F.array(*[F.lit(k) for k, _ in layout.attributes]).cast("array<string>")))
+    wanted = F.struct(F.array(*[F.lit(n) for n in layout.band_names]).cast("array<string>").alias("_names"), F.lit(layout.band_type).alias("_type"),
+                      F.array(*[F.lit(k) for k, _ in layout.attributes]).cast("array<string>").alias("_keys"))
+    return tiles.where(F.struct(*_layout_columns()).eqNullSafe(wanted))
+
+
+# Fixed order: of two band types the later holds the values of both.
+WIDER = ("int", "bigint", "double")
+
+
+def joint_layout(layouts: list[PixelLayout]) -> PixelLayout:
+    """One layout with the columns of all: attributes by name, bands by name in
+    order of first appearance, a band of several types with the widest."""
+    attributes = {k: kind for one in layouts for k, kind in one.attributes}
+    types: dict[str, str] = {}
+    for one in layouts:
+        for name, kind in zip(one.band_names, one.band_columns()):
+            types[name] = max(types.get(name, kind), kind, key=WIDER.index)
+    return PixelLayout(tuple(types), layouts[0].band_type, tuple(sorted(attributes.items())), tuple(types.values()))
+
+
+def aligned_bands(tiles: DataFrame, layout: PixelLayout) -> DataFrame:
+    """Tiles whose ``bands`` stand in the order of a joint layout; a band that
+    an image lacks is an empty list, which the expansion fills with nulls."""
+    empty = F.array().cast("array<double>")
+
+    def band(name: str) -> Column:
+        at = F.array_position("band_names", F.lit(name))
+        return F.coalesce(F.get("bands", F.when(at > 0, at - 1).cast("int")), empty)
+
+    return tiles.withColumn("bands", F.array(*[band(n) for n in layout.band_names]).cast("array<array<double>>"))
 
 
 def infer_layout(tiles: DataFrame) -> PixelLayout:

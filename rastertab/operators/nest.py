@@ -3,11 +3,12 @@ SRT-1, DRV-1..4, SCL-7..9)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rastertab.functions.timefns import hour_diff, to_datetime
 from rastertab.functions.wkt import st_astext, st_geogfromtext
+from rastertab.session import scratch_path
 from rastertab.sources.schemas import FORECAST_FIELDS
 
 CELL_KEY = ("creation_time", "geography", "geography_polygon")
@@ -67,21 +68,39 @@ def ordered_nest_chunked(df: DataFrame, keys, order_fields, payload_fields, name
 
     Rows are range-partitioned on ``(keys, order fields)``: the sampled bounds
     cut a hot key's rows into several partitions, in order.  Each partition
-    then nests its own run of every key into one *chunk* (bounded by the
-    partition size), so no task ever holds a whole hot group.  Output: one row
-    per (key, chunk); ``chunk`` (the range-partition index) increases along a
-    key, so concatenating a key's chunks in chunk order gives the complete
-    ordered array.  Exchanges: the range partitioning, then one hash exchange
-    of the per-partition partial lists (each list moves once).
+    nests its own run of every key into one *chunk* (bounded by the partition
+    size), so no task ever holds a whole hot group.  The chunks are written to
+    the scratch folder once; their sizes, one small row each, give the rest: ``chunk`` numbers a key's chunks from 0, and ``first`` is the place
+    of the chunk's first element in the key's whole ordered array, so an
+    element's place is ``first`` plus its index (:func:`unnest_chunks`).
+    Exchanges: the range partitioning, then one hash exchange of the
+    per-partition lists (each list moves once), then the sizes.
     """
     renames = renames or {}
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = [*keys, *order_fields, *payload_fields]
     fields = [F.col(c).alias(renames.get(c, c)) for c in (*order_fields, *payload_fields)]
     parts = df.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in ordered]) \
         .withColumn("_part", F.spark_partition_id())
     chunks = parts.groupBy(*keys, "_part").agg(F.sort_array(F.collect_list(F.struct(*fields))).alias(name))
-    return chunks.withColumnRenamed("_part", "chunk")
+    path = scratch_path(spark, "chunks")
+    chunks.write.parquet(path)  # the bounds of a range are sampled: a second evaluation might cut elsewhere
+    chunks = spark.read.schema(chunks.schema).parquet(path)
+    own = Window.partitionBy(*keys).orderBy("_part")
+    sizes = chunks.select(*keys, "_part", F.size(name).cast("long").alias("_n")).select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_part").alias("_of"), (F.row_number().over(own) - 1).alias("chunk"),
+        (F.sum("_n").over(own) - F.col("_n")).alias("first"))
+    same = F.col("_part") == F.col("_of")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return chunks.join(sizes, same).select(*keys, "chunk", "first", name)
+
+
+def unnest_chunks(chunks: DataFrame, keys, name: str, position: str = "pos") -> DataFrame:
+    """Elements of chunked arrays with their places in the whole array."""
+    rows = chunks.select(*keys, "first", F.posexplode(name).alias("_at", "_e"))
+    return rows.select(*keys, (F.col("first") + F.col("_at")).alias(position), "_e.*")
 
 
 def nest_forecast(projected: DataFrame) -> DataFrame:

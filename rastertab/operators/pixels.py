@@ -4,7 +4,9 @@ Plan shape: tile scan -> (tile-level pandas UDF producing the text of each
 grid line) -> ``posexplode(arrays_zip(bands))`` -> native arithmetic, text
 lookups by index and ``concat``, fused in one whole-stage-codegen stage.  No
 shuffle; Python sees O(xblock + yblock) numbers per block instead of
-O(xblock * yblock); no per-pixel arrays are built.
+O(xblock * yblock).  Text of a rotated grid differs from pixel to pixel: such
+tiles are cut into single rows of pixels first, so that the text that rides
+with band values is that of one row (256 cells), never of a block.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 
 from rastertab.functions.numtext import BOX_DECIMALS, LAT_LIMIT, LON_LIMIT, make_axis_text_udf
 from rastertab.functions.wkt import point_sql, polygon_sql
-from rastertab.operators.attributes import PixelLayout, band_spark_type, infer_layout, typed_attribute
+from rastertab.operators.attributes import PixelLayout, infer_layout, typed_attribute
 from rastertab.sources.tiles import BLOCK_SIZE
 
 
@@ -60,7 +62,6 @@ def expand_pixels(
     """
     layout = layout or infer_layout(tiles)
     nb = len(layout.band_names)
-    btype = band_spark_type(layout.band_type)
 
     if num_partitions:
         tiles = tiles.repartition(num_partitions)
@@ -71,12 +72,21 @@ def expand_pixels(
         *[typed_attribute(F.col("meta"), k, kind).alias(k) for k, kind in layout.attributes],
     )
     zipped = [F.col("bands")[i].alias(f"b{i}") for i in range(nb)]
+    row0 = "0"
     if with_text:
         axis_text = make_axis_text_udf(block_size, box_style)
-        base = base.withColumn("_ax", axis_text(F.col("_g"), F.col("ix"), F.col("iy"), F.col("xblock"), F.col("yblock")))
+        if not positions:  # blocks that hold only some cells are of north-up target grids
+            row0 = "greatest(_row, 0)"
+            rotated = (_gt(2) != 0.0) | (_gt(4) != 0.0)
+            rows = F.when(rotated, F.sequence(F.lit(0), F.col("yblock") - 1)).otherwise(F.array(F.lit(-1)))
+            base = base.withColumn("_row", F.explode(rows))
+            zipped = [F.when(F.col("_row") < 0, F.col("bands")[i]).otherwise(
+                F.slice(F.col("bands")[i], F.col("_row") * F.col("xblock") + 1, F.col("xblock"))).alias(f"b{i}") for i in range(nb)]
+        whole = F.lit(-1) if positions else F.col("_row")
+        base = base.withColumn("_ax", axis_text(F.col("_g"), F.col("ix"), F.col("iy"), F.col("xblock"), F.col("yblock"), whole))
 
     scalars = [F.col(k) for k in keep] + [F.col(k) for k, _ in layout.attributes]
-    geo_scalars = [F.col("ix"), F.col("iy"), F.col("xblock")]
+    geo_scalars = [F.col("ix"), F.col("iy"), F.col("xblock"), *([F.col("_row")] if row0 != "0" else [])]
     if with_coords:
         geo_scalars += [_gt(i).alias(f"_g{i}") for i in range(6)]
     if with_text:
@@ -94,7 +104,7 @@ def expand_pixels(
     out: list[Column] = [F.col(k) for k in keep]
     if with_coords:
         x = f"CAST(ix * {block_size} + _pos % xblock AS BIGINT)"
-        y = f"CAST(iy * {block_size} + _pos div xblock AS BIGINT)"
+        y = f"CAST(iy * {block_size} + {row0} + _pos div xblock AS BIGINT)"
         gx = f"(_g0 + ({x} + 0.5D) * _g1 + ({y} + 0.5D) * _g2)"
         gy = f"(_g3 + ({x} + 0.5D) * _g4 + ({y} + 0.5D) * _g5)"
         out += [F.expr(f"{x} AS x"), F.expr(f"{y} AS y"), F.expr(f"{gx} AS gx"), F.expr(f"{gy} AS gy")]
@@ -107,7 +117,7 @@ def expand_pixels(
         ]
     if with_text:
         # separable grid: column entry for x texts, row entry for y texts;
-        # otherwise one entry per pixel (element_at is 1-based).  Each string is
+        # otherwise one entry per pixel of the row (element_at is 1-based).  Each string is
         # looked up once into its own column, then the WKT is concatenated from
         # column references (keeps the generated code small enough to JIT).
         xi = "CAST(CASE WHEN _ax.sep THEN _pos % xblock ELSE _pos END + 1 AS INT)"
@@ -119,7 +129,8 @@ def expand_pixels(
         out += [F.expr(f"{point_sql('_t_cx', '_t_cy')} AS geography"),
                 F.expr(f"{polygon_sql('_t_lox', '_t_hix', '_t_loy', '_t_hiy')} AS geography_polygon")]
     out += [F.col(k) for k, _ in layout.attributes]
-    out += [F.expr(f"CAST(_p.b{i} AS {btype}) AS `{band_prefix}{name}`") for i, name in enumerate(layout.band_names)]
+    out += [F.expr(f"CAST(_p.b{i} AS {kind}) AS `{band_prefix}{name}`")
+            for i, (name, kind) in enumerate(zip(layout.band_names, layout.band_columns()))]
     return exploded.select(*out)
 
 

@@ -5,10 +5,12 @@ For every target cell centre (lon, lat) the forward sinusoidal projection
 ``col = floor((x - gt0) / gt1), row = floor((y - gt3) / gt5)`` names the source
 pixel that contains it.  Target cells outside the source are dropped.
 
-What moves between tasks are blocks, never pixels: the target grid is generated
-as blocks (``range``, distributed), each names the few source blocks its cells
-fall into, source tiles are joined on those block numbers, and each meeting of
-a target block with a source tile picks its cells by array index.  The text of
+What moves between tasks are blocks, never pixels, and those once: the target
+grid is generated as blocks (``range``, distributed), each names the few source
+blocks its cells fall into; the tiles' rectangles alone, without their bands,
+are compared for overlaps; source tiles are then joined with both on the block
+numbers, and each meeting of a target block with a source tile picks its cells
+by array index.  The text of
 the cells comes from the target block's own grid lines.
 """
 
@@ -41,6 +43,36 @@ def sinusoidal_inverse(x: Column, y: Column, radius: float = SPHERE_RADIUS) -> t
     return lam / F.lit(DEG), phi / F.lit(DEG)
 
 
+def suggest_target_grid(src_gt, src_xsize: int, src_ysize: int,
+                        radius: float = SPHERE_RADIUS) -> tuple[tuple[float, ...], int, int]:
+    """A north-up WGS84 grid ``(gt, xsize, ysize)`` for a sinusoidal source:
+    the extent of what the source's row edges cover, projected backwards and
+    cut where a parallel ends at +-180 degrees, with square cells of the size
+    that gives the extent's diagonal as many cells as the source's has pixels.
+
+    A row edge spans all longitudes between its two ends, so the ends of all
+    ``ysize + 1`` edges bound the whole grid."""
+    if src_gt[2] != 0 or src_gt[4] != 0:
+        raise ValueError("the source grid must be north-up (gt2 = gt4 = 0)")
+    phi = (src_gt[3] + np.arange(src_ysize + 1) * src_gt[5]) / radius
+    phi = phi[np.abs(phi) <= math.pi / 2 * (1 + 1e-12)]
+    ends = np.sort(np.array([src_gt[0], src_gt[0] + src_xsize * src_gt[1]]))
+    shrink = np.maximum(radius * np.cos(phi), 0.0)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        # at a pole the parallel is one point: it has every longitude that the nearby rows have, and bounds none
+        west, east = (np.where(shrink > radius * 1e-9, end / shrink / DEG, np.sign(end) * np.inf) for end in ends)
+    met = (west <= 180.0) & (east >= -180.0) & (shrink > radius * 1e-9)
+    if not met.any():
+        raise ValueError("the source grid lies outside the projection")
+    low, high = max(-180.0, float(west[met].min())), min(180.0, float(east[met].max()))
+    inside = np.clip(phi / DEG, -90.0, 90.0)
+    rows = inside[met | (shrink <= radius * 1e-9)]
+    south, north = float(rows.min()), float(rows.max())
+    cell = math.hypot(high - low, north - south) / math.hypot(src_xsize, src_ysize)
+    xsize, ysize = max(1, int((high - low) / cell + 0.5)), max(1, int((north - south) / cell + 0.5))
+    return (low, cell, 0.0, north, 0.0, -cell), xsize, ysize
+
+
 class Grids:
     """A source grid, a north-up target grid, and the pick between them."""
 
@@ -90,15 +122,16 @@ def _block_pairs(spark: SparkSession, grids: Grids) -> DataFrame:
     return spark.range(0, nx * ny, numPartitions=tasks).mapInArrow(touched, "ix long, iy long, bx long, by long")
 
 
-def _refuse_overlaps(tiles: DataFrame, keep) -> DataFrame:
-    """Fail when two tiles (of one ``keep`` group) cover the same source pixel.
-    Only the tiles' rectangles are compared, per source block, where few meet."""
+def _blocks_apart(rectangles: DataFrame, keep) -> DataFrame:
+    """``bx, by`` of the source blocks that hold tiles; fails when two tiles (of
+    one ``keep`` group) cover the same source pixel.  Rectangles only, per
+    source block, where few meet."""
     box = F.struct("x0", "y0", (F.col("x0") + F.col("xblock")).alias("x1"), (F.col("y0") + F.col("yblock")).alias("y1"))
-    met = tiles.groupBy(*keep, "bx", "by").agg(F.collect_list(box).alias("boxes"))
+    met = rectangles.groupBy(*keep, "bx", "by").agg(F.collect_list(box).alias("boxes"))
     clash = F.exists("boxes", lambda a: F.size(F.filter("boxes", lambda b: (
         (a["x0"] < b["x1"]) & (b["x0"] < a["x1"]) & (a["y0"] < b["y1"]) & (b["y0"] < a["y1"])))) > 1)
-    return met.select(*[F.col(k).alias(f"_k_{k}") for k in keep], F.col("bx").alias("_bx"), F.col("by").alias("_by"),
-                      F.when(clash, F.raise_error(F.lit("source images overlap"))).otherwise(F.lit(True)).alias("_apart"))
+    apart = F.when(clash, F.raise_error(F.lit("source images overlap")).cast("boolean")).otherwise(F.lit(True))
+    return met.select("bx", "by", apart.alias("apart")).groupBy("bx", "by").agg(F.min("apart").alias("apart")).where("apart").drop("apart")
 
 
 def reproject_tiles(tiles: DataFrame, layout: PixelLayout, src_gt, src_xsize: int, src_ysize: int, target_gt,
@@ -128,12 +161,9 @@ def reproject_tiles(tiles: DataFrame, layout: PixelLayout, src_gt, src_xsize: in
         return F.explode(F.sequence(F.floor(first / block_size), F.floor((first + size - 1) / block_size)))
 
     tiles = tiles.withColumn("bx", blocks(F.col("x0"), F.col("xblock"))).withColumn("by", blocks(F.col("y0"), F.col("yblock")))
-    apart = _refuse_overlaps(tiles, keep)
-    same = (tiles["bx"] == apart["_bx"]) & (tiles["by"] == apart["_by"])
-    for k in keep:
-        same = same & tiles[k].eqNullSafe(apart[f"_k_{k}"])
-    tiles = tiles.join(apart, same).where("_apart").drop("_bx", "_by", "_apart", *[f"_k_{k}" for k in keep])
-    met = _block_pairs(tiles.sparkSession, grids).join(tiles, ["bx", "by"])
+    apart = _blocks_apart(tiles.select(*keep, "x0", "y0", "xblock", "yblock", "bx", "by"), keep)
+    wanted = _block_pairs(tiles.sparkSession, grids).join(apart, ["bx", "by"])  # numbers only
+    met = tiles.join(wanted, ["bx", "by"])
 
     names = [*keep, *[k for k, _ in layout.attributes]]
     met = met.select(*names, "ix", "iy", "bx", "by", "x0", "y0", "xblock", "yblock", "bands")

@@ -21,6 +21,7 @@ from rastertab.plans.registry import register
 from rastertab.plans.relational_queries import _CATALOG_SQL, _catalog
 from rastertab.session import scratch_path
 from rastertab.sinks.tables import detached
+from rastertab.sources.catalog import single_wildcard
 from rastertab.sources.driver_tables import (VECTORS_PER_IMAGE, _checked_embedding, embedding_tiles, forecast_tiles, read_table,
                                              write_embedding_rasters)
 from rastertab.sources.schemas import read_declared, to_struct
@@ -187,21 +188,28 @@ def job_productivity_year(spark, sf_dir):
 
 # --------------------------------------------------------------------------- converter
 @register("convert_parquet", ["SNK-2", "SRC-3", "SRC-4", "SRC-8", "SCH-2", "SCH-5", "RAS-8"], f"""
-    SELECT {_POINT_SQL} AS geography, {_POLYGON_SQL} AS geography_polygon, CAST(2000 + label AS BIGINT) AS year,
-           CASE WHEN vec_id % 2 = 0 THEN value END AS even, CASE WHEN vec_id % 2 = 1 THEN value END AS odd
+    SELECT {_POINT_SQL} AS geography, {_POLYGON_SQL} AS geography_polygon,
+           CASE WHEN vec_id % 3 < 2 THEN CAST(2000 + label AS BIGINT) END AS year,
+           CASE WHEN vec_id % 3 = 0 THEN value END AS red, CASE WHEN vec_id % 3 > 0 THEN value END AS green,
+           CASE WHEN vec_id % 3 = 1 THEN -value END AS blue
     FROM ({_EMB_BOX})
 """)
 def convert_parquet(spark, sf_dir):
-    """Images of two schemas converted into one folder, then read by wildcard
-    with a declared schema that covers both."""
-    tiles = embedding_tiles(read_table(spark, sf_dir, "embeddings"))
-    tiles = tiles.withColumn("band_names", F.array(F.when(F.col("vec_id") % 2 == 0, "even").otherwise("odd")))
+    """Images of three schemas, one of them without any metadata, converted in
+    one pass, then read by one wildcard with a declared schema."""
+    tiles, kind = embedding_tiles(read_table(spark, sf_dir, "embeddings")), F.col("vec_id") % 3
+    values = F.col("bands")[0]
+    tiles = tiles.withColumns({
+        "band_names": F.when(kind == 0, F.array(F.lit("red"))).when(kind == 1, F.array(F.lit("blue"), F.lit("green"))).otherwise(F.array(F.lit("green"))),
+        "bands": F.when(kind == 1, F.array(F.transform(values, lambda v: -v), values)).otherwise(F.array(values)),
+        "meta": F.when(kind < 2, F.col("meta"))})
     path = scratch_path(spark, "converted")
     convert_tiles(tiles, path)
     schema = to_struct([{"name": "geography", "type": "GEOGRAPHY", "mode": "REQUIRED"},
-                        {"name": "geography_polygon", "type": "GEOGRAPHY", "mode": "REQUIRED"},
-                        {"name": "year", "type": "INTEGER"}, {"name": "even", "type": "FLOAT"}, {"name": "odd", "type": "FLOAT"}])
-    return read_declared(spark, f"{path}/*.parquet", schema)
+                        {"name": "geography_polygon", "type": "GEOGRAPHY", "mode": "REQUIRED"}, {"name": "year", "type": "INTEGER"},
+                        *[{"name": n, "type": "FLOAT"} for n in ("red", "green", "blue")]])
+    folder, leaf = single_wildcard(f"{path}/*.parquet")
+    return read_declared(spark, f"{folder}/{leaf}", schema)
 
 
 @register("tile_table_roundtrip", ["RAS-3", "RAS-4"], f"""

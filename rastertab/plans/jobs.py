@@ -2,6 +2,7 @@
 
 * :func:`select_images`        -- catalog selection for an export (SRC-1, FLT-1..3)
 * :func:`convert_tiles`        -- raster tiles -> pixel Parquet / CSV, or schema text only (SNK-1/2, SCH-2)
+* :func:`convert_files`        -- the same from raster files, headers first
 * :func:`load_forecast_cycle`  -- staging load + ordered nest + cycle replace (3.1)
 * :func:`load_population_slice`-- (country, year) slice replace (3.2)
 * :func:`load_population_countries` -- every listed country of a year in one job
@@ -18,18 +19,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rastertab.functions.timefns import cycle_suffix
-from rastertab.operators.attributes import PixelLayout, infer_layouts, of_layout
+from rastertab.operators.attributes import PixelLayout, aligned_bands, infer_layouts, joint_layout
 from rastertab.operators.cells import CELL_KEY_COLUMN, with_cell_key
 from rastertab.operators.filters import include_exclude, plan_exports, require, require_input
 from rastertab.operators.pixels import expand_pixels
-from rastertab.operators.reproject import SPHERE_RADIUS, reproject_tiles
+from rastertab.operators.reproject import SPHERE_RADIUS, reproject_tiles, suggest_target_grid
 from rastertab.plans.forecast import nest_staged
-from rastertab.sinks.csv_text import csv_lines, write_csv_lines
+from rastertab.sinks.csv_text import mixed_csv_lines, write_csv_lines
 from rastertab.sinks.tables import (OUTSIDE, create_database, create_table, replace_listed_slices, replace_partition,
                                     staging_name, truncate_load, write_parquet)
 from rastertab.sources import catalog as cat
 from rastertab.sources.schemas import conform, declared, enforce_required, read_declared
-from rastertab.sources.tiles import image_name
+from rastertab.sources.tiles import RasterDecoder, image_name, list_rasters, raster_headers, read_raster_files
 
 YEAR_RANGE = (1900, 2100)  # fixed value: integer range partitioning bounds (inclusive start, exclusive end)
 
@@ -61,23 +62,32 @@ def select_images(catalog: DataFrame, task: str, *, date=None, country: str | No
 
 
 def convert_tiles(tiles: DataFrame, out_path: str | None = None, fmt: str = "parquet",
-                  layout: PixelLayout | None = None, partition_by=()) -> list[str]:
-    """Converter: one row or line per pixel.  Every image is typed by its own
-    metadata and bands: each layout of the input is written into the same
-    folder with its own columns (read it with a declared schema, which fills
-    what a layout lacks with nulls).  Returns the schema text of each layout;
-    without ``out_path`` nothing is written."""
-    layouts = [layout] if layout else infer_layouts(tiles)
-    for i, one in enumerate(layouts if out_path else ()):
-        own, mode = tiles if layout or len(layouts) == 1 else of_layout(tiles, one), "append" if i else "overwrite"
-        if fmt == "csv":
-            write_csv_lines(csv_lines(own, one), out_path, mode)
-        else:
-            keep = tuple(c for c in partition_by if c in tiles.columns)
-            write_parquet(expand_pixels(own, one, keep=keep), out_path, partition_by=partition_by, mode=mode)
+                  layout: PixelLayout | None = None, partition_by=(), headers: DataFrame | None = None) -> list[str]:
+    """Converter: one row or line per pixel, all images in one pass and one
+    write.  Every image is typed by its own metadata and bands; images of
+    several layouts share the columns of all (a band with several types gets
+    the widest, what an image lacks is null), a CSV line has the fields of its
+    own image.  Returns the schema text of each layout; without ``out_path``
+    nothing is written.  ``headers`` are the images' headers, where reading the
+    tiles for their layouts would decode them (:func:`convert_files`)."""
+    layouts = [layout] if layout else infer_layouts(tiles if headers is None else headers)
+    if out_path and fmt == "csv":
+        write_csv_lines(mixed_csv_lines(tiles, layouts), out_path)
+    elif out_path and layouts:
+        one = layouts[0] if len(layouts) == 1 else joint_layout(layouts)
+        keep = tuple(c for c in partition_by if c in tiles.columns)
+        own = tiles if len(layouts) == 1 else aligned_bands(tiles, one)
+        write_parquet(expand_pixels(own, one, keep=keep), out_path, partition_by=partition_by)
     return [one.schema_string() for one in layouts]
 
 
+def convert_files(spark: SparkSession, path: str, decoder: RasterDecoder, out_path: str | None = None, fmt: str = "parquet",
+                  glob: str | None = None, partition_by=()) -> list[str]:
+    """Converter from raster files: layouts from the headers, pixels decoded once."""
+    headers = raster_headers(list_rasters(spark, path, glob), decoder)
+    return convert_tiles(read_raster_files(spark, path, decoder, glob), out_path, fmt, partition_by=partition_by, headers=headers)
+
+
 def _source(spark: SparkSession, source: str | DataFrame, schema) -> DataFrame:
     """Files (a path or one-wildcard pattern, which must exist and not be
     empty) or rows, projected onto the declared schema."""
@@ -168,8 +178,8 @@ def load_productivity_year(spark: SparkSession, source: str | DataFrame, table:
 
 
 def load_productivity_from_tiles(spark: SparkSession, tiles: DataFrame, table: str, year: int, src_gt,
-                                 src_xsize: int, src_ysize: int, target_gt, target_xsize: int, target_ysize: int,
-                                 *, band_names=("Npp", "Npp_QC"), band_type: str = "Int16", radius: float = SPHERE_RADIUS,
+                                 src_xsize: int, src_ysize: int, target_gt=None, target_xsize: int | None = None,
+                                 target_ysize: int | None = None, *, band_names=("Npp", "Npp_QC"), band_type: str = "Int16", radius: float = SPHERE_RADIUS,
                                  block_size: int | None = None, location: str | None = None) -> None:
     """Annual productivity, end to end (3.3): sinusoidal tiles of one year, of
     one or several adjacent images -> year from the image name (RAS-11) ->
@@ -177,10 +187,13 @@ def load_productivity_from_tiles(spark: SparkSession, tiles: DataFrame, table: s
     (RAS-10) -> replace partition ``year`` (SNK-4).
 
     Band names are matched case-insensitively to the declared columns
-    (``Npp`` -> ``npp``).  Tiles of another year fail the load.
+    (``Npp`` -> ``npp``).  Tiles of another year fail the load.  Without a
+    target grid the one that ``suggest_target_grid`` gives is taken.
     """
     from rastertab.sources.tiles import BLOCK_SIZE, with_year_from_name
     layout = PixelLayout(tuple(band_names), band_type, (("year", "integer"),))
+    if target_gt is None:
+        target_gt, target_xsize, target_ysize = suggest_target_grid(src_gt, src_xsize, src_ysize, radius)
     out = reproject_tiles(with_year_from_name(tiles), layout, src_gt, src_xsize, src_ysize, target_gt, target_xsize,
                           target_ysize, block_size=block_size or BLOCK_SIZE, radius=radius)
     load_productivity_year(spark, out, table, year, location=location)

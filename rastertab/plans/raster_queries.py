@@ -279,3 +279,25 @@ def nest_forecast_query(spark, sf_dir):
 def nest_forecast_positions(spark, sf_dir):
     nested = forecast_nested(forecast_tiles(_emb(spark, sf_dir)))
     return unnest(nested, "forecast", keep=["creation_time", "geography"], position="pos")
+
+
+# --------------------------------------------------------------------------- rotated grids
+_TURN = (0.25, 0.03125, 0.0625, -0.25)  # gt1, gt2, gt4, gt5: eighths and less, exact in binary
+
+
+@register("rotated_text", ["RAS-6", "RAS-7", "RAS-8", "SCL-1", "SCL-2", "SCL-3"], f"""
+    SELECT vec_id, CAST(x AS BIGINT) AS x, CAST(y AS BIGINT) AS y, {_POINT_SQL} AS geography, {_POLYGON_SQL} AS geography_polygon, value
+    FROM (SELECT *, round_even(greatest(least(gx - 0.5 * {_TURN[0]}, 180.0), -180.0) * 100000000.0, 0) / 100000000.0 AS min_x,
+                    round_even(greatest(least(gx + 0.5 * {_TURN[0]}, 180.0), -180.0) * 100000000.0, 0) / 100000000.0 AS max_x,
+                    round_even(greatest(least(gy + 0.5 * {_TURN[3]}, 90.0), -90.0) * 100000000.0, 0) / 100000000.0 AS min_y,
+                    round_even(greatest(least(gy - 0.5 * {_TURN[3]}, 90.0), -90.0) * 100000000.0, 0) / 100000000.0 AS max_y
+          FROM (SELECT *, g0 + (x + 0.5::DOUBLE) * {_TURN[0]}::DOUBLE + (y + 0.5::DOUBLE) * {_TURN[1]}::DOUBLE AS gx,
+                       80.0::DOUBLE + (x + 0.5::DOUBLE) * {_TURN[2]}::DOUBLE + (y + 0.5::DOUBLE) * {_TURN[3]}::DOUBLE AS gy FROM ({_EMB_PX})))
+""")
+def rotated_text(spark, sf_dir):
+    """Every vector as a tile of a turned grid: the text differs from pixel to
+    pixel and is made a row of pixels at a time."""
+    tiles, gt = embedding_tiles(read_table(spark, sf_dir, "embeddings")), F.col("gt")
+    tiles = tiles.withColumn("gt", F.array(gt[0], *[F.lit(v) for v in (_TURN[0], _TURN[1], 80.0, _TURN[2], _TURN[3])]))
+    px = expand_pixels(tiles, PixelLayout(("value",), "Float32"), with_coords=True, keep=("vec_id",))
+    return px.select("vec_id", "x", "y", "geography", "geography_polygon", "value")

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from rastertab.functions.text import basename, extension, first_field, strip_extension
 from rastertab.functions.timefns import cycle_time_col, epoch_millis_to_text
 from rastertab.operators.filters import include_exclude, pending, plan_exports
-from rastertab.operators.nest import duplicate_elements, ordered_nest, ordered_nest_chunked, scale_values, unnest
+from rastertab.operators.nest import duplicate_elements, ordered_nest, ordered_nest_chunked, scale_values, unnest, unnest_chunks
 from rastertab.plans.registry import register
 from rastertab.sources import catalog as cat
 from rastertab.sources.driver_catalog import orders_catalog
@@ -218,6 +218,8 @@ def epoch_ms(spark, sf_dir):
 # --------------------------------------------------------------------------- AGG-1 at scale (lineitem)
 _LINE_FIELDS = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
                 "l_returnflag", "l_linestatus", "l_shipdate"]
+_HOT_FIELDS = [c for c in _LINE_FIELDS if c != "l_returnflag"]
+_LINE_ORDER_BY_KEY = ", ".join(f"{c} ASC NULLS FIRST" for c in ["l_orderkey", *_HOT_FIELDS])
 _LINE_ORDER = ", ".join(f"{c} ASC NULLS FIRST" for c in _LINE_FIELDS)
 
 
@@ -257,14 +259,16 @@ def unnest_roundtrip(spark, sf_dir):
 
 
 @register("nest_chunked", ["AGG-1", "SRT-1"], f"""
-    SELECT l_orderkey, {', '.join(_LINE_FIELDS)} FROM lineitem
+    SELECT l_returnflag, row_number() OVER (PARTITION BY l_returnflag ORDER BY {_LINE_ORDER_BY_KEY}) - 1 AS pos,
+           l_orderkey, {', '.join(_HOT_FIELDS)}
+    FROM lineitem
 """)
 def nest_chunked(spark, sf_dir):
-    """The nest for keys that may be hot: chunks of each key's ordered array,
-    here taken apart again to show that they hold every element."""
+    """The nest for keys that may be hot: three keys share all lines.  Chunks of
+    each key's ordered array, taken apart again with the elements' places."""
     li = read_table(spark, sf_dir, "lineitem")
-    chunks = ordered_nest_chunked(li, ["l_orderkey"], _LINE_FIELDS[:1], _LINE_FIELDS[1:], "lines")
-    return unnest(chunks, "lines", keep=["l_orderkey"])
+    chunks = ordered_nest_chunked(li, ["l_returnflag"], ["l_orderkey"], _HOT_FIELDS, "lines")
+    return unnest_chunks(chunks, ["l_returnflag"], "lines")
 
 
 @register("nest_duplicates", ["AGG-1"], """

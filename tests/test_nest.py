@@ -61,6 +61,19 @@ def test_chunked_nest_splits_hot_key_in_order(spark):
     flat = [(e.h, e.v) for r in hot for e in r.arr]
     assert len(flat) == 10000 and flat == sorted(flat)
     assert c.where("k <> 0").count() == 20000
+    assert [r.chunk for r in hot] == list(range(len(hot)))  # 0, 1, 2, ... of each key
+    assert [r["first"] for r in hot] == np.cumsum([0, *[len(r.arr) for r in hot]])[:-1].tolist()
+    assert c.where("k <> 0 AND (chunk <> 0 OR first <> 0)").count() == 0
+
+
+def test_chunks_give_every_element_its_place(spark):
+    from pyspark.sql import Window
+    from rastertab.operators.nest import ordered_nest_chunked, unnest_chunks
+    df = spark.range(5000).select(F.when(F.col("id") % 4 == 0, None).otherwise(F.col("id") % 3).alias("k"),
+                                  F.when(F.col("id") % 5 == 0, None).otherwise(F.col("id") * 7 % 50).alias("h"), (F.col("id") % 90).alias("v"))
+    got = unnest_chunks(ordered_nest_chunked(df, ["k"], ["h"], ["v"], "arr", num_partitions=7), ["k"], "arr")
+    want = df.select("k", (F.row_number().over(Window.partitionBy("k").orderBy("h", "v")) - 1).alias("pos"), "h", "v")
+    assert sorted(map(str, map(tuple, got.select("k", "pos", "h", "v").collect()))) == sorted(map(str, map(tuple, want.collect())))
 
 
 def test_a_cell_may_hold_any_number_of_elements(spark):

@@ -150,3 +150,79 @@ def test_layouts_do_not_depend_on_key_order(spark):
 def test_partition_count_is_the_callers(spark):
     tiles = _tiles(spark, np.zeros((4, 4)))
     assert expand_pixels(tiles, PixelLayout(("v",), "Float32"), with_text=False, num_partitions=3).rdd.getNumPartitions() == 3
+
+
+def _mixed_images(n):
+    images = []
+    for i in range(n):
+        meta = {"year": str(2000 + i)} if i % 3 else {"country": "NZL", "x_time": "0"}
+        images.append({"image_id": f"m{i}", "data": np.full((2, 2, 3), float(i)), "gt": (float(i), 0.5, 0.0, 10.0, 0.0, -0.5),
+                       "band_names": [f"own_{i}", "shared"], "band_type": ("Int16", "UInt32", "Float64")[i % 3], "meta": meta})
+    return images
+
+
+def test_fifty_layouts_in_one_scan_and_one_write(spark, tmp_dir):
+    from rastertab.operators.attributes import aligned_bands, infer_layouts, joint_layout
+    from rastertab.plans.jobs import convert_tiles
+    tiles = tiles_from_arrays(spark, _mixed_images(50)).withColumn("meta", F.when(F.col("image_id") != "m7", F.col("meta")))
+    tiles.write.parquet(f"{tmp_dir}/t")
+    tiles = spark.read.parquet(f"{tmp_dir}/t")
+    layouts = infer_layouts(tiles)
+    joint = joint_layout(layouts)
+    assert len(layouts) == 50 and len(joint.band_names) == 51
+    plan = expand_pixels(aligned_bands(tiles, joint), joint)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan and "Union" not in plan
+    assert len(convert_tiles(tiles, f"{tmp_dir}/out")) == 50
+    out = spark.read.parquet(f"{tmp_dir}/out")
+    assert dict(out.dtypes)["shared"] == "double" and dict(out.dtypes)["own_0"] == "int" and dict(out.dtypes)["own_1"] == "bigint"
+    for i in (0, 1, 2, 7, 49):
+        own = out.where(F.col(f"own_{i}").isNotNull()).collect()
+        assert len(own) == 6 and {(r[f"own_{i}"], r.shared, r[f"own_{(i + 1) % 50}"]) for r in own} == {(i, float(i), None)}
+        assert {r.year for r in own} == {2000 + i if i % 3 and i != 7 else None}
+        assert {r.country for r in own} == {None if i % 3 else "NZL"}
+
+
+def test_mixed_lines_have_their_own_fields(spark, tmp_dir):
+    from rastertab.plans.jobs import convert_tiles
+    tiles = tiles_from_arrays(spark, _mixed_images(4)).withColumn("meta", F.when(F.col("image_id") != "m1", F.col("meta")))
+    convert_tiles(tiles, f"{tmp_dir}/csv", fmt="csv")
+    ends = sorted(r.value.split('))",')[1] for r in spark.read.text(f"{tmp_dir}/csv").collect())
+    assert ends == sorted(["NZL,1970-01-01T00:00:00,0,0"] * 6 + ["1,1"] * 6 + ["2002,2,2"] * 6 + ["NZL,1970-01-01T00:00:00,3,3"] * 6)
+
+
+def test_files_are_decoded_once_for_their_layouts_and_pixels(spark, tmp_dir):
+    import json
+    from rastertab.plans.jobs import convert_files
+    from rastertab.sources.tiles import NpyRasterDecoder
+    for im in _mixed_images(3):
+        np.save(f"{tmp_dir}/{im['image_id']}.npy", im["data"])
+        with open(f"{tmp_dir}/{im['image_id']}.json", "w") as fh:
+            json.dump({k: im[k] for k in ("gt", "band_names", "band_type", "meta")}, fh)
+    log = f"{tmp_dir}/log.txt"
+
+    class Noted(NpyRasterDecoder):
+        def read_block(self, path, *args):
+            with open(log, "a") as fh:
+                fh.write(path + "\n")
+            return NpyRasterDecoder.read_block(self, path, *args)
+
+    assert len(convert_files(spark, tmp_dir, Noted(), f"{tmp_dir}/out", glob="*.npy")) == 3
+    assert spark.read.parquet(f"{tmp_dir}/out").count() == 18
+    with open(log) as fh:
+        assert len(fh.readlines()) == 3
+
+
+def test_text_of_a_turned_grid_is_made_by_rows(spark):
+    """Per-pixel text is that of one row of pixels, and what a plain formula gives."""
+    gt = (10.0, 0.1, 0.02, 50.0, 0.03, -0.1)
+    data = np.arange(1.0, 701.0).reshape(1, 20, 35)
+    tiles = tiles_from_arrays(spark, [{"image_id": "r", "data": data, "gt": gt, "band_names": ["v"], "band_type": "Float64"},
+                                      {"image_id": "n", "data": -data, "gt": (10.0, 0.1, 0.0, 50.0, 0.0, -0.1), "band_names": ["v"],
+                                       "band_type": "Float64"}], 16)
+    rows = expand_pixels(tiles, PixelLayout(("v",), "Float64"), block_size=16, with_coords=True, keep=("image_id",)).collect()
+    assert len(rows) == 1400
+    for r in rows:
+        g = gt if r.image_id == "r" else (10.0, 0.1, 0.0, 50.0, 0.0, -0.1)
+        gx, gy = g[0] + (r.x + 0.5) * g[1] + (r.y + 0.5) * g[2], g[3] + (r.x + 0.5) * g[4] + (r.y + 0.5) * g[5]
+        assert abs(r.v) == data[0, r.y, r.x] and (r.gx, r.gy) == (gx, gy) and r.geography == "POINT(%.10g %.10g)" % (gx, gy)
+        assert r.geography_polygon.startswith("POLYGON ((%.10g %.10g," % (r.max_x, r.min_y))

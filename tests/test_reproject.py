@@ -80,3 +80,75 @@ def test_part_of_the_source_gives_its_cells_only(spark):
     holes = values.copy()
     holes[:, :20] = np.nan
     assert {(r.tx, r.ty): r.v for r in rows} == {k: v for k, v in brute_force(holes).items() if not math.isnan(v)}
+
+
+def test_tiles_cross_one_exchange(spark, tmp_dir):
+    """Bands move once; overlaps are found on rectangles read on their own."""
+    values = np.zeros((ROWS, COLS))
+    tiles_from_arrays(spark, [image("a", values)], 8).write.parquet(f"{tmp_dir}/tiles")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = reproject_tiles(spark.read.parquet(f"{tmp_dir}/tiles"), PixelLayout(("v",), "Float64"), SRC, COLS, ROWS, TARGET, TX, TY,
+                              block_size=8)
+        text = spark._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "formatted")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    moved = [part.split("\n")[1] for part in text.split(") Exchange")[1:]]
+    assert sum("bands#" in line for line in moved) == 1 and len(moved) > 2
+    scans = [part.split("ReadSchema: ")[1].split("\n")[0] for part in text.split(") Scan parquet")[1:]]
+    assert sorted("bands" in schema for schema in scans) == [False, True]
+
+
+def test_overlap_is_refused_where_no_target_cell_asks(spark):
+    """Images that overlap beside what the target grid covers are refused all the same."""
+    values = np.zeros((ROWS, COLS))
+    far = (-5.0, 0.1, 0.0, 0.4, 0.0, -0.1)
+    tiles = tiles_from_arrays(spark, [image("a", values[:, :20]), image("b", values[:, 19:], 19)], 8)
+    with pytest.raises(Exception, match="overlap"):
+        reproject_tiles(tiles, PixelLayout(("v",), "Float64"), SRC, COLS, ROWS, far, 5, 5, block_size=8).collect()
+
+
+@pytest.mark.parametrize("src", [(SRC, COLS, ROWS), ((2e6, 25000.0, 0.0, 7e6, 0.0, -25000.0), 60, 90),
+                                 ((-9e6, 4e4, 0.0, -1e6, 0.0, -4e4), 50, 70)])
+def test_suggested_grid_bounds_every_corner(src):
+    from rastertab.operators.reproject import suggest_target_grid
+    gt, w, h = src
+    corners = []
+    for j in range(h + 1):
+        for i in range(w + 1):
+            x, y = gt[0] + i * gt[1], gt[3] + j * gt[5]
+            phi = y / SPHERE_RADIUS
+            corners.append((math.degrees(x / (SPHERE_RADIUS * math.cos(phi))), math.degrees(phi)))
+    lons, lats = zip(*corners)
+    (west, cell, _, north, _, down), tx, ty = suggest_target_grid(gt, w, h)
+    low, high = max(-180.0, min(lons)), min(180.0, max(lons))
+    assert math.isclose(west, low, abs_tol=1e-9) and math.isclose(north, max(lats), abs_tol=1e-9) and down == -cell
+    assert abs(tx * cell - (high - low)) <= cell and abs(ty * cell - (max(lats) - min(lats))) <= cell
+    assert math.isclose(math.hypot(high - low, max(lats) - min(lats)) / cell, math.hypot(w, h), rel_tol=1e-9)
+
+
+def test_suggested_grid_of_the_whole_globe():
+    from rastertab.operators.reproject import suggest_target_grid
+    half = math.pi * SPHERE_RADIUS
+    (west, cell, _, north, _, _), tx, ty = suggest_target_grid((-half, half / 400, 0, half / 2, 0, -half / 400), 800, 400)
+    assert (round(west, 6), round(north, 6), tx, ty) == (-180.0, 90.0, 800, 400) and math.isclose(cell, 0.45)
+    with pytest.raises(ValueError):
+        suggest_target_grid((3 * half, 1000.0, 0, 0.0, 0, -1000.0), 5, 5)
+
+
+def test_productivity_job_picks_its_own_grid(spark, tmp_dir):
+    from rastertab.operators.reproject import suggest_target_grid
+    from rastertab.plans.jobs import load_productivity_from_tiles
+    values = np.arange(ROWS * COLS).reshape(ROWS, COLS)
+    one = {**image("MOD/2001_01_01", np.stack([values, values % 7])), "band_names": ["Npp", "Npp_QC"], "band_type": "Int16"}
+    load_productivity_from_tiles(spark, tiles_from_arrays(spark, [one]), "npp_own_grid", 2001, SRC, COLS, ROWS, location=f"{tmp_dir}/own")
+    gt, tx, ty = suggest_target_grid(SRC, COLS, ROWS)
+    want = 0
+    for j in range(ty):
+        for i in range(tx):
+            lon, lat = gt[0] + (i + 0.5) * gt[1], gt[3] + (j + 0.5) * gt[5]
+            c = math.floor((SPHERE_RADIUS * math.radians(lon) * math.cos(math.radians(lat)) - SRC[0]) / SRC[1])
+            r = math.floor((SPHERE_RADIUS * math.radians(lat) - SRC[3]) / SRC[5])
+            want += 0 <= c < COLS and 0 <= r < ROWS
+    assert spark.table("npp_own_grid").count() == want > 0.8 * ROWS * COLS
