@@ -9,6 +9,8 @@ filters.
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,10 +80,45 @@ def object_ready(spark: SparkSession, path: str) -> bool:
     return not ready_objects(list_objects(spark, path)).isEmpty()
 
 
+def _hadoop_path(spark: SparkSession, text: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(text)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def prefix_ready(spark: SparkSession, prefix: str) -> bool:
     """SRC-7: any object whose path starts with the text of ``prefix`` (a
-    folder, or the beginning of a file or folder name)."""
-    return not list_objects(spark, prefix + "*", recursive=True).isEmpty()
+    folder, or the beginning of a file or folder name).  Looks no further than
+    the first object found."""
+    path, files = _hadoop_path(spark, prefix + "*")
+    for met in files.globStatus(path) or []:
+        below = files.listFiles(met.getPath(), True)
+        while below.hasNext():
+            name = below.next().getPath().getName()
+            if not name.startswith(("_", ".")):
+                return True
+    return False
+
+
+def existing_folders(spark: SparkSession, folders) -> list[str]:
+    """Of the named folders those that exist (one look-up each, no listing)."""
+    out = []
+    for folder in folders:
+        path, files = _hadoop_path(spark, folder)
+        if files.exists(path):
+            out.append(folder)
+    return out
+
+
+def list_folders(spark: SparkSession, folders, glob: str | None = None) -> DataFrame:
+    """Object listing ``path, length, modificationTime`` of exactly these
+    folders; those that do not exist hold nothing.  With the folders of a range
+    of slices (:func:`forecast_folders`, :func:`population_folders`) the cost
+    follows the range, not what else is stored."""
+    present = existing_folders(spark, folders)
+    if not present:
+        return spark.createDataFrame([], "path string, length bigint, modificationTime timestamp")
+    reader = spark.read.format("binaryFile")
+    return (reader.option("pathGlobFilter", glob) if glob else reader).load(present).select("path", "length", "modificationTime")
 
 
 def listed_names(listing: DataFrame) -> DataFrame:
@@ -105,6 +142,21 @@ def forecast_prefix_col(prefix: str, cycle: Column) -> Column:
                     F.date_format(cycle, "HH"), F.lit("/parquet/"))
 
 
+CYCLE_HOURS = 6  # fixed value: forecast cycles start at 00, 06, 12 and 18 UTC
+
+
+def forecast_folders(prefix: str, first: datetime, last: datetime) -> list[str]:
+    """The path template run forward: folders of all cycles from ``first`` to
+    ``last``, both included."""
+    hours = int((last - first).total_seconds() // 3600)
+    cycles = [first + timedelta(hours=h) for h in range(0, hours + 1, CYCLE_HOURS)]
+    return [f"{prefix}/gfs/date={c:%Y-%m-%d}/{c:%H}/parquet/" for c in cycles]
+
+
+def population_folders(prefix: str, years) -> list[str]:
+    return [f"{prefix}/world_pop/year={int(y)}/parquet/" for y in years]
+
+
 def population_file_col(prefix: str, country: Column, year: Column) -> Column:
     y = year.cast("string")
     return F.concat(F.lit(f"{prefix}/world_pop/year="), y, F.lit("/parquet/"), country, F.lit("_"), y,

@@ -86,3 +86,41 @@ def test_slice_attributes_from_file_paths(spark, tmp_dir):
     d, h = cat.forecast_slice_from_path(F.col("source_path"))
     got = sorted({(r.d, r.h) for r in df.select(d.cast("string").alias("d"), h.alias("h")).collect()})
     assert got == [("2024-01-01", 6), ("2024-01-02", 18)]
+
+
+def test_a_range_of_cycles_lists_its_folders_only(spark, tmp_dir, monkeypatch):
+    import os
+    from datetime import datetime, timedelta
+
+    from rastertab.sources import catalog as cat
+    first = datetime(2024, 1, 1)
+    for i in range(100):
+        c = first + timedelta(hours=6 * i)
+        folder = f"{tmp_dir}/gfs/date={c:%Y-%m-%d}/{c:%H}/parquet"
+        os.makedirs(folder)
+        for name, body in ((f"f{i}.parquet", b"x" * (i + 1)), ("notes.txt", b"y")):
+            with open(f"{folder}/{name}", "wb") as fh:
+                fh.write(body)
+    wanted = cat.forecast_folders(tmp_dir, datetime(2024, 1, 25, 6), datetime(2024, 1, 26, 0))
+    assert len(wanted) == 4 and wanted[0] == f"{tmp_dir}/gfs/date=2024-01-25/06/parquet/"
+    looked, real = [], cat._hadoop_path
+    monkeypatch.setattr(cat, "_hadoop_path", lambda s, text: (looked.append(text), real(s, text))[1])
+    listing = cat.list_folders(spark, wanted, "*.parquet")
+    assert looked == wanted
+    d, h = cat.forecast_slice_from_path(F.col("path"))
+    got = sorted(tuple(r) for r in listing.select(d.cast("string"), h, "length").collect())
+    assert got == [("2024-01-25", 6, 98), ("2024-01-25", 12, 99), ("2024-01-25", 18, 100)]  # the fourth cycle has no folder
+    assert cat.list_folders(spark, cat.population_folders(tmp_dir, [2020, 2021])).count() == 0
+
+
+def test_prefix_ready_stops_at_the_first_object(spark, tmp_dir):
+    import os
+
+    from rastertab.sources import catalog as cat
+    os.makedirs(f"{tmp_dir}/out/gfs/date=2024-01-01/06/parquet/_temporary")
+    assert not cat.prefix_ready(spark, f"{tmp_dir}/out/gfs/date=2024") and not cat.prefix_ready(spark, f"{tmp_dir}/none/x")
+    open(f"{tmp_dir}/out/gfs/date=2024-01-01/06/parquet/_SUCCESS", "w").close()
+    assert not cat.prefix_ready(spark, f"{tmp_dir}/out/gfs/date=2024")
+    open(f"{tmp_dir}/out/gfs/date=2024-01-01/06/parquet/a.parquet", "w").close()
+    assert cat.prefix_ready(spark, f"{tmp_dir}/out/gfs/date=2024") and cat.prefix_ready(spark, f"{tmp_dir}/out/gfs/date=2024-01-01/06/parquet/a")
+    assert not cat.prefix_ready(spark, f"{tmp_dir}/out/gfs/date=2025")

@@ -1,5 +1,7 @@
 from datetime import datetime
 
+import numpy as np
+
 from pyspark.sql import functions as F
 
 from rastertab.operators.nest import (FORECAST_FIELDS, deaccumulate, forecast_time_consistent, nest_forecast,
