@@ -13,9 +13,8 @@ other terms of the window must stand, in any order, within a stretch of ``width`
 words; the narrowest stretch is returned.
 
 Joins are on (row, place, term), so a frequent word is spread like any other
-posting; only the first join is on the term alone, of the rarest terms' lists
-with their windows (sent to all tasks where Spark measures them small, else
-split where a term is frequent).  Postings are dealt to the last lists once, at
+posting; only the first join is on the term, of the rarest terms' lists with
+their windows, and a long list is dealt in parts there.  Postings are dealt to the last lists once, at
 every size of the input.
 Nothing holds a whole document or a whole list.
 
@@ -34,7 +33,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rastertab.llm.common import read, written
+from rastertab.llm.common import read, shuffle_width, written
 
 # What stands between words, and the letters that are lowered.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -97,9 +96,17 @@ def _of_terms(index: DataFrame, lists: DataFrame, rank: int) -> DataFrame:
 
 def phrase_matches(index: DataFrame, lists: DataFrame) -> DataFrame:
     """``row, window, start, size``: every place where a window's words stand."""
+    # a frequent term that is some window's rarest: its list is dealt in parts no longer than a task's share of all
+    rarest = lists.select(F.col("lists")[0]["term"].alias("term"), F.col("lists")[0]["n"].alias("n")).distinct()
+    total = rarest.agg(F.sum("n")).first()[0] or 1  # one row
+    parts = F.ceil(F.col("n") * F.lit(shuffle_width(index.sparkSession) / total)).cast("int")
+    rarest = rarest.select("term", F.greatest(parts, F.lit(1)).alias("parts"))
     first = lists.select("window", "size", F.col("lists")[0]["term"].alias("term"), F.col("lists")[0]["offset"].alias("offset"),
                          F.get("lists", F.lit(1)).alias("second"))
-    found = (_of_terms(index, lists, 0).join(first, "term")
+    first = first.join(rarest, "term").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    postings = index.select("row", "place", "term").join(rarest, "term")
+    postings = postings.select("row", "place", "term", F.pmod(F.xxhash64("row", "place"), F.col("parts")).cast("int").alias("part"))
+    found = (postings.join(first, ["term", "part"])
              .withColumn("start", F.col("place") - F.col("offset")).where("start >= 0"))
     singles = found.where("size = 1").select("row", "window", "start", "size")
     wanted = found.where("size > 1").select("row", "window", "start", "size", F.col("second.term").alias("term"),
