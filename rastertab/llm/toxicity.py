@@ -1,11 +1,12 @@
 """Toxicity by the nearest labelled examples.
 
 Examples are a bounded sample of the labelled documents (``per_class`` of each
-label, by a hash of the id, texts up to ``example_chars``).  Terms are all
-character 4- and 5-grams of the examples' words (with marks at both ends),
-weighted by idf and by how far their presence tells the labels apart; a term
-that tells nothing keeps a small weight (``LEAST``), none is dropped.  Of near
-copies among the examples one is compared; idf counts all of them.  Each
+label, by a hash of the id, of those with texts up to ``example_chars``).  Terms
+are all character 4- and 5-grams of the examples' words (with marks at both
+ends), weighted by idf and by how far their presence tells the labels apart; a
+term that tells nothing keeps a small weight (``LEAST``), none is dropped.  Of
+near copies among the examples (five-word shingles, a similarity of 0.8 or more,
+compared exactly) the first is compared; idf counts all of them.  Each
 document is compared with the examples by exact TF-IDF cosine, through an
 inverted index cut into blocks of examples: lists of the rarer terms are added
 up, frequent terms stand in blocks of a dense array; the largest weight of each
@@ -15,27 +16,39 @@ the search ends when the next bound is below the k-th best.  The neighbours
 vote by their closeness; votes become chances by a logistic curve fitted on
 the examples' own left-out votes, weighted to the labels' shares of all labelled rows.
 
+One task fits the model from the bounded sample and writes it to the shared
+folder; the scoring workers load it from there once each.  The driver holds two
+counts and a path.  Documents are scored a batch at a time, whatever their
+length: a very long text needs memory for its own distinct words.
+
 Defined results: null, empty and term-less texts have no neighbours and score
 as the examples without terms do; rows without id are scored and count as not
-held out; repeated rows score alike; without labelled examples of both labels
+held out; an id labelled both ways counts as toxic, and of the texts that share
+an id the least is the example; repeated rows score alike; equal cosines go to
+the example of the smaller place; without labelled examples of both labels
 every score is the share of toxic labels (0 without any); an empty table gives
-an empty result.
+an empty result.  Input columns called ``toxic_score, toxic_predicted,
+toxic_evidence`` (any case) are replaced, other columns stay.
 """
 
 from __future__ import annotations
 
 import math
+import pickle
 import re
-import zlib
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rastertab.llm.common import read
+from rastertab.session import scratch_path
+from rastertab.sources.files import open_input, open_output
 
 _WORD = re.compile(r"[^\W\d_]+")
 SIZES = (4, 5)
@@ -52,19 +65,34 @@ def _grams(word: str) -> set[str]:
     return {marked[i:i + n] for n in SIZES for i in range(len(marked) - n + 1)}
 
 
-def first_of_copies(examples: list[tuple[int, str, int]], tries: int = 4) -> list[tuple[int, str, int]]:
-    """Examples without near copies of earlier ones of their label (an equal
-    smallest hash of word triples under any of a few hash functions): a text
-    that was copied often must not make its own rare words look telling."""
-    seen, out = set(), []
+def _shingles(text: str, size: int) -> np.ndarray:
+    """Sorted 64-bit hashes of the distinct word shingles."""
+    words = text.lower().split()
+    some = {" ".join(words[i:i + size]) for i in range(max(1, len(words) - size + 1))}
+    return np.unique(np.array([xxhash.xxh64_intdigest(one.encode("utf-8", "surrogatepass")) for one in some], np.uint64))
+
+
+def first_of_copies(examples: list[tuple[int, str, int]], size: int = 5, similarity: float = 0.8) -> list[tuple[int, str, int]]:
+    """Examples without near copies of earlier kept ones of their label: a text
+    that was copied often must not make its own rare words look telling, nor
+    fill a vote with itself.  Sets this similar share one of their smallest
+    hashes (the fifth of them that the similarity leaves out), which finds the
+    pairs; all their hashes decide."""
+    holders: dict[tuple[int, int], list[int]] = {}
+    out, sets = [], []
     for row in examples:
-        words = row[1].lower().split()
-        triples = {zlib.crc32(" ".join(words[i:i + 3]).encode("utf-8", "surrogatepass")) for i in range(max(1, len(words) - 2))}
-        hashes = np.fromiter(triples, dtype=np.uint64)
-        marks = {(row[2], i, int(((hashes + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15 + 2 * i) >> np.uint64(16)).min())) for i in range(tries)}
-        if not marks & seen:
+        own = _shingles(row[1], size)
+        first = own[:len(own) - math.ceil(similarity * len(own)) + 1].tolist()
+        met = {i for one in first for i in holders.get((row[2], one), ())}
+        for i in met:
+            n = len(np.intersect1d(own, sets[i], assume_unique=True))
+            if n >= similarity * (len(own) + len(sets[i]) - n):
+                break
+        else:
+            for one in first:
+                holders.setdefault((row[2], one), []).append(len(out))
             out.append(row)
-        seen |= marks
+            sets.append(own)
     return out
 
 
@@ -205,6 +233,7 @@ class ToxicityModel:
                 counts.append(own)
         self.weight = np.log(1 + len(every) / np.maximum(df, 1)) * self._telling(seen, n)
         vectors = [self._vector(c) for c in counts]
+        del counts
         # examples with the same strongest term stand together, so that blocks differ in what they can hold
         order = sorted(range(len(examples)), key=lambda i: (-int(vectors[i][0][vectors[i][1].argmax()]) if len(vectors[i][0]) else 1, examples[i][0]))
         self.ids, self.labels = [examples[i][0] for i in order], [examples[i][2] for i in order]
@@ -217,6 +246,19 @@ class ToxicityModel:
         self._fit_curve(np.array(left_out), np.array(self.labels))
         self.index = BlockMaxIndex(vectors, len(self.terms) or 1)  # without what the search made
 
+    def state(self) -> dict:
+        """Plain values to write; the dense part is made where it is used."""
+        return {**vars(self), "index": self.index.__getstate__()} if self.ready else dict(vars(self))
+
+    @staticmethod
+    def from_state(state: dict) -> ToxicityModel:
+        model = ToxicityModel.__new__(ToxicityModel)
+        model.__dict__.update(state)
+        if model.ready:
+            model.index = BlockMaxIndex.__new__(BlockMaxIndex)
+            model.index.__dict__.update(state["index"])
+        return model
+
     @staticmethod
     def _telling(seen: np.ndarray, n) -> np.ndarray:
         """How far a term's presence tells the labels apart, from ``LEAST`` to 1:
@@ -255,39 +297,73 @@ class ToxicityModel:
         return [(float(1 / (1 + math.exp(-max(-30.0, min(30.0, self.curve[0] * self._vote(x) + self.curve[1]))))), x) for x in near]
 
 
-def learn(docs: DataFrame, labels: DataFrame, per_class: int = 2048, example_chars: int = 20_000) -> ToxicityModel:
-    """Fit on at most ``2 * per_class`` examples outside the held-out fold."""
+def _examples(docs: DataFrame, labels: DataFrame, per_class: int, example_chars: int) -> tuple[DataFrame, dict[int, int]]:
+    """``doc_id, text, toxic`` of at most ``2 * per_class`` examples outside the
+    held-out fold, and the number of labelled documents of each label."""
     own = (labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
            .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     labelled = {r["toxic"]: r["n"] for r in own.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}  # two rows
+    short = docs.where(F.length("text") <= example_chars)
+    present = own.join(short.select("doc_id"), "doc_id", "left_semi")  # ids only
     chosen = None
     for y in (0, 1):
-        some = own.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
+        some = present.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         chosen = some if chosen is None else chosen.unionByName(some)
-    texts = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most 2 * per_class ids
-             .where(F.length("text") <= example_chars).groupBy("doc_id", "toxic").agg(F.min("text").alias("text")))
-    rows = sorted((r["doc_id"], r["text"], r["toxic"]) for r in texts.collect())
-    return ToxicityModel(rows, labelled)
+    texts = short.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most 2 * per_class ids
+    return texts.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")), labelled
+
+
+def learn(docs: DataFrame, labels: DataFrame, per_class: int = 2048, example_chars: int = 20_000) -> tuple[str | None, float]:
+    """Fit in one task, from at most ``2 * per_class`` examples; gives the path
+    of the written model (None without examples) and the share of toxic labels."""
+    texts, labelled = _examples(docs, labels, per_class, example_chars)
+    folder = scratch_path(docs.sparkSession, "toxicity-model")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [row for b in batches for row in zip(*(b.column(i).to_pylist() for i in range(3)))]
+        if rows:
+            path = f"{folder}/{uuid.uuid4().hex}"  # a repeated task writes another; the one it reports counts
+            model = ToxicityModel(sorted(rows), labelled)
+            with open_output(path) as out:
+                pickle.dump(model.state(), out, protocol=5)
+            yield pa.RecordBatch.from_arrays([pa.array([path])], names=["path"])
+
+    made = texts.select("doc_id", "text", "toxic").repartition(1).mapInArrow(run, "path string").collect()  # one row
+    return (made[0]["path"] if made else None), labelled.get(1, 0) / max(1, sum(labelled.values()))
+
+
+_loaded: dict[str, ToxicityModel] = {}
+
+
+def load_model(path: str) -> ToxicityModel:
+    """The model at ``path``, read once per worker process."""
+    if path not in _loaded:
+        _loaded.clear()
+        with open_input(path) as source:
+            _loaded[path] = ToxicityModel.from_state(pickle.loads(source.read()))
+    return _loaded[path]
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, examples_from: DataFrame | None = None, threshold: float = 0.7) -> DataFrame:
     """Add ``toxic_score, toxic_predicted, toxic_evidence`` (nearest examples:
     id, cosine, label).  ``examples_from`` holds the labelled documents' texts
     when they are not in ``docs``."""
-    model = learn(docs if examples_from is None else examples_from, labels)
+    path, base = learn(docs if examples_from is None else examples_from, labels)
     made = ("toxic_score", "toxic_predicted", "toxic_evidence")
     kept = docs.drop(*made)
     at = [c.lower() for c in kept.columns].index("text")
     evidence = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Terms(model.terms) if model.ready else None
+        model = load_model(path) if path else None
+        ready = model is not None and model.ready
+        counter = Terms(model.terms) if ready else None
         for b in batches:
             scores, why = [], []
             texts = b.column(at).to_pylist()
             for low in range(0, len(texts), 256):
                 some = texts[low:low + 256]
-                for s, near in model.score(counter, some) if model.ready else [(model.base, [])] * len(some):
+                for s, near in model.score(counter, some) if ready else [(base, [])] * len(some):
                     scores.append(s)
                     why.append([{"doc_id": model.ids[i], "cosine": c, "toxic": model.labels[i]} for c, i in near[:3]])
             predicted = pa.array([int(s >= threshold) for s in scores], pa.int32())

@@ -1,7 +1,9 @@
 import math
 import random
+import re
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -288,6 +290,112 @@ def test_an_exact_copy_of_a_copied_toxic_example_is_found():
     assert score >= 0.7 and near[0][0] == pytest.approx(1) and model.ids[near[0][1]] == 9000
 
 
+def test_only_near_copies_are_left_out():
+    """Examples that share three tenths of their shingles both stay; a copy with
+    a word changed at the end goes; copies of the other label stay."""
+    rng = random.Random(9)
+    some = [f"w{i}" for i in range(4000)]
+    base = [" ".join(rng.sample(some, 120)) for _ in range(30)]
+    examples = [(i, t, i % 2) for i, t in enumerate(base)]
+    for i, t in enumerate(base):
+        w = t.split()
+        examples.append((100 + i, " ".join(w[:58] + rng.sample(some, 62)), i % 2))  # similarity about 0.3
+        examples.append((200 + i, " ".join(w[:-1] + ["other"]), i % 2))
+        examples.append((300 + i, t, 1 - i % 2))
+    shingles = {i: {tuple(t.split()[j:j + 5]) for j in range(116)} for i, t, _ in examples}
+    want, kept = [], []
+    for i, _, y in examples:
+        if all(len(shingles[i] & shingles[j]) < 0.8 * len(shingles[i] | shingles[j]) for j, x in kept if x == y):
+            kept.append((i, y))
+            want.append(i)
+    found = [i for i, _, _ in toxicity.first_of_copies(examples)]
+    assert found == want == [*range(30), *[i for i, *_ in examples[30:] if i // 100 in (1, 3)]]
+
+
+def plain_model(examples, labelled, k=16):
+    """The model by its description: dictionaries of terms, every cosine, votes
+    and a curve found by plain gradient steps.  Gives a scoring function."""
+    def terms(text):
+        out = {}
+        for word in re.findall(r"[^\W\d_]+", (text or "").lower()):
+            for gram in {f"^{word}$"[i:i + n] for n in (4, 5) for i in range(len(word) + 3 - n)}:
+                out[gram] = out.get(gram, 0) + 1
+        return out
+
+    def shingled(text):
+        w = text.lower().split()
+        return {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))}
+
+    kept = []
+    for i, text, y in examples:
+        own = shingled(text)
+        if not any(y == x and len(own & s) >= 0.8 * len(own | s) for _, _, x, s in kept):
+            kept.append((i, text, y, own))
+    every, counts = [terms(t) for _, t, _ in examples], [terms(t) for _, t, *_ in kept]
+    y = [k_[2] for k_ in kept]
+    n, df = {v: y.count(v) for v in (0, 1)}, {}
+    for c in every:
+        for t in c:
+            df[t] = df.get(t, 0) + 1
+    weight = {}
+    for t, d in df.items():
+        a, b = (sum(t in c for c, v in zip(counts, y) if v == side) for side in (1, 0))
+        total, rest = n[0] + n[1], (a + b) * (n[0] + n[1] - a - b)
+        chi = total * (a * n[0] - b * n[1]) ** 2 / (n[1] * n[0] * rest) if rest else 0
+        weight[t] = math.log(1 + len(examples) / d) * min(1, max(0.05, chi / (2 * math.log(2 + len(df)))))
+
+    def vector(c):
+        v = {t: (1 + math.log(m)) * weight[t] for t, m in c.items() if t in weight}
+        norm = math.sqrt(sum(x * x for x in v.values())) or 1
+        return {t: x / norm for t, x in v.items()}
+
+    vectors, base = [vector(c) for c in counts], labelled[1] / (labelled[0] + labelled[1])
+    share = {v: labelled[v] / n[v] for v in (0, 1)}
+
+    def vote(v, without=None):
+        near = sorted(((sum(x * o.get(t, 0) for t, x in v.items()), j) for j, o in enumerate(vectors) if j != without), key=lambda r: -r[0])
+        votes = {0: 0.5 * (1 - base) + 1e-6, 1: 0.5 * base + 1e-6}
+        for cosine, j in near[:k]:
+            if cosine > 0:
+                votes[y[j]] += share[y[j]] * cosine / (1.05 - min(1, cosine))
+        return math.log(votes[1] / votes[0])
+
+    x = np.array([vote(v, j) for j, v in enumerate(vectors)])
+    w = np.array([share[v] for v in y])
+    w, curve = w / w.sum(), np.zeros(2)
+    for _ in range(200_000):  # the same penalised likelihood, another way down
+        p = 1 / (1 + np.exp(-np.clip(curve[0] * x + curve[1], -30, 30)))
+        step = np.array([w @ ((p - y) * x), w @ (p - y)]) + 1e-4 * curve
+        curve -= 0.3 * step / (1 + 0.25 * (w @ (x * x)))
+        if np.abs(step).max() < 1e-9:
+            break
+    return lambda text: 1 / (1 + math.exp(-max(-30, min(30, curve[0] * vote(vector(terms(text))) + curve[1]))))
+
+
+def test_scores_match_a_plain_model(spark):
+    rows, labels = toxic_corpus(160)
+    rows += [(3000 + i, r[1] + " the", "en", "s1", 0) for i, r in enumerate(rows[:20])]  # near copies, labelled alike
+    labels += [(3000 + i, labels[i][1]) for i in range(20)]
+    found = {r.doc_id: r for r in toxicity.score_toxicity(frame(spark, rows), spark.createDataFrame(labels, LABELS)).collect()}
+    truth = {i: y for i, y in labels if zlib.crc32(str(i).encode()) % 3 != 1}
+    score = plain_model(sorted((r[0], r[1], truth[r[0]]) for r in rows if r[0] in truth),
+                        {y: sum(v == y for v in truth.values()) for y in (0, 1)})
+    for i, text, *_ in rows:
+        want = score(text)
+        assert abs(found[i].toxic_score - want) < 2e-3 and (abs(want - 0.7) < 2e-3 or found[i].toxic_predicted == int(want >= 0.7))
+    assert sum(r.toxic_predicted for r in found.values()) > 10
+
+
+def test_toxicity_of_very_long_and_doubly_labelled_texts(spark):
+    rows, labels = toxic_corpus()
+    rows += [(6000, "calm words " * 60_000 + "grumfle blorky snazzick " * 30_000, "en", "s", 0), (6001, "x" * 400_000, "en", "s", 0)]
+    labels += [(6000, 1), (6001, 0), (3, 1), (3, 0)]
+    found = {r.doc_id: r for r in toxicity.score_toxicity(frame(spark, rows), spark.createDataFrame(labels, LABELS)).collect()}
+    assert found[6000].toxic_predicted == 1 and len(found) == len(rows) and 0 <= found[6001].toxic_score <= 1
+    own = [e for r in found.values() for e in r.toxic_evidence]
+    assert not any(e.doc_id == 6000 for e in own) and all(e.toxic == 1 for e in own if e.doc_id == 3)
+
+
 def test_toxicity_without_labels(spark):
     docs, none = frame(spark, awkward_docs(12)), spark.createDataFrame([], LABELS)
     assert {(r.toxic_score, r.toxic_predicted) for r in toxicity.score_toxicity(docs, none).collect()} == {(0.0, 0)}
