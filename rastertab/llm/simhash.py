@@ -55,13 +55,14 @@ def fingerprint(text: str | None, shingle: int) -> int:
 
 
 def with_fingerprints(docs: DataFrame, text: str, shingle: int) -> DataFrame:
-    """``doc_id, fp`` (the 64 bits as a signed long)."""
+    """``doc_id, tie, fp``: a hash of the text, and the 64 bits as a signed long."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = np.array([fingerprint(t.as_py(), shingle) for t in b.column(1)], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            fps = np.array([fingerprint(t.as_py(), shingle) for t in b.column(2)], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps.view(np.int64))], names=["doc_id", "tie", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col(text).cast("string")).mapInArrow(run, "doc_id long, fp long")
+    body = F.col(text).cast("string")
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64(body), body).mapInArrow(run, "doc_id long, tie long, fp long")
 
 
 def _masks(bits: list[int], blocks: int, distance: int) -> list[int]:
@@ -170,8 +171,9 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     return edges.groupBy("a").agg(F.min("b").alias("root")).withColumnRenamed("a", "node")
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", shingle: int = 3, distance: int = 3, blocks: int = 5) -> DataFrame:
-    """``doc_id, fp, component_id`` of every row."""
+def grouped(docs: DataFrame, text: str, shingle: int, distance: int, blocks: int) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, tie, fp`` of every row, and ``fp, root, component_id`` of every
+    fingerprint: the component's own name and the smallest id in it."""
     if not 0 <= distance < blocks <= 64:
         raise ValueError("distance must be below blocks")
     marked = written(with_fingerprints(docs, text, shingle), "simhash-fingerprints")
@@ -181,10 +183,31 @@ def near_duplicates(docs: DataFrame, text: str = "text", shingle: int = 3, dista
     nodes = written(nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "simhash-nodes")
     names = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
     # written, so that the last join sees two plain sides and can split a fingerprint with very many rows
-    classes = written(nodes.join(names, "root").select("fp", "component_id"), "simhash-classes")
+    return marked, written(nodes.join(names, "root").select("fp", "root", "component_id"), "simhash-classes")
+
+
+def near_duplicates(docs: DataFrame, text: str = "text", shingle: int = 3, distance: int = 3, blocks: int = 5) -> DataFrame:
+    """``doc_id, fp, component_id`` of every row."""
+    marked, classes = grouped(docs, text, shingle, distance, blocks)
     return marked.join(classes, "fp", "left").select("doc_id", "fp", "component_id")
 
 
+def one_of_each(docs: DataFrame, text: str = "text", shingle: int = 3, distance: int = 3, blocks: int = 5) -> DataFrame:
+    """One row of each component, with all its columns: the one with the
+    smallest id (rows without id last), of rows that share it the one with the
+    smallest hash of its text, of rows alike in both any one."""
+    marked, classes = grouped(docs, text, shingle, distance, blocks)
+    place = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "tie")
+    # a fingerprint has one first row, so that a component joins as many rows as it has fingerprints
+    first = marked.groupBy("fp").agg(F.min(place).alias("first"))
+    heads = first.join(classes, "fp").groupBy("root").agg(F.min("first").alias("first"))
+    heads = written(heads.select(F.col("first.doc_id").alias("__head"), F.col("first.tie").alias("__own")), "simhash-heads")
+    tie = F.xxhash64(F.col(text).cast("string"))
+    rows = docs.withColumn("__tie", tie)
+    kept = rows.join(heads, rows["doc_id"].cast("long").eqNullSafe(heads["__head"]) & (rows["__tie"] == heads["__own"]), "left_semi")
+    return kept.dropDuplicates(["doc_id", "__tie"]).drop("__tie")
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(read(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
