@@ -9,6 +9,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from rastertab.functions.params import parameter
 from rastertab.operators.attributes import PixelLayout
 from rastertab.operators.nest import stage_projection
 from rastertab.operators.pixels import expand_pixels
@@ -21,7 +22,7 @@ from rastertab.plans.registry import register
 from rastertab.plans.relational_queries import _CATALOG_SQL, _catalog
 from rastertab.session import scratch_path
 from rastertab.sinks.tables import detached
-from rastertab.sources.catalog import single_wildcard
+from rastertab.sources.catalog import forecast_folders, list_folders, population_folders, prefix_ready, ready_objects, single_wildcard
 from rastertab.sources.driver_tables import (VECTORS_PER_IMAGE, _checked_embedding, embedding_tiles, forecast_tiles, read_table,
                                              write_embedding_rasters)
 from rastertab.sources.schemas import read_declared, to_struct
@@ -73,7 +74,7 @@ _CYCLE_SQL = """
 
 
 @register("job_forecast_cycle", ["SNK-3", "SNK-5", "SNK-8", "SNK-9a", "SNK-9b", "SNK-10", "AGG-1", "SRT-1", "PRJ-2", "PRJ-3",
-                                 "SCH-5", "SCH-6", "FLT-7"], f"""
+                                 "SCH-5", "SCH-6", "SRC-3", "FLT-6", "FLT-7"], f"""
     SELECT creation_time, geography, geography_polygon, CAST(len(f) AS BIGINT) AS n_hours,
            array_to_string(list_transform(f, lambda e: CAST(e.hours AS VARCHAR)), ',') AS hours_list,
            f[1].t AS first_temperature, f[-1].t AS last_temperature, f[-1].time AS last_time
@@ -85,7 +86,9 @@ _CYCLE_SQL = """
 def job_forecast_cycle(spark, sf_dir):
     name = _name("fc")
     rows = forecast_staging(_one_cycle_tiles(read_table(spark, sf_dir, "embeddings")))
-    load_forecast_cycle(spark, rows, name, datetime(2024, 1, 1), location=scratch_path(spark, "job-fc"), staging_db="default",
+    [folder] = forecast_folders(scratch_path(spark, "arrived"), datetime(2024, 1, 1), datetime(2024, 1, 1))
+    rows.write.parquet(folder)
+    load_forecast_cycle(spark, f"{folder}*.parquet", name, datetime(2024, 1, 1), location=scratch_path(spark, "job-fc"), staging_db="default",
                         staging_location=scratch_path(spark, "job-fc-staging"))
     spark.sql(f"DROP TABLE IF EXISTS default.{name}_2024010100")
     return nested_summary(detached(spark, name))
@@ -139,6 +142,25 @@ def job_population_slice(spark, sf_dir):
     return detached(spark, name).select("geography", "geography_polygon", "country", "year", "population")
 
 
+@register("job_population_files", ["SRC-3", "SRC-6", "SRC-7", "SRC-8", "SRC-9", "FLT-6", "FLT-7", "SCL-15", "SNK-6", "SNK-14"], f"""
+    SELECT * FROM ({_PEOPLE_SQL})
+""")
+def job_population_files(spark, sf_dir):
+    """The slices of a range of years arrive as files in the folders that the
+    path template names; each ready folder is loaded by its one-wildcard pattern."""
+    settings = {"first_year": "2000", "last_year": " 2003 ", "countries": ""}
+    years = range(parameter(settings, "first_year", int), parameter(settings, "last_year", int) + 1)
+    name, base, location = _name("pop"), scratch_path(spark, "arrived"), scratch_path(spark, "job-pop")
+    for year in (2000, 2001, 2002):
+        _people(spark, sf_dir).where(F.col("year") == year).write.parquet(population_folders(base, [year])[0])
+    for year, folder in zip(years, population_folders(base, years)):
+        files = ready_objects(list_folders(spark, [folder], "*.parquet"))
+        if prefix_ready(spark, folder) and not files.isEmpty():  # 2003 has not arrived
+            load_population_countries(spark, f"{folder}*.parquet", name, year, parameter(settings, "countries", str, _COUNTRIES),
+                                      location=location)
+    return detached(spark, name).select("geography", "geography_polygon", "country", "year", "population")
+
+
 # --------------------------------------------------------------------------- 3.3 productivity
 # Source: a sinusoidal grid of B x B blocks of 8 x 8 pixels, B the least number
 # whose square holds all vectors; every vector is an image of its own.

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rastertab.functions.text import basename, extension, first_field, strip_extension
+from rastertab.functions.text import basename, extension, first_field, flatten_lists, strip_extension
 from rastertab.functions.timefns import cycle_time_col, epoch_millis_to_text
 from rastertab.operators.filters import include_exclude, pending, plan_exports
 from rastertab.operators.nest import duplicate_elements, ordered_nest, ordered_nest_chunked, scale_values, unnest, unnest_chunks
@@ -150,6 +150,17 @@ def page_names(spark, sf_dir):
                         extension(b).alias("ext"), first_field(F.lower(b)).alias("first_field"))
 
 
+@register("flat_lists", ["SCL-16"], """
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n, array_to_string(w, '|') AS joined
+    FROM (SELECT doc_id, flatten(list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: string_split(x, ' '))) AS w FROM documents)
+""")
+def flat_lists(spark, sf_dir):
+    """Lists of the words of each line, as one list."""
+    lines = F.split(F.coalesce(F.col("text"), F.lit("")), "\n")
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", flatten_lists(F.transform(lines, lambda x: F.split(x, " "))).alias("w"))
+    return docs.select("doc_id", F.size("w").cast("long").alias("n"), F.array_join("w", "|").alias("joined"))
+
+
 # --------------------------------------------------------------------------- schema operators
 ORDERS_DECLARED = [
     {"name": "o_orderkey", "type": "INTEGER", "mode": "REQUIRED"},

@@ -13,7 +13,8 @@ from rastertab.operators.pixels import expand_pixels
 from rastertab.plans.raster_queries import _EMB_BOX, _POINT_SQL, EMB_LAYOUT
 from rastertab.plans.registry import register
 from rastertab.session import scratch_path
-from rastertab.sinks.tables import detached, replace_listed_slices, replace_partition, truncate_load
+from rastertab.sinks.tables import (create_database, create_or_replace_view, detached, query_to_table, replace_listed_slices,
+                                    replace_partition, temp_table, truncate_load)
 from rastertab.sources.driver_tables import embedding_tiles, read_table
 
 
@@ -163,3 +164,27 @@ def slice_replace_listed(spark, sf_dir):
                .withColumn("c_acctbal", F.col("c_acctbal") + 100.0))
     replace_listed_slices(spark, revised, name, "c_nationkey", list(LISTED_NATIONS))
     return detached(spark, name).select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+
+
+# --------------------------------------------------------------------------- queries into tables, views
+@register("tables_and_views", ["SNK-7", "SNK-11", "SNK-12", "SNK-13"], """
+    SELECT o_custkey, n, cents FROM (
+        SELECT o_custkey, count(*) AS n, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS cents FROM orders GROUP BY o_custkey)
+    WHERE n > 1
+""")
+def tables_and_views(spark, sf_dir):
+    """A script-scoped table, a query into a destination table, a view over it
+    (defined twice: the second replaces the first); what the view gives is
+    copied out before the names are dropped."""
+    database, script = f"rt_db_{uuid.uuid4().hex[:10]}", f"rt_orders_{uuid.uuid4().hex[:10]}"
+    create_database(spark, database, scratch_path(spark, "database"))
+    temp_table(read_table(spark, sf_dir, "orders"), script)
+    query_to_table(spark, f"SELECT o_custkey, count(*) AS n, sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS cents FROM {script} "
+                          "GROUP BY o_custkey", f"{database}.totals")
+    for least in (5, 1):
+        create_or_replace_view(spark, f"SELECT * FROM {database}.totals WHERE n > {least}", f"{database}.several")
+    rows, path = spark.table(f"{database}.several"), scratch_path(spark, "view")
+    rows.write.parquet(path)
+    spark.catalog.dropTempView(script)
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return spark.read.schema(rows.schema).parquet(path)

@@ -51,7 +51,7 @@ def mixed_csv_lines(tiles: DataFrame, layouts: list[PixelLayout], *, keep: tuple
     integer = {band_kind(one.band_type) == "integer" for one in layouts}
     t = tiles.withColumns({
         "_attrs": F.flatten(F.array(*fields)) if fields else F.array().cast("array<string>"),
-        "_own": F.lit(most) if single else F.size("band_names"), "_whole": band_kind_col(F.col("band_type")) == "integer",
+        "_own": F.lit(most) if single else F.size("band_names"), "_whole": band_kind_col(F.col("band_type")) == "integer" if len(integer) > 1 else F.lit(True in integer),
         "bands": F.array(*[F.coalesce(F.get("bands", F.lit(i)), F.array().cast("array<double>")) for i in range(most)])
         .cast("array<array<double>>")})
     names = tuple(f"b{i}" for i in range(most))
