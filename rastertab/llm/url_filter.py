@@ -6,7 +6,8 @@ Defined results: a url that is null or has no ``://`` has an empty host and an
 empty path; no rule fits it and the model judges it like any other (its only
 feature is the bias).  Repeated rows are judged alike, an empty table gives an
 empty result, other columns pass through unless they clash with a result
-column, which then holds the result.
+column, which then holds the result.  Of rules that fit with one length the
+later in code-point order wins; a very long url is judged whole.
 """
 
 from __future__ import annotations
@@ -26,29 +27,39 @@ from rastertab.llm.common import read
 RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"),
          ("com/fr/", "allow"), ("com/de/", "block"))
 
-# The small labelled url table: (host and path, 1 = unwanted).
-LABELLED_URLS = (
-    ("casino-win.example.com/en/1", 1), ("www.casino-win.example.com/fr/22.html", 1), ("online-casino.example.net/de/3", 1),
-    ("best-casino-bonus.example.org/", 1), ("casino.example.net/play", 1), ("free-bets.example.com/en/54", 1),
-    ("m.free-bets.example.net/es/7", 1), ("sports-bets.example.org/odds/9", 1), ("bets24.example.com/live", 1),
-    ("cheap-pills.example.com/de/66.html", 1), ("www.cheap-pills.example.net/buy/", 1), ("pills-shop.example.org/en/5", 1),
-    ("buy-cheap-pills.example.com/order", 1), ("ads-track.example.com/en/13", 1), ("m.ads-track.example.net/click", 1),
-    ("ads-server.example.org/banner/4", 1), ("track-ads.example.com/pixel.html", 1), ("popup-ads.example.net/fr/8", 1),
-    ("adult-cams.example.com/en/6", 1), ("www.adult-video.example.net/es/1", 1), ("xxx-adult.example.org/de/2", 1),
-    ("poker-slots.example.com/en/77", 1), ("slots-jackpot.example.net/fr/1", 1), ("win-jackpot.example.com/en/3/", 1),
-    ("payday-loans.example.com/apply", 1), ("fast-loans.example.net/de/9", 1), ("viagra-online.example.org/en/2", 1),
-    ("warez-crack.example.com/download/1", 1), ("torrent-crack.example.net/en/4", 1), ("lottery-win.example.org/fr/7", 1),
-    ("news.example.com/en/1", 0), ("www.weather.example.net/de/22.html", 0), ("blog.garden.example.org/es/7", 0),
-    ("library.example.org/en/41", 0), ("m.recipes.example.com/fr/9", 0), ("www.history.example.net/en/5/", 0),
-    ("university.example.org/research/2", 0), ("museum.example.com/de/3", 0), ("blog.travel.example.net/es/88", 0),
-    ("docs.example.org/guide/1", 0), ("forum.science.example.com/en/17", 0), ("m.theatre.example.net/fr/4", 0),
-    ("therhe.example.org/en/84", 0), ("ththan.example.com/en/79", 0), ("tiontion.example.net/en/78", 0),
-    ("www.thering.example.org/de/12", 0), ("blog.tionsh.example.com/fr/74.html", 0), ("m.ththes.example.net/en/8", 0),
-    ("school.example.com/en/21.html", 0), ("city.example.net/de/2", 0), ("www.health.example.org/en/63", 0),
-    ("music.example.com/es/5", 0), ("m.sports.example.net/en/31", 0), ("shop.books.example.org/fr/6", 0),
-    ("archive.example.com/en/1990", 0), ("blog.theror.example.net/de/13", 0), ("tionble.example.org/en/48/", 0),
-    ("maps.example.com/fr/3", 0), ("www.films.example.net/es/27", 0), ("nature.example.org/en/9", 0),
+# The small labelled url table: made-up families of hosts, independent of any
+# table that is judged.
+UNWANTED = (
+    "royalcasino", "casinoking", "grand-casino-club", "betkings", "superbets", "bets-and-odds", "jackpotwins", "winslots",
+    "lucky-win-lottery", "free-spins-win", "pillstore", "cheapmeds", "discount-pills-online", "viagra-cheap", "adserve", "clicktrack",
+    "popads-network", "trackads", "adultflix", "xxxcams", "adult-dating-now", "free-adult-cams", "paydayloans", "fast-cash-loans",
+    "spamlist", "linkfarm-spam", "warezcrack", "crack-keygen-hub", "casino-bonus-club", "betmaster", "odds-bets-live", "slots-casino",
+    "win-lottery-prize", "pills-online-store", "cheap-viagra-meds", "meds-discount", "ads-popup", "adclick-network", "track-pixel-ads",
+    "adult-video-xxx", "xxx-video", "loans-payday-fast", "cash-payday", "spam-mailer", "link-spam", "torrent-warez", "keygen-torrent",
 )
+WANTED = (
+    "dailynews", "cityherald", "weatherdesk", "gardeners", "homecooking", "openlibrary", "museumofart", "stateuniversity", "hikersguide",
+    "townschool", "sciencereview", "oldmaps", "theatrenotes", "birdwatch", "localhistory", "mathforum", "programmers", "kidsreading",
+    "healthcentre", "railtimetable", "orchestra", "villagecouncil", "astronomers", "handcraft", "travelnotes", "filmsociety", "northshore",
+    "weavers", "newsroom", "morning-news", "weather-maps", "garden-recipes", "library-books", "art-museum", "history-museum",
+    "school-library", "science-news", "map-archive", "theatre-season", "bird-guide", "town-history", "math-school", "code-guide",
+    "book-readers", "health-news", "rail-maps", "music-season",
+    # ordinary hosts often have names that mean nothing
+    "lorvane", "zentara", "mirtho", "quellin", "vastoria", "pemberol", "ondrix", "talvera", "suncrom", "brevanda", "kiltorn", "elmaro",
+    "fondaris", "grapeline", "hovantis", "jessamor",
+)
+
+
+def labelled_urls() -> tuple[tuple[str, int], ...]:
+    """Two urls of each family: host and path, 1 = unwanted.  Prefixes, domains
+    and paths go round alike for both kinds, so that only names tell them apart."""
+    prefixes, ends, tails = ("", "www.", "blog.", "m."), ("example.com", "example.net", "example.org"), ("", ".html", "/")
+    return tuple((f"{prefixes[(i + j) % 4]}{name}.{ends[(i + 2 * j) % 3]}/{('en', 'de', 'fr', 'es')[(i // 2 + j) % 4]}/{(7 * i + 40 * j) % 99}"
+                  f"{tails[(i + j) % 3]}", label)
+                 for names, label in ((UNWANTED, 1), (WANTED, 0)) for i, name in enumerate(names) for j in (0, 1))
+
+
+LABELLED_URLS = labelled_urls()
 
 
 def host_of(url: Column) -> Column:

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from conftest import SF_SMALL
 from llm.cases import awkward_docs, frame, words
 from rastertab.llm import mixing, quality_rules, top_k, toxicity, url_filter
 from rastertab.llm.common import n_words
@@ -198,15 +199,38 @@ def test_url_rules_match_brute_force(spark):
     assert url_filter.filter_urls(df.limit(0)).count() == 0
 
 
-def test_url_model_left_out_accuracy():
-    rows = url_filter.LABELLED_URLS
-    hits = 0
-    for fold in range(5):
-        model = url_filter.UrlModel().fit([r for i, r in enumerate(rows) if i % 5 != fold], steps=150)
-        for u, y in rows[fold::5]:
+def test_url_model_knows_families_it_has_not_seen():
+    """Whole families are held out, every fourth of each kind in turn."""
+    families = [*[(n, i % 4) for i, n in enumerate(url_filter.UNWANTED)], *[(n, i % 4) for i, n in enumerate(url_filter.WANTED)]]
+    hits = total = 0
+    for fold in range(4):
+        out = {n for n, f in families if f == fold}
+
+        def rows(own):
+            return [(u, y) for u, y in url_filter.LABELLED_URLS if any(f"{n}.example" in u for n in out) == own]
+
+        model = url_filter.UrlModel().fit(rows(False), steps=400)
+        for u, y in rows(True):
             host, _, path = u.partition("/")
             hits += (model.score(host, "/" + path) >= 0.5) == bool(y)
-    assert hits >= 0.8 * len(rows)
+            total += 1
+    assert total == len(url_filter.LABELLED_URLS) and hits >= 0.8 * total
+
+
+def test_url_training_hosts_are_not_those_judged(spark):
+    """No family of the given pages stands in the training table."""
+    pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet")
+    judged = {r[0] for r in pages.select(url_filter.host_of(F.col("url"))).distinct().collect()}
+    names = {part for host in judged for part in host.split(".")} - {"www", "m", "blog", "example", "com", "net", "org", ""}
+    own = {part for url, _ in url_filter.LABELLED_URLS for part in url.split("/")[0].split(".")}
+    assert names and not names & own
+
+
+def test_url_rules_of_one_length(spark):
+    rules = (("a.test/", "allow"), ("b.a.test/", "block"), ("test/ab/", "allow"), ("a.test/a", "block"))
+    df = spark.createDataFrame([(1, "http://a.test/ab/1"), (2, "http://b.a.test/x"), (3, "http://c.a.test/a/" + "y" * 100_000)], "page_id long, url string")
+    found = {r.page_id: (r.rule, r.verdict) for r in df.select("page_id", url_filter.rule_of(url_filter.host_of(F.col("url")), url_filter.path_of(F.col("url")), rules).alias("r")).select("page_id", "r.*").collect()}
+    assert found == {1: ("test/ab/", "allow"), 2: ("b.a.test/", "block"), 3: ("a.test/a", "block")}
 
 
 # -- toxicity -----------------------------------------------------------------
