@@ -2,9 +2,12 @@ import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -314,6 +317,26 @@ def test_an_exact_copy_of_a_copied_toxic_example_is_found():
     assert score >= 0.7 and near[0][0] == pytest.approx(1) and model.ids[near[0][1]] == 9000
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.none() | st.text(alphabet="aAéß日İ𐐀𐐨12_ -\u0301", max_size=40), max_size=6), st.integers(1, 50))
+def test_grams_of_texts(texts, window):
+    """Every gram of every word, by windows of any size; known terms are counted."""
+    want = []
+    for i, text in enumerate(texts):
+        for word in re.findall(r"[^\W\d_]+", (text or "").lower()):
+            want += [(i, f"^{word}$"[j:j + n]) for n in (4, 5) for j in range(len(word) + 3 - n)]
+    found = [(t, k) for texts_, keys in toxicity.gram_keys(texts, window) for t, k in zip(texts_.tolist(), keys.tolist())]
+    assert Counter(i for i, _ in want) == Counter(i for i, _ in found)
+    for t in range(len(texts)):
+        assert sorted(Counter(g for i, g in want if i == t).values()) == sorted(Counter(k for i, k in found if i == t).values())
+    keys = np.unique(np.array([k for _, k in found], np.uint64))
+    counted = toxicity.Terms(keys[::2]).many(texts)
+    assert len(counted) == len(texts)
+    for t, (terms, times) in enumerate(counted):
+        own = Counter(k for i, k in found if i == t and k in set(keys[::2].tolist()))
+        assert dict(zip(keys[::2][terms].tolist(), times.tolist())) == own and terms.tolist() == sorted(terms.tolist())
+
+
 def test_only_near_copies_are_left_out():
     """Examples that share three tenths of their shingles both stay; a copy with
     a word changed at the end goes; copies of the other label stay."""
@@ -342,7 +365,7 @@ def plain_model(examples, labelled, k=16):
     def terms(text):
         out = {}
         for word in re.findall(r"[^\W\d_]+", (text or "").lower()):
-            for gram in {f"^{word}$"[i:i + n] for n in (4, 5) for i in range(len(word) + 3 - n)}:
+            for gram in [f"^{word}$"[i:i + n] for n in (4, 5) for i in range(len(word) + 3 - n)]:
                 out[gram] = out.get(gram, 0) + 1
         return out
 
