@@ -52,7 +52,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_made: list[str] = []  # scratch folders that this driver process named
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared folder, for written intermediate
     tables (lineage cuts) and the tables that registered queries write."""
-    return f"{shared_folder(spark)}/rastertab/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_folder(spark)}/rastertab/{name}-{uuid.uuid4().hex[:12]}"
+    _made.append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession, since: int = 0) -> int:
+    """Remove the scratch folders this driver has named (from the ``since``-th
+    on), once nothing reads them any more: results of queries are read from
+    them lazily, so write what is to stay elsewhere first.  Returns how many
+    were there."""
+    removed = 0
+    for folder in _made[since:]:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        removed += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+    del _made[since:]
+    return removed
+
+
+def scratch_mark() -> int:
+    """Place in the list of scratch folders, for ``release_scratch(since=...)``."""
+    return len(_made)

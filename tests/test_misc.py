@@ -64,3 +64,18 @@ def test_scratch_lies_in_the_folder_the_session_names(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
     for path in pathlib.Path(rastertab.__file__).parent.rglob("*.py"):  # the library itself keeps nothing in a local temp folder
         assert "llm" in path.parts or "tempfile" not in path.read_text(), path
+
+
+def test_scratch_is_removed_when_released(spark):
+    import os
+
+    from rastertab.session import release_scratch, scratch_mark, scratch_path
+    mark = scratch_mark()
+    paths = [scratch_path(spark, "gone") for _ in range(2)]
+    for p in paths:
+        spark.range(3).write.parquet(p)
+    kept = scratch_path(spark, "never-written")
+    local = [p.removeprefix("file:") for p in (*paths, kept)]
+    assert [os.path.exists(p) for p in local] == [True, True, False]
+    assert release_scratch(spark, mark) == 2 and not any(os.path.exists(p) for p in local)
+    assert scratch_mark() == mark and release_scratch(spark, mark) == 0
