@@ -22,9 +22,7 @@ from __future__ import annotations
 import datetime as _dt
 import uuid
 from typing import Mapping
-from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -156,7 +154,13 @@ def table_storage(spark: SparkSession, table: str) -> tuple[str, bool]:
 
 
 # --------------------------------------------------------------------------- slices by pointer
-VERSIONS = "_slices"
+VERSIONS, SLICE = "_slices", "_slice"
+
+
+def slice_name(keys) -> Column:
+    """Folder name of a slice: a hash of its keys (types and nulls tell apart)."""
+    named = F.struct(*[F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(keys)])
+    return F.md5(F.to_json(named, {"ignoreNullFields": "false"}))
 
 
 def _fresh_folder(location: str) -> str:
@@ -170,12 +174,9 @@ def _remove(spark: SparkSession, folder: str) -> None:
 
 def slice_location(spark: SparkSession, table: str, spec: str) -> str | None:
     """The folder a partition stands in; None when there is no such partition."""
-    try:
-        info = spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION ({spec})").collect()
-    except AnalysisException as exc:
-        if "PARTITION" in (exc.getCondition() or "") and "NOT_FOUND" in exc.getCondition():
-            return None
-        raise
+    if not spark.sql(f"SHOW PARTITIONS {table} PARTITION ({spec})").take(1):
+        return None
+    info = spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION ({spec})").collect()
     return next(r[1] for r in info if r[0] == "Location")  # the partition's stands before the table's
 
 
@@ -183,15 +184,17 @@ def _partition_spec(values: Mapping[str, object], schema: T.StructType) -> str:
     return ", ".join(f"`{k}` = {sql_literal(v, schema[k].dataType)}" for k, v in values.items())
 
 
-def point_slice(spark: SparkSession, table: str, spec: str, folder: str) -> None:
-    """Make a partition stand in ``folder`` (one catalog call), then remove
-    the folder it stood in."""
-    old = slice_location(spark, table, spec)
-    if old is None:
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION '{_quoted(folder)}'")
-    else:
-        spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{_quoted(folder)}'")
-        _remove(spark, old)
+def point_slices(spark: SparkSession, table: str, folders: Mapping[str, str]) -> None:
+    """Make each partition (by its spec) stand in its folder: one catalog call
+    for all new ones, one for each that was there, whose old folder then goes."""
+    old = {spec: slice_location(spark, table, spec) for spec in folders}
+    new = [f"PARTITION ({spec}) LOCATION '{_quoted(folders[spec])}'" for spec, was in old.items() if was is None]
+    if new:
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(new)}")
+    for spec, was in old.items():
+        if was is not None:
+            spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{_quoted(folders[spec])}'")
+            _remove(spark, was)
 
 
 def drop_slice(spark: SparkSession, table: str, spec: str) -> None:
@@ -257,7 +260,7 @@ def replace_partition(spark: SparkSession, src: DataFrame, table: str, slice_val
         if not rows.get["n"]:
             clear_partition(spark, table, spec)
     elif rows.get["n"]:
-        point_slice(spark, table, spec, folder)
+        point_slices(spark, table, {spec: folder})
     else:
         drop_slice(spark, table, spec)
         _remove(spark, folder)
@@ -290,26 +293,25 @@ def replace_partitions(spark: SparkSession, src: DataFrame, table: str, cluster_
     schema = spark.table(table).schema
     part_cols = [c for c in schema.fieldNames() if c not in data_columns(spark, table)]
     data = src.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
-    data = clustered(data, part_cols, cluster_by) if cluster_by else data
     location, tracked = table_storage(spark, table)
+    if tracked:
+        data = data.withColumn(SLICE, slice_name(part_cols))
+    data = clustered(data, (SLICE,) if tracked else part_cols, cluster_by) if cluster_by else data
     if not tracked:
         _overwrite_present(data, location, part_cols)
         spark.catalog.refreshTable(table)
         return []
-    folder = _fresh_folder(location)
+    folder, made = _fresh_folder(location), Observation()
+    found = F.collect_set(F.struct(SLICE, *[F.col(f"`{k}`") for k in part_cols]))  # one row per slice touched
     try:
-        data.write.partitionBy(*part_cols).parquet(folder)
+        data.observe(made, found.alias("slices")).drop(*part_cols).write.partitionBy(SLICE).parquet(folder)
     except Exception:
         _remove(spark, folder)
         raise
-    written = spark.read.schema(schema).option("recursiveFileLookup", "false").parquet(folder)
-    made = written.groupBy(*part_cols).agg(F.min("_metadata.file_path").alias("_path")).collect()
-    keys = []
-    for row in made:
-        keys.append({k: row[k] for k in part_cols})
-        point_slice(spark, table, _partition_spec(keys[-1], schema), unquote(row["_path"].rpartition("/")[0]))
+    keys = {row[SLICE]: {k: row[k] for k in part_cols} for row in made.get["slices"]}
+    point_slices(spark, table, {_partition_spec(values, schema): f"{folder}/{SLICE}={name}" for name, values in keys.items()})
     spark.catalog.refreshTable(table)
-    return keys
+    return list(keys.values())
 
 
 def replace_listed_slices(spark: SparkSession, src: DataFrame, table: str, slice_col: str, wanted,

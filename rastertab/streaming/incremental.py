@@ -13,13 +13,13 @@ from __future__ import annotations
 
 from typing import Callable
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rastertab.sinks.tables import replace_partitions
+from rastertab.sinks.tables import SLICE, replace_partitions, slice_name
 
-BATCH, SLICE = "_batch", "_slice"  # folder levels of the landing place
+BATCH = "_batch"  # folder below the slice's in the landing place
 
 
 def with_slice(df: DataFrame, slice_cols: dict[str, Callable | None]) -> DataFrame:
@@ -30,17 +30,12 @@ def with_slice(df: DataFrame, slice_cols: dict[str, Callable | None]) -> DataFra
     return df
 
 
-def slice_folder(keys) -> Column:
-    """Name of a slice's folder: a hash of its keys (types and nulls tell apart)."""
-    return F.md5(F.to_json(F.struct(*[F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(keys)]), {"ignoreNullFields": "false"}))
-
-
 def land(batch: DataFrame, landing: str, keys, epoch: int) -> list[str]:
     """Write a batch into its own ``_slice=.../_batch=epoch`` folders; a
     replayed batch overwrites exactly them.  Returns the slices' folder names
     (one per slice touched)."""
     touched = Observation()
-    rows = batch.withColumns({SLICE: slice_folder(keys), BATCH: F.lit(int(epoch)).cast("long")})
+    rows = batch.withColumns({SLICE: slice_name(keys), BATCH: F.lit(int(epoch)).cast("long")})
     rows = rows.observe(touched, F.collect_set(SLICE).alias("slices"))
     (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(SLICE, BATCH).parquet(landing))
     return sorted(touched.get["slices"])

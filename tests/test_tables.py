@@ -99,7 +99,7 @@ def test_a_job_that_dies_before_the_switch_leaves_the_old_slice(spark, tmp_dir,
         raise KeyboardInterrupt
 
     with monkeypatch.context() as m:
-        m.setattr(tables, "point_slice", killed)
+        m.setattr(tables, "point_slices", killed)
         for load in (lambda: replace_partition(spark, new, "t_switch", {"year": 2020}),
                      lambda: tables.replace_partitions(spark, new, "t_switch")):
             with pytest.raises(KeyboardInterrupt):
