@@ -19,7 +19,8 @@ the examples' own left-out votes, weighted to the labels' shares of all labelled
 One task fits the model from the bounded sample and writes it to the shared
 folder; the scoring workers load it from there once each.  The driver holds two
 counts and a path.  Documents are scored a batch at a time, whatever their
-length: a very long text needs memory for its own distinct words.
+length: a very long text needs some twenty bytes a character and those of its
+own terms.  Terms are told apart by 64-bit hashes.
 
 Defined results: null, empty and term-less texts have no neighbours and score
 as the examples without terms do; rows without id are scored and count as not
@@ -60,9 +61,53 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def _grams(word: str) -> set[str]:
-    marked = f"^{word}$"
-    return {marked[i:i + n] for n in SIZES for i in range(len(marked) - n + 1)}
+# --------------------------------------------------------------------------- terms
+_SIDE = np.array([1, 2], np.uint64)  # marks at both ends of a word; no letter has these numbers
+_TIMES = np.uint64(0x9E3779B97F4A7C15)
+_letters: list[np.ndarray] = []
+
+
+def _is_letter(points: np.ndarray) -> np.ndarray:
+    """Whether each code point is one of ``[^\\W\\d_]``, by a table made once."""
+    if not _letters:
+        _letters.append(np.array([bool(_WORD.match(chr(i))) for i in range(1 << 16)]))
+    out = _letters[0][np.minimum(points, 0xFFFF)]
+    for i in np.unique(points[points > 0xFFFF]).tolist():
+        out[points == i] = bool(_WORD.match(chr(i)))
+    return out
+
+
+def gram_keys(texts: list[str | None], window: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(number of the text, 64-bit hash) of every 4- and 5-gram of every word of
+    some texts, a window of places at a time."""
+    lowered = [(t or "").lower() for t in texts]
+    points = np.frombuffer("\n".join(lowered).encode("utf-32-le", "surrogatepass"), "<u4")
+    letter = _is_letter(points)
+    before = np.concatenate([[False], letter[:-1]]) if len(letter) else letter
+    first = np.flatnonzero(letter & ~before)  # of each word
+    if not len(first):
+        return
+    last = np.flatnonzero(letter & ~np.append(letter[1:], False))
+    size = last - first + 3  # with its marks
+    begin = np.cumsum(size) - size
+    symbols = np.empty(int(size.sum()), np.uint64)
+    word = np.repeat(np.arange(len(first), dtype=np.int32), size)
+    inside = np.ones(len(symbols), bool)
+    inside[begin] = inside[begin + size - 1] = False
+    symbols[inside] = points[letter]
+    symbols[begin], symbols[begin + size - 1] = _SIDE
+    ends = np.cumsum([len(t) + 1 for t in lowered])
+    text = np.searchsorted(ends, first, side="right").astype(np.int64)  # of each word
+    for low in range(0, len(symbols), window):
+        own, of = symbols[low:low + window + max(SIZES) - 1], word[low:low + window + max(SIZES) - 1]
+        key = own.copy()
+        for n in range(2, max(SIZES) + 1):
+            key = key[:-1] * _TIMES + own[n - 1:] if len(key) > 1 else key[:0]
+            if n in SIZES:
+                m = min(len(key), window)
+                good = of[:m] == of[n - 1:n - 1 + m]
+                mixed = key[:m][good] + np.uint64(n)
+                yield text[of[:m][good]], (mixed ^ (mixed >> np.uint64(29))) * _TIMES
 
 
 def _shingles(text: str, size: int) -> np.ndarray:
@@ -100,34 +145,68 @@ Vector = tuple[np.ndarray, np.ndarray]  # terms, weights
 
 
 class Terms:
-    """Counts of the terms in a text; remembers words up to a bound."""
-
-    def __init__(self, terms: dict[str, int], remembered: int = 200_000):
-        self._terms, self._remembered, self._words = terms, remembered, {}
-
-    def counts(self, text: str | None) -> Vector:
-        parts, times = [], []
-        for word, n in Counter(_WORD.findall((text or "").lower())).items():
-            own = self._words.get(word)
-            if own is None:
-                own = np.array([self._terms[g] for g in _grams(word) if g in self._terms], np.int32)
-                if len(self._words) >= self._remembered:
-                    self._words.clear()
-                if len(word) < 64:
-                    self._words[word] = own
-            parts.append(own)
-            times.append(n)
-        if not parts:
-            return np.empty(0, np.int32), np.empty(0)
-        every = np.concatenate(parts)
-        order = np.argsort(every, kind="stable")
-        every, n = every[order], np.repeat(times, [len(x) for x in parts])[order]
-        heads = np.flatnonzero(np.diff(every, prepend=-1))
-        return every[heads], np.add.reduceat(n, heads).astype(float) if len(heads) else np.empty(0)
+    """Counts of known terms (sorted 64-bit hashes) in texts, by an open table."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys, self.bits = keys, max(8, int(len(keys)).bit_length() + 2)
+        self.table = np.full(1 << self.bits, -1, np.int32)
+        left, slot = np.arange(len(keys), dtype=np.int32), self._slot(keys)
+        while len(left):
+            free = self.table[slot] < 0
+            self.table[slot[free]] = left[free]
+            again = self.table[slot] != left
+            left, slot = left[again], (slot[again] + 1) & ((1 << self.bits) - 1)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def ids(self, keys: np.ndarray) -> np.ndarray:
+        """Number of each key, -1 for unknown ones."""
+        slot = self._slot(keys)
+        out = self.table[slot]
+        open_ = np.flatnonzero(out >= 0)
+        open_ = open_[self.keys[out[open_]] != keys[open_]]
+        while len(open_):
+            slot[open_] = (slot[open_] + 1) & ((1 << self.bits) - 1)
+            out[open_] = found = self.table[slot[open_]]
+            open_ = open_[found >= 0]
+            open_ = open_[self.keys[out[open_]] != keys[open_]]
+        return out
+
+    def many(self, texts: list[str | None]) -> list[Vector]:
+        """Terms and how often they stand in each text."""
+        out, low = [], 0
+        while low < len(texts):
+            high, chars = low + 1, len(texts[low] or "")
+            while high < len(texts) and chars + len(texts[high] or "") <= 1 << 20:
+                chars += len(texts[high] or "")
+                high += 1
+            out += self._some(texts[low:high])
+            low = high
+        return out
+
+    def _some(self, texts: list[str | None]) -> list[Vector]:
+        places, times = np.empty(0, np.int64), np.empty(0, np.int64)
+        for text, keys in gram_keys(texts):
+            ids = self.ids(keys)
+            known = ids >= 0
+            both = text[known] << 32 | ids[known]
+            both.sort()
+            heads = np.flatnonzero(np.diff(both, prepend=-1))
+            places = np.concatenate([places, both[heads]])
+            times = np.concatenate([times, np.diff(heads, append=len(both))])
+        order = np.argsort(places, kind="stable")
+        places, times = places[order], times[order]
+        heads = np.flatnonzero(np.diff(places, prepend=-1))
+        times = np.add.reduceat(times, heads).astype(float) if len(heads) else times.astype(float)
+        places = places[heads]
+        cuts = np.searchsorted(places, np.arange(1, len(texts)) << 32)
+        return list(zip(np.split((places & 0xFFFFFFFF).astype(np.int32), cuts), np.split(times, cuts)))
 
 
 class BlockMaxIndex:
-    """Exact top-k cosine over postings cut into blocks of examples.  Terms in
+    """Exact top-k cosine over postings cut into blocks of examples, for weights
+    that are not negative.  Terms in
     more than ``frequent`` of the examples (``most`` at most) stand in a dense
     array of single precision, which is not sent but made where it is used; the
     examples it leaves in question are compared again in double precision."""
@@ -178,7 +257,8 @@ class BlockMaxIndex:
             self._make()
         queries = [(np.array(list(q), np.int32), np.array(list(q.values()), float)) if isinstance(q, dict) else q for q in queries]
         width, block = self._dense.shape[1], self.block
-        doubt = (width + 8) * 2.0 ** -23  # of sums in single precision
+        # sums of parts that are not negative, in single precision, are off by this share of themselves at most
+        sure = 1 - 2 * (width + 8) * 2.0 ** -23
         heavy, scores = np.zeros((len(queries), width), np.float32), np.empty((len(queries), self.n_blocks * block))
         for r, (terms, weights) in enumerate(queries):
             at = self.column[terms]
@@ -187,7 +267,7 @@ class BlockMaxIndex:
         bounds = heavy @ self._maxima.T + scores.reshape(len(queries), self.n_blocks, block).max(axis=2)
         best = np.zeros((len(queries), k))
         for b in np.argsort(-bounds.sum(axis=0), kind="stable").tolist():
-            opened, own = bounds[:, b] >= best[:, 0] - 2 * doubt, slice(b * block, (b + 1) * block)
+            opened, own = bounds[:, b] >= best[:, 0] * sure, slice(b * block, (b + 1) * block)
             scores[~opened, own] = 0
             if opened.any():
                 rows = slice(None) if opened.all() else np.flatnonzero(opened)
@@ -201,7 +281,7 @@ class BlockMaxIndex:
         for r, (terms, weights) in enumerate(queries):
             whole[terms] = weights
             near = []
-            for i in np.flatnonzero((scores[r] > 0) & (scores[r] >= best[r, 0] - 2 * doubt)).tolist():
+            for i in np.flatnonzero((scores[r] > 0) & (scores[r] >= best[r, 0] * sure)).tolist():
                 lo, hi = self.begin[i], self.begin[i + 1]
                 near.append((-float(whole[self.terms[lo:hi]] @ self.weights[lo:hi]), i))
             whole[terms] = 0
@@ -218,15 +298,15 @@ class ToxicityModel:
         if not self.ready:
             return
         self.share = {y: labelled[y] / n[y] for y in (0, 1)}  # labelled rows that an example stands for
-        self.terms: dict[str, int] = {}
-        for _, text, _ in every:
-            for word in sorted(set(_WORD.findall(text.lower()))):
-                for g in sorted(_grams(word)):
-                    self.terms.setdefault(g, len(self.terms))
-        counter, first = Terms(self.terms), {i for i, _, _ in examples}
+        texts, first = [t for _, t, _ in every], {i for i, _, _ in examples}
+        found = [np.empty(0, np.uint64)]
+        for low in range(0, len(texts), 64):
+            found.append(np.unique(np.concatenate([np.empty(0, np.uint64), *(keys for _, keys in gram_keys(texts[low:low + 64]))])))
+        self.terms = np.unique(np.concatenate(found))
+        del found
+        counter = Terms(self.terms)
         df, seen, counts = np.zeros(len(self.terms)), np.zeros((2, len(self.terms))), []
-        for i, text, y in every:
-            own = counter.counts(text)
+        for (i, _, y), own in zip(every, counter.many(texts)):
             df[own[0]] += 1
             if i in first:
                 seen[y, own[0]] += 1
@@ -293,7 +373,7 @@ class ToxicityModel:
             self.curve -= np.linalg.solve(bend, slope)
 
     def score(self, counter: Terms, texts: list[str | None]) -> list[tuple[float, list[tuple[float, int]]]]:
-        near = self.index.search_many([self._vector(counter.counts(t)) for t in texts], self.k)
+        near = self.index.search_many([self._vector(c) for c in counter.many(texts)], self.k)
         return [(float(1 / (1 + math.exp(-max(-30.0, min(30.0, self.curve[0] * self._vote(x) + self.curve[1]))))), x) for x in near]
 
 
