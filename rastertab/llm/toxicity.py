@@ -227,7 +227,7 @@ class BlockMaxIndex:
         example = np.repeat(np.arange(self.n, dtype=np.int32), sizes)
         rare = np.flatnonzero(self.column[self.terms] < 0)
         rare = rare[np.argsort(self.terms[rare], kind="stable")]
-        self.post_example, self.post_weight = example[rare], self.weights[rare]
+        self.post_example, self.post_weight = example[rare].astype(np.int64), self.weights[rare]  # as bincount takes them
         self.post_begin = np.searchsorted(self.terms[rare], np.arange(n_terms + 1))
         self._dense = self._maxima = None
 
@@ -314,8 +314,7 @@ class ToxicityModel:
         self.weight = np.log(1 + len(every) / np.maximum(df, 1)) * self._telling(seen, n)
         vectors = [self._vector(c) for c in counts]
         del counts
-        # examples with the same strongest term stand together, so that blocks differ in what they can hold
-        order = sorted(range(len(examples)), key=lambda i: (-int(vectors[i][0][vectors[i][1].argmax()]) if len(vectors[i][0]) else 1, examples[i][0]))
+        order = self._order(vectors)
         self.ids, self.labels = [examples[i][0] for i in order], [examples[i][2] for i in order]
         vectors = [vectors[i] for i in order]
         self.index = BlockMaxIndex(vectors, len(self.terms) or 1)
@@ -339,6 +338,27 @@ class ToxicityModel:
             model.index.__dict__.update(state["index"])
         return model
 
+    def _order(self, vectors: list[Vector], directions: int = 5, rounds: int = 6) -> list[int]:
+        """An order in which like examples stand together, so that blocks differ
+        in what they can hold: by the side on which each lies along the main
+        directions of all (power steps from a fixed start), then along the last."""
+        terms = np.concatenate([np.empty(0, np.int32), *(t for t, _ in vectors)])
+        weights = np.concatenate([np.empty(0), *(w for _, w in vectors)])
+        row = np.repeat(np.arange(len(vectors)), [len(t) for t, _ in vectors])
+        mean = np.bincount(terms, weights, len(self.terms)) / len(vectors)
+        basis = np.linalg.qr(np.random.default_rng(0).normal(size=(len(self.terms), directions)))[0]
+
+        def along(v: np.ndarray) -> np.ndarray:
+            return np.stack([np.bincount(row, weights * v[terms, j], len(vectors)) - mean @ v[:, j] for j in range(directions)], axis=1)
+
+        for _ in range(rounds):
+            u = along(basis)
+            basis = np.stack([np.bincount(terms, weights * u[row, j], len(self.terms)) - mean * u[:, j].sum() for j in range(directions)], axis=1)
+            basis = np.linalg.qr(basis)[0]
+        u = along(basis)
+        side = (u[:, :-1] > 0) @ (1 << np.arange(directions - 1)[::-1])
+        return np.lexsort((u[:, -1], side)).tolist()
+
     @staticmethod
     def _telling(seen: np.ndarray, n) -> np.ndarray:
         """How far a term's presence tells the labels apart, from ``LEAST`` to 1:
