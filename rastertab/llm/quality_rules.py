@@ -8,8 +8,9 @@ base rules and drop the document itself.  Hosts: ``reject`` (shrunk rate over
 ``reject_over``) drops all their documents, ``strict`` (over ``strict_over``)
 drops those that break any rule, ``accept`` keeps all that pass the base rules.
 
-Only sums per host are shuffled for the rates; the join back spreads every host
-over ``SALTS`` keys, so a host with a third of all rows is not one task's work.
+Only sums per host are shuffled for the rates; in the join back a host with more
+rows than a task's share is spread over as many keys as it has shares.  Such
+hosts are as many as there are tasks at most, and are sent to all.
 
 Defined results: a null or word-less text has no words and fails the base
 rules; documents without source form one host; documents without id are judged
@@ -21,10 +22,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rastertab.llm.common import SPACES, read, words, written
+from rastertab.llm.common import SPACES, read, shuffle_width, words, written
 
 SYMBOLS = "#*$%&|<>"  # fixed value of the query
-SALTS = 16
 
 
 def features(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -98,9 +98,15 @@ def judge(docs: DataFrame, reject_over: float = 0.5, strict_over: float = 0.25)
     rated = rated.withColumns({"base_failed": _base_failed(), "any_failed": _any_failed()})
     rated = written(rated, "quality-features")  # the texts are read and split once
     hosts = host_verdicts(rated.withColumn("failed", F.col("any_failed")), reject_over, strict_over)
+    width = shuffle_width(docs.sparkSession)
+    total = hosts.agg(F.sum("docs")).first()[0] or 1  # one row
+    hosts = hosts.withColumn("__parts", F.ceil(F.col("docs") * F.lit(width / total)).cast("int"))
+    hot = hosts.where("__parts > 1").select(F.col("source").alias("__hot"), F.col("__parts"))  # fewer than width rows
+    rated = rated.join(F.broadcast(hot), F.col("source").eqNullSafe(F.col("__hot")), "left").drop("__hot")
     hosts = hosts.select(F.col("source").alias("__host"), F.col("rate").alias("host_rate"), F.col("verdict").alias("host_verdict"),
-                         F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__hsalt"))
-    rated = rated.withColumn("__salt", F.pmod(F.xxhash64("doc_id", "word_chars"), F.lit(SALTS)).cast("int"))
+                         F.explode(F.sequence(F.lit(0), F.greatest(F.col("__parts"), F.lit(1)) - 1)).alias("__hsalt"))
+    spread = F.pmod(F.xxhash64("doc_id", "word_chars", "n_words", F.spark_partition_id()), F.coalesce("__parts", F.lit(1)))
+    rated = rated.withColumn("__salt", spread.cast("int")).drop("__parts")
     kept = ~F.col("base_failed") & ((F.col("host_verdict") == "accept")
                                     | ((F.col("host_verdict") == "strict") & ~F.col("any_failed")))
     return (rated.join(hosts, F.col("source").eqNullSafe(F.col("__host")) & (F.col("__salt") == F.col("__hsalt")))
