@@ -34,6 +34,8 @@ toxic_evidence`` (any case) are replaced, other columns stay.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import math
 import pickle
 import re
@@ -77,7 +79,7 @@ def _is_letter(points: np.ndarray) -> np.ndarray:
     return out
 
 
-def gram_keys(texts: list[str | None], window: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def gram_keys(texts: list[str | None], window: int = 1 << 18) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(number of the text, 64-bit hash) of every 4- and 5-gram of every word of
     some texts, a window of places at a time."""
     lowered = [(t or "").lower() for t in texts]
@@ -178,7 +180,7 @@ class Terms:
         out, low = [], 0
         while low < len(texts):
             high, chars = low + 1, len(texts[low] or "")
-            while high < len(texts) and chars + len(texts[high] or "") <= 1 << 20:
+            while high < len(texts) and chars + len(texts[high] or "") <= 1 << 18:
                 chars += len(texts[high] or "")
                 high += 1
             out += self._some(texts[low:high])
@@ -426,12 +428,20 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = 2048, example_cha
             model = ToxicityModel(sorted(rows), labelled)
             with open_output(path) as out:
                 pickle.dump(model.state(), out, protocol=5)
+            del model, rows
+            hand_back()
             yield pa.RecordBatch.from_arrays([pa.array([path])], names=["path"])
 
     made = texts.select("doc_id", "text", "toxic").repartition(1).mapInArrow(run, "path string").collect()  # one row
     return (made[0]["path"] if made else None), labelled.get(1, 0) / max(1, sum(labelled.values()))
 
 
+def hand_back() -> None:
+    """Give freed memory back to the system, where the C library can."""
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 _loaded: dict[str, ToxicityModel] = {}
 
 
@@ -469,6 +479,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, examples_from: DataFrame
             predicted = pa.array([int(s >= threshold) for s in scores], pa.int32())
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores, pa.float64()), predicted, pa.array(why, evidence)],
                                              names=[*b.schema.names, *made])
+        hand_back()
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
     return kept.mapInArrow(score, f"{fields}, toxic_score double, toxic_predicted int, "
