@@ -218,19 +218,20 @@ class BlockMaxIndex:
         self.block, self.n, self.n_terms = block, len(pairs), n_terms
         self.n_blocks = max(1, -(-self.n // block))
         sizes = [len(t) for t, _ in pairs]
-        self.begin = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]).astype(np.int64)
-        self.terms = np.concatenate([np.empty(0, np.int32), *(t for t, _ in pairs)]).astype(np.int32)
-        self.weights = np.concatenate([np.empty(0), *(w for _, w in pairs)])
-        df = np.bincount(self.terms, minlength=n_terms)
+        terms = np.concatenate([np.empty(0, np.int32), *(t for t, _ in pairs)]).astype(np.int32)
+        weights = np.concatenate([np.empty(0), *(w for _, w in pairs)])
+        df = np.bincount(terms, minlength=n_terms)
         often = np.argsort(-df, kind="stable")[:most]
         often = often[df[often] > frequent * self.n]
         self.column = np.full(n_terms, -1, np.int32)  # of each frequent term
         self.column[often] = np.arange(len(often))
-        example = np.repeat(np.arange(self.n, dtype=np.int32), sizes)
-        rare = np.flatnonzero(self.column[self.terms] < 0)
-        rare = rare[np.argsort(self.terms[rare], kind="stable")]
-        self.post_example, self.post_weight = example[rare].astype(np.int64), self.weights[rare]  # as bincount takes them
-        self.post_begin = np.searchsorted(self.terms[rare], np.arange(n_terms + 1))
+        example, at = np.repeat(np.arange(self.n, dtype=np.int32), sizes), self.column[terms]
+        heavy, rare = np.flatnonzero(at >= 0), np.flatnonzero(at < 0)
+        self.heavy_begin = np.searchsorted(example[heavy], np.arange(self.n + 1))
+        self.heavy_column, self.heavy_weight = at[heavy].astype(np.min_scalar_type(len(often))), weights[heavy]
+        rare = rare[np.argsort(terms[rare], kind="stable")]
+        self.post_example, self.post_weight = example[rare].astype(np.min_scalar_type(self.n)), weights[rare]
+        self.post_begin = np.searchsorted(terms[rare], np.arange(n_terms + 1))
         self._dense = self._maxima = None
 
     def __getstate__(self) -> dict:
@@ -240,53 +241,67 @@ class BlockMaxIndex:
         width = int(self.column.max(initial=-1)) + 1
         self._dense = np.zeros((self.n_blocks * self.block, width), np.float32)
         for i in range(self.n):
-            lo, hi = self.begin[i], self.begin[i + 1]
-            at = self.column[self.terms[lo:hi]]
-            self._dense[i, at[at >= 0]] = self.weights[lo:hi][at >= 0]
+            lo, hi = self.heavy_begin[i], self.heavy_begin[i + 1]
+            self._dense[i, self.heavy_column[lo:hi]] = self.heavy_weight[lo:hi]
         self._maxima = self._dense.reshape(self.n_blocks, self.block, width).max(axis=1)
 
     def _rare(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        low, n = self.post_begin[terms], self.post_begin[terms + 1] - self.post_begin[terms]
-        at = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
-        return np.bincount(self.post_example[at], np.repeat(weights, n) * self.post_weight[at], self.n_blocks * self.block)
+        low = self.post_begin[terms]
+        n = self.post_begin[terms + 1] - low
+        at = np.repeat(low - np.cumsum(n) + n, n)
+        at += np.arange(len(at))
+        parts = np.repeat(weights, n)
+        parts *= self.post_weight.take(at)
+        return np.bincount(self.post_example.take(at), parts, self.n_blocks * self.block)
 
     def search(self, query: dict[int, float] | Vector, k: int, without: int = -1) -> list[tuple[float, int]]:
         """(cosine, example) of the k nearest with a positive cosine, ties to the smaller example."""
         return self.search_many([query], k, [without])[0]
 
-    def search_many(self, queries: list, k: int, without: list[int] | None = None) -> list[list[tuple[float, int]]]:
+    def search_many(self, queries: list, k: int, without: list[int] | None = None, ahead: int = 2) -> list[list[tuple[float, int]]]:
+        """Each query opens the ``ahead`` blocks of its own highest bounds first:
+        what it finds there closes more of the others."""
         if self._dense is None:
             self._make()
         queries = [(np.array(list(q), np.int32), np.array(list(q.values()), float)) if isinstance(q, dict) else q for q in queries]
         width, block = self._dense.shape[1], self.block
         # sums of parts that are not negative, in single precision, are off by this share of themselves at most
         sure = 1 - 2 * (width + 8) * 2.0 ** -23
-        heavy, scores = np.zeros((len(queries), width), np.float32), np.empty((len(queries), self.n_blocks * block))
+        heavy, rare, frequent = np.zeros((len(queries), width), np.float32), np.empty((len(queries), self.n_blocks * block)), []
         for r, (terms, weights) in enumerate(queries):
             at = self.column[terms]
-            heavy[r, at[at >= 0]] = weights[at >= 0]
-            scores[r] = self._rare(terms[at < 0], weights[at < 0])
-        bounds = heavy @ self._maxima.T + scores.reshape(len(queries), self.n_blocks, block).max(axis=2)
-        best = np.zeros((len(queries), k))
-        for b in np.argsort(-bounds.sum(axis=0), kind="stable").tolist():
-            opened, own = bounds[:, b] >= best[:, 0] * sure, slice(b * block, (b + 1) * block)
-            scores[~opened, own] = 0
-            if opened.any():
-                rows = slice(None) if opened.all() else np.flatnonzero(opened)
-                scores[rows, own] += heavy[rows] @ self._dense[own].T
-                for r in np.flatnonzero(opened).tolist() if without is not None else ():
+            often = at >= 0
+            frequent.append((at[often], weights[often]))
+            heavy[r, frequent[r][0]] = frequent[r][1]
+            rare[r] = self._rare(terms[~often], weights[~often])
+        scores = rare.astype(np.float32)
+        bounds = heavy @ self._maxima.T + rare.reshape(len(queries), self.n_blocks, block).max(axis=2)
+        early = np.zeros(bounds.shape, bool)
+        np.put_along_axis(early, np.argsort(-bounds, axis=1, kind="stable")[:, :ahead], True, axis=1)
+        best, held = np.zeros((len(queries), k)), np.empty_like(heavy)
+        order = np.argsort(-bounds.sum(axis=0), kind="stable").tolist()
+        for b, first in [(b, True) for b in order] + [(b, False) for b in order]:
+            opened, own = early[:, b], slice(b * block, (b + 1) * block)
+            if not first:
+                opened = ~opened & (bounds[:, b] >= best[:, 0] * sure)
+                scores[~opened & ~early[:, b], own] = 0
+            rows = np.flatnonzero(opened)
+            if len(rows):
+                some = np.take(heavy, rows, axis=0, out=held[:len(rows)], mode="clip") if len(rows) < len(queries) else heavy
+                found = scores[rows, own] + some @ self._dense[own].T
+                for j, r in enumerate(rows.tolist()) if without is not None else ():
                     if 0 <= without[r] - b * block < block:
-                        scores[r, without[r]] = 0
-                best[rows] = np.partition(np.concatenate([best[rows], scores[rows, own]], axis=1), block, axis=1)[:, block:]
-                best[rows] = np.sort(best[rows], axis=1)
-        out, whole = [], np.zeros(self.n_terms)
-        for r, (terms, weights) in enumerate(queries):
-            whole[terms] = weights
+                        found[j, without[r] - b * block] = 0
+                scores[rows, own] = found
+                best[rows] = np.sort(np.partition(np.concatenate([best[rows], found], axis=1), block, axis=1)[:, block:], axis=1)
+        out, whole = [], np.zeros(width)
+        for r, (at, weights) in enumerate(frequent):
+            whole[at] = weights
             near = []
             for i in np.flatnonzero((scores[r] > 0) & (scores[r] >= best[r, 0] * sure)).tolist():
-                lo, hi = self.begin[i], self.begin[i + 1]
-                near.append((-float(whole[self.terms[lo:hi]] @ self.weights[lo:hi]), i))
-            whole[terms] = 0
+                lo, hi = self.heavy_begin[i], self.heavy_begin[i + 1]
+                near.append((-float(rare[r, i] + whole[self.heavy_column[lo:hi]] @ self.heavy_weight[lo:hi]), i))
+            whole[at] = 0
             out.append([(-s, i) for s, i in sorted(near)[:k]])
         return out
 

@@ -260,6 +260,34 @@ def test_block_max_search_is_exact():
         assert [round(s, 9) for s, _ in found] == [-s for s, _ in want]
 
 
+@pytest.mark.parametrize("ahead", [0, 2, 99])
+def test_search_of_many_is_exact_whatever_is_opened_first(ahead):
+    rng = random.Random(11)
+
+    def vector(kind, n):
+        own = [t for t in range(60) if t % 3 == kind or t >= 54]
+        v = {t: rng.choice([1.0, 2.0, rng.random()]) for t in rng.sample(own, n)}
+        norm = math.sqrt(sum(x * x for x in v.values())) or 1
+        return {t: x / norm for t, x in v.items()}
+
+    vectors = [vector(i // 100, rng.randrange(0, 9)) for i in range(290)]
+    vectors[7] = vectors[205] = vectors[206]  # equal cosines
+    queries = [vector(i % 3, rng.randrange(0, 12)) for i in range(60)] + [vectors[7], {}]
+    index = toxicity.BlockMaxIndex(vectors, 60, block=16, frequent=0.1)
+    assert 0 < (index.column >= 0).sum() < 60  # terms of both sorts
+    without = [rng.randrange(-1, 290) for _ in queries]
+    for left_out in (None, without):
+        found = index.search_many(queries, 5, left_out, ahead=ahead)
+        for r, near in enumerate(found):
+            out = -1 if left_out is None else left_out[r]
+            want = [(-s, i) for s, i in brute_cosines(vectors, queries[r]) if i != out][:5]
+            assert [round(s, 9) for s, _ in near] == [s for s, _ in want]
+            assert len({i for _, i in near}) == len(near) and out not in {i for _, i in near}
+    top = index.search(vectors[7], 3)
+    assert [i for _, i in top] == [7, 205, 206] and all(abs(s - 1) < 1e-12 for s, _ in top)  # in double precision
+    assert not {"terms", "weights", "begin"} & set(index.__getstate__())  # examples are not sent twice
+
+
 LABELS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("toxic", T.IntegerType())])
 
 
