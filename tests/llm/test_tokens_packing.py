@@ -32,6 +32,24 @@ def test_pieces_give_the_ids_of_documents():
         assert np.frombuffer(ENCODER.ids(text), "<u4").tolist() == whole_ids(text)
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet=" \n'\"sté_-#*.!?()<|>µª1", max_size=40))
+def test_marks_and_lines_give_the_ids_of_whole_texts(text):
+    assert np.frombuffer(ENCODER.ids(text), "<u4").tolist() == whole_ids(text)
+
+
+def test_words_with_runs_of_marks_and_at_line_starts_use_the_known_words(monkeypatch):
+    encoder, asked, new = tokens.Encoder(PATH), [], []
+    monkeypatch.setattr(encoder, "_pieces", lambda words: new.extend(words) or tokens.Encoder._pieces(encoder, words))
+    word = encoder._word
+    monkeypatch.setattr(encoder, "_word", lambda w, space=" ": asked.append(space + w) or word(w, space))
+    texts = ["So retirement is near", "a retirement*** near,### near.\nretirement... (so", "near!! retirement)\nretirement is it's near;"]
+    for text in texts:
+        assert np.frombuffer(encoder.ids(text), "<u4").tolist() == whole_ids(text)
+    assert asked.count(" retirement") == asked.count("retirement") == asked.count(" near") == 1
+    assert sorted(new) == ["(so", "it's"]
+
+
 def expected_rows(rows, end):
     return [(doc, np.array(whole_ids(text) + [end], "<u4").tobytes()) for doc, text, *_ in rows]
 
