@@ -50,6 +50,25 @@ def test_words_with_runs_of_marks_and_at_line_starts_use_the_known_words(monkeyp
     assert sorted(new) == ["(so", "it's"]
 
 
+def test_ascii_words_are_not_spelled_out_and_long_words_are_not_kept():
+    class Spelled(dict):
+        asked = set()
+
+        def __getitem__(self, byte):
+            self.asked.add(byte)
+            return super().__getitem__(byte)
+
+    encoder = tokens.Encoder(PATH, remembered=6)
+    encoder._letters = Spelled(encoder._letters)
+    long = "ab" * 40
+    texts = [f"so near {long}... and {long} near??", f"and\nnear {long}!! so far {long} * near", "near so", "so and far away it's near by"]
+    for text in texts * 2:
+        assert np.frombuffer(encoder.ids(text), "<u4").tolist() == whole_ids(text)
+        assert max(map(len, [*encoder._young, *encoder._old])) < 64 and len(encoder._young) <= 6
+    assert Spelled.asked == {32}
+    assert np.frombuffer(encoder.ids("über né"), "<u4").tolist() == whole_ids("über né") and len(Spelled.asked) > 1
+
+
 def expected_rows(rows, end):
     return [(doc, np.array(whole_ids(text) + [end], "<u4").tobytes()) for doc, text, *_ in rows]
 
