@@ -245,14 +245,36 @@ class BlockMaxIndex:
             self._dense[i, self.heavy_column[lo:hi]] = self.heavy_weight[lo:hi]
         self._maxima = self._dense.reshape(self.n_blocks, self.block, width).max(axis=1)
 
-    def _rare(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        low = self.post_begin[terms]
-        n = self.post_begin[terms + 1] - low
-        at = np.repeat(low - np.cumsum(n) + n, n)
-        at += np.arange(len(at))
-        parts = np.repeat(weights, n)
-        parts *= self.post_weight.take(at)
-        return np.bincount(self.post_example.take(at), parts, self.n_blocks * self.block)
+    def _rare(self, queries: list[Vector], together: int = 1 << 18, part: int = 1 << 16) -> np.ndarray:
+        """Sums over rare terms, for each query and example.  Queries (up to
+        ``together`` terms) go through the lists in the order of the lists, a
+        part of them at a time: what one query read is at hand for the next."""
+        sums, first = np.zeros((len(queries), self.n_blocks * self.block)), 0
+        while first < len(queries):
+            last, held = first + 1, len(queries[first][0])
+            while last < len(queries) and held + len(queries[last][0]) <= together:
+                held += len(queries[last][0])
+                last += 1
+            some, own = queries[first:last], sums[first:last].reshape(-1)
+            first = last
+            terms, weights = (np.concatenate(one) for one in zip(*some))
+            row = np.repeat(np.arange(len(some)) * sums.shape[1], [len(t) for t, _ in some])
+            order = np.argsort(terms, kind="stable")
+            terms, weights, row = terms[order], weights[order], row[order]
+            n = self.post_begin[terms + 1] - self.post_begin[terms]
+            ends = np.cumsum(n)
+            low = self.post_begin[terms] - ends + n
+            cuts = np.searchsorted(ends, np.arange(0, ends[-1] if len(ends) else 0, part))
+            cuts = np.unique(np.append(cuts, len(n))).tolist()
+            for i, j in zip(cuts, cuts[1:]):
+                at = np.repeat(low[i:j], n[i:j])
+                at += np.arange(ends[i] - n[i], ends[j - 1])
+                parts = np.repeat(weights[i:j], n[i:j])
+                parts *= self.post_weight.take(at)
+                place = np.repeat(row[i:j], n[i:j])
+                place += self.post_example.take(at)
+                np.add.at(own, place, parts)
+        return sums
 
     def search(self, query: dict[int, float] | Vector, k: int, without: int = -1) -> list[tuple[float, int]]:
         """(cosine, example) of the k nearest with a positive cosine, ties to the smaller example."""
@@ -267,13 +289,14 @@ class BlockMaxIndex:
         width, block = self._dense.shape[1], self.block
         # sums of parts that are not negative, in single precision, are off by this share of themselves at most
         sure = 1 - 2 * (width + 8) * 2.0 ** -23
-        heavy, rare, frequent = np.zeros((len(queries), width), np.float32), np.empty((len(queries), self.n_blocks * block)), []
+        heavy, frequent, others = np.zeros((len(queries), width), np.float32), [], []
         for r, (terms, weights) in enumerate(queries):
             at = self.column[terms]
             often = at >= 0
             frequent.append((at[often], weights[often]))
             heavy[r, frequent[r][0]] = frequent[r][1]
-            rare[r] = self._rare(terms[~often], weights[~often])
+            others.append((terms[~often], weights[~often]))
+        rare = self._rare(others)
         scores = rare.astype(np.float32)
         bounds = heavy @ self._maxima.T + rare.reshape(len(queries), self.n_blocks, block).max(axis=2)
         early = np.zeros(bounds.shape, bool)
@@ -300,7 +323,7 @@ class BlockMaxIndex:
             near = []
             for i in np.flatnonzero((scores[r] > 0) & (scores[r] >= best[r, 0] * sure)).tolist():
                 lo, hi = self.heavy_begin[i], self.heavy_begin[i + 1]
-                near.append((-float(rare[r, i] + whole[self.heavy_column[lo:hi]] @ self.heavy_weight[lo:hi]), i))
+                near.append((-float(rare[r, i] + whole.take(self.heavy_column[lo:hi]) @ self.heavy_weight[lo:hi]), i))
             whole[at] = 0
             out.append([(-s, i) for s, i in sorted(near)[:k]])
         return out

@@ -288,6 +288,29 @@ def test_search_of_many_is_exact_whatever_is_opened_first(ahead):
     assert not {"terms", "weights", "begin"} & set(index.__getstate__())  # examples are not sent twice
 
 
+def test_queries_go_through_the_lists_of_rare_terms_together():
+    rng, read = np.random.default_rng(3), []
+
+    class Weights(np.ndarray):
+        def take(self, at, *more, **options):
+            read.append(np.array(at))
+            return np.asarray(self).take(at, *more, **options)
+
+    vectors = [dict.fromkeys(rng.choice(400, rng.integers(0, 30), replace=False).tolist(), float(rng.random())) for _ in range(150)]
+    index = toxicity.BlockMaxIndex(vectors, 400, block=16, frequent=1.0)
+    index.post_weight = index.post_weight.view(Weights)
+    queries = [(np.sort(rng.choice(400, n, replace=False)).astype(np.int32), rng.random(n)) for n in (40, 0, 400, 1, 90)] * 3
+    want = [[sum(w * v.get(t, 0) for t, w in zip(terms.tolist(), weights)) for v in vectors] for terms, weights in queries]
+    for together, part in ((1 << 18, 1 << 16), (1 << 18, 7), (450, 64), (0, 64)):
+        read.clear()
+        sums = index._rare(queries, together, part)
+        assert sums.shape == (15, 160) and np.allclose(sums[:, :150], want, atol=1e-12) and not sums[:, 150:].any()
+        if together > 450:  # each list is met once by all queries
+            term = np.searchsorted(index.post_begin, np.concatenate(read), side="right")
+            assert (np.diff(term) >= 0).all()
+    assert not index._rare([queries[1]]).any() and len(index._rare([])) == 0
+
+
 LABELS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("toxic", T.IntegerType())])
 
 
