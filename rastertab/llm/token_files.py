@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rastertab.llm.common import read, shuffle_width, written
-from rastertab.llm.tokens import default_tokenizer, worker_encoder
+from rastertab.llm.tokens import default_tokenizer, forget_encoders, worker_encoder
 from rastertab.session import scratch_path
 
 INDEX_MAGIC, TABLE_MAGIC, SEEKABLE_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1  # fixed values of the format
@@ -186,6 +186,7 @@ def read_token_files(files: DataFrame) -> DataFrame:
               .select("file", "before").repartition(shuffle_width(files.sparkSession)))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_encoders()  # that the writing tasks left in this worker process
         for b in batches:
             for file, base in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 store, path = _store(file)

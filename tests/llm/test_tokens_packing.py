@@ -121,6 +121,25 @@ def test_files_are_seekable_zstandard(tmp_dir):
         assert zstandard.ZstdDecompressor().stream_reader(f, read_across_frames=True).read() == bytes(range(200))
 
 
+def test_reading_lets_go_of_encoders(spark, tmp_dir, monkeypatch):
+    import pyarrow as pa
+    import tokenizers
+    from pyarrow import fs
+
+    with fs.LocalFileSystem().open_output_stream(f"{tmp_dir}/a.tokens") as out:
+        writer = token_files.TokenFileWriter(out, 64, 3)
+        writer.add(1, bytes(range(200)))
+        writer.close()
+    files = spark.createDataFrame([(0, f"{tmp_dir}/a.tokens", 1, 50)], "part int, file string, n_docs long, n_tokens long")
+    scans = []
+    monkeypatch.setattr(type(files), "mapInArrow", lambda self, scan, schema: scans.append(scan) or self)
+    token_files.read_token_files(files)
+    tokens.worker_encoder(PATH)
+    [found] = scans[0](iter([pa.record_batch({"file": [f"{tmp_dir}/a.tokens"], "before": [7]})]))
+    assert found.to_pylist() == [{"doc_id": 1, "start": 7, "n_tokens": 50, "ids_crc32": zlib.crc32(bytes(range(200)))}]
+    assert not tokenizers.__dict__.get("_encoders_by_path")
+
+
 def test_token_files_of_nothing(spark):
     files = token_files.write_token_files(frame(spark, []), scratch_path(spark, "test-files"))
     assert token_files.read_token_files(files).count() == 0
